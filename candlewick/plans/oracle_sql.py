@@ -83,7 +83,7 @@ BUCKET_SQL = {
 _EXTRA = {"1min": (False, False), "5min": (False, False), "1h": (True, False), "1d": (True, True)}
 
 
-def candle_cte(interval: str, name: str = "candles") -> str:
+def candle_cte(interval: str, name: str = "candles", src: str = "stg") -> str:
     """Candle CTE in the source models' shape (row_number first/last)."""
     traders, quotes = _EXTRA[interval]
     b = BUCKET_SQL[interval]
@@ -97,7 +97,7 @@ def candle_cte(interval: str, name: str = "candles") -> str:
       SELECT {b} AS candle_timestamp, *,
         row_number() OVER (PARTITION BY currency_pair, {b} ORDER BY transaction_timestamp, tick_id) AS rn_first,
         row_number() OVER (PARTITION BY currency_pair, {b} ORDER BY transaction_timestamp DESC, tick_id DESC) AS rn_last
-      FROM stg),
+      FROM {src}),
     {name} AS (
       SELECT candle_timestamp, currency_pair, base_currency, quote_currency,
         min(trade_price) AS low_price, max(trade_price) AS high_price,
@@ -144,3 +144,50 @@ def candle_select(interval: str, name: str = "candles") -> str:
 
 def candles_sql(interval: str) -> str:
     return with_ctes(*TICK_CTES, candle_cte(interval)) + candle_select(interval)
+
+
+PAIR_CFG = """cfg AS (SELECT * FROM (VALUES
+    ('ECR/MRT', 5.0, 20.0, 0.15, 'Mars_Central_Exchange'),
+    ('ECR/LCR', 3.0, 15.0, 0.08, 'Lunar_Trading_Post'),
+    ('ECR/AMC', 8.0, 30.0, 0.22, 'Asteroid_Market'),
+    ('MRT/LCR', 5.0, 18.0, 0.12, 'Mars_Central_Exchange'),
+    ('MRT/AMC', 7.0, 25.0, 0.18, 'Asteroid_Market'),
+    ('LCR/AMC', 6.0, 22.0, 0.14, 'Lunar_Trading_Post'))
+  t(currency_pair, min_spread_bps, max_spread_bps, pair_volatility, primary_exchange))"""
+
+HOUR_LIST = ("(CAST([0.3, 0.2, 0.2, 0.2, 0.3, 0.4, 0.6, 0.8, 1.0, 1.2, 1.3, 1.4, 1.5, 1.5, 1.4, 1.3, 1.2, 1.0, "
+             "0.8, 0.6, 0.5, 0.4, 0.3, 0.3] AS DOUBLE[]))")
+
+ACTIVE = ("e.start_timestamp <= s.transaction_timestamp AND s.transaction_timestamp <= e.end_timestamp "
+          "AND (list_contains(e.affected_currencies, s.base_currency) OR list_contains(e.affected_currencies, s.quote_currency))")
+
+
+def check_sql(table: str, model: str, checks) -> str:
+    """One SELECT per check returning (model, check, column, severity, failures)."""
+    parts = []
+    for c in checks:
+        col = c.columns[0] if c.columns else None
+        if c.name == "not_null":
+            cond = f"{col} IS NULL"
+        elif c.name == "accepted_values":
+            vals = ", ".join("'" + v + "'" for v in c.values)
+            cond = f"{col} IS NOT NULL AND {col} NOT IN ({vals})"
+        elif c.name == "between":
+            ors = []
+            if c.low is not None:
+                ors.append(f"{col} < {c.low!r}")
+            if c.high is not None:
+                ors.append(f"{col} > {c.high!r}")
+            cond = f"{col} IS NOT NULL AND (" + " OR ".join(ors) + ")"
+        elif c.name == "expression":
+            cond = f"({c.expr}) IS NOT NULL AND NOT ({c.expr})"
+        else:
+            keys = ", ".join(c.columns)
+            nn = " AND ".join(f"{k} IS NOT NULL" for k in c.columns)
+            parts.append(f"SELECT '{model}' AS model, '{c.name}' AS \"check\", '{c.column}' AS \"column\", "
+                         f"'{c.severity}' AS severity, CAST(count(*) AS BIGINT) AS failures FROM "
+                         f"(SELECT {keys} FROM {table} WHERE {nn} GROUP BY {keys} HAVING count(*) > 1)")
+            continue
+        parts.append(f"SELECT '{model}' AS model, '{c.name}' AS \"check\", '{c.column}' AS \"column\", "
+                     f"'{c.severity}' AS severity, CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS failures FROM {table}")
+    return "\nUNION ALL\n".join(parts)

@@ -1,70 +1,298 @@
 """Registered queries: key -> (spark, sf_dir) -> DataFrame, plus the DuckDB
-oracle SQL for each key that has an SQL equivalent."""
+oracle SQL for each key that has an SQL equivalent.
+
+Every query reads the driver's tables (through the tick / event views) over
+their whole extent.  Queries that exercise sinks write to a fresh folder
+under the session's shared checkpoint folder and read the result back.
+"""
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from candlewick.constants import EXCHANGES, TRADER_TYPES
+from candlewick.functions.columns import pair_format_ok, partition_value, quote_from_mid, spread_bps
+from candlewick.functions.columns import duration_minutes, impact_label
 from candlewick.operators import candles as C
+from candlewick.operators import events as EV
+from candlewick.operators import quality as Q
 from candlewick.operators import staging as ST
+from candlewick.operators import stats as SS
+from candlewick.plans import incremental as INC
 from candlewick.plans import oracle_sql as O
-from candlewick.plans.report import candle_report, report
+from candlewick.plans.report import CANDLE_ROUNDED, candle_report, report
+from candlewick.session import scratch_path
+from candlewick.sources import files as FI
 from candlewick.sources import fixtures as FX
+from candlewick.sources import wire as W
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# fixed parameters of the registered incremental scenario
+INITIAL_LOAD_END = _dt.datetime(2024, 1, 20)          # first build sees ticks before this
+SECOND_RUN_AT = _dt.datetime(2024, 1, 21)             # version time of the incremental run
+FRESHNESS_NOW = _dt.datetime(2024, 1, 31)
+BUSINESS_KEY = ("currency_pair", "transaction_timestamp", "bid_price", "ask_price", "trade_price", "volume")
+TS = "transaction_timestamp"
+
+
+def raw(spark, sf_dir):
+    return FX.raw_ticks(spark, sf_dir)
+
+
+def staged(spark, sf_dir):
+    return ST.stage_ticks(raw(spark, sf_dir))
+
+
+def events(spark, sf_dir):
+    return FX.economic_events(spark, sf_dir)
+
+
+def candles(spark, sf_dir, interval, **kw):
+    return C.ohlc_candles(staged(spark, sf_dir), interval, **kw)
+
 
-def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ST.stage_ticks(FX.raw_ticks(spark, sf_dir))
+Q_: dict[str, Query] = {}
+SQL: dict[str, str] = {}
 
 
-# ----------------------------------------------------------------- candles
+def register(key: str, sql: str | None = None):
+    def deco(fn):
+        Q_[key] = fn
+        if sql is not None:
+            SQL[key] = sql
+        return fn
+    return deco
+
+
+T = O.with_ctes(*O.TICK_CTES)
+TR = O.with_ctes(O.RAW)
+TT = O.with_ctes(O.RAW, O.TYPED)
+TE = O.with_ctes(*O.TICK_CTES, O.EVENTS)
+STG_COLS = """tick_id, transaction_timestamp, event_time, currency_pair, base_currency, quote_currency,
+  CAST(bid_price AS DOUBLE) AS bid_price, CAST(ask_price AS DOUBLE) AS ask_price,
+  CAST(mid_price AS DOUBLE) AS mid_price, CAST(trade_price AS DOUBLE) AS trade_price,
+  CAST(spread_bps AS DOUBLE) AS spread_bps, CAST(volume AS DOUBLE) AS volume,
+  exchange_location, trader_type"""
+RAW_COLS = ("tick_id, transaction_timestamp, currency_pair, bid_price, ask_price, mid_price, spread_bps, "
+            "trade_price, volume, exchange_location, trader_type, event_time")
+WIRE_COLS = """tick_id, transaction_timestamp, currency_pair,
+  CAST(CAST(bid_price AS DECIMAL(18,8)) AS DOUBLE) AS bid_price,
+  CAST(CAST(ask_price AS DECIMAL(18,8)) AS DOUBLE) AS ask_price,
+  CAST(CAST(mid_price AS DECIMAL(18,8)) AS DOUBLE) AS mid_price, spread_bps,
+  CAST(CAST(trade_price AS DECIMAL(18,8)) AS DOUBLE) AS trade_price,
+  CAST(CAST(volume AS DECIMAL(18,8)) AS DOUBLE) AS volume,
+  exchange_location, trader_type, event_time"""
+
+
+# =============================================================== staging
+@register("stage_ticks", T + f"SELECT {STG_COLS} FROM stg")
 def q_stage_ticks(spark, sf_dir):
     return report(staged(spark, sf_dir))
 
 
-def _candles(interval):
+@register("parse_raw", TR + f"SELECT {WIRE_COLS} FROM raw")
+def q_parse_raw(spark, sf_dir):
+    """raw -> wire text (8-dp strings, ISO times) -> tolerant typed parse."""
+    return W.parse_raw_ticks(W.to_wire(raw(spark, sf_dir)))
+
+
+_REASONS = [("bid_price_not_positive", "bid_price > 0"), ("ask_price_not_positive", "ask_price > 0"),
+            ("mid_price_not_positive", "mid_price > 0"), ("trade_price_not_positive", "trade_price > 0"),
+            ("volume_not_positive", "volume > 0"), ("ask_below_bid", "ask_price >= bid_price"),
+            ("timestamp_missing", "transaction_timestamp IS NOT NULL"), ("pair_missing", "currency_pair IS NOT NULL")]
+_REASON_SQL = ", ".join(f"CASE WHEN NOT coalesce({c}, false) THEN '{n}' END" for n, c in _REASONS)
+
+
+@register("rejected_ticks", TT + f"""SELECT tick_id, transaction_timestamp, currency_pair, reject_reasons FROM (
+  SELECT *, concat_ws(',', {_REASON_SQL}) AS reject_reasons FROM typed) WHERE reject_reasons <> ''""")
+def q_rejected_ticks(spark, sf_dir):
+    r = ST.rejected_ticks(raw(spark, sf_dir))
+    return r.select("tick_id", TS, "currency_pair", F.array_join("reject_reasons", ",").alias("reject_reasons"))
+
+
+@register("spread_bps", TR + """SELECT tick_id, round(CASE WHEN mid_price > 0
+    THEN (ask_price - bid_price) / mid_price * 10000 ELSE spread_bps END, 6) AS spread_bps_calc FROM raw""")
+def q_spread_bps(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    return r.select("tick_id", F.round(spread_bps("bid_price", "ask_price", "mid_price", "spread_bps"), 6)
+                    .alias("spread_bps_calc"))
+
+
+@register("quote_from_mid", TR + """SELECT tick_id,
+    CAST(CAST(round_even(mid_price - mid_price * spread_bps / 20000.0, 8) AS DECIMAL(18,8)) AS DOUBLE) AS quoted_bid,
+    CAST(CAST(round_even(mid_price + mid_price * spread_bps / 20000.0, 8) AS DECIMAL(18,8)) AS DOUBLE) AS quoted_ask
+  FROM raw""")
+def q_quote_from_mid(spark, sf_dir):
+    bid, ask = quote_from_mid("mid_price", "spread_bps")
+    return raw(spark, sf_dir).select("tick_id", bid.cast("double").alias("quoted_bid"),
+                                     ask.cast("double").alias("quoted_ask"))
+
+
+@register("pair_format", TR + """SELECT tick_id, currency_pair,
+    regexp_full_match(currency_pair, '[^/]+/[^/]+') AS pair_format_ok FROM raw""")
+def q_pair_format(spark, sf_dir):
+    return raw(spark, sf_dir).select("tick_id", "currency_pair", pair_format_ok("currency_pair").alias("pair_format_ok"))
+
+
+_BK = ", ".join(BUSINESS_KEY)
+
+
+@register("dedup_ticks", T + f""", dup AS (SELECT * FROM stg UNION ALL SELECT * REPLACE ('replay-' || tick_id AS tick_id) FROM stg)
+SELECT {STG_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY {_BK} ORDER BY transaction_timestamp, tick_id) AS rn FROM dup)
+WHERE rn = 1""")
+def q_dedup_ticks(spark, sf_dir):
+    """A replay of every staged row under new ids; business-key de-dup keeps one."""
+    s = staged(spark, sf_dir)
+    replay = s.withColumn("tick_id", F.concat(F.lit("replay-"), "tick_id"))
+    return report(ST.dedup_ticks(s.unionByName(replay), keys=BUSINESS_KEY))
+
+
+@register("recent_ticks", T + f"""SELECT {STG_COLS} FROM stg WHERE currency_pair = 'ECR/MRT'
+  AND transaction_timestamp > (SELECT max(transaction_timestamp) FROM stg) - INTERVAL 1 DAY""")
+def q_recent_ticks(spark, sf_dir):
+    s = staged(spark, sf_dir)
+    now = s.agg(F.max(TS)).first()[0]   # one-row action -> literal, pushable filter
+    return report(ST.recent(s, now, 24 * 60, pair="ECR/MRT"))
+
+
+# =============================================================== events
+@register("scaled_effects", O.with_ctes(O.EVENTS) + """SELECT event_id, severity, spread_multiplier, volatility_multiplier,
+    1 + (spread_multiplier - 1) * severity / 5.0 AS scaled_spread_multiplier,
+    1 + (volatility_multiplier - 1) * severity / 5.0 AS scaled_volatility_multiplier FROM ev""")
+def q_scaled_effects(spark, sf_dir):
+    return EV.scaled_effects(events(spark, sf_dir)).select(
+        "event_id", "severity", "spread_multiplier", "volatility_multiplier",
+        "scaled_spread_multiplier", "scaled_volatility_multiplier")
+
+
+@register("event_duration", O.with_ctes(O.EVENTS) + """SELECT event_id, start_timestamp, end_timestamp,
+    CAST(trunc(date_diff('microsecond', start_timestamp, end_timestamp) / 60000000.0) AS BIGINT) AS duration_minutes,
+    severity, CASE severity WHEN 1 THEN 'Minor market disruption expected' WHEN 2 THEN 'Moderate volatility anticipated'
+      WHEN 3 THEN 'Significant market impact likely' WHEN 4 THEN 'Major disruption to trading operations'
+      WHEN 5 THEN 'Critical event with severe market consequences' END AS expected_impact FROM ev""")
+def q_event_duration(spark, sf_dir):
+    e = events(spark, sf_dir)
+    return e.select("event_id", "start_timestamp", "end_timestamp",
+                    duration_minutes("start_timestamp", "end_timestamp").alias("duration_minutes"),
+                    "severity", impact_label("severity").alias("expected_impact"))
+
+
+@register("event_join", TE + f"""SELECT s.tick_id, s.currency_pair, s.transaction_timestamp, e.event_id, e.event_type,
+    e.severity AS event_severity FROM stg s JOIN ev e ON {O.ACTIVE}""")
+def q_event_join(spark, sf_dir):
+    j = EV.active_events_join(staged(spark, sf_dir), events(spark, sf_dir))
+    return j.select("tick_id", "currency_pair", TS, "event_id", "event_type", "event_severity")
+
+
+@register("event_join_shuffle", TE + f"""SELECT s.tick_id, s.currency_pair, s.transaction_timestamp, e.event_id, e.event_type,
+    e.severity AS event_severity FROM stg s JOIN ev e ON {O.ACTIVE}""")
+def q_event_join_shuffle(spark, sf_dir):
+    """Same join forced onto the shuffle path (event table above the bound)."""
+    j = EV.active_events_join(staged(spark, sf_dir), events(spark, sf_dir), max_broadcast_rows=0)
+    return j.select("tick_id", "currency_pair", TS, "event_id", "event_type", "event_severity")
+
+
+_IMPACT_SQL = O.with_ctes(*O.TICK_CTES, O.EVENTS, O.PAIR_CFG) + f""", imp AS (
+  SELECT s.tick_id, s.currency_pair, s.transaction_timestamp, CAST(count(e.event_id) AS BIGINT) AS active_events,
+    coalesce(product(e.spread_multiplier), 1.0) AS spread_factor,
+    coalesce(product(e.volatility_multiplier), 1.0) AS volatility_factor,
+    coalesce(product(e.volume_multiplier), 1.0) AS volume_factor
+  FROM stg s LEFT JOIN ev e ON {O.ACTIVE}
+  GROUP BY s.tick_id, s.currency_pair, s.transaction_timestamp)
+SELECT i.tick_id, i.currency_pair, i.transaction_timestamp, active_events, spread_factor, volatility_factor, volume_factor,
+  hour(i.transaction_timestamp) AS hour, {O.HOUR_LIST}[hour(i.transaction_timestamp) + 1] AS hour_volume_multiplier,
+  {O.HOUR_LIST}[hour(i.transaction_timestamp) + 1] >= 1.2 AS is_peak_hour, c.pair_volatility,
+  c.pair_volatility * {O.HOUR_LIST}[hour(i.transaction_timestamp) + 1] * volatility_factor AS effective_volatility
+FROM imp i LEFT JOIN cfg c ON i.currency_pair = c.currency_pair"""
+
+_IMPACT_COLS = ["tick_id", "currency_pair", TS, "active_events", "spread_factor", "volatility_factor",
+                "volume_factor", "hour", "hour_volume_multiplier", "is_peak_hour", "pair_volatility",
+                "effective_volatility"]
+
+
+@register("event_impact", _IMPACT_SQL)
+def q_event_impact(spark, sf_dir):
+    return EV.event_impact(staged(spark, sf_dir), events(spark, sf_dir)).select(*_IMPACT_COLS)
+
+
+@register("event_impact_shuffle", _IMPACT_SQL)
+def q_event_impact_shuffle(spark, sf_dir):
+    return EV.event_impact(staged(spark, sf_dir), events(spark, sf_dir), max_broadcast_rows=0).select(*_IMPACT_COLS)
+
+
+@register("hour_volume_profile", T + f"""SELECT tick_id, hour(transaction_timestamp) AS hour,
+    {O.HOUR_LIST}[hour(transaction_timestamp) + 1] AS hour_volume_multiplier,
+    {O.HOUR_LIST}[hour(transaction_timestamp) + 1] >= 1.2 AS is_peak_hour FROM stg""")
+def q_hour_volume_profile(spark, sf_dir):
+    return EV.with_hour_profile(staged(spark, sf_dir)).select("tick_id", "hour", "hour_volume_multiplier", "is_peak_hour")
+
+
+@register("enrich_pairs", O.with_ctes(*O.TICK_CTES, O.PAIR_CFG) + """SELECT s.tick_id, s.currency_pair, c.primary_exchange,
+    c.pair_volatility, c.min_spread_bps, c.max_spread_bps,
+    CAST(s.spread_bps AS DOUBLE) BETWEEN c.min_spread_bps AND c.max_spread_bps AS spread_in_band
+  FROM stg s LEFT JOIN cfg c ON s.currency_pair = c.currency_pair""")
+def q_enrich_pairs(spark, sf_dir):
+    e = EV.with_pair_reference(staged(spark, sf_dir))
+    return e.select("tick_id", "currency_pair", "primary_exchange", "pair_volatility", "min_spread_bps", "max_spread_bps",
+                    F.col("spread_bps").cast("double").between(F.col("min_spread_bps"), F.col("max_spread_bps"))
+                    .alias("spread_in_band"))
+
+
+@register("calendar_context", O.with_ctes(*O.TICK_CTES, O.EVENTS, O.candle_cte("1h")) + """SELECT c.candle_timestamp,
+    c.currency_pair, e.event_id, e.event_type, e.event_timestamp FROM candles c JOIN ev e
+  ON e.event_timestamp - INTERVAL 60 MINUTE <= c.candle_timestamp AND c.candle_timestamp <= e.event_timestamp + INTERVAL 60 MINUTE
+  AND (list_contains(e.affected_currencies, c.base_currency) OR list_contains(e.affected_currencies, c.quote_currency))""")
+def q_calendar_context(spark, sf_dir):
+    c = candles(spark, sf_dir, "1h", metrics=False, calculated_at=False)
+    j = EV.calendar_context(c, events(spark, sf_dir), minutes=60)
+    return j.select("candle_timestamp", "currency_pair", "event_id", "event_type", "event_timestamp")
+
+
+_TT = ", ".join(f"'{t}'" for t in TRADER_TYPES)
+_EX = ", ".join(f"'{t}'" for t in EXCHANGES)
+
+
+@register("orphan_trader_types", T + f"""SELECT tick_id, trader_type FROM stg
+  WHERE trader_type IS NOT NULL AND trader_type NOT IN ({_TT})""")
+def q_orphan_trader_types(spark, sf_dir):
+    return Q.orphan_values(staged(spark, sf_dir), "trader_type", TRADER_TYPES).select("tick_id", "trader_type")
+
+
+@register("orphan_exchanges", T + f"""SELECT tick_id, exchange_location FROM stg
+  WHERE exchange_location IS NOT NULL AND exchange_location NOT IN ({_EX})""")
+def q_orphan_exchanges(spark, sf_dir):
+    return Q.orphan_values(staged(spark, sf_dir), "exchange_location", EXCHANGES).select("tick_id", "exchange_location")
+
+
+# =============================================================== candles
+def _candle_q(interval):
     def q(spark, sf_dir):
-        return candle_report(C.ohlc_candles(staged(spark, sf_dir), interval))
-    q.__name__ = f"q_ohlc_{interval}"
+        return candle_report(candles(spark, sf_dir, interval))
     return q
 
 
+for _iv in ("1min", "5min", "1h", "1d"):
+    register(f"ohlc_{_iv}", O.candles_sql(_iv))(_candle_q(_iv))
+
+
+@register("rollup_1h_from_1min", O.candles_sql("1h"))
 def q_rollup_1h_from_1min(spark, sf_dir):
     fine = C.candle_state(staged(spark, sf_dir), "1min", C.CandleSpec("1min", trader_types=True))
     return candle_report(C.rollup_candles(fine, "1h"))
 
 
-def q_first_last_ticks(spark, sf_dir):
-    return report(C.first_last_ticks(staged(spark, sf_dir), "1min"))
-
+@register("rollup_1d_from_1h", O.candles_sql("1d"))
+def q_rollup_1d_from_1h(spark, sf_dir):
+    fine = C.candle_state(staged(spark, sf_dir), "1h", C.CandleSpec("1h", trader_types=True, quotes=True))
+    return candle_report(C.rollup_candles(fine, "1d"))
 
-QUERIES: dict[str, Query] = {
-    "stage_ticks": q_stage_ticks,
-    "ohlc_1min": _candles("1min"),
-    "ohlc_5min": _candles("5min"),
-    "ohlc_1h": _candles("1h"),
-    "ohlc_1d": _candles("1d"),
-    "rollup_1h_from_1min": q_rollup_1h_from_1min,
-    "first_last_ticks": q_first_last_ticks,
-}
 
-_STG_REPORT = """SELECT tick_id, transaction_timestamp, event_time, currency_pair, base_currency, quote_currency,
-  CAST(bid_price AS DOUBLE) AS bid_price, CAST(ask_price AS DOUBLE) AS ask_price,
-  CAST(mid_price AS DOUBLE) AS mid_price, CAST(trade_price AS DOUBLE) AS trade_price,
-  CAST(spread_bps AS DOUBLE) AS spread_bps, CAST(volume AS DOUBLE) AS volume,
-  exchange_location, trader_type FROM stg"""
-
-ORACLE: dict[str, str] = {
-    "stage_ticks": O.with_ctes(*O.TICK_CTES) + _STG_REPORT,
-    "ohlc_1min": O.candles_sql("1min"),
-    "ohlc_5min": O.candles_sql("5min"),
-    "ohlc_1h": O.candles_sql("1h"),
-    "ohlc_1d": O.candles_sql("1d"),
-    "rollup_1h_from_1min": O.candles_sql("1h"),
-    "first_last_ticks": O.with_ctes(*O.TICK_CTES, """o AS (
+@register("first_last_ticks", O.with_ctes(*O.TICK_CTES, """o AS (
       SELECT currency_pair, date_trunc('minute', transaction_timestamp) AS candle_timestamp, tick_id,
         transaction_timestamp, trade_price,
         row_number() OVER (PARTITION BY currency_pair, date_trunc('minute', transaction_timestamp)
@@ -75,13 +303,349 @@ ORACLE: dict[str, str] = {
       f.tick_id AS first_tick_id, f.transaction_timestamp AS first_ts, CAST(f.trade_price AS DOUBLE) AS first_price,
       l.tick_id AS last_tick_id, l.transaction_timestamp AS last_ts, CAST(l.trade_price AS DOUBLE) AS last_price
     FROM o f JOIN o l ON f.currency_pair = l.currency_pair AND f.candle_timestamp = l.candle_timestamp
-    WHERE f.rn_first = 1 AND l.rn_last = 1""",
-}
+    WHERE f.rn_first = 1 AND l.rn_last = 1""")
+def q_first_last_ticks(spark, sf_dir):
+    return report(C.first_last_ticks(staged(spark, sf_dir), "1min"))
+
+
+@register("candle_metrics", "SELECT candle_timestamp, currency_pair, open_price, close_price, price_change, "
+          "price_change_pct, price_range, volatility_pct FROM (" + O.candles_sql("1min") + ")")
+def q_candle_metrics(spark, sf_dir):
+    return candle_report(candles(spark, sf_dir, "1min")).select(
+        "candle_timestamp", "currency_pair", "open_price", "close_price", "price_change", "price_change_pct",
+        "price_range", "volatility_pct")
+
+
+@register("spread_change", "SELECT candle_timestamp, currency_pair, open_bid_price, open_ask_price, close_bid_price, "
+          "close_ask_price, spread_change_pct FROM (" + O.candles_sql("1d") + ")")
+def q_spread_change(spark, sf_dir):
+    return candle_report(candles(spark, sf_dir, "1d")).select(
+        "candle_timestamp", "currency_pair", "open_bid_price", "open_ask_price", "close_bid_price",
+        "close_ask_price", "spread_change_pct")
+
+
+@register("latest_candles", O.with_ctes(*O.TICK_CTES, O.candle_cte("1min")) + O.candle_select("1min")
+          + "\nORDER BY candle_timestamp DESC, currency_pair LIMIT 20")
+def q_latest_candles(spark, sf_dir):
+    return candle_report(SS.latest_candles(candles(spark, sf_dir, "1min"), 20))
+
+
+_VIOL = " OR ".join(["low_price > open_price", "low_price > high_price", "low_price > close_price",
+                     "high_price < open_price", "high_price < close_price", "open_price IS NULL",
+                     "high_price IS NULL", "low_price IS NULL", "close_price IS NULL"])
+
+
+@register("ohlc_violations", O.with_ctes(*O.TICK_CTES, *[O.candle_cte(iv, f"c_{i}") for i, iv in
+                                                         enumerate(("1min", "5min", "1h", "1d"))])
+          + "\nUNION ALL\n".join(
+              f"SELECT 'ohlc_candles_{iv}' AS model_name, currency_pair, candle_timestamp, CAST(open_price AS DOUBLE) AS open_price, "
+              f"CAST(high_price AS DOUBLE) AS high_price, CAST(low_price AS DOUBLE) AS low_price, "
+              f"CAST(close_price AS DOUBLE) AS close_price FROM c_{i} WHERE {_VIOL}"
+              for i, iv in enumerate(("1min", "5min", "1h", "1d"))))
+def q_ohlc_violations(spark, sf_dir):
+    s = staged(spark, sf_dir)
+    tables = {f"ohlc_candles_{iv}": C.ohlc_candles(s, iv, metrics=False, calculated_at=False)
+              for iv in ("1min", "5min", "1h", "1d")}
+    return report(Q.ohlc_violations(tables))
+
+
+# =============================================================== statistics
+@register("ticks_per_pair", TR + """SELECT currency_pair, count(*) AS ticks, round(avg(bid_price), 4) AS avg_bid,
+    round(avg(spread_bps), 2) AS avg_spread FROM raw GROUP BY currency_pair""")
+def q_ticks_per_pair(spark, sf_dir):
+    return SS.ticks_per_pair(raw(spark, sf_dir))
+
+
+@register("most_volatile_pair", O.with_ctes(*O.TICK_CTES, O.candle_cte("1min")) + """, v AS (
+    SELECT currency_pair, avg(CASE WHEN open_price > 0 THEN CAST(high_price - low_price AS DOUBLE) / CAST(open_price AS DOUBLE) * 100.0 END) AS a
+    FROM candles GROUP BY currency_pair)
+  SELECT currency_pair, round(a, 6) AS avg_volatility,
+    row_number() OVER (ORDER BY a DESC, currency_pair) AS volatility_rank FROM v""")
+def q_most_volatile_pair(spark, sf_dir):
+    m = SS.most_volatile_pair(candles(spark, sf_dir, "1min", calculated_at=False))
+    return m.select("currency_pair", F.round("avg_volatility", 6).alias("avg_volatility"), "volatility_rank")
+
+
+@register("hourly_volume", O.with_ctes(*O.TICK_CTES, O.candle_cte("1min")) + """SELECT date_trunc('hour', candle_timestamp) AS hour,
+    CAST(sum(total_volume) AS DOUBLE) AS hourly_volume FROM candles GROUP BY 1""")
+def q_hourly_volume(spark, sf_dir):
+    return report(SS.hourly_volume(candles(spark, sf_dir, "1min", metrics=False, calculated_at=False)))
+
+
+@register("trader_type_share", TR + """, c AS (SELECT trader_type, count(*) AS n FROM raw WHERE trader_type IS NOT NULL GROUP BY 1),
+  s AS (SELECT trader_type, n, n / (SELECT sum(n) FROM c) AS share FROM c),
+  x AS (SELECT * FROM (VALUES ('institutional', 0.40::DOUBLE), ('retail', 0.35::DOUBLE), ('mining_corp', 0.15::DOUBLE),
+        ('government', 0.10::DOUBLE)) t(trader_type, expected_share))
+  SELECT trader_type, CAST(coalesce(n, 0) AS BIGINT) AS n, coalesce(share, 0.0) AS share, expected_share,
+    abs(coalesce(share, 0.0) - expected_share) < 0.05 AS within_tolerance
+  FROM s FULL OUTER JOIN x USING (trader_type)""")
+def q_trader_type_share(spark, sf_dir):
+    return SS.trader_type_share(raw(spark, sf_dir))
+
+
+@register("spread_stats", O.with_ctes(O.RAW, O.PAIR_CFG) + """SELECT r.currency_pair, min(spread_bps) AS min_spread,
+    max(spread_bps) AS max_spread, round(avg(spread_bps), 6) AS mean_spread, CAST(count(spread_bps) AS BIGINT) AS n,
+    CAST(sum(CASE WHEN spread_bps <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS non_positive,
+    CAST(sum(CASE WHEN spread_bps < c.min_spread_bps OR spread_bps > c.max_spread_bps THEN 1 ELSE 0 END) AS BIGINT) AS outside_band
+  FROM raw r LEFT JOIN cfg c ON r.currency_pair = c.currency_pair GROUP BY r.currency_pair""")
+def q_spread_stats(spark, sf_dir):
+    return report(SS.spread_stats(raw(spark, sf_dir)), rounded=("mean_spread",))
+
+
+def _vol_sql(trunc):
+    return T + f"""SELECT date_trunc('{trunc}', transaction_timestamp) AS bucket_start, currency_pair,
+    round(stddev_samp(CAST(mid_price AS DOUBLE)), 6) AS volatility, count(*) AS n FROM stg GROUP BY 1, 2
+    HAVING stddev_samp(CAST(mid_price AS DOUBLE)) > 0.1"""
+
+
+@register("minute_volatility", _vol_sql("minute"))
+def q_minute_volatility(spark, sf_dir):
+    return report(SS.minute_volatility(staged(spark, sf_dir), "1min"), rounded=("volatility",))
+
+
+@register("hourly_volatility", _vol_sql("hour"))
+def q_hourly_volatility(spark, sf_dir):
+    return report(SS.minute_volatility(staged(spark, sf_dir), "1h"), rounded=("volatility",))
+
+
+def _corr_sql():
+    from itertools import combinations
+    from candlewick.constants import CURRENCY_PAIRS as P
+    cols = ",\n    ".join(f"avg(CASE WHEN currency_pair = '{p}' THEN CAST(mid_price AS DOUBLE) END) AS p{i}"
+                          for i, p in enumerate(P))
+    sel = "\nUNION ALL\n".join(
+        f"SELECT '{P[a]}' AS pair_a, '{P[b]}' AS pair_b, round(corr(p{a}, p{b}), 6) AS correlation, "
+        f"CAST(count(*) FILTER (WHERE p{a} IS NOT NULL AND p{b} IS NOT NULL) AS BIGINT) AS n_buckets FROM w"
+        for a, b in combinations(range(len(P)), 2))
+    return T + f""", w AS (SELECT date_trunc('minute', transaction_timestamp) AS b,
+    {cols}
+  FROM stg GROUP BY 1)
+""" + sel
+
+
+@register("pair_correlation", _corr_sql())
+def q_pair_correlation(spark, sf_dir):
+    return report(SS.pair_correlation(staged(spark, sf_dir), "1min"), rounded=("correlation",))
+
+
+@register("tick_rate", TR + """, g AS (SELECT count(*) AS ticks, min(transaction_timestamp) AS first_ts,
+    max(transaction_timestamp) AS last_ts, date_diff('microsecond', min(transaction_timestamp), max(transaction_timestamp)) / 1e6 AS d FROM raw)
+  SELECT ticks, first_ts, last_ts, d AS duration_seconds, 60.0 * d AS expected_ticks,
+    round(CASE WHEN 60.0 * d > 0 THEN abs(ticks - 60.0 * d) / (60.0 * d) END, 6) AS relative_error,
+    CASE WHEN 60.0 * d > 0 THEN abs(ticks - 60.0 * d) / (60.0 * d) END < 0.1 AS within_tolerance FROM g""")
+def q_tick_rate(spark, sf_dir):
+    return report(SS.tick_rate(raw(spark, sf_dir)), rounded=("relative_error",))
+
+
+@register("tick_gaps", T + """, g AS (SELECT currency_pair, transaction_timestamp AS t,
+    lag(transaction_timestamp) OVER (PARTITION BY currency_pair ORDER BY transaction_timestamp, tick_id) AS p FROM stg),
+  a AS (SELECT transaction_timestamp AS t, lag(transaction_timestamp) OVER (ORDER BY transaction_timestamp, tick_id) AS p FROM stg)
+  SELECT currency_pair, count(*) AS tick_count, max(date_diff('microsecond', p, t)) AS max_gap_us FROM g GROUP BY 1
+  UNION ALL SELECT 'ALL', count(*), max(date_diff('microsecond', p, t)) FROM a""")
+def q_tick_gaps(spark, sf_dir):
+    return SS.tick_gaps(staged(spark, sf_dir))
+
+
+@register("boundary_gap", T + """, n AS (SELECT date_trunc('hour', transaction_timestamp + INTERVAL 300 SECOND) AS boundary,
+    transaction_timestamp, tick_id FROM stg
+    WHERE transaction_timestamp >= date_trunc('hour', transaction_timestamp + INTERVAL 300 SECOND) - INTERVAL 300 SECOND),
+  g AS (SELECT boundary, transaction_timestamp AS t,
+    lag(transaction_timestamp) OVER (PARTITION BY boundary ORDER BY transaction_timestamp, tick_id) AS p FROM n)
+  SELECT boundary, count(*) AS tick_count, max(date_diff('microsecond', p, t)) AS max_gap_us FROM g GROUP BY 1""")
+def q_boundary_gap(spark, sf_dir):
+    """Gaps within +/- 300 s of every hourly file-roll boundary."""
+    return SS.boundary_gap(staged(spark, sf_dir), "1h", 300)
+
+
+@register("log_returns", T + """SELECT tick_id, currency_pair, transaction_timestamp,
+    round(ln(CAST(mid_price AS DOUBLE)) - ln(CAST(lag(mid_price) OVER (PARTITION BY currency_pair
+      ORDER BY transaction_timestamp, tick_id) AS DOUBLE)), 9) AS log_return FROM stg""")
+def q_log_returns(spark, sf_dir):
+    lr = SS.log_returns(staged(spark, sf_dir))
+    return lr.select("tick_id", "currency_pair", TS, F.round("log_return", 9).alias("log_return"))
+
+
+@register("realized_vol", O.with_ctes(*O.TICK_CTES, O.PAIR_CFG) + """, lr AS (
+    SELECT tick_id, currency_pair, transaction_timestamp,
+      ln(CAST(mid_price AS DOUBLE)) - ln(CAST(lag(mid_price) OVER w AS DOUBLE)) AS r, row_number() OVER w AS seq
+    FROM stg WINDOW w AS (PARTITION BY currency_pair ORDER BY transaction_timestamp, tick_id)),
+  v AS (SELECT *, stddev_pop(r) OVER (PARTITION BY currency_pair ORDER BY transaction_timestamp, tick_id
+      ROWS BETWEEN 98 PRECEDING AND CURRENT ROW) AS sd FROM lr)
+  SELECT v.tick_id, v.currency_pair, v.transaction_timestamp, CAST(v.seq AS BIGINT) AS seq,
+    round(CASE WHEN v.seq < 2 THEN c.pair_volatility ELSE v.sd * sqrt(6048.0) END, 6) AS realized_volatility
+  FROM v LEFT JOIN cfg c ON v.currency_pair = c.currency_pair""")
+def q_realized_vol(spark, sf_dir):
+    rv = SS.realized_vol(staged(spark, sf_dir))
+    return rv.select("tick_id", "currency_pair", TS, "seq", F.round("realized_volatility", 6).alias("realized_volatility"))
+
+
+# =============================================================== quality
+def _dq_sql():
+    parts = [O.check_sql("raw", "raw_ticks", Q.source_checks()),
+             O.check_sql("stg", "stg_fx_ticks", Q.staging_checks()),
+             O.check_sql("c1", "ohlc_candles_1min", Q.candle_checks("1min"))]
+    c1 = O.candle_cte("1min", "c1base") + """, c1 AS (SELECT *, '1min' AS candle_interval FROM c1base)"""
+    return O.with_ctes(*O.TICK_CTES, c1) + "\nUNION ALL\n".join(parts)
+
+
+@register("dq_report", _dq_sql())
+def q_dq_report(spark, sf_dir):
+    r, s = raw(spark, sf_dir), None
+    s = ST.stage_ticks(r)
+    c1 = C.ohlc_candles(s, "1min", calculated_at=False)
+    return INC.union_all([Q.dq_report(r, Q.source_checks(), "raw_ticks"),
+                          Q.dq_report(s, Q.staging_checks(), "stg_fx_ticks"),
+                          Q.dq_report(c1, Q.candle_checks("1min"), "ohlc_candles_1min")])
+
+
+@register("freshness", T + """SELECT max(event_time) AS max_loaded_at,
+    date_diff('microsecond', max(event_time), TIMESTAMP '2024-01-31 00:00:00') / 60e6 AS age_minutes,
+    CASE WHEN max(event_time) IS NULL THEN 'error'
+      WHEN date_diff('microsecond', max(event_time), TIMESTAMP '2024-01-31 00:00:00') / 60e6 > 15 THEN 'error'
+      WHEN date_diff('microsecond', max(event_time), TIMESTAMP '2024-01-31 00:00:00') / 60e6 > 5 THEN 'warn'
+      ELSE 'pass' END AS status FROM stg""")
+def q_freshness(spark, sf_dir):
+    return Q.freshness(staged(spark, sf_dir), FRESHNESS_NOW)
+
+
+@register("trade_outside_quote", T + """SELECT tick_id, currency_pair, CAST(bid_price AS DOUBLE) AS bid_price,
+    CAST(ask_price AS DOUBLE) AS ask_price, CAST(trade_price AS DOUBLE) AS trade_price FROM stg
+  WHERE NOT (trade_price BETWEEN bid_price AND ask_price)""")
+def q_trade_outside_quote(spark, sf_dir):
+    return report(Q.trade_outside_quote(staged(spark, sf_dir)).select(
+        "tick_id", "currency_pair", "bid_price", "ask_price", "trade_price"))
+
+
+# =============================================================== incremental
+_T0 = "TIMESTAMP '2024-01-20 00:00:00'"
+_CUT = f"((SELECT date_trunc('hour', max(transaction_timestamp)) FROM stg WHERE transaction_timestamp < {_T0}) - INTERVAL 120 MINUTE)"
+
+
+@register("incremental_window", T + f"SELECT {STG_COLS} FROM stg WHERE transaction_timestamp >= {_CUT}")
+def q_incremental_window(spark, sf_dir):
+    s = staged(spark, sf_dir)
+    target = C.ohlc_candles(s.where(F.col(TS) < F.lit(INITIAL_LOAD_END)), "1h", calculated_at=False)
+    return report(INC.incremental_slice(s, target, "1h"))
+
+
+@register("upsert_merge", O.candles_sql("1h"))
+def q_upsert_merge(spark, sf_dir):
+    """Initial build on early ticks, then an incremental run on all ticks,
+    upserted into the partitioned table on disk: equals a full build."""
+    s = staged(spark, sf_dir)
+    path = scratch_path(spark, "ohlc_1h")
+    INC.build_candles(spark, s.where(F.col(TS) < F.lit(INITIAL_LOAD_END)), path, "1h", full_refresh=True)
+    INC.build_candles(spark, s, path, "1h")
+    return candle_report(spark.read.parquet(path).drop("partition"))
+
+
+@register("late_ticks", T + f"""SELECT currency_pair, date_trunc('minute', transaction_timestamp) AS candle_timestamp,
+    count(*) AS late_ticks, max(event_time) AS last_arrival FROM stg
+  WHERE transaction_timestamp < {_T0} - INTERVAL 5 MINUTE AND event_time > {_T0} GROUP BY 1, 2""")
+def q_late_ticks(spark, sf_dir):
+    cutoff = INITIAL_LOAD_END - _dt.timedelta(minutes=5)
+    return INC.late_ticks(staged(spark, sf_dir), cutoff, INITIAL_LOAD_END)
+
+
+def _history(spark, sf_dir):
+    s = staged(spark, sf_dir)
+    first = s.where(F.col(TS) < F.lit(INITIAL_LOAD_END))
+    v1 = C.ohlc_candles(first, "1h", calculated_at=False).withColumn("calculated_at", F.lit(INITIAL_LOAD_END))
+    v2 = (C.ohlc_candles(INC.incremental_slice(s, v1, "1h"), "1h", calculated_at=False)
+          .withColumn("calculated_at", F.lit(SECOND_RUN_AT)))
+    return v1.unionByName(v2)
+
+
+_HIST_SQL = O.with_ctes(*O.TICK_CTES, f"s1 AS (SELECT * FROM stg WHERE transaction_timestamp < {_T0})",
+                        f"s2 AS (SELECT * FROM stg WHERE transaction_timestamp >= {_CUT})",
+                        O.candle_cte("1h", "h1", "s1"), O.candle_cte("1h", "h2", "s2"),
+                        "hist AS (SELECT *, TIMESTAMP '2024-01-20 00:00:00' AS calculated_at FROM h1 "
+                        "UNION ALL SELECT *, TIMESTAMP '2024-01-21 00:00:00' AS calculated_at FROM h2)")
+
+
+@register("candles_as_of", _HIST_SQL + """, latest AS (SELECT * FROM (SELECT *, row_number() OVER (
+    PARTITION BY currency_pair, candle_timestamp ORDER BY calculated_at DESC) AS rn FROM hist
+    WHERE calculated_at <= TIMESTAMP '2024-01-21 00:00:00') WHERE rn = 1)
+  SELECT candle_timestamp, currency_pair, CAST(open_price AS DOUBLE) AS open_price, CAST(close_price AS DOUBLE) AS close_price,
+    CAST(high_price AS DOUBLE) AS high_price, CAST(low_price AS DOUBLE) AS low_price, CAST(trade_count AS BIGINT) AS trade_count,
+    CAST(total_volume AS DOUBLE) AS total_volume, calculated_at FROM latest""")
+def q_candles_as_of(spark, sf_dir):
+    a = INC.candles_as_of(_history(spark, sf_dir), SECOND_RUN_AT)
+    return report(a.select("candle_timestamp", "currency_pair", "open_price", "close_price", "high_price", "low_price",
+                           "trade_count", "total_volume", "calculated_at"), drop=())
+
+
+@register("scd2_snapshot", _HIST_SQL + """SELECT currency_pair, candle_timestamp, CAST(close_price AS DOUBLE) AS close_price,
+    calculated_at AS valid_from,
+    lead(calculated_at) OVER (PARTITION BY currency_pair, candle_timestamp ORDER BY calculated_at) AS valid_to,
+    lead(calculated_at) OVER (PARTITION BY currency_pair, candle_timestamp ORDER BY calculated_at) IS NULL AS is_current
+  FROM hist""")
+def q_scd2_snapshot(spark, sf_dir):
+    h = INC.scd2(_history(spark, sf_dir), ["currency_pair", "candle_timestamp"], "calculated_at")
+    return report(h.select("currency_pair", "candle_timestamp", "close_price", "valid_from", "valid_to", "is_current"),
+                  drop=())
+
+
+# =============================================================== sources / sinks
+@register("scan_parquet", TR + f"SELECT {RAW_COLS} FROM raw")
+def q_scan_parquet(spark, sf_dir):
+    """Write ticks in date/hour folders, read them back recursively."""
+    path = scratch_path(spark, "ticks")
+    FI.write_ticks(raw(spark, sf_dir), path)
+    return FI.read_tick_files(spark, path).select(*[c.strip() for c in RAW_COLS.split(",")])
+
+
+@register("roundtrip_partitioned", TR + f"""SELECT {RAW_COLS}, CAST(transaction_timestamp AS DATE) AS date,
+    CAST(hour(transaction_timestamp) AS BIGINT) AS hour FROM raw""")
+def q_roundtrip_partitioned(spark, sf_dir):
+    path = scratch_path(spark, "ticks_part")
+    FI.write_ticks(raw(spark, sf_dir), path)
+    back = spark.read.parquet(path)
+    return back.select(*[c.strip() for c in RAW_COLS.split(",")], F.col("date").cast("date").alias("date"),
+                       F.col("hour").cast("long").alias("hour"))
+
+
+@register("partition_counts", O.with_ctes(*O.TICK_CTES, O.candle_cte("5min")) + """SELECT
+    strftime(candle_timestamp, '%Y-%m-%d') AS partition, count(*) AS record_count FROM candles GROUP BY 1""")
+def q_partition_counts(spark, sf_dir):
+    c = candles(spark, sf_dir, "5min", calculated_at=False)
+    part = FI.partition_col("5min")
+    c = c.withColumn("partition", partition_value("candle_timestamp", part))
+    path = scratch_path(spark, "ohlc_5min")
+    FI.materialize(c, path, partition_by="partition", sort_by=["currency_pair", "candle_timestamp"])
+    back = spark.read.schema(c.schema).parquet(path)   # declared schema: partition stays a string
+    return FI.table_partitions(back, "partition")
+
+
+@register("orc_roundtrip", O.candles_sql("1d"))
+def q_orc_roundtrip(spark, sf_dir):
+    c = candles(spark, sf_dir, "1d", calculated_at=False)
+    path = scratch_path(spark, "ohlc_1d_orc")
+    FI.materialize(c, path, fmt="orc", sort_by=["currency_pair", "candle_timestamp"])
+    return candle_report(spark.read.orc(path))
+
+
+@register("tick_to_json")
+def q_tick_to_json(spark, sf_dir):
+    return W.to_kafka_records(raw(spark, sf_dir))
+
+
+@register("stream_ingest", TR + f"SELECT {WIRE_COLS}, CAST(transaction_timestamp AS DATE) AS transaction_date FROM raw")
+def q_stream_ingest(spark, sf_dir):
+    """Wire JSON files -> streaming parse -> partitioned Parquet sink
+    (availableNow), read back."""
+    from candlewick.streaming.ingest import ingest_ticks
+    src, sink, ck = (scratch_path(spark, n) for n in ("wire", "raw_sink", "raw_ckpt"))
+    W.to_wire(raw(spark, sf_dir)).write.json(src)
+    q = ingest_ticks(spark, sink, ck, source_path=src, available_now=True)
+    q.awaitTermination()
+    back = spark.read.parquet(sink)
+    return back.select(*[c.strip() for c in RAW_COLS.split(",")], "transaction_date")
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return dict(Q_)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in ORACLE.items() if k in QUERIES}
+    return {k: v for k, v in SQL.items() if k in Q_}

@@ -43,18 +43,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; created under the system temp dir only
-    when the session does not name one (tests / single machine)."""
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        return conf.rstrip("/")
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.  Only
+    when the cluster names none (tests, one machine) is a folder created."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="candlewick-ckpt-")
-    sc.setCheckpointDir(local)
-    return (sc.getCheckpointDir() or local).rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="candlewick-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
