@@ -28,6 +28,11 @@ from candlewick.functions.columns import bucket, interval_minutes
 
 KEYS = ["candle_timestamp", "currency_pair", "base_currency", "quote_currency"]
 
+# buffer types are pinned so that merging states never widens them (a wider
+# sum would change the scale Spark keeps when dividing for the averages)
+VOL_SUM = DecimalType(28, 8)
+SPREAD_SUM = DecimalType(18, 2)
+
 
 @dataclass(frozen=True)
 class CandleSpec:
@@ -66,9 +71,9 @@ def candle_state(ticks: DataFrame, interval: str, spec: CandleSpec | None = None
         F.max("trade_price").alias("high_price"),
         F.min(edge).alias("_first"),
         F.max(edge).alias("_last"),
-        F.sum("volume").alias("_vol_sum"),
+        F.sum("volume").cast(VOL_SUM).alias("_vol_sum"),
         F.count(F.lit(1)).alias("_n"),
-        F.sum("spread_bps").alias("_spread_sum"),
+        F.sum("spread_bps").cast(SPREAD_SUM).alias("_spread_sum"),
         F.count("spread_bps").alias("_spread_n"),
         F.min("spread_bps").alias("min_spread_bps"),
         F.max("spread_bps").alias("max_spread_bps"),
@@ -95,8 +100,8 @@ def merge_states(state: DataFrame, interval: str, spec: CandleSpec | None = None
     aggs = [
         F.min("low_price").alias("low_price"), F.max("high_price").alias("high_price"),
         F.min("_first").alias("_first"), F.max("_last").alias("_last"),
-        F.sum("_vol_sum").alias("_vol_sum"), F.sum("_n").alias("_n"),
-        F.sum("_spread_sum").alias("_spread_sum"), F.sum("_spread_n").alias("_spread_n"),
+        F.sum("_vol_sum").cast(VOL_SUM).alias("_vol_sum"), F.sum("_n").alias("_n"),
+        F.sum("_spread_sum").cast(SPREAD_SUM).alias("_spread_sum"), F.sum("_spread_n").alias("_spread_n"),
         F.min("min_spread_bps").alias("min_spread_bps"), F.max("max_spread_bps").alias("max_spread_bps"),
         _set_union("_exchanges"),
         F.min("period_start").alias("period_start"), F.max("period_end").alias("period_end"),
@@ -123,7 +128,7 @@ def finalize_candles(state: DataFrame, interval: str, spec: CandleSpec | None =
         cols += [F.col("_first.bid").alias("open_bid_price"), F.col("_first.ask").alias("open_ask_price"),
                  F.col("_last.bid").alias("close_bid_price"), F.col("_last.ask").alias("close_ask_price")]
     cols += [
-        F.col("_vol_sum").cast(DecimalType(28, 8)).alias("total_volume"),
+        F.col("_vol_sum").cast(VOL_SUM).alias("total_volume"),
         (F.col("_vol_sum") / F.col("_n")).cast(DecimalType(22, 12)).alias("avg_trade_volume"),
         F.col("_n").cast("long").alias("trade_count"),
         F.when(F.col("_spread_n") > 0, F.col("_spread_sum") / F.col("_spread_n"))

@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from candlewick.constants import LOOKBACK_MINUTES
 from candlewick.functions.columns import bucket, grid_floor_literal, partition_value
@@ -65,13 +66,22 @@ def upsert(target: DataFrame, updates: DataFrame, keys=KEYS) -> DataFrame:
     """Rows of ``updates`` replace target rows with the same key; other
     target rows are kept (MERGE ... update all / insert all)."""
     keys = list(keys)
-    kept = target.join(updates.select(*keys), keys, "left_anti")
+    kept = target.join(updates.select(*keys), keys, "left_anti").select(*target.columns)
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
-def _read_or_none(spark: SparkSession, path: str, fmt: str):
+def read_partitioned(spark: SparkSession, path: str, partition: str = "partition", fmt: str = "parquet") -> DataFrame:
+    """Read a table partitioned by a string transform value; the partition
+    column is declared as string (inference would turn '2024-01-01' into a
+    date and '2024' into an integer)."""
+    inferred = spark.read.format(fmt).load(path)
+    fields = [StructField(f.name, StringType(), True) if f.name == partition else f for f in inferred.schema.fields]
+    return spark.read.format(fmt).schema(StructType(fields)).load(path)
+
+
+def _read_or_none(spark: SparkSession, path: str, fmt: str, partition: str = "partition"):
     try:
-        return spark.read.format(fmt).load(path)
+        return read_partitioned(spark, path, partition, fmt)
     except Exception:  # noqa: BLE001 - missing table
         return None
 
@@ -80,7 +90,7 @@ def upsert_path(spark: SparkSession, path: str, updates: DataFrame, keys=KEYS,
                 partition: str = "partition", fmt: str = "parquet") -> None:
     """Upsert into a partitioned table on disk, rewriting only the touched partitions."""
     keys = list(keys)
-    target = _read_or_none(spark, path, fmt)
+    target = _read_or_none(spark, path, fmt, partition)
     if target is None:
         updates.write.mode("overwrite").format(fmt).partitionBy(partition).save(path)
         return

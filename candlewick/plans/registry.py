@@ -536,7 +536,7 @@ def q_upsert_merge(spark, sf_dir):
     path = scratch_path(spark, "ohlc_1h")
     INC.build_candles(spark, s.where(F.col(TS) < F.lit(INITIAL_LOAD_END)), path, "1h", full_refresh=True)
     INC.build_candles(spark, s, path, "1h")
-    return candle_report(spark.read.parquet(path).drop("partition"))
+    return candle_report(INC.read_partitioned(spark, path).drop("partition"))
 
 
 @register("late_ticks", T + f"""SELECT currency_pair, date_trunc('minute', transaction_timestamp) AS candle_timestamp,
