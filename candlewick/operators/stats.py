@@ -14,7 +14,7 @@ from candlewick.constants import (ANNUALIZATION_PERIODS, CURRENCY_PAIRS, EXPECTE
                                   TICK_RATE_TOLERANCE, TICKS_PER_SECOND_PER_PAIR, TRADER_SHARE_TOLERANCE)
 from candlewick.functions.columns import bucket, micros_between
 from candlewick.operators.events import with_pair_reference
-from candlewick.operators.windows import DEFAULT_CHUNK, lag_across_chunks, max_gap, rolling_rows, sequenced
+from candlewick.operators.windows import DEFAULT_CHUNK, chunked_sequence, lag_across_chunks, max_gap, rolling_rows
 
 TS = "transaction_timestamp"
 
@@ -150,8 +150,8 @@ def realized_vol(ticks: DataFrame, n: int = REALIZED_VOL_WINDOW, periods: int =
     """Rolling realised volatility: population std of the log returns inside
     the last ``n`` prices, x sqrt(periods); the pair's configured volatility
     while fewer than two prices are known."""
-    lr = log_returns(ticks, price, chunk)
-    seq = sequenced(lr, ["currency_pair"], [TS, "tick_id"], chunk)
+    seq = chunked_sequence(ticks, ["currency_pair"], [TS, "tick_id"], [price], chunk)
+    seq = seq.withColumn("log_return", F.log(F.col(price).cast("double")) - F.log(F.col(f"prev_{price}").cast("double")))
     rolled = rolling_rows(seq, ["currency_pair"], "seq", n - 1,
                           {"_std": F.stddev_pop("log_return")}, block_rows)
     cfg = with_pair_reference(rolled, ["volatility"])

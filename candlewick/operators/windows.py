@@ -32,25 +32,46 @@ def _with_chunk(df: DataFrame, ts: str, chunk: str) -> DataFrame:
     return df.withColumn("_chunk", bucket(ts, chunk))
 
 
-def lag_across_chunks(df: DataFrame, by, order, values, chunk: str = DEFAULT_CHUNK,
-                      prefix: str = "prev_") -> DataFrame:
-    """Adds ``prev_<v>`` = value of the previous row per ``by`` in ``order``."""
+def chunked_sequence(df: DataFrame, by, order, values=(), chunk: str = DEFAULT_CHUNK,
+                     with_seq: bool = True, prefix: str = "prev_") -> DataFrame:
+    """One pass over (key, chunk) windows giving, per row, ``seq`` (1-based
+    position within ``by`` in ``order``) and ``prev_<v>`` (previous row's
+    value, carried across chunk borders).
+
+    Plan: one shuffle on (by, chunk) + sort + window; the chunk summary is
+    aggregated from that same window output (same partitioning, no new
+    shuffle of rows), windowed per key on the small chunk table (prefix
+    counts, last row of the previous chunk) and joined back on (by, chunk)."""
     by, order, values = list(by), list(order), list(values)
     d = _with_chunk(df, order[0], chunk)
     w = Window.partitionBy(*by, "_chunk").orderBy(*order)
-    d = d.withColumn("_is_first", F.row_number().over(w) == 1)
+    d = d.withColumn("_rn", F.row_number().over(w))
     for v in values:
         d = d.withColumn(f"_lag_{v}", F.lag(v).over(w))
-    last = d.groupBy(*by, "_chunk").agg(
-        F.max(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
-                       *[F.col(v).alias(v) for v in values])).alias("_last"))
-    carry = (last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*by).orderBy("_chunk")))
-             .select(*by, "_chunk", "_carry"))
+    summary = [F.max("_rn").alias("_cnt")]
+    if values:
+        summary.append(F.max(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
+                                      *[F.col(v).alias(v) for v in values])).alias("_last"))
+    chunks = d.groupBy(*by, "_chunk").agg(*summary)
+    cw = Window.partitionBy(*by).orderBy("_chunk") if by else Window.orderBy("_chunk")
+    carry_cols = [F.coalesce(F.sum("_cnt").over(cw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off")]
+    if values:
+        carry_cols.append(F.lag("_last").over(cw).alias("_carry"))
+    carry = chunks.select(*by, "_chunk", *carry_cols)
     d = d.join(carry, [*by, "_chunk"], "left")
+    first = F.col("_rn") == 1
     for v in values:
-        d = d.withColumn(f"{prefix}{v}", F.when(F.col("_is_first"), F.col(f"_carry.{v}"))
-                         .otherwise(F.col(f"_lag_{v}")))
-    return d.drop("_chunk", "_is_first", "_carry", *[f"_lag_{v}" for v in values])
+        d = d.withColumn(f"{prefix}{v}", F.when(first, F.col(f"_carry.{v}")).otherwise(F.col(f"_lag_{v}")))
+    if with_seq:
+        d = d.withColumn("seq", (F.col("_off") + F.col("_rn")).cast("long"))
+    drop = ["_chunk", "_rn", "_off"] + (["_carry"] if values else []) + [f"_lag_{v}" for v in values]
+    return d.drop(*drop)
+
+
+def lag_across_chunks(df: DataFrame, by, order, values, chunk: str = DEFAULT_CHUNK,
+                      prefix: str = "prev_") -> DataFrame:
+    """Adds ``prev_<v>`` = value of the previous row per ``by`` in ``order``."""
+    return chunked_sequence(df, by, order, values, chunk, with_seq=False, prefix=prefix)
 
 
 def max_gap(df: DataFrame, by=(), ts: str = "transaction_timestamp", chunk: str = DEFAULT_CHUNK,
@@ -72,15 +93,8 @@ def max_gap(df: DataFrame, by=(), ts: str = "transaction_timestamp", chunk: str
 
 def sequenced(df: DataFrame, by, order, chunk: str = DEFAULT_CHUNK, name: str = "seq") -> DataFrame:
     """Adds ``seq`` = 1-based row position per ``by`` in ``order``."""
-    by, order = list(by), list(order)
-    d = _with_chunk(df, order[0], chunk)
-    d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*by, "_chunk").orderBy(*order)))
-    counts = d.groupBy(*by, "_chunk").agg(F.max("_rn").alias("_cnt"))
-    prior = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(*by, "_chunk", F.coalesce(F.sum("_cnt").over(prior), F.lit(0)).alias("_off"))
-    return (d.join(offs, [*by, "_chunk"], "left")
-            .withColumn(name, (F.col("_off") + F.col("_rn")).cast("long"))
-            .drop("_chunk", "_rn", "_off"))
+    out = chunked_sequence(df, by, order, (), chunk, with_seq=True)
+    return out.withColumnRenamed("seq", name) if name != "seq" else out
 
 
 def rolling_rows(df: DataFrame, by, seq: str, n: int, aggs: dict[str, Column],
@@ -91,10 +105,13 @@ def rolling_rows(df: DataFrame, by, seq: str, n: int, aggs: dict[str, Column],
         raise ValueError("need 1 <= n <= block_rows")
     by = list(by)
     pos = F.col(seq) - 1
-    home = df.withColumn("_block", F.floor(pos / block_rows)).withColumn("_carry", F.lit(False))
-    tail = (df.where(pos % block_rows >= block_rows - (n - 1))
-            .withColumn("_block", F.floor(pos / block_rows) + 1).withColumn("_carry", F.lit(True)))
-    both = home.unionByName(tail)
+    home = F.floor(pos / block_rows)
+    # every row lives in its own block; the last n-1 rows of a block are also
+    # emitted into the next block as read-only context (one Generate, no union)
+    in_tail = pos % block_rows >= block_rows - (n - 1)
+    blocks = F.when(in_tail, F.array(home, home + 1)).otherwise(F.array(home))
+    both = (df.select("*", F.posexplode(blocks).alias("_carry_idx", "_block"))
+            .withColumn("_carry", F.col("_carry_idx") == 1).drop("_carry_idx"))
     w = Window.partitionBy(*by, "_block").orderBy(seq).rowsBetween(-(n - 1), 0)
     out = both.select("*", *[agg.over(w).alias(name) for name, agg in aggs.items()])
     return out.where(~F.col("_carry")).drop("_block", "_carry")
