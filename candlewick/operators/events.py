@@ -164,6 +164,19 @@ def pairs_reference(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, CURRENCY_PAIRS_SEED)
 
 
+def calendar_reference(spark: SparkSession, base_date) -> DataFrame:
+    """The 5-row economic calendar seed, scheduled base_date + 3/7/10/14/21
+    days; ``created_at`` defaults to the current timestamp."""
+    import datetime as _dt
+    from candlewick.constants import CALENDAR_SEED_ROWS
+    rows = [(eid, name, etype, base_date + _dt.timedelta(days=d), list(cur), impact, desc)
+            for eid, name, etype, d, cur, impact, desc in CALENDAR_SEED_ROWS]
+    df = spark.createDataFrame(rows, "event_id string, event_name string, event_type string, "
+                                     "scheduled_timestamp timestamp, affected_currencies array<string>, "
+                                     "expected_impact string, description string")
+    return df.withColumn("created_at", F.current_timestamp())
+
+
 def with_pair_reference(df: DataFrame, fields=("min_spread_bps", "max_spread_bps", "volatility",
                                                "primary_exchange")) -> DataFrame:
     """Left lookup of pair attributes by ``currency_pair``.  The reference is
