@@ -643,6 +643,36 @@ def q_stream_ingest(spark, sf_dir):
     return back.select(*[c.strip() for c in RAW_COLS.split(",")], "transaction_date")
 
 
+def _wire_files_in_time_order(spark, sf_dir, path, n_files=4):
+    """Wire JSON of every raw tick, written as ``n_files`` appends that each
+    cover a contiguous time range (file order = time order, as a live feed
+    would land).  Only the n-1 range bounds reach the driver."""
+    r = raw(spark, sf_dir)
+    bounds = r.select(F.percentile_approx(TS, [i / n_files for i in range(1, n_files)])).first()[0]
+    edges = [None] + list(bounds) + [None]
+    for i in range(n_files):
+        part = r
+        if edges[i] is not None:
+            part = part.where(F.col(TS) > F.lit(edges[i]))
+        if edges[i + 1] is not None:
+            part = part.where(F.col(TS) <= F.lit(edges[i + 1]))
+        W.to_wire(part).write.mode("append").json(path)
+
+
+@register("stream_candles_1h", O.candles_sql("1h"))
+def q_stream_candles_1h(spark, sf_dir):
+    """Streaming twin of the 1h build: wire files one per micro-batch,
+    watermark 2 h, update mode, each batch upserted into the candle table."""
+    from candlewick.streaming.candles import stream_candles
+    from candlewick.streaming.ingest import read_tick_stream
+    src, table, ck = (scratch_path(spark, n) for n in ("wire_c", "stream_ohlc_1h", "stream_ohlc_ckpt"))
+    _wire_files_in_time_order(spark, sf_dir, src)
+    ticks = ST.stage_ticks(W.parse_raw_ticks(read_tick_stream(spark, path=src, max_files_per_trigger=1)))
+    q = stream_candles(ticks, "1h", table, ck, delay="2 hours", available_now=True)
+    q.awaitTermination()
+    return candle_report(INC.read_partitioned(spark, table).drop("partition"))
+
+
 def queries() -> dict[str, Query]:
     return dict(Q_)
 
