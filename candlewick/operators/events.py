@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from candlewick.constants import HOUR_VOLUME_PROFILE, PAIR_CONFIG, PAIR_SEED_ROWS, PEAK_HOUR_MULTIPLIER
 from candlewick.functions.columns import bucket, scale_effect
-from candlewick.plans.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast
+from candlewick.plans.joins import DEFAULT_BROADCAST_ROWS, has_at_most
 from candlewick.schemas import CURRENCY_PAIRS_SEED
 
 EVENT_FIELDS = ("event_id", "event_type", "event_timestamp", "severity", "start_timestamp", "end_timestamp",
@@ -35,13 +35,18 @@ def _event_struct(events: DataFrame, fields) -> Column:
     return F.struct(*[F.col(c).alias(c) for c in fields if c in events.columns])
 
 
-def events_by_bucket(events: DataFrame, start: str = "start_timestamp", end: str = "end_timestamp",
-                     fields=EVENT_FIELDS) -> DataFrame:
-    """(bucket, array<event>) — every event listed in each hour it overlaps."""
+def _bucket_entries(events: DataFrame, start: str, end: str, fields=EVENT_FIELDS) -> DataFrame:
+    """(bucket, event) — one row per hour bucket an event overlaps."""
     ev = _event_struct(events, fields)
     buckets = F.sequence(bucket(start, _HOUR), bucket(end, _HOUR), F.expr("INTERVAL 1 HOUR"))
     return (events.where(F.col(start) <= F.col(end))
-            .select(F.explode(buckets).alias("_bucket"), ev.alias("_ev"))
+            .select(F.explode(buckets).alias("_bucket"), ev.alias("_ev")))
+
+
+def events_by_bucket(events: DataFrame, start: str = "start_timestamp", end: str = "end_timestamp",
+                     fields=EVENT_FIELDS) -> DataFrame:
+    """(bucket, array<event>) — every event listed in each hour it overlaps."""
+    return (_bucket_entries(events, start, end, fields)
             .groupBy("_bucket").agg(F.collect_list("_ev").alias("_events")))
 
 
@@ -55,10 +60,11 @@ def _active(ts: Column, base: Column, quote: Column, start: str, end: str):
 
 def _with_bucket_events(ticks: DataFrame, events: DataFrame, ts: str, start: str, end: str,
                         max_broadcast_rows: int, fields=EVENT_FIELDS):
-    per_bucket = events_by_bucket(events, start, end, fields)
-    side, small = checked_broadcast(per_bucket, max_broadcast_rows)
-    if not small:
+    # the bound is on (bucket, event) entries = total length of the
+    # broadcast lists, so long events cannot inflate the broadcast unchecked
+    if not has_at_most(_bucket_entries(events, start, end, fields), max_broadcast_rows):
         return None
+    side = F.broadcast(events_by_bucket(events, start, end, fields))
     joined = (ticks.withColumn("_bucket", bucket(ts, _HOUR))
               .join(side, "_bucket", "left").drop("_bucket"))
     active = F.filter(F.coalesce(F.col("_events"), F.array().cast(side.schema["_events"].dataType)),
