@@ -64,25 +64,41 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     raise ValueError(f"unknown check {check.name}")
 
 
+def _report_rows(row, names) -> DataFrame:
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(c.name).alias("check"), F.lit(c.column).alias("column"),
+                 F.lit(c.severity).alias("severity"),
+                 F.coalesce(F.col(col), F.lit(0)).cast("long").alias("failures"))
+        for c, col in names])).alias("r")).select("r.*")
+
+
 def dq_report(df: DataFrame, checks, model: str = "") -> DataFrame:
     """(model, check, column, severity, failures) for every check.
 
-    Row-level checks are summed in ONE aggregate pass; each uniqueness
-    check is one grouped count (partial aggregation before the shuffle)."""
+    One scan per table: the row-level failure sums ride along in the
+    group-by-key aggregation of the first uniqueness check (partial
+    aggregation map-side, so even a hot or NULL key is combined before the
+    shuffle), then a tiny global sum.  Further uniqueness checks on other
+    keys are one grouped count each; with no uniqueness check the row-level
+    sums are a single global aggregate."""
     spark = df.sparkSession
     row_checks = [c for c in checks if c.failing() is not None]
     group_checks = [c for c in checks if c.failing() is None]
+    sums = [F.sum(F.when(c.failing(), 1).otherwise(0)).alias(f"f{i}") for i, c in enumerate(row_checks)]
     parts = []
-    if row_checks:
-        sums = df.agg(*[F.sum(F.when(c.failing(), 1).otherwise(0)).cast("long").alias(f"f{i}")
-                        for i, c in enumerate(row_checks)])
-        rows = F.explode(F.array(*[
-            F.struct(F.lit(c.name).alias("check"), F.lit(c.column).alias("column"),
-                     F.lit(c.severity).alias("severity"),
-                     F.coalesce(F.col(f"f{i}"), F.lit(0).cast("long")).alias("failures"))
-            for i, c in enumerate(row_checks)]))
-        parts.append(sums.select(rows.alias("r")).select("r.*"))
-    for c in group_checks:
+    if group_checks:
+        first, rest = group_checks[0], group_checks[1:]
+        keys = list(first.columns)
+        nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *sums)
+        total = per_key.agg(F.sum(F.when(nonnull & (F.col("_n") > 1), 1).otherwise(0)).alias("g0"),
+                            *[F.sum(f"f{i}").alias(f"f{i}") for i in range(len(row_checks))])
+        parts.append(_report_rows(total, [(first, "g0")] + [(c, f"f{i}") for i, c in enumerate(row_checks)]))
+    else:
+        rest = []
+        if row_checks:
+            parts.append(_report_rows(df.agg(*sums), [(c, f"f{i}") for i, c in enumerate(row_checks)]))
+    for c in rest:
         f = failing_rows(df, c).agg(F.count(F.lit(1)).cast("long").alias("failures"))
         parts.append(f.select(F.lit(c.name).alias("check"), F.lit(c.column).alias("column"),
                               F.lit(c.severity).alias("severity"), "failures"))
