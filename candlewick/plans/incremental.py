@@ -92,14 +92,18 @@ def upsert_path(spark: SparkSession, path: str, updates: DataFrame, keys=KEYS,
     keys = list(keys)
     target = _read_or_none(spark, path, fmt, partition)
     if target is None:
-        updates.write.mode("overwrite").format(fmt).partitionBy(partition).save(path)
+        (updates.repartitionByRange(partition, *keys).sortWithinPartitions(partition, *keys)
+         .write.mode("overwrite").format(fmt).partitionBy(partition).save(path))
         return
     touched = [r[0] for r in updates.select(partition).distinct().collect()]  # partitions, not rows
     old = target.where(F.col(partition).isin(touched))
     merged = upsert(old, updates.select(*target.columns), keys)
     checkpoint_dir(spark)  # make sure a shared checkpoint folder is set
     merged = merged.checkpoint(eager=True)
-    (merged.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # range partitioning on (partition, key): each task writes a contiguous
+    # slice of one or two partitions, and a hot partition is split by the sampler
+    (merged.repartitionByRange(partition, *keys).sortWithinPartitions(partition, *keys)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .format(fmt).partitionBy(partition).save(path))
 
 
@@ -112,7 +116,8 @@ def build_candles(spark: SparkSession, ticks: DataFrame, path: str, interval: st
     src = ticks if target is None else incremental_slice(ticks, target, interval, lookback_minutes)
     candles = ohlc_candles(src, interval).withColumn("partition", partition_value("candle_timestamp", part))
     if target is None:
-        (candles.repartition("partition").sortWithinPartitions("partition", "currency_pair", "candle_timestamp")
+        (candles.repartitionByRange("partition", "currency_pair", "candle_timestamp")
+         .sortWithinPartitions("partition", "currency_pair", "candle_timestamp")
          .write.mode("overwrite").format(fmt).partitionBy("partition").save(path))
     else:
         upsert_path(spark, path, candles, KEYS, "partition", fmt)

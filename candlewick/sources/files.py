@@ -54,13 +54,15 @@ def with_partition(df: DataFrame, transform: str, ts: str = "candle_timestamp",
 
 def materialize(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None,
                 sort_by=None, mode: str = "overwrite") -> None:
-    """Full rebuild of a table.  With ``partition_by``, rows are clustered by
-    partition first so each partition is written by few tasks, then sorted
-    within partitions on ``sort_by`` (tight row-group min/max for pruning)."""
+    """Full rebuild of a table.  With ``partition_by``, rows are range-
+    partitioned on (partition, sort columns): each task writes a contiguous
+    slice of few partitions and a hot partition is split across tasks by the
+    range sampler (hash partitioning would give it one task).  Rows are
+    sorted within partitions on ``sort_by`` (tight row-group min/max)."""
     out = df
     if partition_by:
         parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-        out = out.repartition(*parts)
+        out = out.repartitionByRange(*parts, *(sort_by or []))
         if sort_by:
             out = out.sortWithinPartitions(*parts, *sort_by)
         w = out.write.mode(mode).format(fmt).partitionBy(*parts)
