@@ -47,6 +47,16 @@ def bucket(ts, interval: str) -> Column:
     return F.make_timestamp_ntz(y, mo, d, zero, zero, zero)
 
 
+def ntz_lit(value) -> Column:
+    """A TIMESTAMP_NTZ literal that does not depend on any time zone (a
+    Python datetime passed to ``lit`` would become a zoned TIMESTAMP)."""
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, _dt.datetime):
+        value = value.replace(tzinfo=None).strftime("%Y-%m-%d %H:%M:%S.%f")
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def grid_floor_literal(t: _dt.datetime, interval: str) -> _dt.datetime:
     """Driver-side floor of a Python datetime to the same grid as ``bucket``."""
     m = interval_minutes(interval)

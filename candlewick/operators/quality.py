@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from candlewick.constants import (CURRENCIES, CURRENCY_PAIRS, FRESHNESS_ERROR_MINUTES,
                                   FRESHNESS_WARN_MINUTES, PRICE_MAX, PRICE_MIN, TRADER_TYPES)
-from candlewick.functions.columns import micros_between
+from candlewick.functions.columns import micros_between, ntz_lit
 
 
 @dataclass(frozen=True)
@@ -191,7 +191,7 @@ def ohlc_violations(tables: dict[str, DataFrame]) -> DataFrame:
 def freshness(df: DataFrame, now, loaded_at: str = "event_time", warn_minutes: int = FRESHNESS_WARN_MINUTES,
               error_minutes: int = FRESHNESS_ERROR_MINUTES) -> DataFrame:
     """Age of the newest ``loaded_at`` value at ``now`` -> pass / warn / error."""
-    now_c = F.lit(now).cast("timestamp_ntz") if isinstance(now, (_dt.datetime, str)) else now
+    now_c = ntz_lit(now)
     g = df.agg(F.max(loaded_at).alias("max_loaded_at"))
     age = micros_between(F.col("max_loaded_at"), now_c) / F.lit(60e6)
     return (g.withColumn("age_minutes", age)

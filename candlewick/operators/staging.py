@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions.columns import PRICE_DEC, SPREAD_DEC, _c
+from candlewick.functions.columns import PRICE_DEC, SPREAD_DEC, _c, ntz_lit
 
 PRICE_COLS = ("bid_price", "ask_price", "mid_price", "trade_price")
 
@@ -100,7 +100,7 @@ def recent(df: DataFrame, now, horizon_minutes: int, ts: str = "transaction_time
            pair: str | None = None, pair_col: str = "currency_pair") -> DataFrame:
     """Rows with ts > now - horizon (and optionally one pair).  ``now`` is a
     literal so the predicate reaches the Parquet scan."""
-    now_c = F.lit(now).cast("timestamp_ntz") if not isinstance(now, Column) else now
+    now_c = ntz_lit(now)
     cond = _c(ts) > now_c - F.make_dt_interval(mins=F.lit(horizon_minutes))
     if pair is not None:
         cond = cond & (F.col(pair_col) == pair)

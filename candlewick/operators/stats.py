@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from candlewick.constants import (ANNUALIZATION_PERIODS, CURRENCY_PAIRS, EXPECTED_TRADER_SHARE,
                                   MINUTE_VOLATILITY_THRESHOLD, REALIZED_VOL_WINDOW,
                                   TICK_RATE_TOLERANCE, TICKS_PER_SECOND_PER_PAIR, TRADER_SHARE_TOLERANCE)
-from candlewick.functions.columns import bucket, micros_between
+from candlewick.functions.columns import bucket, micros_between, ntz_lit
 from candlewick.operators.events import with_pair_reference
 from candlewick.operators.windows import DEFAULT_CHUNK, chunked_sequence, lag_across_chunks, max_gap, rolling_rows
 
@@ -30,7 +30,7 @@ def ticks_per_pair(raw: DataFrame) -> DataFrame:
 
 def most_volatile_pair(candles: DataFrame, since=None) -> DataFrame:
     """Average candle volatility_pct per pair, highest first (optional start)."""
-    c = candles if since is None else candles.where(F.col("candle_timestamp") > F.lit(since).cast("timestamp_ntz"))
+    c = candles if since is None else candles.where(F.col("candle_timestamp") > ntz_lit(since))
     g = c.groupBy("currency_pair").agg(F.avg("volatility_pct").alias("avg_volatility"))
     # at most one row per pair: the ranking window runs on a tiny table
     return g.withColumn("volatility_rank",

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from candlewick.constants import LOOKBACK_MINUTES
-from candlewick.functions.columns import bucket, grid_floor_literal, partition_value
+from candlewick.functions.columns import bucket, grid_floor_literal, ntz_lit, partition_value
 from candlewick.operators.candles import ohlc_candles
 from candlewick.session import checkpoint_dir
 from candlewick.sources.files import partition_col
@@ -49,15 +49,15 @@ def incremental_slice(ticks: DataFrame, target: DataFrame | None, interval: str,
     cutoff = incremental_cutoff(high_water_mark(target), interval, lookback_minutes)
     if cutoff is None:
         return ticks
-    return ticks.where(F.col(ts) >= F.lit(cutoff).cast("timestamp_ntz"))
+    return ticks.where(F.col(ts) >= ntz_lit(cutoff))
 
 
 def late_ticks(ticks: DataFrame, cutoff, arrived_after, ts: str = "transaction_timestamp",
                arrival: str = "event_time", interval: str = "1min") -> DataFrame:
     """Ticks that arrived after ``arrived_after`` but belong before ``cutoff``:
     an incremental run will never aggregate them.  Counted per candle."""
-    late = ticks.where((F.col(ts) < F.lit(cutoff).cast("timestamp_ntz")) &
-                       (F.col(arrival) > F.lit(arrived_after).cast("timestamp_ntz")))
+    late = ticks.where((F.col(ts) < ntz_lit(cutoff)) &
+                       (F.col(arrival) > ntz_lit(arrived_after)))
     return (late.groupBy("currency_pair", bucket(ts, interval).alias("candle_timestamp"))
             .agg(F.count(F.lit(1)).alias("late_ticks"), F.max(arrival).alias("last_arrival")))
 
@@ -128,7 +128,7 @@ def candles_as_of(history: DataFrame, as_of, keys=KEYS, version: str = "calculat
     an append-only history).  Aggregation with max over a struct led by the
     version column: combinable map-side, no window over large groups."""
     keys = list(keys)
-    h = history.where(F.col(version) <= F.lit(as_of))
+    h = history.where(F.col(version) <= ntz_lit(as_of))
     rest = [c for c in history.columns if c not in keys and c != version]
     latest = h.groupBy(*keys).agg(F.max(F.struct(F.col(version).alias(version), *[F.col(c) for c in rest])).alias("_v"))
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in [version] + rest]).select(*history.columns)

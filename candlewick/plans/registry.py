@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from candlewick.constants import EXCHANGES, TRADER_TYPES
 from candlewick.functions.columns import pair_format_ok, partition_value, quote_from_mid, spread_bps
-from candlewick.functions.columns import duration_minutes, impact_label
+from candlewick.functions.columns import duration_minutes, impact_label, ntz_lit
 from candlewick.operators import candles as C
 from candlewick.operators import events as EV
 from candlewick.operators import quality as Q
@@ -524,7 +524,7 @@ _CUT = f"((SELECT date_trunc('hour', max(transaction_timestamp)) FROM stg WHERE
 @register("incremental_window", T + f"SELECT {STG_COLS} FROM stg WHERE transaction_timestamp >= {_CUT}")
 def q_incremental_window(spark, sf_dir):
     s = staged(spark, sf_dir)
-    target = C.ohlc_candles(s.where(F.col(TS) < F.lit(INITIAL_LOAD_END)), "1h", calculated_at=False)
+    target = C.ohlc_candles(s.where(F.col(TS) < ntz_lit(INITIAL_LOAD_END)), "1h", calculated_at=False)
     return report(INC.incremental_slice(s, target, "1h"))
 
 
@@ -534,7 +534,7 @@ def q_upsert_merge(spark, sf_dir):
     upserted into the partitioned table on disk: equals a full build."""
     s = staged(spark, sf_dir)
     path = scratch_path(spark, "ohlc_1h")
-    INC.build_candles(spark, s.where(F.col(TS) < F.lit(INITIAL_LOAD_END)), path, "1h", full_refresh=True)
+    INC.build_candles(spark, s.where(F.col(TS) < ntz_lit(INITIAL_LOAD_END)), path, "1h", full_refresh=True)
     INC.build_candles(spark, s, path, "1h")
     return candle_report(INC.read_partitioned(spark, path).drop("partition"))
 
@@ -549,10 +549,10 @@ def q_late_ticks(spark, sf_dir):
 
 def _history(spark, sf_dir):
     s = staged(spark, sf_dir)
-    first = s.where(F.col(TS) < F.lit(INITIAL_LOAD_END))
-    v1 = C.ohlc_candles(first, "1h", calculated_at=False).withColumn("calculated_at", F.lit(INITIAL_LOAD_END))
+    first = s.where(F.col(TS) < ntz_lit(INITIAL_LOAD_END))
+    v1 = C.ohlc_candles(first, "1h", calculated_at=False).withColumn("calculated_at", ntz_lit(INITIAL_LOAD_END))
     v2 = (C.ohlc_candles(INC.incremental_slice(s, v1, "1h"), "1h", calculated_at=False)
-          .withColumn("calculated_at", F.lit(SECOND_RUN_AT)))
+          .withColumn("calculated_at", ntz_lit(SECOND_RUN_AT)))
     return v1.unionByName(v2)
 
 
@@ -653,9 +653,9 @@ def _wire_files_in_time_order(spark, sf_dir, path, n_files=4):
     for i in range(n_files):
         part = r
         if edges[i] is not None:
-            part = part.where(F.col(TS) > F.lit(edges[i]))
+            part = part.where(F.col(TS) > ntz_lit(edges[i]))
         if edges[i + 1] is not None:
-            part = part.where(F.col(TS) <= F.lit(edges[i + 1]))
+            part = part.where(F.col(TS) <= ntz_lit(edges[i + 1]))
         W.to_wire(part).write.mode("append").json(path)
 
 

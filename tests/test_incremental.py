@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.candles import ohlc_candles
 from candlewick.operators.staging import stage_ticks
+from candlewick.functions.columns import ntz_lit
 from candlewick.plans import incremental as INC
 from candlewick.session import scratch_path
 from candlewick.sources.fixtures import raw_ticks
@@ -60,7 +61,7 @@ def test_incremental_equals_full_on_fixture(spark):
     t0 = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=mid)
     for iv in ("1min", "1h", "1d"):
         path = scratch_path(spark, f"inc_{iv}")
-        INC.build_candles(spark, s.where(F.col("transaction_timestamp") < F.lit(t0)), path, iv, full_refresh=True)
+        INC.build_candles(spark, s.where(F.col("transaction_timestamp") < ntz_lit(t0)), path, iv, full_refresh=True)
         INC.build_candles(spark, s, path, iv)
         got = INC.read_partitioned(spark, path).drop("partition", "calculated_at")
         full = ohlc_candles(s, iv, calculated_at=False)

@@ -49,3 +49,15 @@ def test_recent_filter_reaches_scan(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "t"))
     plan = ST.recent(df, ts("2024-01-02 00:00:00"), 60)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThan(transaction_timestamp" in plan
+
+
+def test_wire_parse_is_session_zone_independent(spark):
+    from candlewick.sources.wire import utc_ntz
+    df = spark.createDataFrame([("2024-01-01T10:00:00.000000+02:00", "2024-01-01T10:00:00.000000")], "a string, b string")
+    for tz in ("UTC", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", tz)   # plans are analysed in the session zone
+        try:
+            got = df.select(utc_ntz(df.a, tz).alias("a"), utc_ntz(df.b, tz).alias("b")).first()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got.a == ts("2024-01-01 08:00:00") and got.b == ts("2024-01-01 10:00:00"), tz
