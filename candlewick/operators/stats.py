@@ -122,10 +122,10 @@ def tick_rate(raw: DataFrame, pairs: int = len(CURRENCY_PAIRS),
             .withColumn("within_tolerance", F.col("relative_error") < F.lit(tolerance)))
 
 
-def tick_gaps(ticks: DataFrame, chunk: str = DEFAULT_CHUNK) -> DataFrame:
+def tick_gaps(ticks: DataFrame, chunk: str = DEFAULT_CHUNK, n_chunks: int | None = None) -> DataFrame:
     """Largest gap between consecutive ticks per pair and over all ticks."""
-    per_pair = max_gap(ticks, ["currency_pair"], TS, chunk)
-    overall = max_gap(ticks, [], TS, chunk).select(F.lit("ALL").alias("currency_pair"), "tick_count", "max_gap_us")
+    per_pair = max_gap(ticks, ["currency_pair"], TS, chunk, n_chunks=n_chunks)
+    overall = max_gap(ticks, [], TS, chunk, n_chunks=n_chunks).select(F.lit("ALL").alias("currency_pair"), "tick_count", "max_gap_us")
     return per_pair.unionByName(overall)
 
 
@@ -136,21 +136,23 @@ def boundary_gap(ticks: DataFrame, boundary: str = "1h", radius_seconds: int = 5
     r = F.make_dt_interval(secs=F.lit(radius_seconds).cast("decimal(18,6)"))
     at = bucket(F.col(TS) + r, boundary)
     near = ticks.withColumn("boundary", at).where(F.col(TS) >= F.col("boundary") - r)
-    return max_gap(near, ["boundary"], TS, chunk=boundary)
+    return max_gap(near, ["boundary"], TS)
 
 
-def log_returns(ticks: DataFrame, price: str = "mid_price", chunk: str = DEFAULT_CHUNK) -> DataFrame:
+def log_returns(ticks: DataFrame, price: str = "mid_price", chunk: str = DEFAULT_CHUNK,
+                n_chunks: int | None = None) -> DataFrame:
     """ln(p_t) - ln(p_{t-1}) per pair in (ts, tick_id) order."""
-    d = lag_across_chunks(ticks, ["currency_pair"], [TS, "tick_id"], [price], chunk)
+    d = lag_across_chunks(ticks, ["currency_pair"], [TS, "tick_id"], [price], chunk, n_chunks=n_chunks)
     return d.withColumn("log_return", F.log(F.col(price).cast("double")) - F.log(F.col(f"prev_{price}").cast("double")))
 
 
 def realized_vol(ticks: DataFrame, n: int = REALIZED_VOL_WINDOW, periods: int = ANNUALIZATION_PERIODS,
-                 price: str = "mid_price", chunk: str = DEFAULT_CHUNK, block_rows: int = 100_000) -> DataFrame:
+                 price: str = "mid_price", chunk: str = DEFAULT_CHUNK, block_rows: int = 100_000,
+                 n_chunks: int | None = None) -> DataFrame:
     """Rolling realised volatility: population std of the log returns inside
     the last ``n`` prices, x sqrt(periods); the pair's configured volatility
     while fewer than two prices are known."""
-    seq = chunked_sequence(ticks, ["currency_pair"], [TS, "tick_id"], [price], chunk)
+    seq = chunked_sequence(ticks, ["currency_pair"], [TS, "tick_id"], [price], chunk, n_chunks=n_chunks)
     seq = seq.withColumn("log_return", F.log(F.col(price).cast("double")) - F.log(F.col(f"prev_{price}").cast("double")))
     rolled = rolling_rows(seq, ["currency_pair"], "seq", n - 1,
                           {"_std": F.stddev_pop("log_return")}, block_rows)

@@ -2,9 +2,9 @@
 
 A plain ``Window.partitionBy(pair).orderBy(ts)`` runs one task per pair —
 with six pairs and one pair holding a third of all rows that is one task
-over a third of the data.  These helpers split every key into time chunks
-(default one hour) so window partitions are (key, chunk) and only a small
-per-chunk summary table is windowed per key:
+over a third of the data.  These helpers split every key into chunks
+(default: balanced rank ranges, see below) so window partitions are
+(key, chunk) and only a small per-chunk summary table is windowed per key:
 
 * ``lag_across_chunks`` — previous row's values; the first row of a chunk
   takes the last row of the previous non-empty chunk (carried through the
@@ -16,24 +16,42 @@ per-chunk summary table is windowed per key:
 * ``rolling_rows`` — frame of the last ``n`` rows computed in fixed-size
   row blocks, each block carrying the ``n - 1`` rows before it, so every
   window partition is bounded by ``block_rows + n``.
+
+Chunking.  ``chunk="1h"`` (any grid grain) cuts by time: one hash shuffle,
+but a single hot (key, hour) is still one task.  ``chunk="balanced"`` cuts
+by rank instead: rows are range-partitioned on (key, order columns) into
+``n_chunks`` ranges (the range sampler splits even one hot key or instant,
+because the order columns end with a unique tick id) and the range index is
+the chunk.  Range bounds come from a sample, so where the plan reads the
+chunked rows twice (carry join) they are persisted once, keeping one chunk
+assignment for both reads; a lost block is recomputed through the same
+partitioner.  Range indices increase with the order inside every key, so
+the carry logic is unchanged.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.columns import bucket, micros_between
 
-DEFAULT_CHUNK = "1h"
+BALANCED = "balanced"
+DEFAULT_CHUNK = BALANCED
 
 
-def _with_chunk(df: DataFrame, ts: str, chunk: str) -> DataFrame:
-    return df.withColumn("_chunk", bucket(ts, chunk))
+def _with_chunk(df: DataFrame, by, order, chunk: str, n_chunks: int | None = None,
+                freeze: bool = False) -> DataFrame:
+    if chunk != BALANCED:
+        return df.withColumn("_chunk", bucket(order[0], chunk))
+    n = n_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *by, *order).withColumn("_chunk", F.spark_partition_id())
+    return ranged.persist(StorageLevel.MEMORY_AND_DISK) if freeze else ranged
 
 
 def chunked_sequence(df: DataFrame, by, order, values=(), chunk: str = DEFAULT_CHUNK,
-                     with_seq: bool = True, prefix: str = "prev_") -> DataFrame:
+                     with_seq: bool = True, prefix: str = "prev_", n_chunks: int | None = None) -> DataFrame:
     """One pass over (key, chunk) windows giving, per row, ``seq`` (1-based
     position within ``by`` in ``order``) and ``prev_<v>`` (previous row's
     value, carried across chunk borders).
@@ -43,7 +61,7 @@ def chunked_sequence(df: DataFrame, by, order, values=(), chunk: str = DEFAULT_C
     shuffle of rows), windowed per key on the small chunk table (prefix
     counts, last row of the previous chunk) and joined back on (by, chunk)."""
     by, order, values = list(by), list(order), list(values)
-    d = _with_chunk(df, order[0], chunk)
+    d = _with_chunk(df, by, order, chunk, n_chunks, freeze=True)
     w = Window.partitionBy(*by, "_chunk").orderBy(*order)
     d = d.withColumn("_rn", F.row_number().over(w))
     for v in values:
@@ -69,18 +87,19 @@ def chunked_sequence(df: DataFrame, by, order, values=(), chunk: str = DEFAULT_C
 
 
 def lag_across_chunks(df: DataFrame, by, order, values, chunk: str = DEFAULT_CHUNK,
-                      prefix: str = "prev_") -> DataFrame:
+                      prefix: str = "prev_", n_chunks: int | None = None) -> DataFrame:
     """Adds ``prev_<v>`` = value of the previous row per ``by`` in ``order``."""
-    return chunked_sequence(df, by, order, values, chunk, with_seq=False, prefix=prefix)
+    return chunked_sequence(df, by, order, values, chunk, with_seq=False, prefix=prefix, n_chunks=n_chunks)
 
 
 def max_gap(df: DataFrame, by=(), ts: str = "transaction_timestamp", chunk: str = DEFAULT_CHUNK,
-            tie: str | None = None) -> DataFrame:
+            tie: str | None = None, n_chunks: int | None = None) -> DataFrame:
     """Per ``by`` group: number of rows and the largest step between
-    consecutive timestamps, in microseconds (NULL with < 2 rows)."""
+    consecutive timestamps, in microseconds (NULL with < 2 rows).  Single
+    lineage (no join back), so balanced chunks need no persisting."""
     by = list(by)
     order = [ts] + ([tie] if tie else [])
-    d = _with_chunk(df, ts, chunk)
+    d = _with_chunk(df, by, order, chunk, n_chunks)
     w = Window.partitionBy(*by, "_chunk").orderBy(*order)
     d = d.withColumn("_step", micros_between(F.lag(ts).over(w), F.col(ts)))
     chunks = d.groupBy(*by, "_chunk").agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"),
@@ -91,9 +110,10 @@ def max_gap(df: DataFrame, by=(), ts: str = "transaction_timestamp", chunk: str
                                    F.greatest(F.max("_inner"), F.max("_cross")).alias("max_gap_us"))
 
 
-def sequenced(df: DataFrame, by, order, chunk: str = DEFAULT_CHUNK, name: str = "seq") -> DataFrame:
+def sequenced(df: DataFrame, by, order, chunk: str = DEFAULT_CHUNK, name: str = "seq",
+              n_chunks: int | None = None) -> DataFrame:
     """Adds ``seq`` = 1-based row position per ``by`` in ``order``."""
-    out = chunked_sequence(df, by, order, (), chunk, with_seq=True)
+    out = chunked_sequence(df, by, order, (), chunk, with_seq=True, n_chunks=n_chunks)
     return out.withColumnRenamed("seq", name) if name != "seq" else out
 
 

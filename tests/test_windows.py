@@ -52,3 +52,32 @@ def test_realized_vol_block_size_independent(spark):
     a = SS.realized_vol(t, block_rows=100_000).select("tick_id", F.round("realized_volatility", 9).alias("v"))
     b = SS.realized_vol(t, block_rows=150).select("tick_id", F.round("realized_volatility", 9).alias("v"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_balanced_chunks_equal_plain_windows(spark):
+    t = _ticks(spark)
+    w = Window.partitionBy("currency_pair").orderBy("transaction_timestamp", "tick_id")
+    ref = t.select("tick_id", F.lag("mid_price").over(w).alias("p"), F.row_number().over(w).alias("seq"))
+    got = WN.chunked_sequence(t, ["currency_pair"], ["transaction_timestamp", "tick_id"], ["mid_price"],
+                              chunk=WN.BALANCED, n_chunks=7)
+    got = got.select("tick_id", F.col("prev_mid_price").alias("p"), "seq")
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+    g1 = WN.max_gap(t, ["currency_pair"], chunk=WN.BALANCED, n_chunks=5)
+    g2 = WN.max_gap(t, ["currency_pair"], chunk="1d")
+    assert g1.exceptAll(g2).count() == 0 and g2.exceptAll(g1).count() == 0
+    a = SS.realized_vol(t, chunk=WN.BALANCED, n_chunks=9, block_rows=200).select("tick_id", F.round("realized_volatility", 9))
+    b = SS.realized_vol(t).select("tick_id", F.round("realized_volatility", 9))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_balanced_chunks_split_a_single_hot_instant(spark):
+    # every row at the same instant: time chunks would give one task, ranks split it
+    rows = [(f"t{i:04d}", "ECR/MRT", float(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "tick_id string, currency_pair string, v double") \
+        .withColumn("transaction_timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    got = WN.chunked_sequence(df, ["currency_pair"], ["transaction_timestamp", "tick_id"], ["v"],
+                              chunk=WN.BALANCED, n_chunks=8)
+    assert got.where(F.col("prev_v") != F.col("v") - 1).count() == 0 and got.agg(F.max("seq")).first()[0] == 400
+    chunks = WN._with_chunk(df, ["currency_pair"], ["transaction_timestamp", "tick_id"], WN.BALANCED, 8)
+    sizes = [r[1] for r in chunks.groupBy("_chunk").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 400
