@@ -108,6 +108,14 @@ def dq_report(df: DataFrame, checks, model: str = "") -> DataFrame:
     return out.select(F.lit(model).alias("model"), "*")
 
 
+def store_failures(df: DataFrame, checks, path: str, model: str = "", fmt: str = "parquet") -> None:
+    """Persist the failing rows of every check under ``path/<model>/<check>_<n>``
+    (overwrite), like a test run that stores its failures for inspection."""
+    base = f"{path.rstrip('/')}/{model or 'model'}"
+    for i, c in enumerate(checks):
+        failing_rows(df, c).write.mode("overwrite").format(fmt).save(f"{base}/{c.name}_{i}")
+
+
 def run_checks(df: DataFrame, checks, model: str = "", raise_on_error: bool = False) -> DataFrame:
     """``dq_report`` with an optional hard stop when an error-level check fails."""
     rep = dq_report(df, checks, model)

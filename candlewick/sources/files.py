@@ -95,3 +95,27 @@ def with_counters(df: DataFrame, observation, ts: str | None = None) -> DataFram
     if ts:
         metrics += [F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")]
     return df.observe(observation, *metrics)
+
+
+def compact(spark: SparkSession, path: str, partition: str, partitions, rows_per_file: int = 5_000_000,
+            fmt: str = "parquet", sort_by=None) -> None:
+    """Rewrite the listed partitions of a table into fewer, larger files
+    (e.g. after many small stream rolls): read them, range-partition to about
+    ``rows_per_file`` rows per task, checkpoint (so the rewrite never reads
+    the files it replaces), then dynamic partition overwrite."""
+    from candlewick.plans.incremental import read_partitioned
+    from candlewick.session import checkpoint_dir
+    part = read_partitioned(spark, path, partition, fmt).where(F.col(partition).isin(list(partitions)))
+    n = max(1, -(-part.count() // rows_per_file))
+    checkpoint_dir(spark)
+    frozen = part.checkpoint(eager=True)
+    out = frozen.repartitionByRange(n, partition, *(sort_by or []))
+    if sort_by:
+        out = out.sortWithinPartitions(partition, *sort_by)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt)
+     .partitionBy(partition).save(path))
+
+
+def partition_by_key(df: DataFrame, key: str = "currency_pair", n: int | None = None) -> DataFrame:
+    """Hash-partition by a key (the topic layout: one pair per partition)."""
+    return df.repartition(n, key) if n else df.repartition(key)

@@ -61,3 +61,25 @@ def test_materialize_sorted_partitioned_and_file_listing(spark):
     FI.materialize(df, path, partition_by="partition", sort_by=["currency_pair", "transaction_timestamp"])
     files = FI.table_files(spark.read.parquet(path))
     assert files.agg(F.sum("record_count")).first()[0] == df.count()
+
+
+def test_compact_rewrites_partition_into_fewer_files(spark):
+    from candlewick.plans.incremental import read_partitioned
+    path = scratch_path(spark, "compact")
+    df = raw_ticks(spark, SF_SMALL).withColumn("partition", F.date_format("transaction_timestamp", "yyyy-MM"))
+    df.repartition(8).write.partitionBy("partition").parquet(path)
+    before = FI.table_files(read_partitioned(spark, path)).count()
+    FI.compact(spark, path, "partition", ["2024-01"], sort_by=["transaction_timestamp"])
+    back = read_partitioned(spark, path)
+    assert FI.table_files(back).count() < before
+    assert back.exceptAll(df.select(*back.columns)).count() == 0 and back.count() == df.count()
+
+
+def test_store_failures_writes_failing_rows(spark):
+    from candlewick.operators import quality as Q
+    from candlewick.operators.staging import typed_ticks
+    path = scratch_path(spark, "dq")
+    checks = [Q.Check("accepted_values", ("trader_type",), values=("retail",))]
+    Q.store_failures(typed_ticks(raw_ticks(spark, SF_SMALL)), checks, path, "stg")
+    got = spark.read.parquet(f"{path}/stg/accepted_values_0")
+    assert got.count() > 0 and got.where("trader_type = 'retail'").count() == 0
