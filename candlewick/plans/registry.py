@@ -673,6 +673,21 @@ def q_stream_candles_1h(spark, sf_dir):
     return candle_report(INC.read_partitioned(spark, table).drop("partition"))
 
 
+@register("stream_dedup", TR + f"SELECT {WIRE_COLS} FROM raw")
+def q_stream_dedup(spark, sf_dir):
+    """Every wire record delivered twice (at-least-once producer); the stream
+    keeps one per tick_id within a 1-hour watermark."""
+    from candlewick.streaming.ingest import dedup_stream, read_tick_stream
+    src, sink, ck = (scratch_path(spark, n) for n in ("wire_dup", "dedup_sink", "dedup_ckpt"))
+    _wire_files_in_time_order(spark, sf_dir, src)
+    _wire_files_in_time_order(spark, sf_dir, src)      # the replay
+    parsed = W.parse_raw_ticks(read_tick_stream(spark, path=src, max_files_per_trigger=2))
+    q = (dedup_stream(parsed, ["tick_id"], TS, "1 hour").writeStream.format("parquet")
+         .option("path", sink).option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
 def queries() -> dict[str, Query]:
     return dict(Q_)
 

@@ -54,3 +54,16 @@ def test_interval_join_does_not_shuffle_ticks_when_broadcast(spark):
     t = stage_ticks(raw_ticks(spark, SF_SMALL))
     plan = EV.event_impact(t, economic_events(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_bucketed_join_equals_nested_loop_join(spark):
+    from pyspark.sql import functions as F
+    t = stage_ticks(raw_ticks(spark, SF_SMALL))
+    e = economic_events(spark, SF_SMALL)
+    cond = ((e.start_timestamp <= t.transaction_timestamp) & (t.transaction_timestamp <= e.end_timestamp) &
+            (F.array_contains(e.affected_currencies, t.base_currency) |
+             F.array_contains(e.affected_currencies, t.quote_currency)))
+    nested = t.join(e, cond).select(t.tick_id, e.event_id)
+    ours = EV.active_events_join(t, e).select("tick_id", "event_id")
+    assert nested.count() > 0
+    assert nested.exceptAll(ours).count() == 0 and ours.exceptAll(nested).count() == 0
