@@ -42,6 +42,25 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def cluster_profile(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Sizing for a large run: enough initial shuffle partitions that each
+    holds about ``target_partition_bytes`` of the widest shuffle (the tick
+    table itself, before partial aggregation), at least 3 waves of tasks; AQE
+    then coalesces small ones and splits skewed ones.  Scan splits of the
+    same size keep a task's input within executor memory."""
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        **SESSION_DEFAULTS,
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.  Only
     when the cluster names none (tests, one machine) is a folder created."""
