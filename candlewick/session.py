@@ -64,11 +64,17 @@ def cluster_profile(input_bytes: int, total_cores: int, target_partition_bytes:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.  Only
     when the cluster names none (tests, one machine) is a folder created."""
-    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) session: the server owns the folder
+        if not named:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return named.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    named = named or sc.getConf().get("spark.checkpoint.dir", None)
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="candlewick-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 

@@ -75,3 +75,13 @@ def test_candle_plan_has_one_shuffle_and_partial_aggregation(spark):
     plan = C.ohlc_candles(s, "1h")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "partial_min" in plan and "Window" not in plan and "Sort " not in plan
+
+
+def test_ratio_metrics_null_when_open_not_positive(spark):
+    from decimal import Decimal
+    c = spark.createDataFrame([(Decimal("0"), Decimal("1.5"), Decimal("2"), Decimal("0"))],
+                              "open_price decimal(18,8), close_price decimal(18,8), high_price decimal(18,8), "
+                              "low_price decimal(18,8)")
+    r = C.with_price_metrics(c).first()
+    assert r.price_change_pct is None and r.volatility_pct is None
+    assert float(r.price_change) == 1.5 and float(r.price_range) == 2.0
