@@ -131,13 +131,13 @@ def candle_select(interval: str, name: str = "candles") -> str:
         cols.append("CAST(num_trader_types AS BIGINT) AS num_trader_types")
     cols += ["period_start", "period_end",
              "CAST(close_price - open_price AS DOUBLE) AS price_change",
-             "round(CASE WHEN open_price > 0 THEN CAST(close_price - open_price AS DOUBLE) / CAST(open_price AS DOUBLE) * 100.0 END, 6) AS price_change_pct",
+             "CASE WHEN open_price > 0 THEN CAST(close_price - open_price AS DOUBLE) / CAST(open_price AS DOUBLE) * 100.0 END AS price_change_pct",
              "CAST(high_price - low_price AS DOUBLE) AS price_range",
-             "round(CASE WHEN open_price > 0 THEN CAST(high_price - low_price AS DOUBLE) / CAST(open_price AS DOUBLE) * 100.0 END, 6) AS volatility_pct"]
+             "CASE WHEN open_price > 0 THEN CAST(high_price - low_price AS DOUBLE) / CAST(open_price AS DOUBLE) * 100.0 END AS volatility_pct"]
     if quotes:
-        cols.append("round(CASE WHEN open_ask_price - open_bid_price > 0 THEN "
+        cols.append("CASE WHEN open_ask_price - open_bid_price > 0 THEN "
                     "CAST((close_ask_price - close_bid_price) - (open_ask_price - open_bid_price) AS DOUBLE)"
-                    " / CAST(open_ask_price - open_bid_price AS DOUBLE) * 100.0 END, 6) AS spread_change_pct")
+                    " / CAST(open_ask_price - open_bid_price AS DOUBLE) * 100.0 END AS spread_change_pct")
     cols.append(f"'{interval}' AS candle_interval")
     return "SELECT " + ",\n  ".join(cols) + f"\nFROM {name}"
 

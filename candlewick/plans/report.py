@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-CANDLE_ROUNDED = ("avg_trade_volume", "avg_spread_bps", "price_change_pct", "volatility_pct",
-                  "spread_change_pct")
+# averages differ by engine (exact decimal vs double) -> rounded; the ratio
+# columns are the same IEEE double operations in every engine -> left exact
+# (rounding identical doubles can still split a tie differently by engine)
+CANDLE_ROUNDED = ("avg_trade_volume", "avg_spread_bps")
 
 
 def report(df: DataFrame, rounded=(), drop=("calculated_at",), digits: int = 6) -> DataFrame:
