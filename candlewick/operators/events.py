@@ -156,13 +156,6 @@ def with_hour_profile(df: DataFrame, ts: str = "transaction_timestamp") -> DataF
             .withColumn("is_peak_hour", F.col("hour_volume_multiplier") >= F.lit(PEAK_HOUR_MULTIPLIER)))
 
 
-def pairs_config(spark: SparkSession) -> DataFrame:
-    """Pair configuration (6 rows): spread band, volatility, base price, trade size."""
-    rows = [(p, float(a), float(b), float(v), float(bp), float(ts)) for p, (a, b, v, bp, ts) in PAIR_CONFIG.items()]
-    return spark.createDataFrame(rows, "currency_pair string, min_spread_bps double, max_spread_bps double, "
-                                       "pair_volatility double, base_price double, typical_trade_size double")
-
-
 def pairs_reference(spark: SparkSession) -> DataFrame:
     """The currency_pairs seed (6 rows, declared types)."""
     from decimal import Decimal
@@ -183,22 +176,31 @@ def calendar_reference(spark: SparkSession, base_date) -> DataFrame:
     return df.withColumn("created_at", F.current_timestamp())
 
 
+_PAIR_REF_DDL = ("currency_pair string, min_spread_bps double, max_spread_bps double, pair_volatility double, "
+                 "base_price double, typical_trade_size double, primary_exchange string")
+
+
+def pair_reference_table(spark: SparkSession) -> DataFrame:
+    """Pair configuration + seed attributes, one row per pair (fixed, 6 rows)."""
+    exchange = {r[2]: r[9] for r in PAIR_SEED_ROWS}
+    rows = [(p, float(a), float(b), float(v), float(bp), float(ts), exchange.get(p))
+            for p, (a, b, v, bp, ts) in PAIR_CONFIG.items()]
+    return spark.createDataFrame(rows, _PAIR_REF_DDL)
+
+
+_REF_FIELDS = {"min_spread_bps": "min_spread_bps", "max_spread_bps": "max_spread_bps",
+               "volatility": "pair_volatility", "primary_exchange": "primary_exchange",
+               "base_price": "base_price", "typical_trade_size": "typical_trade_size"}
+
+
 def with_pair_reference(df: DataFrame, fields=("min_spread_bps", "max_spread_bps", "volatility",
                                                "primary_exchange")) -> DataFrame:
     """Left lookup of pair attributes by ``currency_pair``.  The reference is
-    a 6-row literal, so the broadcast is bounded by construction."""
-    spark = df.sparkSession
-    cfg = pairs_config(spark)
-    seed = pairs_reference(spark).select(F.col("pair_symbol").alias("currency_pair"), "primary_exchange",
-                                         F.col("avg_daily_volatility").cast("double").alias("seed_volatility"))
-    ref = cfg.join(seed, "currency_pair", "left")
-    want = {"min_spread_bps": "min_spread_bps", "max_spread_bps": "max_spread_bps",
-            "volatility": "pair_volatility", "primary_exchange": "primary_exchange",
-            "base_price": "base_price", "typical_trade_size": "typical_trade_size"}
-    cols = ["currency_pair"] + [want[f] for f in fields]
-    ref = ref.select(*cols)
-    clash = [c for c in cols[1:] if c in df.columns]
-    ref = ref.select("currency_pair", *[F.col(c).alias(f"ref_{c}" if c in clash else c) for c in cols[1:]])
+    a 6-row literal, so the broadcast is bounded by construction; columns
+    that already exist in ``df`` come back prefixed ``ref_``."""
+    cols = [_REF_FIELDS[f] for f in fields]
+    ref = pair_reference_table(df.sparkSession).select(
+        "currency_pair", *[F.col(c).alias(f"ref_{c}" if c in df.columns else c) for c in cols])
     return df.join(F.broadcast(ref), "currency_pair", "left")
 
 
