@@ -82,6 +82,7 @@ TICK_RATE_TOLERANCE = 0.1
 MAX_TICK_GAP_MS = 200
 BOUNDARY_RADIUS_SECONDS = 5
 MINUTE_VOLATILITY_THRESHOLD = 0.1
+CORRELATION_THRESHOLD = 0.1         # |corr| above which two pairs count as correlated
 REALIZED_VOL_WINDOW = 100           # prices kept in the rolling history
 ANNUALIZATION_PERIODS = 252 * 24    # sqrt factor for realised volatility
 STREAM_ROLL_SECONDS = 30

@@ -9,8 +9,9 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.constants import (ANNUALIZATION_PERIODS, CURRENCY_PAIRS, EXPECTED_TRADER_SHARE,
-                                  MINUTE_VOLATILITY_THRESHOLD, REALIZED_VOL_WINDOW,
+from candlewick.constants import (ANNUALIZATION_PERIODS, CORRELATION_THRESHOLD, CURRENCY_PAIRS,
+                                  EXPECTED_TRADER_SHARE, MAX_TICK_GAP_MS, MINUTE_VOLATILITY_THRESHOLD,
+                                  REALIZED_VOL_WINDOW,
                                   TICK_RATE_TOLERANCE, TICKS_PER_SECOND_PER_PAIR, TRADER_SHARE_TOLERANCE)
 from candlewick.functions.columns import bucket, micros_between, ntz_lit
 from candlewick.operators.events import with_pair_reference
@@ -87,7 +88,8 @@ def minute_volatility(ticks: DataFrame, interval: str = "1min",
     return g.where(F.col("volatility") > F.lit(threshold))
 
 
-def pair_correlation(ticks: DataFrame, interval: str = "1min", pairs=CURRENCY_PAIRS) -> DataFrame:
+def pair_correlation(ticks: DataFrame, interval: str = "1min", pairs=CURRENCY_PAIRS,
+                     threshold: float = CORRELATION_THRESHOLD) -> DataFrame:
     """Pearson correlation of per-bucket mean mid between every two pairs.
 
     Pivot to one row per bucket with one column per pair (the pair list is
@@ -106,7 +108,8 @@ def pair_correlation(ticks: DataFrame, interval: str = "1min", pairs=CURRENCY_PA
         F.struct(F.lit(a).alias("pair_a"), F.lit(b).alias("pair_b"), F.col(f"c{i}").alias("correlation"),
                  F.col(f"n{i}").cast("long").alias("n_buckets"))
         for i, (a, b) in enumerate(combos)]))
-    return row.select(stacked.alias("r")).select("r.*")
+    return (row.select(stacked.alias("r")).select("r.*")
+            .withColumn("correlated", F.abs("correlation") > F.lit(threshold)))
 
 
 def tick_rate(raw: DataFrame, pairs: int = len(CURRENCY_PAIRS),
@@ -122,11 +125,13 @@ def tick_rate(raw: DataFrame, pairs: int = len(CURRENCY_PAIRS),
             .withColumn("within_tolerance", F.col("relative_error") < F.lit(tolerance)))
 
 
-def tick_gaps(ticks: DataFrame, chunk: str = DEFAULT_CHUNK, n_chunks: int | None = None) -> DataFrame:
-    """Largest gap between consecutive ticks per pair and over all ticks."""
+def tick_gaps(ticks: DataFrame, chunk: str = DEFAULT_CHUNK, n_chunks: int | None = None,
+              max_gap_ms: int = MAX_TICK_GAP_MS) -> DataFrame:
+    """Largest gap between consecutive ticks per pair and over all ticks,
+    and whether it stays under ``max_gap_ms``."""
     per_pair = max_gap(ticks, ["currency_pair"], TS, chunk, n_chunks=n_chunks)
     overall = max_gap(ticks, [], TS, chunk, n_chunks=n_chunks).select(F.lit("ALL").alias("currency_pair"), "tick_count", "max_gap_us")
-    return per_pair.unionByName(overall)
+    return per_pair.unionByName(overall).withColumn("gap_ok", F.col("max_gap_us") < F.lit(max_gap_ms * 1000))
 
 
 def boundary_gap(ticks: DataFrame, boundary: str = "1h", radius_seconds: int = 5) -> DataFrame:
@@ -136,7 +141,7 @@ def boundary_gap(ticks: DataFrame, boundary: str = "1h", radius_seconds: int = 5
     r = F.make_dt_interval(secs=F.lit(radius_seconds).cast("decimal(18,6)"))
     at = bucket(F.col(TS) + r, boundary)
     near = ticks.withColumn("boundary", at).where(F.col(TS) >= F.col("boundary") - r)
-    return max_gap(near, ["boundary"], TS)
+    return max_gap(near, ["boundary"], TS).withColumn("gap_ok", F.col("max_gap_us") < F.lit(MAX_TICK_GAP_MS * 1000))
 
 
 def log_returns(ticks: DataFrame, price: str = "mid_price", chunk: str = DEFAULT_CHUNK,

@@ -415,7 +415,8 @@ def _corr_sql():
                           for i, p in enumerate(P))
     sel = "\nUNION ALL\n".join(
         f"SELECT '{P[a]}' AS pair_a, '{P[b]}' AS pair_b, round(corr(p{a}, p{b}), 6) AS correlation, "
-        f"CAST(count(*) FILTER (WHERE p{a} IS NOT NULL AND p{b} IS NOT NULL) AS BIGINT) AS n_buckets FROM w"
+        f"CAST(count(*) FILTER (WHERE p{a} IS NOT NULL AND p{b} IS NOT NULL) AS BIGINT) AS n_buckets, "
+        f"abs(corr(p{a}, p{b})) > 0.1 AS correlated FROM w"
         for a, b in combinations(range(len(P)), 2))
     return T + f""", w AS (SELECT date_trunc('minute', transaction_timestamp) AS b,
     {cols}
@@ -440,8 +441,9 @@ def q_tick_rate(spark, sf_dir):
 @register("tick_gaps", T + """, g AS (SELECT currency_pair, transaction_timestamp AS t,
     lag(transaction_timestamp) OVER (PARTITION BY currency_pair ORDER BY transaction_timestamp, tick_id) AS p FROM stg),
   a AS (SELECT transaction_timestamp AS t, lag(transaction_timestamp) OVER (ORDER BY transaction_timestamp, tick_id) AS p FROM stg)
-  SELECT currency_pair, count(*) AS tick_count, max(date_diff('microsecond', p, t)) AS max_gap_us FROM g GROUP BY 1
-  UNION ALL SELECT 'ALL', count(*), max(date_diff('microsecond', p, t)) FROM a""")
+  SELECT currency_pair, count(*) AS tick_count, max(date_diff('microsecond', p, t)) AS max_gap_us,
+    max(date_diff('microsecond', p, t)) < 200000 AS gap_ok FROM g GROUP BY 1
+  UNION ALL SELECT 'ALL', count(*), max(date_diff('microsecond', p, t)), max(date_diff('microsecond', p, t)) < 200000 FROM a""")
 def q_tick_gaps(spark, sf_dir):
     return SS.tick_gaps(staged(spark, sf_dir))
 
@@ -451,7 +453,8 @@ def q_tick_gaps(spark, sf_dir):
     WHERE transaction_timestamp >= date_trunc('hour', transaction_timestamp + INTERVAL 300 SECOND) - INTERVAL 300 SECOND),
   g AS (SELECT boundary, transaction_timestamp AS t,
     lag(transaction_timestamp) OVER (PARTITION BY boundary ORDER BY transaction_timestamp, tick_id) AS p FROM n)
-  SELECT boundary, count(*) AS tick_count, max(date_diff('microsecond', p, t)) AS max_gap_us FROM g GROUP BY 1""")
+  SELECT boundary, count(*) AS tick_count, max(date_diff('microsecond', p, t)) AS max_gap_us,
+    max(date_diff('microsecond', p, t)) < 200000 AS gap_ok FROM g GROUP BY 1""")
 def q_boundary_gap(spark, sf_dir):
     """Gaps within +/- 300 s of every hourly file-roll boundary."""
     return SS.boundary_gap(staged(spark, sf_dir), "1h", 300)
