@@ -20,7 +20,8 @@ over a third of the data.  These helpers split every key into chunks
 Chunking.  ``chunk="1h"`` (any grid grain) cuts by time: one hash shuffle,
 but a single hot (key, hour) is still one task.  ``chunk="balanced"`` cuts
 by rank instead: rows are range-partitioned on (key, order columns) into
-``n_chunks`` ranges (the range sampler splits even one hot key or instant,
+``n_chunks`` ranges, or as many as AQE sizes from the data (the range
+sampler splits even one hot key or instant,
 because the order columns end with a unique tick id) and the range index is
 the chunk.  Range bounds come from a sample, so where the plan reads the
 chunked rows twice (carry join) they are persisted once, keeping one chunk
@@ -45,8 +46,10 @@ def _with_chunk(df: DataFrame, by, order, chunk: str, n_chunks: int | None = Non
                 freeze: bool = False) -> DataFrame:
     if chunk != BALANCED:
         return df.withColumn("_chunk", bucket(order[0], chunk))
-    n = n_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *by, *order).withColumn("_chunk", F.spark_partition_id())
+    # without an explicit count AQE sizes the range shuffle from the data
+    # (coalescing merges adjacent ranges, so chunk ids stay ordered)
+    ranged = df.repartitionByRange(n_chunks, *by, *order) if n_chunks else df.repartitionByRange(*by, *order)
+    ranged = ranged.withColumn("_chunk", F.spark_partition_id())
     return ranged.persist(StorageLevel.MEMORY_AND_DISK) if freeze else ranged
 
 
