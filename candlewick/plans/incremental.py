@@ -134,6 +134,16 @@ def candles_as_of(history: DataFrame, as_of, keys=KEYS, version: str = "calculat
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in [version] + rest]).select(*history.columns)
 
 
+def snapshots(history: DataFrame, version: str = "calculated_at", keys=KEYS) -> DataFrame:
+    """Version listing of an append-only history (the ``$snapshots`` view):
+    one row per version with rows written and distinct keys touched."""
+    keys = list(keys)
+    per_key = history.groupBy(version, *keys).agg(F.count(F.lit(1)).alias("_n"))
+    return (per_key.groupBy(version).agg(F.sum("_n").alias("rows_written"),
+                                         F.count(F.lit(1)).alias("keys_touched"))
+            .withColumn("is_latest", F.col(version) == F.max(version).over(Window.partitionBy())))
+
+
 def scd2(history: DataFrame, keys, updated_at: str) -> DataFrame:
     """Type-2 history: valid_from = updated_at, valid_to = next version's
     updated_at (NULL for the current row), is_current."""

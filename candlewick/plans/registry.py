@@ -589,6 +589,13 @@ def q_scd2_snapshot(spark, sf_dir):
                   drop=())
 
 
+@register("candle_snapshots", _HIST_SQL + """SELECT calculated_at, count(*) AS rows_written,
+    count(DISTINCT (currency_pair, candle_timestamp)) AS keys_touched,
+    calculated_at = max(calculated_at) OVER () AS is_latest FROM hist GROUP BY calculated_at""")
+def q_candle_snapshots(spark, sf_dir):
+    return INC.snapshots(_history(spark, sf_dir))
+
+
 # =============================================================== sources / sinks
 @register("scan_parquet", TR + f"SELECT {RAW_COLS} FROM raw")
 def q_scan_parquet(spark, sf_dir):
