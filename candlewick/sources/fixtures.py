@@ -25,6 +25,7 @@ def _pair_from_user(user_id):
 def raw_ticks_from_events(events: DataFrame) -> DataFrame:
     """Raw tick rows (stream-sink schema) derived from the events table."""
     eid, uid, value = F.col("event_id"), F.col("user_id"), F.col("value")
+    events = events.withColumn("ts", F.col("ts").cast("timestamp_ntz"))   # no-op when read as NTZ
     s = F.lit(3) + eid % 28
     crossed = eid % 97 == 0
     lo = value * (F.lit(1.0) - s / F.lit(20000.0))
@@ -55,6 +56,7 @@ def raw_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def economic_events_from_events(events: DataFrame) -> DataFrame:
     """Economic events (interval table) derived from the events table."""
     eid, uid = F.col("event_id"), F.col("user_id")
+    events = events.withColumn("ts", F.col("ts").cast("timestamp_ntz"))   # no-op when read as NTZ
     m = uid % 6
     etype = (F.when(m == 0, "SOLAR_STORM").when(m == 1, "TRADE_TARIFF").when(m == 2, "OXYGEN_CRISIS")
              .when(m == 3, "MINING_STRIKE").when(m == 4, "POLICY_CHANGE").otherwise("SUPPLY_SHOCK"))
