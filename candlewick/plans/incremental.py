@@ -144,14 +144,22 @@ def snapshots(history: DataFrame, version: str = "calculated_at", keys=KEYS) ->
             .withColumn("is_latest", F.col(version) == F.max(version).over(Window.partitionBy())))
 
 
-def scd2(history: DataFrame, keys, updated_at: str) -> DataFrame:
+def scd2(history: DataFrame, keys, updated_at: str, tie=()) -> DataFrame:
     """Type-2 history: valid_from = updated_at, valid_to = next version's
-    updated_at (NULL for the current row), is_current."""
+    updated_at (NULL for the current row), is_current.
+
+    ``lead`` over a per-key window would put every version of a key in one
+    task; instead each row gets its position per key from the chunked
+    sequence (balanced rank ranges) and is joined to position + 1 on
+    (key, seq), a unique key, so no group is ever handled by a single task."""
+    from candlewick.operators.windows import sequenced
     keys = [keys] if isinstance(keys, str) else list(keys)
-    w = Window.partitionBy(*keys).orderBy(updated_at)
-    return (history.withColumn("valid_from", F.col(updated_at))
-            .withColumn("valid_to", F.lead(updated_at).over(w))
-            .withColumn("is_current", F.col("valid_to").isNull()))
+    seq = sequenced(history, keys, [updated_at, *tie])
+    nxt = seq.select(*keys, (F.col("seq") - 1).alias("seq"), F.col(updated_at).alias("valid_to"))
+    out = seq.join(nxt, [*keys, "seq"], "left")
+    return (out.withColumn("valid_from", F.col(updated_at))
+            .withColumn("is_current", F.col("valid_to").isNull())
+            .select(*history.columns, "valid_from", "valid_to", "is_current"))
 
 
 def union_all(dfs) -> DataFrame:
