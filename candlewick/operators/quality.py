@@ -4,7 +4,6 @@ checks in one scan per table plus one aggregation per uniqueness check."""
 
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass, field
 from functools import reduce
 

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.constants import EXCHANGES, TRADER_TYPES
-from candlewick.functions.columns import pair_format_ok, partition_value, quote_from_mid, spread_bps
-from candlewick.functions.columns import duration_minutes, impact_label, ntz_lit
+from candlewick.functions.columns import (duration_minutes, impact_label, ntz_lit, pair_format_ok,
+                                         partition_value, quote_from_mid, spread_bps)
 from candlewick.operators import candles as C
 from candlewick.operators import events as EV
 from candlewick.operators import quality as Q
@@ -24,7 +24,7 @@ from candlewick.operators import staging as ST
 from candlewick.operators import stats as SS
 from candlewick.plans import incremental as INC
 from candlewick.plans import oracle_sql as O
-from candlewick.plans.report import CANDLE_ROUNDED, candle_report, report
+from candlewick.plans.report import candle_report, report
 from candlewick.session import scratch_path
 from candlewick.sources import files as FI
 from candlewick.sources import fixtures as FX
@@ -493,7 +493,7 @@ def _dq_sql():
 
 @register("dq_report", _dq_sql())
 def q_dq_report(spark, sf_dir):
-    r, s = raw(spark, sf_dir), None
+    r = raw(spark, sf_dir)
     s = ST.stage_ticks(r)
     c1 = C.ohlc_candles(s, "1min", calculated_at=False)
     return INC.union_all([Q.dq_report(r, Q.source_checks(), "raw_ticks"),
