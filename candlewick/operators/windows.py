@@ -46,9 +46,11 @@ def _with_chunk(df: DataFrame, by, order, chunk: str, n_chunks: int | None = Non
                 freeze: bool = False) -> DataFrame:
     if chunk != BALANCED:
         return df.withColumn("_chunk", bucket(order[0], chunk))
-    # without an explicit count AQE sizes the range shuffle from the data
-    # (coalescing merges adjacent ranges, so chunk ids stay ordered)
-    ranged = df.repartitionByRange(n_chunks, *by, *order) if n_chunks else df.repartitionByRange(*by, *order)
+    # a row hash as the last range key lets the sampler split even rows whose
+    # (key, order) are all equal; without an explicit count AQE sizes the range
+    # shuffle from the data (coalescing merges adjacent ranges, ids stay ordered)
+    keys = [*by, *order, F.xxhash64(*[F.col(c) for c in df.columns])]
+    ranged = df.repartitionByRange(n_chunks, *keys) if n_chunks else df.repartitionByRange(*keys)
     ranged = ranged.withColumn("_chunk", F.spark_partition_id())
     return ranged.persist(StorageLevel.MEMORY_AND_DISK) if freeze else ranged
 
