@@ -40,6 +40,16 @@ from candlewick.functions.columns import bucket, micros_between
 
 BALANCED = "balanced"
 DEFAULT_CHUNK = BALANCED
+_FROZEN: list[DataFrame] = []   # ranged inputs persisted by balanced chunking
+
+
+def release_chunk_cache() -> int:
+    """Unpersist the ranged inputs kept by balanced chunking.  Call after
+    the results that depend on them have been written or collected."""
+    n = len(_FROZEN)
+    while _FROZEN:
+        _FROZEN.pop().unpersist()
+    return n
 
 
 def _with_chunk(df: DataFrame, by, order, chunk: str, n_chunks: int | None = None,
@@ -52,7 +62,11 @@ def _with_chunk(df: DataFrame, by, order, chunk: str, n_chunks: int | None = Non
     keys = [*by, *order, F.xxhash64(*[F.col(c) for c in df.columns])]
     ranged = df.repartitionByRange(n_chunks, *keys) if n_chunks else df.repartitionByRange(*keys)
     ranged = ranged.withColumn("_chunk", F.spark_partition_id())
-    return ranged.persist(StorageLevel.MEMORY_AND_DISK) if freeze else ranged
+    if not freeze:
+        return ranged
+    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    _FROZEN.append(ranged)
+    return ranged
 
 
 def chunked_sequence(df: DataFrame, by, order, values=(), chunk: str = DEFAULT_CHUNK,
