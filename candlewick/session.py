@@ -57,6 +57,10 @@ def cluster_profile(input_bytes: int, total_cores: int, target_partition_bytes:
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        # streaming candle state (windows x pairs) kept off-heap, checkpointed incrementally
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **SESSION_DEFAULTS,
     }
 
