@@ -151,7 +151,7 @@ def hour_multiplier(ts) -> Column:
 def with_hour_profile(df: DataFrame, ts: str = "transaction_timestamp") -> DataFrame:
     """Adds ``hour``, ``hour_volume_multiplier`` and ``is_peak_hour`` (>= 1.2).
     The 24-entry profile is a literal array: no join at all."""
-    return (df.withColumn("hour", F.hour(ts))
+    return (df.withColumn("hour", F.hour(ts).cast("long"))
             .withColumn("hour_volume_multiplier", hour_multiplier(ts))
             .withColumn("is_peak_hour", F.col("hour_volume_multiplier") >= F.lit(PEAK_HOUR_MULTIPLIER)))
 

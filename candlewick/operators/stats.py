@@ -35,7 +35,7 @@ def most_volatile_pair(candles: DataFrame, since=None) -> DataFrame:
     g = c.groupBy("currency_pair").agg(F.avg("volatility_pct").alias("avg_volatility"))
     # at most one row per pair: the ranking window runs on a tiny table
     return g.withColumn("volatility_rank",
-                        F.row_number().over(Window.orderBy(F.desc("avg_volatility"), "currency_pair")))
+                        F.row_number().over(Window.orderBy(F.desc("avg_volatility"), "currency_pair")).cast("long"))
 
 
 def hourly_volume(candles: DataFrame) -> DataFrame:

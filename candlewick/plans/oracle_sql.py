@@ -146,14 +146,15 @@ def candles_sql(interval: str) -> str:
     return with_ctes(*TICK_CTES, candle_cte(interval)) + candle_select(interval)
 
 
-PAIR_CFG = """cfg AS (SELECT * FROM (VALUES
-    ('ECR/MRT', 5.0, 20.0, 0.15, 'Mars_Central_Exchange'),
-    ('ECR/LCR', 3.0, 15.0, 0.08, 'Lunar_Trading_Post'),
-    ('ECR/AMC', 8.0, 30.0, 0.22, 'Asteroid_Market'),
-    ('MRT/LCR', 5.0, 18.0, 0.12, 'Mars_Central_Exchange'),
-    ('MRT/AMC', 7.0, 25.0, 0.18, 'Asteroid_Market'),
-    ('LCR/AMC', 6.0, 22.0, 0.14, 'Lunar_Trading_Post'))
-  t(currency_pair, min_spread_bps, max_spread_bps, pair_volatility, primary_exchange))"""
+PAIR_CFG = """cfg AS (SELECT currency_pair, CAST(lo AS DOUBLE) AS min_spread_bps, CAST(hi AS DOUBLE) AS max_spread_bps,
+    CAST(vol AS DOUBLE) AS pair_volatility, primary_exchange FROM (VALUES
+    ('ECR/MRT', 5, 20, 0.15, 'Mars_Central_Exchange'),
+    ('ECR/LCR', 3, 15, 0.08, 'Lunar_Trading_Post'),
+    ('ECR/AMC', 8, 30, 0.22, 'Asteroid_Market'),
+    ('MRT/LCR', 5, 18, 0.12, 'Mars_Central_Exchange'),
+    ('MRT/AMC', 7, 25, 0.18, 'Asteroid_Market'),
+    ('LCR/AMC', 6, 22, 0.14, 'Lunar_Trading_Post'))
+  t(currency_pair, lo, hi, vol, primary_exchange))"""
 
 HOUR_LIST = ("(CAST([0.3, 0.2, 0.2, 0.2, 0.3, 0.4, 0.6, 0.8, 1.0, 1.2, 1.3, 1.4, 1.5, 1.5, 1.4, 1.3, 1.2, 1.0, "
              "0.8, 0.6, 0.5, 0.4, 0.3, 0.3] AS DOUBLE[]))")
