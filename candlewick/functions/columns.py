@@ -132,3 +132,19 @@ def partition_value(ts, transform: str) -> Column:
     except KeyError:
         raise ValueError(f"unsupported partition transform {transform!r}") from None
     return F.date_format(_c(ts), fmt)
+
+
+# partition columns written next to a timestamp by our sinks: (name, kind)
+_TIME_PARTITIONS = (("date", "date"), ("transaction_date", "date"), ("partition_date", "date"))
+
+
+def since_predicate(df_columns, ts: str, since) -> Column:
+    """``ts >= since`` plus, when the table carries a date partition column
+    written from that timestamp, ``date >= date(since)`` so whole folders are
+    pruned (the timestamp filter alone only prunes row groups)."""
+    cond = F.col(ts) >= ntz_lit(since)
+    day = (since if isinstance(since, _dt.datetime) else _dt.datetime.fromisoformat(str(since))).date()
+    for name, _ in _TIME_PARTITIONS:
+        if name in df_columns:
+            cond = cond & (F.col(name) >= F.lit(day))
+    return cond

@@ -3,10 +3,12 @@ time/pair filters (all narrow, no shuffle except ``dedup_ticks``)."""
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions.columns import PRICE_DEC, SPREAD_DEC, _c, ntz_lit
+from candlewick.functions.columns import PRICE_DEC, SPREAD_DEC, _c, ntz_lit, since_predicate
 
 PRICE_COLS = ("bid_price", "ask_price", "mid_price", "trade_price")
 
@@ -102,6 +104,9 @@ def recent(df: DataFrame, now, horizon_minutes: int, ts: str = "transaction_time
     literal so the predicate reaches the Parquet scan."""
     now_c = ntz_lit(now)
     cond = _c(ts) > now_c - F.make_dt_interval(mins=F.lit(horizon_minutes))
+    if isinstance(now, _dt.datetime) and isinstance(ts, str):
+        # add the folder-level predicate when the table is date-partitioned
+        cond = cond & since_predicate(df.columns, ts, now - _dt.timedelta(minutes=horizon_minutes))
     if pair is not None:
         cond = cond & (F.col(pair_col) == pair)
     return df.where(cond)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from candlewick.constants import LOOKBACK_MINUTES
-from candlewick.functions.columns import bucket, grid_floor_literal, ntz_lit, partition_value
+from candlewick.functions.columns import bucket, grid_floor_literal, ntz_lit, partition_value, since_predicate
 from candlewick.operators.candles import ohlc_candles
 from candlewick.session import checkpoint_dir
 from candlewick.sources.files import partition_col
@@ -49,7 +49,7 @@ def incremental_slice(ticks: DataFrame, target: DataFrame | None, interval: str,
     cutoff = incremental_cutoff(high_water_mark(target), interval, lookback_minutes)
     if cutoff is None:
         return ticks
-    return ticks.where(F.col(ts) >= ntz_lit(cutoff))
+    return ticks.where(since_predicate(ticks.columns, ts, cutoff))
 
 
 def late_ticks(ticks: DataFrame, cutoff, arrived_after, ts: str = "transaction_timestamp",

@@ -42,3 +42,22 @@ def test_no_python_evaluation_or_nested_loops(spark):
         plan = _plan(fn(spark, SF_SMALL))
         for bad in ("BatchEvalPython", "ArrowEvalPython", "BroadcastNestedLoopJoin", "CartesianProduct"):
             assert bad not in plan, (k, bad)
+
+
+def test_date_partitions_pruned_for_incremental_and_recent(spark):
+    import datetime as dt
+
+    from candlewick.operators.staging import recent
+    from candlewick.session import scratch_path
+    from candlewick.sources.files import write_ticks
+    path = scratch_path(spark, "pruning")
+    write_ticks(raw_ticks(spark, SF_SMALL), path)
+    ticks = spark.read.parquet(path)
+    target = spark.createDataFrame([(dt.datetime(2024, 1, 20, 10),)], "candle_timestamp timestamp_ntz")
+    sliced = INC.incremental_slice(ticks, target, "1h")
+    plan = _plan(sliced)
+    assert "PartitionFilters: [isnotnull(date" in plan and "(date#" in plan and ">= 2024-01-20" in plan, plan
+    assert sliced.count() == ticks.where(F.col("transaction_timestamp") >= F.lit("2024-01-20 08:00:00")
+                                         .cast("timestamp_ntz")).count()
+    r = recent(ticks, dt.datetime(2024, 1, 25, 12), 120)
+    assert ">= 2024-01-25" in _plan(r)
