@@ -163,6 +163,35 @@ def rollup_candles(fine_state: DataFrame, interval: str, metrics: bool = True,
     return finalize_candles(merge_states(fine_state, interval, spec), interval, spec, metrics, calculated_at)
 
 
+def multi_grain_candles(ticks: DataFrame, intervals=("1min", "5min", "1h", "1d"),
+                        calculated_at: bool = True, reuse: str | None = "checkpoint") -> dict[str, DataFrame]:
+    """All grains from ONE aggregation of the ticks: the finest grain's
+    mergeable state (carrying every extra a coarser grain needs) is built
+    once and the coarser grains are rolled up from it.
+
+    Each grain prunes different state columns, so Spark would not share the
+    aggregation between them by itself.  ``reuse="checkpoint"`` writes the
+    state (one row per pair and minute, far smaller than the ticks) to the
+    shared checkpoint folder once; ``"persist"`` keeps it in executor
+    storage; ``None`` leaves four independent plans."""
+    intervals = list(intervals)
+    specs = [candle_spec(iv) for iv in intervals]
+    finest = intervals[0]
+    full = CandleSpec(finest, trader_types=any(sp.trader_types for sp in specs),
+                      quotes=any(sp.quotes for sp in specs))
+    state = candle_state(ticks, finest, full)
+    if reuse == "checkpoint":
+        from candlewick.session import checkpoint_dir
+        checkpoint_dir(ticks.sparkSession)
+        state = state.checkpoint(eager=True)
+    elif reuse == "persist":
+        state = state.persist()
+    out = {finest: finalize_candles(state, finest, specs[0], calculated_at=calculated_at)}
+    for iv in intervals[1:]:
+        out[iv] = rollup_candles(state, iv, calculated_at=calculated_at)
+    return out
+
+
 def with_price_metrics(c: DataFrame) -> DataFrame:
     """price_change, price_change_pct, price_range, volatility_pct
     (ratios as doubles, NULL unless open > 0)."""

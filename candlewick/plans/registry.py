@@ -292,6 +292,25 @@ def q_rollup_1d_from_1h(spark, sf_dir):
     return candle_report(C.rollup_candles(fine, "1d"))
 
 
+def _all_grains_sql():
+    ivs = ("1min", "5min", "1h", "1d")
+    ctes = [O.candle_cte(iv, f"g_{i}") for i, iv in enumerate(ivs)]
+    # by name: grains differ in their extra columns, missing ones become NULL
+    return O.with_ctes(*O.TICK_CTES, *ctes) + "\nUNION ALL BY NAME\n".join(
+        O.candle_select(iv, f"g_{i}") for i, iv in enumerate(ivs))
+
+
+@register("ohlc_all_grains", _all_grains_sql())
+def q_ohlc_all_grains(spark, sf_dir):
+    """The four grains from one tick aggregation (1-minute state, rolled up)."""
+    grains = C.multi_grain_candles(staged(spark, sf_dir))
+    out = None
+    for iv in ("1min", "5min", "1h", "1d"):
+        df = candle_report(grains[iv])
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
 @register("first_last_ticks", O.with_ctes(*O.TICK_CTES, """o AS (
       SELECT currency_pair, date_trunc('minute', transaction_timestamp) AS candle_timestamp, tick_id,
         transaction_timestamp, trade_price,

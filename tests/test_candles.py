@@ -85,3 +85,12 @@ def test_ratio_metrics_null_when_open_not_positive(spark):
     r = C.with_price_metrics(c).first()
     assert r.price_change_pct is None and r.volatility_pct is None
     assert float(r.price_change) == 1.5 and float(r.price_range) == 2.0
+
+
+def test_multi_grain_from_one_state_equals_direct(spark):
+    s = stage_ticks(raw_ticks(spark, SF_SMALL))
+    for reuse in ("checkpoint", "persist", None):
+        grains = C.multi_grain_candles(s, calculated_at=False, reuse=reuse)
+        for iv, got in grains.items():
+            direct = C.ohlc_candles(s, iv, calculated_at=False)
+            assert got.exceptAll(direct).count() == 0 and direct.exceptAll(got).count() == 0, (reuse, iv)
