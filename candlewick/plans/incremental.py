@@ -123,6 +123,35 @@ def build_candles(spark: SparkSession, ticks: DataFrame, path: str, interval: st
         upsert_path(spark, path, candles, KEYS, "partition", fmt)
 
 
+def build_all_candles(spark: SparkSession, ticks: DataFrame, root: str,
+                      intervals=("1min", "5min", "1h", "1d"), full_refresh: bool = False,
+                      fmt: str = "parquet") -> dict[str, str]:
+    """Maintain every candle table under ``root/ohlc_<interval>`` from ONE
+    slice of the ticks and ONE aggregation: the slice starts at the earliest
+    per-table cutoff (the coarsest lookback, which lies on every finer grid),
+    the 1-minute state is built once and rolled up, and each table gets an
+    upsert of its (complete) recomputed candles.  Finer tables are refreshed
+    over the wider window, which only adds late ticks they would otherwise
+    never see."""
+    from candlewick.operators.candles import multi_grain_candles
+    paths = {iv: f"{root.rstrip('/')}/ohlc_{iv}" for iv in intervals}
+    targets = {iv: None if full_refresh else _read_or_none(spark, p, fmt) for iv, p in paths.items()}
+    cutoffs = [incremental_cutoff(high_water_mark(t), iv) if t is not None else None for iv, t in targets.items()]
+    full = any(c is None for c in cutoffs)
+    src = ticks if full else ticks.where(since_predicate(ticks.columns, "transaction_timestamp", min(cutoffs)))
+    grains = multi_grain_candles(src, intervals)
+    for iv, candles in grains.items():
+        part = partition_col(iv)
+        candles = candles.withColumn("partition", partition_value("candle_timestamp", part))
+        if targets[iv] is None:
+            (candles.repartitionByRange("partition", "currency_pair", "candle_timestamp")
+             .sortWithinPartitions("partition", "currency_pair", "candle_timestamp")
+             .write.mode("overwrite").format(fmt).partitionBy("partition").save(paths[iv]))
+        else:
+            upsert_path(spark, paths[iv], candles, KEYS, "partition", fmt)
+    return paths
+
+
 def candles_as_of(history: DataFrame, as_of, keys=KEYS, version: str = "calculated_at") -> DataFrame:
     """Latest version of each key with ``version <= as_of`` (time travel over
     an append-only history).  Aggregation with max over a struct led by the

@@ -561,6 +561,21 @@ def q_upsert_merge(spark, sf_dir):
     return candle_report(INC.read_partitioned(spark, path).drop("partition"))
 
 
+@register("upsert_all_grains", _all_grains_sql())
+def q_upsert_all_grains(spark, sf_dir):
+    """All four candle tables built on early ticks, then maintained from one
+    incremental slice and one aggregation: equals the full builds."""
+    s = staged(spark, sf_dir)
+    root = scratch_path(spark, "marts")
+    INC.build_all_candles(spark, s.where(F.col(TS) < ntz_lit(INITIAL_LOAD_END)), root, full_refresh=True)
+    paths = INC.build_all_candles(spark, s, root)
+    out = None
+    for iv in ("1min", "5min", "1h", "1d"):
+        df = candle_report(INC.read_partitioned(spark, paths[iv]).drop("partition"))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
 @register("late_ticks", T + f"""SELECT currency_pair, date_trunc('minute', transaction_timestamp) AS candle_timestamp,
     count(*) AS late_ticks, max(event_time) AS last_arrival FROM stg
   WHERE transaction_timestamp < {_T0} - INTERVAL 5 MINUTE AND event_time > {_T0} GROUP BY 1, 2""")
