@@ -669,6 +669,18 @@ def q_orc_roundtrip(spark, sf_dir):
     return candle_report(spark.read.orc(path))
 
 
+@register("compact_ticks", TR + f"SELECT {RAW_COLS}, strftime(transaction_timestamp, '%Y-%m') AS partition FROM raw")
+def q_compact_ticks(spark, sf_dir):
+    """Ticks landed as many small files (one per stream roll), compacted into
+    few range-partitioned files, read back: same rows."""
+    path = scratch_path(spark, "ticks_small_files")
+    r = raw(spark, sf_dir).withColumn("partition", F.date_format(TS, "yyyy-MM"))
+    r.repartition(32).write.partitionBy("partition").parquet(path)
+    FI.compact(spark, path, "partition", [x[0] for x in r.select("partition").distinct().collect()],
+               sort_by=[TS])
+    return INC.read_partitioned(spark, path).select(*[c.strip() for c in RAW_COLS.split(",")], "partition")
+
+
 @register("tick_to_json")
 def q_tick_to_json(spark, sf_dir):
     return W.to_kafka_records(raw(spark, sf_dir))
