@@ -79,8 +79,15 @@ def read_partitioned(spark: SparkSession, path: str, partition: str = "partition
     return spark.read.format(fmt).schema(StructType(fields)).load(path)
 
 
-def _read_or_none(spark: SparkSession, path: str, fmt: str, partition: str = "partition"):
+def _read_or_none(spark: SparkSession, path: str, fmt: str, partition: str = "partition", schema=None):
+    """The table at ``path`` (None when absent).  With the table's schema
+    known (the updates' own), one listing and no schema inference."""
     try:
+        if schema is not None:
+            fields = [StructField(f.name, StringType(), True) if f.name == partition else f for f in schema.fields]
+            df = spark.read.format(fmt).schema(StructType(fields)).load(path)
+            df.limit(0).collect()   # fails fast when the path does not exist
+            return df
         return read_partitioned(spark, path, partition, fmt)
     except Exception:  # noqa: BLE001 - missing table
         return None
@@ -90,7 +97,7 @@ def upsert_path(spark: SparkSession, path: str, updates: DataFrame, keys=KEYS,
                 partition: str = "partition", fmt: str = "parquet") -> None:
     """Upsert into a partitioned table on disk, rewriting only the touched partitions."""
     keys = list(keys)
-    target = _read_or_none(spark, path, fmt, partition)
+    target = _read_or_none(spark, path, fmt, partition, schema=updates.schema)
     if target is None:
         (updates.repartitionByRange(partition, *keys).sortWithinPartitions(partition, *keys)
          .write.mode("overwrite").format(fmt).partitionBy(partition).save(path))
@@ -130,18 +137,20 @@ def build_all_candles(spark: SparkSession, ticks: DataFrame, root: str,
     slice of the ticks and ONE aggregation: the slice starts at the earliest
     per-table cutoff (the coarsest lookback, which lies on every finer grid),
     the 1-minute state is built once and rolled up, and each table gets an
-    upsert of its (complete) recomputed candles.  Finer tables are refreshed
-    over the wider window, which only adds late ticks they would otherwise
-    never see."""
+    upsert of its recomputed candles from its own cutoff on (the same
+    candles a per-table incremental run would write)."""
     from candlewick.operators.candles import multi_grain_candles
     paths = {iv: f"{root.rstrip('/')}/ohlc_{iv}" for iv in intervals}
     targets = {iv: None if full_refresh else _read_or_none(spark, p, fmt) for iv, p in paths.items()}
-    cutoffs = [incremental_cutoff(high_water_mark(t), iv) if t is not None else None for iv, t in targets.items()]
-    full = any(c is None for c in cutoffs)
-    src = ticks if full else ticks.where(since_predicate(ticks.columns, "transaction_timestamp", min(cutoffs)))
+    cutoffs = {iv: incremental_cutoff(high_water_mark(t), iv) if t is not None else None for iv, t in targets.items()}
+    full = any(c is None for c in cutoffs.values())
+    src = ticks if full else ticks.where(since_predicate(ticks.columns, "transaction_timestamp", min(cutoffs.values())))
     grains = multi_grain_candles(src, intervals)
     for iv, candles in grains.items():
         part = partition_col(iv)
+        if cutoffs[iv] is not None:
+            # each table keeps its own lookback: only candles from its cutoff are rewritten
+            candles = candles.where(F.col("candle_timestamp") >= ntz_lit(cutoffs[iv]))
         candles = candles.withColumn("partition", partition_value("candle_timestamp", part))
         if targets[iv] is None:
             (candles.repartitionByRange("partition", "currency_pair", "candle_timestamp")
