@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.constants import HOUR_VOLUME_PROFILE, PAIR_CONFIG, PAIR_SEED_ROWS, PEAK_HOUR_MULTIPLIER
-from candlewick.functions.columns import bucket, scale_effect
+from candlewick.functions.columns import bucket, scale_effect, scale_shock
 from candlewick.plans.joins import DEFAULT_BROADCAST_ROWS, has_at_most
 from candlewick.schemas import CURRENCY_PAIRS_SEED
 
@@ -134,10 +134,14 @@ def event_impact(ticks: DataFrame, events: DataFrame, ts: str = "transaction_tim
 
 
 def scaled_effects(events: DataFrame) -> DataFrame:
-    """Severity-scaled spread / volatility multipliers (1 + (m-1)*sev/5);
-    volume is not scaled."""
-    return (events.withColumn("scaled_spread_multiplier", scale_effect("spread_multiplier", "severity"))
-            .withColumn("scaled_volatility_multiplier", scale_effect("volatility_multiplier", "severity")))
+    """Severity-scaled spread / volatility multipliers (1 + (m-1)*sev/5) and,
+    when present, the price shock (shock*sev/5, NULL stays NULL); volume is
+    not scaled."""
+    out = (events.withColumn("scaled_spread_multiplier", scale_effect("spread_multiplier", "severity"))
+           .withColumn("scaled_volatility_multiplier", scale_effect("volatility_multiplier", "severity")))
+    if "price_shock_percent" in events.columns:
+        out = out.withColumn("scaled_price_shock_percent", scale_shock("price_shock_percent", "severity"))
+    return out
 
 
 # ------------------------------------------------------------ lookups

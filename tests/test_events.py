@@ -42,6 +42,15 @@ def test_hour_profile_and_peak(spark):
     assert got == {"noon": (1.5, True), "night": (0.2, False)}
 
 
+def test_scaled_price_shock(spark):
+    from pyspark.sql import functions as F
+    e = _events(spark, [("E", "X", None, None, None, 4, ["MRT"], 2.0, 3.0, 1.0)])
+    e = e.withColumn("price_shock_percent", F.lit(25.0)).union(
+        e.withColumn("price_shock_percent", F.lit(None).cast("double")).withColumn("event_id", F.lit("F")))
+    got = {r.event_id: r.scaled_price_shock_percent for r in EV.scaled_effects(e).collect()}
+    assert got == {"E": 20.0, "F": None}
+
+
 def test_scaled_effects(spark):
     e = _events(spark, [("E", "X", None, None, None, 5, ["MRT"], 2.0, 3.0, 1.0),
                         ("F", "X", None, None, None, 1, ["MRT"], 2.0, 3.0, 1.0)])
