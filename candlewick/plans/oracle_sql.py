@@ -1,9 +1,7 @@
 """DuckDB SQL for the correctness gate.
 
-Each entry is independent ANSI-ish SQL over the pre-registered tables; the
-tick and event fixtures are re-stated as CTEs (FIXTURES.md §3, §4), and the
-candle SQL follows the source models' row_number formulation so the oracle
-does not share our aggregation strategy.
+Each entry is independent SQL over the pre-registered tables; the tick and
+event fixtures are re-stated as CTEs (FIXTURES.md §3, §4).
 """
 
 from __future__ import annotations
@@ -84,31 +82,26 @@ _EXTRA = {"1min": (False, False), "5min": (False, False), "1h": (True, False), "
 
 
 def candle_cte(interval: str, name: str = "candles", src: str = "stg") -> str:
-    """Candle CTE in the source models' shape (row_number first/last)."""
+    """Candle CTE: one GROUP BY per grid bucket; first / last tick through
+    DuckDB's arg_min / arg_max keyed on (timestamp, tick id)."""
     traders, quotes = _EXTRA[interval]
     b = BUCKET_SQL[interval]
-    quote_cols = """,
-        max(CASE WHEN rn_first = 1 THEN bid_price END) AS open_bid_price,
-        max(CASE WHEN rn_first = 1 THEN ask_price END) AS open_ask_price,
-        max(CASE WHEN rn_last = 1 THEN bid_price END) AS close_bid_price,
-        max(CASE WHEN rn_last = 1 THEN ask_price END) AS close_ask_price""" if quotes else ""
+    key = "(transaction_timestamp, tick_id)"
+    quote_cols = "".join(f",\n        {fn}({c}, {key}) AS {alias}" for fn, c, alias in (
+        ("arg_min", "bid_price", "open_bid_price"), ("arg_min", "ask_price", "open_ask_price"),
+        ("arg_max", "bid_price", "close_bid_price"), ("arg_max", "ask_price", "close_ask_price"))) if quotes else ""
     trader_col = ",\n        count(DISTINCT trader_type) AS num_trader_types" if traders else ""
-    return f"""ordered_{name} AS (
-      SELECT {b} AS candle_timestamp, *,
-        row_number() OVER (PARTITION BY currency_pair, {b} ORDER BY transaction_timestamp, tick_id) AS rn_first,
-        row_number() OVER (PARTITION BY currency_pair, {b} ORDER BY transaction_timestamp DESC, tick_id DESC) AS rn_last
-      FROM {src}),
-    {name} AS (
-      SELECT candle_timestamp, currency_pair, base_currency, quote_currency,
+    return f"""{name} AS (
+      SELECT {b} AS candle_timestamp, currency_pair, base_currency, quote_currency,
         min(trade_price) AS low_price, max(trade_price) AS high_price,
-        max(CASE WHEN rn_first = 1 THEN trade_price END) AS open_price,
-        max(CASE WHEN rn_last = 1 THEN trade_price END) AS close_price{quote_cols},
+        arg_min(trade_price, {key}) AS open_price,
+        arg_max(trade_price, {key}) AS close_price{quote_cols},
         sum(volume) AS total_volume, avg(volume) AS avg_trade_volume, count(*) AS trade_count,
         avg(spread_bps) AS avg_spread_bps, min(spread_bps) AS min_spread_bps, max(spread_bps) AS max_spread_bps,
         count(DISTINCT exchange_location) AS num_exchanges{trader_col},
         min(transaction_timestamp) AS period_start, max(transaction_timestamp) AS period_end
-      FROM ordered_{name}
-      GROUP BY candle_timestamp, currency_pair, base_currency, quote_currency)"""
+      FROM {src}
+      GROUP BY 1, currency_pair, base_currency, quote_currency)"""
 
 
 def candle_select(interval: str, name: str = "candles") -> str:

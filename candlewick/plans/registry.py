@@ -315,14 +315,14 @@ def q_ohlc_all_grains(spark, sf_dir):
       SELECT currency_pair, date_trunc('minute', transaction_timestamp) AS candle_timestamp, tick_id,
         transaction_timestamp, trade_price,
         row_number() OVER (PARTITION BY currency_pair, date_trunc('minute', transaction_timestamp)
-                           ORDER BY transaction_timestamp, tick_id) AS rn_first,
+                           ORDER BY transaction_timestamp, tick_id) AS pos_asc,
         row_number() OVER (PARTITION BY currency_pair, date_trunc('minute', transaction_timestamp)
-                           ORDER BY transaction_timestamp DESC, tick_id DESC) AS rn_last
+                           ORDER BY transaction_timestamp DESC, tick_id DESC) AS pos_desc
       FROM stg)""") + """SELECT f.currency_pair, f.candle_timestamp,
       f.tick_id AS first_tick_id, f.transaction_timestamp AS first_ts, CAST(f.trade_price AS DOUBLE) AS first_price,
       l.tick_id AS last_tick_id, l.transaction_timestamp AS last_ts, CAST(l.trade_price AS DOUBLE) AS last_price
     FROM o f JOIN o l ON f.currency_pair = l.currency_pair AND f.candle_timestamp = l.candle_timestamp
-    WHERE f.rn_first = 1 AND l.rn_last = 1""")
+    WHERE f.pos_asc = 1 AND l.pos_desc = 1""")
 def q_first_last_ticks(spark, sf_dir):
     return report(C.first_last_ticks(staged(spark, sf_dir), "1min"))
 
