@@ -70,6 +70,19 @@ def upsert(target: DataFrame, updates: DataFrame, keys=KEYS) -> DataFrame:
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
+def merge_into(updates: DataFrame, table: str, keys=KEYS) -> None:
+    """Upsert into a catalog table whose format supports MERGE (Delta,
+    Iceberg, ...): update all columns of matching keys, insert the rest.
+    Plain Parquet tables do not support MERGE; use ``upsert_path`` there."""
+    keys = list(keys)
+    cond = None
+    for k in keys:
+        c = F.col(f"{table}.{k}") == F.col(f"source.{k}")
+        cond = c if cond is None else cond & c
+    (updates.alias("source").mergeInto(table, cond)
+     .whenMatched().updateAll().whenNotMatched().insertAll().merge())
+
+
 def read_partitioned(spark: SparkSession, path: str, partition: str = "partition", fmt: str = "parquet") -> DataFrame:
     """Read a table partitioned by a string transform value; the partition
     column is declared as string (inference would turn '2024-01-01' into a

@@ -84,3 +84,15 @@ def test_as_of_and_scd2(spark):
     s = INC.scd2(h, ["currency_pair", "candle_timestamp"], "calculated_at")
     cur = {(r.currency_pair, r.v) for r in s.where("is_current").collect()}
     assert cur == {("A", 2.0), ("B", 7.0)}
+
+
+def test_merge_into_needs_a_merge_capable_table(spark):
+    import pytest
+    name = "cw_plain_parquet_candles"
+    t = spark.createDataFrame([("A", 1, 1.0)], "currency_pair string, candle_timestamp int, v double")
+    t.write.mode("overwrite").format("parquet").saveAsTable(name)
+    try:
+        with pytest.raises(Exception):
+            INC.merge_into(t, name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
