@@ -14,7 +14,8 @@ SF_MED = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from candlewick.session import get_spark
-    s = get_spark("local[4]", shuffle_partitions=4, app_name="candlewick-tests")
+    s = get_spark("local[4]", shuffle_partitions=4, app_name="candlewick-tests",
+                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="candlewick-test-wh-")})
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="candlewick-test-ckpt-"))
     yield s
