@@ -69,6 +69,18 @@ def _with_chunk(df: DataFrame, by, order, chunk: str, n_chunks: int | None = Non
     return ranged
 
 
+def _null_safe_left_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Left join on ``keys`` where NULL matches NULL (a window groups NULL
+    keys together, so the carry must find them too)."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[F.col(c) for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, "left").drop(*[f"_r_{k}" for k in keys])
+
+
 def chunked_sequence(df: DataFrame, by, order, values=(), chunk: str = DEFAULT_CHUNK,
                      with_seq: bool = True, prefix: str = "prev_", n_chunks: int | None = None) -> DataFrame:
     """One pass over (key, chunk) windows giving, per row, ``seq`` (1-based
@@ -95,7 +107,7 @@ def chunked_sequence(df: DataFrame, by, order, values=(), chunk: str = DEFAULT_C
     if values:
         carry_cols.append(F.lag("_last").over(cw).alias("_carry"))
     carry = chunks.select(*by, "_chunk", *carry_cols)
-    d = d.join(carry, [*by, "_chunk"], "left")
+    d = _null_safe_left_join(d, carry, [*by, "_chunk"])
     first = F.col("_rn") == 1
     for v in values:
         d = d.withColumn(f"{prefix}{v}", F.when(first, F.col(f"_carry.{v}")).otherwise(F.col(f"_lag_{v}")))

@@ -205,7 +205,8 @@ def scd2(history: DataFrame, keys, updated_at: str, tie=()) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
     seq = sequenced(history, keys, [updated_at, *tie])
     nxt = seq.select(*keys, (F.col("seq") - 1).alias("seq"), F.col(updated_at).alias("valid_to"))
-    out = seq.join(nxt, [*keys, "seq"], "left")
+    from candlewick.operators.windows import _null_safe_left_join
+    out = _null_safe_left_join(seq, nxt, [*keys, "seq"])
     return (out.withColumn("valid_from", F.col(updated_at))
             .withColumn("is_current", F.col("valid_to").isNull())
             .select(*history.columns, "valid_from", "valid_to", "is_current"))

@@ -81,3 +81,15 @@ def test_balanced_chunks_split_a_single_hot_instant(spark):
     chunks = WN._with_chunk(df, ["currency_pair"], ["transaction_timestamp", "tick_id"], WN.BALANCED, 8)
     sizes = [r[1] for r in chunks.groupBy("_chunk").count().collect()]
     assert len(sizes) >= 4 and max(sizes) < 400
+
+
+def test_null_keys_grouped_like_a_plain_window(spark):
+    t = _ticks(spark).withColumn("currency_pair", F.when(F.col("tick_id").cast("long") % 5 == 0, F.lit(None))
+                                 .otherwise(F.col("currency_pair")))
+    w = Window.partitionBy("currency_pair").orderBy("transaction_timestamp", "tick_id")
+    ref = t.select("tick_id", F.lag("mid_price").over(w).alias("p"), F.row_number().over(w).alias("seq"))
+    for chunk in (WN.BALANCED, "1h"):
+        got = WN.chunked_sequence(t, ["currency_pair"], ["transaction_timestamp", "tick_id"], ["mid_price"],
+                                  chunk=chunk, n_chunks=5)
+        got = got.select("tick_id", F.col("prev_mid_price").alias("p"), "seq")
+        assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0, chunk
