@@ -48,10 +48,6 @@ def partition_col(interval: str) -> str:
         raise ValueError(f"no partition transform for {interval!r}") from None
 
 
-def with_partition(df: DataFrame, transform: str, ts: str = "candle_timestamp", name: str = "partition") -> DataFrame:
-    return df.withColumn(name, partition_value(ts, transform))
-
-
 def materialize(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None,
                 sort_by=None, mode: str = "overwrite") -> None:
     """Full rebuild of a table.  With ``partition_by``, rows are range-
