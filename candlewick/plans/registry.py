@@ -362,10 +362,8 @@ _VIOL = " OR ".join(["low_price > open_price", "low_price > high_price", "low_pr
               f"CAST(close_price AS DOUBLE) AS close_price FROM c_{i} WHERE {_VIOL}"
               for i, iv in enumerate(("1min", "5min", "1h", "1d"))))
 def q_ohlc_violations(spark, sf_dir):
-    s = staged(spark, sf_dir)
-    tables = {f"ohlc_candles_{iv}": C.ohlc_candles(s, iv, metrics=False, calculated_at=False)
-              for iv in ("1min", "5min", "1h", "1d")}
-    return report(Q.ohlc_violations(tables))
+    grains = C.multi_grain_candles(staged(spark, sf_dir), calculated_at=False)   # one tick scan
+    return report(Q.ohlc_violations({f"ohlc_candles_{iv}": df for iv, df in grains.items()}))
 
 
 # =============================================================== statistics
