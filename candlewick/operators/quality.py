@@ -31,9 +31,11 @@ class Check:
     def column(self) -> str:
         return self.label or ",".join(self.columns) or (self.expr or "")
 
-    def failing(self) -> Column | None:
-        """Row predicate that marks a failure (None for group checks)."""
-        c = F.col(self.columns[0]) if self.columns else None
+    def failing(self, resolve=None) -> Column | None:
+        """Row predicate that marks a failure (None for group checks).
+        ``resolve`` maps a column name to a Column (layered reports)."""
+        resolve = resolve or F.col
+        c = resolve(self.columns[0]) if self.columns else None
         if self.name == "not_null":
             return c.isNull()
         if self.name == "accepted_values":
@@ -46,6 +48,8 @@ class Check:
                 cond = cond | (c > F.lit(self.high))
             return c.isNotNull() & cond
         if self.name == "expression":
+            if resolve is not F.col:
+                raise ValueError("expression checks run on their own table (dq_report), not in a layered report")
             e = F.expr(self.expr)
             return e.isNotNull() & ~e
         return None
@@ -115,6 +119,56 @@ def store_failures(df: DataFrame, checks, path: str, model: str = "", fmt: str =
         failing_rows(df, c).write.mode("overwrite").format(fmt).save(f"{base}/{c.name}_{i}")
 
 
+def dq_report_layers(base: DataFrame, layers, key) -> DataFrame:
+    """Several tables that are narrow projections of one base (e.g. raw and
+    staged ticks) checked in ONE pass: one aggregation grouped by the shared
+    uniqueness ``key`` carries every layer's row-level failure sums and, per
+    layer, how many member rows each key has (uniqueness = keys with more
+    than one member).  ``layers``: (model, checks, resolve, member) with
+    ``resolve(name) -> Column`` and ``member`` the layer's row filter (None =
+    every row).  Uniqueness checks must be on ``key``."""
+    key = [key] if isinstance(key, str) else list(key)
+    sums, rows, members = [], [], []
+    for li, (model, checks, resolve, member) in enumerate(layers):
+        m = F.lit(True) if member is None else F.coalesce(member, F.lit(False))
+        members.append(F.sum(F.when(m, 1).otherwise(0)).alias(f"m{li}"))
+        for ci, c in enumerate(checks):
+            pred = c.failing(resolve)
+            if pred is None:
+                if list(c.columns) != key:
+                    raise ValueError(f"uniqueness check on {c.columns} != layered key {key}")
+                rows.append((model, c, f"u{li}"))
+                continue
+            sums.append(F.sum(F.when(m & pred, 1).otherwise(0)).alias(f"f{li}_{ci}"))
+            rows.append((model, c, f"f{li}_{ci}"))
+    key_cols = [layers[0][2](k).alias(f"_k{i}") for i, k in enumerate(key)]
+    nonnull = reduce(lambda a, b: a & b, [F.col(f"_k{i}").isNotNull() for i in range(len(key))])
+    per_key = base.groupBy(*key_cols).agg(*members, *sums)
+    totals = per_key.agg(*[F.sum(F.when(nonnull & (F.col(f"m{li}") > 1), 1).otherwise(0)).alias(f"u{li}")
+                           for li in range(len(layers))],
+                         *[F.sum(x).alias(x) for x in [a for _, _, a in rows if a.startswith("f")]])
+    out = totals.select(F.explode(F.array(*[
+        F.struct(F.lit(model).alias("model"), F.lit(c.name).alias("check"), F.lit(c.column).alias("column"),
+                 F.lit(c.severity).alias("severity"), F.coalesce(F.col(a), F.lit(0)).cast("long").alias("failures"))
+        for model, c, a in rows])).alias("r"))
+    return out.select("r.*")
+
+
+def dq_report_ticks(raw: DataFrame, raw_checks=None, stg_checks=None, raw_model: str = "raw_ticks",
+                    stg_model: str = "stg_fx_ticks") -> DataFrame:
+    """Source and staging checks of the tick table in one scan: the staged
+    rows are the raw rows that pass the quality filter after typing, so both
+    layers are columns of one projection (raw values under ``_raw_``)."""
+    from candlewick.operators.staging import quality_predicate, typed_ticks
+    raw_checks = source_checks() if raw_checks is None else raw_checks
+    stg_checks = staging_checks() if stg_checks is None else stg_checks
+    carried = [f"_raw_{c}" for c in raw.columns]
+    base = typed_ticks(raw.select("*", *[F.col(c).alias(f"_raw_{c}") for c in raw.columns]), keep=carried)
+    layers = [(raw_model, raw_checks, lambda n: F.col(f"_raw_{n}"), None),
+              (stg_model, stg_checks, F.col, quality_predicate())]
+    return dq_report_layers(base, layers, key="tick_id")
+
+
 def run_checks(df: DataFrame, checks, model: str = "", raise_on_error: bool = False) -> DataFrame:
     """``dq_report`` with an optional hard stop when an error-level check fails."""
     rep = dq_report(df, checks, model)

@@ -18,10 +18,11 @@ def _varchar(c: Column, n: int) -> Column:
     return F.substring(c.cast("string"), 1, n)
 
 
-def typed_ticks(raw: DataFrame) -> DataFrame:
-    """Cast + rename raw ticks to the staging types, split the pair symbol."""
+def typed_ticks(raw: DataFrame, keep=()) -> DataFrame:
+    """Cast + rename raw ticks to the staging types, split the pair symbol
+    (``keep``: extra input columns carried along unchanged)."""
     pair = F.col("currency_pair").cast("string")
-    return raw.select(
+    return raw.select(*[F.col(k) for k in keep],
         F.col("tick_id").cast("string").alias("tick_id"),
         F.col("transaction_timestamp").cast("timestamp_ntz").alias("transaction_timestamp"),
         F.col("event_time").cast("timestamp_ntz").alias("event_time"),

@@ -511,11 +511,9 @@ def _dq_sql():
 @register("dq_report", _dq_sql())
 def q_dq_report(spark, sf_dir):
     r = raw(spark, sf_dir)
-    s = ST.stage_ticks(r)
-    c1 = C.ohlc_candles(s, "1min", calculated_at=False)
-    return INC.union_all([Q.dq_report(r, Q.source_checks(), "raw_ticks"),
-                          Q.dq_report(s, Q.staging_checks(), "stg_fx_ticks"),
-                          Q.dq_report(c1, Q.candle_checks("1min"), "ohlc_candles_1min")])
+    c1 = C.ohlc_candles(ST.stage_ticks(r), "1min", calculated_at=False)
+    # source + staging checks share one scan of the ticks; candles are their own table
+    return Q.dq_report_ticks(r).unionByName(Q.dq_report(c1, Q.candle_checks("1min"), "ohlc_candles_1min"))
 
 
 @register("freshness", T + """SELECT max(event_time) AS max_loaded_at,

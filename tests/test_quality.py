@@ -44,3 +44,16 @@ def test_schema_contract(spark):
 def test_trade_outside_quote(spark):
     s = stage_ticks(raw_rows(spark, [dict(tick_id="in"), dict(tick_id="out", trade_price=1.5)]))
     assert [r.tick_id for r in Q.trade_outside_quote(s).collect()] == ["out"]
+
+
+def test_layered_tick_report_equals_separate_reports(spark):
+    from conftest import SF_SMALL
+
+    from candlewick.sources.fixtures import raw_ticks
+    raw = raw_ticks(spark, SF_SMALL)
+    raw = raw.unionByName(raw.limit(3))            # some duplicate tick ids in both layers
+    fused = Q.dq_report_ticks(raw)
+    separate = Q.dq_report(raw, Q.source_checks(), "raw_ticks").unionByName(
+        Q.dq_report(stage_ticks(raw), Q.staging_checks(), "stg_fx_ticks"))
+    assert fused.exceptAll(separate).count() == 0 and separate.exceptAll(fused).count() == 0
+    assert fused.where("check = 'unique' and failures > 0").count() == 2
