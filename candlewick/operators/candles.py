@@ -212,14 +212,28 @@ def with_spread_change(c: DataFrame) -> DataFrame:
                         F.when(open_sp > 0, (close_sp - open_sp).cast("double") / open_sp.cast("double") * F.lit(100.0)))
 
 
-def add_row_numbers(df: DataFrame, partition_cols, order_cols, prefix: str = "rn") -> DataFrame:
-    """``rn_first`` / ``rn_last`` row numbers per partition (macro form).
-    Window partitions are as large as the group: prefer ``first_last_ticks``
-    for first/last rows over large groups."""
-    asc = Window.partitionBy(*partition_cols).orderBy(*[F.col(c).asc() for c in order_cols])
-    desc = Window.partitionBy(*partition_cols).orderBy(*[F.col(c).desc() for c in order_cols])
-    return (df.withColumn(f"{prefix}_first", F.row_number().over(asc))
-            .withColumn(f"{prefix}_last", F.row_number().over(desc)))
+def add_row_numbers(df: DataFrame, partition_cols, order_cols, prefix: str = "rn",
+                    skew_safe: bool = True) -> DataFrame:
+    """``rn_first`` / ``rn_last`` row numbers per partition in ``order_cols``
+    (ascending / descending).
+
+    Skew-safe form (default): ``rn_first`` is the balanced chunked sequence
+    position, ``rn_last = group size - rn_first + 1`` with the group size from
+    an aggregation joined back (one row per group on the small side, so AQE
+    can split a hot group on the large side).  ``skew_safe=False`` gives the
+    plain two-window form, one task per group."""
+    partition_cols, order_cols = list(partition_cols), list(order_cols)
+    if not skew_safe:
+        asc = Window.partitionBy(*partition_cols).orderBy(*[F.col(c).asc() for c in order_cols])
+        desc = Window.partitionBy(*partition_cols).orderBy(*[F.col(c).desc() for c in order_cols])
+        return (df.withColumn(f"{prefix}_first", F.row_number().over(asc))
+                .withColumn(f"{prefix}_last", F.row_number().over(desc)))
+    from candlewick.operators.windows import _null_safe_left_join, sequenced
+    seq = sequenced(df, partition_cols, order_cols, name=f"{prefix}_first")
+    sizes = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_group_rows"))
+    out = _null_safe_left_join(seq, sizes, partition_cols)
+    return (out.withColumn(f"{prefix}_last", (F.col("_group_rows") - F.col(f"{prefix}_first") + 1).cast("long"))
+            .drop("_group_rows"))
 
 
 def first_last_ticks(ticks: DataFrame, interval: str = "1min") -> DataFrame:

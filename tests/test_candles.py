@@ -94,3 +94,13 @@ def test_multi_grain_from_one_state_equals_direct(spark):
         for iv, got in grains.items():
             direct = C.ohlc_candles(s, iv, calculated_at=False)
             assert got.exceptAll(direct).count() == 0 and direct.exceptAll(got).count() == 0, (reuse, iv)
+
+
+def test_row_numbers_skew_safe_equal_window_form(spark):
+    s = stage_ticks(raw_ticks(spark, SF_SMALL)).withColumn("b", C.bucket("transaction_timestamp", "1h"))
+    a = C.add_row_numbers(s, ["currency_pair", "b"], ["transaction_timestamp", "tick_id"])
+    w = C.add_row_numbers(s, ["currency_pair", "b"], ["transaction_timestamp", "tick_id"], skew_safe=False)
+    cols = ["tick_id", "rn_first", "rn_last"]
+    a2 = a.select(*[F.col(c).cast("long") for c in cols])
+    w2 = w.select(*[F.col(c).cast("long") for c in cols])
+    assert a2.exceptAll(w2).count() == 0 and w2.exceptAll(a2).count() == 0
