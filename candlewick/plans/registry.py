@@ -740,6 +740,24 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
+@register("stream_events", O.with_ctes(O.EVENTS) + """SELECT event_id, event_type, event_timestamp, start_timestamp,
+    end_timestamp, severity, array_to_string(affected_currencies, ',') AS affected_currencies,
+    spread_multiplier, volatility_multiplier, volume_multiplier FROM ev""")
+def q_stream_events(spark, sf_dir):
+    """Economic events published as wire JSON, read back by the event stream
+    source (availableNow) into a Parquet sink."""
+    from candlewick.streaming.ingest import read_event_stream
+    src, sink, ck = (scratch_path(spark, n) for n in ("events_wire", "events_sink", "events_ckpt"))
+    W.events_to_wire(events(spark, sf_dir)).write.json(src)
+    q = (read_event_stream(spark, path=src).writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    back = spark.read.parquet(sink)
+    return back.select("event_id", "event_type", "event_timestamp", "start_timestamp", "end_timestamp", "severity",
+                       F.array_join("affected_currencies", ",").alias("affected_currencies"),
+                       "spread_multiplier", "volatility_multiplier", "volume_multiplier")
+
+
 def queries() -> dict[str, Query]:
     return dict(Q_)
 
