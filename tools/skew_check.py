@@ -67,7 +67,8 @@ def main():
     from pyspark.sql import functions as F
 
     from candlewick.operators import stats as SS
-    from candlewick.operators.candles import ohlc_candles
+    from candlewick.functions.columns import bucket
+    from candlewick.operators.candles import add_row_numbers, ohlc_candles
     from candlewick.operators.events import event_impact
     from candlewick.operators.staging import dedup_ticks
     from candlewick.sources.fixtures import economic_events
@@ -100,6 +101,11 @@ def main():
         "log_returns, balanced": SS.log_returns(skewed, n_chunks=64),
         "realized_vol, balanced": SS.realized_vol(skewed, block_rows=4096, n_chunks=64),
         "tick_gaps, balanced": SS.tick_gaps(skewed, n_chunks=64),
+        "add_row_numbers, window": add_row_numbers(skewed.withColumn("b", bucket("transaction_timestamp", "1h")),
+                                                   ["currency_pair", "b"], ["transaction_timestamp", "tick_id"],
+                                                   skew_safe=False),
+        "add_row_numbers, skew-safe": add_row_numbers(skewed.withColumn("b", bucket("transaction_timestamp", "1h")),
+                                                      ["currency_pair", "b"], ["transaction_timestamp", "tick_id"]),
         "ohlc_1min (partial agg)": ohlc_candles(skewed, "1min"),
         "dedup by business key": dedup_ticks(skewed, keys=("currency_pair", "transaction_timestamp")),
         "event_impact (broadcast)": event_impact(skewed, economic_events(spark, sf_dir)),
