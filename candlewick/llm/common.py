@@ -6,11 +6,15 @@ import os
 import sys
 import tempfile
 import types
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MEMO_LIMIT = 300_000
+MEMO_LIMIT = 600_000
+#: Longer words are not kept beyond their slice.
+LONG_WORD = 48
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +51,7 @@ def held_out(id_col: Column, mod: int, remainder: int) -> Column:
 
 
 def worker_memo(name: str, limit: int = MEMO_LIMIT) -> dict:
-    """A dictionary that outlives a task in its Python worker; emptied at ``limit`` entries."""
+    """A dictionary that outlives a task in its Python worker; found empty once it has passed ``limit`` entries."""
     holder = sys.modules.setdefault("_candlewick_worker_memo", types.ModuleType("_candlewick_worker_memo"))
     memo = holder.__dict__.setdefault(name, {})
     if len(memo) > limit:
@@ -55,6 +59,20 @@ def worker_memo(name: str, limit: int = MEMO_LIMIT) -> dict:
     return memo
 
 
+def text_slices(texts: pd.Series, limit: int = 4_000_000) -> Iterator[list[str]]:
+    """The texts in order, nulls as empty, in lists of about ``limit`` characters (one text at least)."""
+    own, size = [], 0
+    for text in texts:
+        text = text or ""
+        if own and size + len(text) > limit:
+            yield own
+            own, size = [], 0
+        own.append(text)
+        size += len(text)
+    if own:
+        yield own
+
+
 def vocabulary_path(file_name: str) -> str:
     """Path of a public tokenizer file; ``TOKENIZER_DIR`` overrides the installed package."""
     folder = os.environ.get("TOKENIZER_DIR")

@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import chat_format
+from candlewick.llm import chat_format, packing, secret_scan, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_best_fit_packing": packing.op4_best_fit_packing,
+        "op6_secret_scan": secret_scan.op6_secret_scan,
+        "op8_token_counts": token_counts.op8_token_counts,
         "op9_chat_formatting": chat_format.op9_chat_formatting,
     }
 
