@@ -16,8 +16,11 @@ length go by partition order, which does not change the number of sequences.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,27 +34,68 @@ from candlewick.llm.common import LONG_WORD, cut, table, text_slices, vocabulary
 SIZE = 2048
 
 
+# The split rule of the default tokenizer, and the same rule for words of Western letters and ASCII.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WESTERN = re.compile(r"[!-~À-ÖØ-öø-ÿ¿¡«»]*")
+WESTERN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+class WordEncoder:
+    """Ids of white-space separated words.  No token spans white space, so a text's ids are those of its words.
+
+    With the default tokenizer's rules, a word of Western letters is lower-cased and split here and only
+    its distinct parts go through the tokenizer's model; all other words take the whole tokenizer.
+    """
+
+    def __init__(self, path: str, parts_kept: int = 700_000):
+        from tokenizers import Tokenizer, pre_tokenizers
+        self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(self.tokenizer.to_str())
+        split = ((rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0].get("pattern", {}).get("Regex")
+        self.parts: dict[str, bytes] | None = {} if split == SPLIT else None
+        self.special = tuple(t["content"] for t in rules["added_tokens"])
+        self.marks, self.kept = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False), parts_kept
+
+    def encode(self, words: list[str]) -> dict[str, bytes]:
+        """Little-endian 32-bit ids of each word."""
+        western, other = [], words
+        if self.parts is not None:
+            western = [w for w in words if WESTERN.fullmatch(w) and not any(t in w for t in self.special)]
+            other = list(set(words).difference(western))
+        out = {}
+        for k in range(0, len(other), 20_000):
+            part = other[k:k + 20_000]
+            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                out[word] = array("I", e.ids).tobytes()
+        if western:
+            split = [WESTERN_SPLIT.findall(w.lower()) for w in western]
+            if len(self.parts) > self.kept:
+                self.parts.clear()
+            tokenize, level = self.tokenizer.model.tokenize, self.marks.pre_tokenize_str
+            for part in set().union(*split).difference(self.parts):
+                marked = part if part.isascii() else level(part)[0][0]
+                self.parts[part] = array("I", [t.id for t in tokenize(marked)]).tobytes()
+            held = self.parts
+            out.update((w, b"".join([held[p] for p in own])) for w, own in zip(western, split, strict=True))
+        return out
+
+
 def encode_udf(path: str, size: int = SIZE):
     """Pieces of each text: array of (piece, start, length, crc32 of the ids)."""
 
     @F.pandas_udf("array<struct<piece:int,start:long,length:long,ids_crc32:long>>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-        held = worker_memo(f"tokenizer:{path}", 1 << 30)
+        held, end = worker_memo(f"encoder:{path}", 1 << 30), bytes(4)
         if not held:
-            held["t"] = Tokenizer.from_file(path)
-        tokenizer, end = held["t"], bytes(4)
+            held["encoder"] = WordEncoder(path)
         for texts in batches:
             out = []
             for own in text_slices(texts):
-                memo = worker_memo(f"ids:{path}")  # blank-separated word to its ids: no token spans white space
-                words = [text.split(" ") for text in own]
+                memo = worker_memo(f"ids:{path}", 300_000)
+                words = [text.replace("\n", " ").split(" ") for text in own]
                 new = list(set().union(*words).difference(memo))
-                for k in range(0, len(new), 20_000):
-                    part = new[k:k + 20_000]
-                    for word, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                        memo[word] = np.array(e.ids, "<u4").tobytes()
+                memo.update(held["encoder"].encode(new))
                 for w in words:
                     ids = memoryview(b"".join(map(memo.__getitem__, w)) + end)
                     out.append([{"piece": k, "start": k * size, "length": len(p) // 4, "ids_crc32": zlib.crc32(p)}
