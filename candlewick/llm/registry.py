@@ -6,17 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import chat_format, packing, secret_scan, token_counts
+from candlewick.llm import chat_format, line_dedup, packing, quality, secret_scan, simhash, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_classifier": quality.op1_quality_classifier,
+        "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
         "op6_secret_scan": secret_scan.op6_secret_scan,
+        "op7_line_dedup": line_dedup.op7_line_dedup,
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_chat_formatting": chat_format.op9_chat_formatting,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_chat_formatting": chat_format.OP9_SQL}
+    return {"op7_line_dedup": line_dedup.OP7_SQL, "op9_chat_formatting": chat_format.OP9_SQL}
