@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import chat_format, line_dedup, packing, quality, secret_scan, simhash, token_counts
+from candlewick.llm import chat_format, language_id, line_dedup, packing, quality, secret_scan, simhash, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_classifier": quality.op1_quality_classifier,
         "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
+        "op5_language_id": language_id.op5_language_id,
         "op6_secret_scan": secret_scan.op6_secret_scan,
         "op7_line_dedup": line_dedup.op7_line_dedup,
         "op8_token_counts": token_counts.op8_token_counts,
