@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import chat_format, language_id, line_dedup, packing, quality, secret_scan, simhash, token_counts
+from candlewick.llm import chat_format, embedding_dedup, language_id, line_dedup, packing, quality, secret_scan, simhash, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_line_dedup": line_dedup.op7_line_dedup,
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_chat_formatting": chat_format.op9_chat_formatting,
+        "op10_embedding_near_dedup": embedding_dedup.op10_embedding_near_dedup,
     }
 
 
