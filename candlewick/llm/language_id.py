@@ -183,19 +183,19 @@ def train(rows: list[tuple[str, str]], length: int = 40, rounds: int = 60, rate:
             now = (now @ trans if t else now) * pot[:, t]
             now /= now.sum(1, keepdims=True)
             forward[t] = now
-        grad, expected = np.zeros((len(types), n)), np.zeros((n, n))
+        error, expected = np.empty((chains, length, n)), np.zeros((n, n))
         for t in range(length - 1, -1, -1):
             gamma = forward[t] * back
             gamma /= gamma.sum(1, keepdims=True)
             gamma[np.arange(chains), gold[:, t]] -= 1
-            for k in range(n):
-                grad[:, k] += np.bincount(at[:, t], gamma[:, k], len(types))
+            error[:, t] = gamma
             if t:
                 ahead = back * pot[:, t]
                 joint = forward[t - 1][:, :, None] * trans * ahead[:, None, :]
                 expected += (joint / joint.sum((1, 2), keepdims=True)).sum(0)
                 back = ahead @ trans.T
                 back /= back.sum(1, keepdims=True)
+        grad = np.stack([np.bincount(at.ravel(), error[:, :, k].ravel(), len(types)) for k in range(n)], 1)
         spread = (grad * norm)[number]
         slope = np.stack([np.bincount(bucket, spread[:, k], BUCKETS + n) for k in range(n)], 1) / len(words) + decay * weights
         for x, g, m, v in ((weights, slope, moments[0], moments[1]), (link, (expected - pairs) / len(words), moments[2], moments[3])):
