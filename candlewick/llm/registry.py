@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import chat_format, embedding_dedup, language_id, line_dedup, packing, quality, secret_scan, simhash, token_counts
+from candlewick.llm import chat_format, decontaminate, embedding_dedup, language_id, line_dedup, packing, quality, secret_scan, simhash, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": quality.op1_quality_classifier,
         "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
+        "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
         "op5_language_id": language_id.op5_language_id,
         "op6_secret_scan": secret_scan.op6_secret_scan,
