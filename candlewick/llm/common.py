@@ -6,6 +6,7 @@ import os
 import sys
 import tempfile
 import types
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -45,6 +46,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
 def held_out(id_col: Column, mod: int, remainder: int) -> Column:
     """True where crc32 of the id as text leaves ``remainder``; a null id counts as empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % mod == remainder

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import cut, table
+from candlewick.llm.common import cut, shared_folder, table
 from candlewick.llm.components import connected_components
 
 BITS, HALF = 3, 0xFFFFFFFF
@@ -118,3 +118,18 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cluster(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 3) -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns.
+
+    The row with the smallest id stays (a null id comes last); of rows that share it, any one.
+    """
+    spark, path = docs.sparkSession, shared_folder(docs.sparkSession, "near-dedup-rows")
+    docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
+                F.monotonically_increasing_id().alias("place")).write.parquet(path)  # the numbers must not change any more
+    rows = spark.read.parquet(path)
+    marked = rows.select(F.struct(F.col(f"row.{id_col}").isNull().alias("last"), F.col(f"row.{id_col}").alias("id"), "place").alias("key"),
+                         F.col(f"row.{text_col}").alias("text"))
+    best = cluster(marked, "key", "text", words_in_shingle).select("component_id.place").distinct()
+    return rows.join(best, "place", "left_semi").select("row.*")
