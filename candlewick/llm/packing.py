@@ -25,6 +25,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,7 +38,7 @@ SIZE = 2048
 
 # The split rule of the default tokenizer, and the same rule for words of Western letters and ASCII.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-WESTERN = re.compile(r"[!-~À-ÖØ-öø-ÿ¿¡«»]*")
+WESTERN = "^[!-~À-ÖØ-öø-ÿ¿¡«»]*$"
 WESTERN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
@@ -47,64 +49,78 @@ class WordEncoder:
     its distinct parts go through the tokenizer's model; all other words take the whole tokenizer.
     """
 
-    def __init__(self, path: str, parts_kept: int = 700_000):
+    def __init__(self, path: str, parts_kept: int = 400_000):
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         rules = json.loads(self.tokenizer.to_str())
         split = ((rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0].get("pattern", {}).get("Regex")
-        self.parts: dict[str, bytes] | None = {} if split == SPLIT else None
-        self.special = tuple(t["content"] for t in rules["added_tokens"])
+        marked = all(t["content"].startswith("<|") for t in rules["added_tokens"])
+        self.parts: dict[str, bytes] | None = {} if split == SPLIT and marked else None
         self.marks, self.kept = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False), parts_kept
 
-    def encode(self, words: list[str]) -> dict[str, bytes]:
+    def _part(self, part: str) -> bytes:
+        if len(self.parts) > self.kept:
+            self.parts.clear()
+        marked = part if part.isascii() else self.marks.pre_tokenize_str(part)[0][0]
+        ids = array("I", [t.id for t in self.tokenizer.model.tokenize(marked)]).tobytes()
+        if len(part) <= LONG_WORD:
+            self.parts[part] = ids
+        return ids
+
+    def encode(self, words: pa.Array) -> list[bytes]:
         """Little-endian 32-bit ids of each word."""
-        western, other = [], words
-        if self.parts is not None:
-            western = [w for w in words if WESTERN.fullmatch(w) and not any(t in w for t in self.special)]
-            other = list(set(words).difference(western))
-        out = {}
+        if self.parts is None:
+            western = np.zeros(len(words), bool)
+        else:
+            western = pc.and_not(pc.match_substring_regex(words, WESTERN), pc.match_substring(words, "<|")).to_numpy(zero_copy_only=False)
+        out: list[bytes] = [b""] * len(words)
+        other = np.flatnonzero(~western)
         for k in range(0, len(other), 20_000):
-            part = other[k:k + 20_000]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                out[word] = array("I", e.ids).tobytes()
-        if western:
-            split = [WESTERN_SPLIT.findall(w.lower()) for w in western]
-            if len(self.parts) > self.kept:
-                self.parts.clear()
-            tokenize, level = self.tokenizer.model.tokenize, self.marks.pre_tokenize_str
-            for part in set().union(*split).difference(self.parts):
-                marked = part if part.isascii() else level(part)[0][0]
-                self.parts[part] = array("I", [t.id for t in tokenize(marked)]).tobytes()
-            held = self.parts
-            out.update((w, b"".join([held[p] for p in own])) for w, own in zip(western, split, strict=True))
+            at = other[k:k + 20_000]
+            for i, e in zip(at, self.tokenizer.encode_batch_fast(words.take(pa.array(at)).to_pylist(), add_special_tokens=False), strict=True):
+                out[i] = array("I", e.ids).tobytes()
+        at = np.flatnonzero(western)
+        for i, word in zip(at.tolist(), pc.utf8_lower(words.take(pa.array(at))).to_pylist(), strict=True):
+            ids = self.parts.get(word)
+            if ids is None:
+                own = WESTERN_SPLIT.findall(word)
+                ids = b"".join([self.parts.get(p) or self._part(p) for p in own])
+            out[i] = ids
         return out
 
 
+def encode_texts(texts: list[str], encoder: WordEncoder, size: int) -> list[list[dict]]:
+    """The pieces of each text; every distinct word of the texts is encoded once."""
+    words = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+    coded = words.flatten().dictionary_encode()
+    ids = encoder.encode(coded.dictionary)
+    flat = np.frombuffer(b"".join(ids), "<u4")
+    count = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    word = coded.indices.to_numpy(zero_copy_only=False)
+    n, out = count[word], []
+    first = (np.cumsum(count) - count)[word]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
+    for k in range(len(texts)):
+        a, b = bounds[k], bounds[k + 1]
+        own = np.zeros(ends[b] - ends[a] + 1, "<u4")  # with the closing id
+        own[:-1] = flat[np.repeat(first[a:b] - ends[a:b] + ends[a], n[a:b]) + np.arange(len(own) - 1)]
+        out.append([{"piece": p, "start": p * size, "length": len(cut_), "ids_crc32": zlib.crc32(cut_)}
+                    for p in range(-(-len(own) // size)) for cut_ in (own[p * size:(p + 1) * size],)])
+    return out
+
+
 def encode_udf(path: str, size: int = SIZE):
     """Pieces of each text: array of (piece, start, length, crc32 of the ids)."""
 
     @F.pandas_udf("array<struct<piece:int,start:long,length:long,ids_crc32:long>>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-        held, end = worker_memo(f"encoder:{path}", 1 << 30), bytes(4)
+        held = worker_memo(f"encoder:{path}", 1 << 30)
         if not held:
             held["encoder"] = WordEncoder(path)
         for texts in batches:
-            out = []
-            for own in text_slices(texts):
-                memo = worker_memo(f"ids:{path}", 300_000)
-                words = [text.replace("\n", " ").split(" ") for text in own]
-                new = list(set().union(*words).difference(memo))
-                memo.update(held["encoder"].encode(new))
-                for w in words:
-                    ids = memoryview(b"".join(map(memo.__getitem__, w)) + end)
-                    out.append([{"piece": k, "start": k * size, "length": len(p) // 4, "ids_crc32": zlib.crc32(p)}
-                                for k in range(-(-len(ids) // (4 * size)))
-                                for p in (ids[4 * size * k:4 * size * (k + 1)],)])
-                for word in new:
-                    if len(word) > LONG_WORD:
-                        del memo[word]
-            yield pd.Series(out)
+            yield pd.Series([p for own in text_slices(texts, 6_000_000) for p in encode_texts(own, held["encoder"], size)])
 
     return encode
 
