@@ -31,7 +31,7 @@ from candlewick.llm.common import cut, table
 from candlewick.llm.components import connected_components
 
 THRESHOLD, TILE, PIVOTS, GRID = 0.9, 2048, 64, 512
-_BLOCK = ("block long, cls binary, n binary, dim int, x binary, q binary, scale binary, left_out binary, "
+_BLOCK = ("block long, cls binary, n binary, dim int, single boolean, x binary, q binary, scale binary, left_out binary, "
           "centre array<double>, radius double")
 
 
@@ -50,9 +50,11 @@ def _pack(block: pd.DataFrame) -> pd.DataFrame:
     q, scale, left_out = quantise(unit)
     centre = unit.mean(0)
     centre = centre / np.linalg.norm(centre) if np.linalg.norm(centre) > 1e-9 else unit[0]
+    single = bool((x.astype(np.float32) == x).all())
     radius = float(np.arccos(np.clip(unit @ centre, -1, 1)).max())
     return pd.DataFrame({"block": [block["block"].iloc[0]], "cls": [block["cls"].to_numpy(np.int64).tobytes()],
-                         "n": [block["n"].to_numpy(np.int64).tobytes()], "dim": [x.shape[1]], "x": [x.tobytes()],
+                         "n": [block["n"].to_numpy(np.int64).tobytes()], "dim": [x.shape[1]],
+                         "x": [(x.astype(np.float32) if single else x).tobytes()], "single": [single],
                          "q": [q.tobytes()], "scale": [scale.tobytes()], "left_out": [left_out.tobytes()],
                          "centre": [centre.tolist()], "radius": [radius]})
 
@@ -95,7 +97,8 @@ def tile_udf(threshold: float):
 
     def read(p, side: str) -> dict:
         out = {k: np.frombuffer(p[f"{k}_{side}"], t) for k, t in
-               (("cls", np.int64), ("n", np.int64), ("x", np.float64), ("q", np.int8), ("scale", np.float64), ("left_out", np.float64))}
+               (("cls", np.int64), ("n", np.int64), ("q", np.int8), ("scale", np.float64), ("left_out", np.float64))}
+        out["x"] = np.frombuffer(p[f"x_{side}"], np.float32 if p[f"single_{side}"] else np.float64).astype(np.float64)
         for k in ("x", "q"):
             out[k] = out[k].reshape(-1, p["dim"])
         return out | {"norm": np.linalg.norm(out["x"], axis=1)}
@@ -127,6 +130,7 @@ def link_classes(classes: DataFrame, threshold: float = THRESHOLD, tile: int = T
     if classes.isEmpty():
         return spark.createDataFrame([], "cls long, links long, first long")
     # Pivots only decide which vectors sit together, so a bounded sample by hash is enough.
+    pivots = max(1, min(pivots, classes.count() // tile))
     centres = [np.array(r["x"], float) for r in classes.orderBy(F.xxhash64("cls")).limit(pivots).select("x").collect()]
     centres = [c / np.linalg.norm(c) for c in centres]
 
