@@ -49,43 +49,52 @@ class WordEncoder:
     its distinct parts go through the tokenizer's model; all other words take the whole tokenizer.
     """
 
-    def __init__(self, path: str, parts_kept: int = 400_000):
+    def __init__(self, path: str, parts_kept: int = 200_000):
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         rules = json.loads(self.tokenizer.to_str())
         split = ((rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0].get("pattern", {}).get("Regex")
-        marked = all(t["content"].startswith("<|") for t in rules["added_tokens"])
-        self.parts: dict[str, bytes] | None = {} if split == SPLIT and marked else None
-        self.marks, self.kept = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False), parts_kept
+        self.western = split == SPLIT and all(t["content"].startswith("<|") for t in rules["added_tokens"])
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.marks = {code: byte_level.pre_tokenize_str(chr(code))[0][0] for code in range(0xA1, 0x100)}
+        # Ids of parts used lately: when the younger half is full, it becomes the older one.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.kept = parts_kept
 
     def _part(self, part: str) -> bytes:
-        if len(self.parts) > self.kept:
-            self.parts.clear()
-        marked = part if part.isascii() else self.marks.pre_tokenize_str(part)[0][0]
-        ids = array("I", [t.id for t in self.tokenizer.model.tokenize(marked)]).tobytes()
-        if len(part) <= LONG_WORD:
-            self.parts[part] = ids
+        ids = self.young.get(part)
+        if ids is None:
+            ids = self.old.get(part) or array("I", [t.id for t in self.tokenize(part.translate(self.marks))]).tobytes()
+            if len(part) <= LONG_WORD:
+                self.young[part] = ids
         return ids
 
+    def _western(self, words: list[str]) -> list[bytes]:
+        if len(self.young) > self.kept:
+            self.old, self.young = self.young, {}
+        out = list(map(self.young.get, words))
+        for k in [k for k, ids in enumerate(out) if ids is None]:
+            out[k] = b"".join(map(self._part, WESTERN_SPLIT.findall(words[k])))
+        return out
+
     def encode(self, words: pa.Array) -> list[bytes]:
         """Little-endian 32-bit ids of each word."""
-        if self.parts is None:
-            western = np.zeros(len(words), bool)
-        else:
-            western = pc.and_not(pc.match_substring_regex(words, WESTERN), pc.match_substring(words, "<|")).to_numpy(zero_copy_only=False)
         out: list[bytes] = [b""] * len(words)
-        other = np.flatnonzero(~western)
+        own = np.zeros(len(words), bool)
+        if self.western:
+            own = pc.and_not(pc.match_substring_regex(words, WESTERN), pc.match_substring(words, "<|")).to_numpy(zero_copy_only=False)
+            found = self._western(pc.utf8_lower(words.filter(pa.array(own))).to_pylist())
+            if own.all():
+                return found
+            for i, ids in zip(np.flatnonzero(own).tolist(), found, strict=True):
+                out[i] = ids
+        other = np.flatnonzero(~own)
         for k in range(0, len(other), 20_000):
             at = other[k:k + 20_000]
             for i, e in zip(at, self.tokenizer.encode_batch_fast(words.take(pa.array(at)).to_pylist(), add_special_tokens=False), strict=True):
                 out[i] = array("I", e.ids).tobytes()
-        at = np.flatnonzero(western)
-        for i, word in zip(at.tolist(), pc.utf8_lower(words.take(pa.array(at))).to_pylist(), strict=True):
-            ids = self.parts.get(word)
-            if ids is None:
-                own = WESTERN_SPLIT.findall(word)
-                ids = b"".join([self.parts.get(p) or self._part(p) for p in own])
-            out[i] = ids
         return out
 
 
@@ -93,14 +102,15 @@ def encode_texts(texts: list[str], encoder: WordEncoder, size: int) -> list[list
     """The pieces of each text; every distinct word of the texts is encoded once."""
     words = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
     coded = words.flatten().dictionary_encode()
-    ids = encoder.encode(coded.dictionary)
+    bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
+    word, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+    del words, coded  # the words themselves are needed once each from here on
+    ids = encoder.encode(distinct)
     flat = np.frombuffer(b"".join(ids), "<u4")
-    count = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-    word = coded.indices.to_numpy(zero_copy_only=False)
+    count = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
     n, out = count[word], []
     first = (np.cumsum(count) - count)[word]
     ends = np.concatenate([[0], np.cumsum(n)])
-    bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
     for k in range(len(texts)):
         a, b = bounds[k], bounds[k + 1]
         own = np.zeros(ends[b] - ends[a] + 1, "<u4")  # with the closing id
@@ -120,7 +130,11 @@ def encode_udf(path: str, size: int = SIZE):
         if not held:
             held["encoder"] = WordEncoder(path)
         for texts in batches:
-            yield pd.Series([p for own in text_slices(texts, 6_000_000) for p in encode_texts(own, held["encoder"], size)])
+            out = []
+            for own in text_slices(texts, 8_000_000):
+                out += encode_texts(own, held["encoder"], size)
+                pa.default_memory_pool().release_unused()
+            yield pd.Series(out)
 
     return encode
 
