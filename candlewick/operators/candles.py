@@ -62,9 +62,8 @@ def _edge(quotes: bool):
     return F.struct(*fields)
 
 
-def candle_state(ticks: DataFrame, interval: str, spec: CandleSpec | None = None) -> DataFrame:
-    """Mergeable per-candle buffers (hidden ``_`` columns)."""
-    spec = spec or candle_spec(interval)
+def candle_aggregates(spec: CandleSpec) -> list:
+    """The mergeable buffers of a candle, for batch and streaming builds alike."""
     edge = _edge(spec.quotes)
     aggs = [
         F.min("trade_price").alias("low_price"),
@@ -83,9 +82,14 @@ def candle_state(ticks: DataFrame, interval: str, spec: CandleSpec | None = None
     ]
     if spec.trader_types:
         aggs.append(F.collect_set("trader_type").alias("_traders"))
+    return aggs
+
+
+def candle_state(ticks: DataFrame, interval: str, spec: CandleSpec | None = None) -> DataFrame:
+    """Mergeable per-candle buffers (hidden ``_`` columns)."""
     return (ticks.groupBy(bucket("transaction_timestamp", interval).alias("candle_timestamp"),
                           "currency_pair", "base_currency", "quote_currency")
-            .agg(*aggs))
+            .agg(*candle_aggregates(spec or candle_spec(interval))))
 
 
 def _set_union(col: str):

@@ -17,6 +17,8 @@ currencies of a pair is kept only on its base-currency row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,7 +83,7 @@ def _exploded_pairs(ticks: DataFrame, events: DataFrame, ts: str, start: str, en
     t = (ticks.withColumn("_bucket", bucket(ts, _HOUR))
          .withColumn("_side", F.explode(F.array(F.lit(0), F.lit(1))))
          .withColumn("_cur", F.when(F.col("_side") == 0, F.col("base_currency")).otherwise(F.col("quote_currency"))))
-    j = t.join(ev, ["_bucket", "_cur"], "inner")
+    j = t.join(ev.hint("merge"), ["_bucket", "_cur"], "inner")  # beyond the broadcast bound, whatever Spark's estimate
     keep = ((F.col(f"_ev.{start}") <= F.col(ts)) & (F.col(ts) <= F.col(f"_ev.{end}")) &
             ((F.col("_side") == 0) | ~F.array_contains(F.col("_ev.affected_currencies"), F.col("base_currency"))))
     return j.where(keep).drop("_bucket", "_cur", "_side")
@@ -110,21 +112,27 @@ def event_impact(ticks: DataFrame, events: DataFrame, ts: str = "transaction_tim
     with_lists = _with_bucket_events(ticks, events, ts, start, end, max_broadcast_rows)
     if with_lists is not None:
         def prod(field):
-            return F.aggregate("_active", F.lit(1.0), lambda acc, e: acc * e[field])
+            # a NULL multiplier counts as none, as it does in the product aggregate
+            return F.aggregate("_active", F.lit(1.0), lambda acc, e: acc * F.coalesce(e[field], F.lit(1.0)))
         out = with_lists.select(*[F.col(c) for c in ticks.columns],
                                 F.size("_active").cast("long").alias("active_events"),
                                 prod("spread_multiplier").alias("spread_factor"),
                                 prod("volatility_multiplier").alias("volatility_factor"),
                                 prod("volume_multiplier").alias("volume_factor"))
     else:
-        keys = ["tick_id", ts, "currency_pair"]
-        pairs = _exploded_pairs(ticks, events, ts, start, end)
+        # Impact depends on the instant and the two currencies alone, so it is computed once for each of
+        # these and joined back: repeated ticks neither multiply nor merge.
+        keys = [ts, "base_currency", "quote_currency"]
+        pairs = _exploded_pairs(ticks.select(*keys).distinct(), events, ts, start, end)
         agg = (pairs.groupBy(*keys)
                .agg(F.count(F.lit(1)).alias("active_events"),
                     F.product("_ev.spread_multiplier").alias("spread_factor"),
                     F.product("_ev.volatility_multiplier").alias("volatility_factor"),
                     F.product("_ev.volume_multiplier").alias("volume_factor")))
-        out = (ticks.join(agg, keys, "left")
+        agg = agg.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "active_events", "spread_factor",
+                         "volatility_factor", "volume_factor")
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+        out = (ticks.join(agg.hint("merge"), same, "left")
                .select(*[F.col(c) for c in ticks.columns],
                        F.coalesce("active_events", F.lit(0).cast("long")).alias("active_events"),
                        *[F.coalesce(c, F.lit(1.0)).alias(c) for c in ("spread_factor", "volatility_factor", "volume_factor")]))

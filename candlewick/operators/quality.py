@@ -78,29 +78,15 @@ def _report_rows(row, names) -> DataFrame:
 def dq_report(df: DataFrame, checks, model: str = "") -> DataFrame:
     """(model, check, column, severity, failures) for every check.
 
-    One scan per table: the row-level failure sums ride along in the
-    group-by-key aggregation of the first uniqueness check (partial
-    aggregation map-side, so even a hot or NULL key is combined before the
-    shuffle), then a tiny global sum.  Further uniqueness checks on other
-    keys are one grouped count each; with no uniqueness check the row-level
-    sums are a single global aggregate."""
+    All row-level checks are one global aggregate (a row per task is all that
+    moves); a uniqueness check groups by its key alone."""
     spark = df.sparkSession
     row_checks = [c for c in checks if c.failing() is not None]
-    group_checks = [c for c in checks if c.failing() is None]
+    rest = [c for c in checks if c.failing() is None]
     sums = [F.sum(F.when(c.failing(), 1).otherwise(0)).alias(f"f{i}") for i, c in enumerate(row_checks)]
     parts = []
-    if group_checks:
-        first, rest = group_checks[0], group_checks[1:]
-        keys = list(first.columns)
-        nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *sums)
-        total = per_key.agg(F.sum(F.when(nonnull & (F.col("_n") > 1), 1).otherwise(0)).alias("g0"),
-                            *[F.sum(f"f{i}").alias(f"f{i}") for i in range(len(row_checks))])
-        parts.append(_report_rows(total, [(first, "g0")] + [(c, f"f{i}") for i, c in enumerate(row_checks)]))
-    else:
-        rest = []
-        if row_checks:
-            parts.append(_report_rows(df.agg(*sums), [(c, f"f{i}") for i, c in enumerate(row_checks)]))
+    if row_checks:
+        parts.append(_report_rows(df.agg(*sums), [(c, f"f{i}") for i, c in enumerate(row_checks)]))
     for c in rest:
         f = failing_rows(df, c).agg(F.count(F.lit(1)).cast("long").alias("failures"))
         parts.append(f.select(F.lit(c.name).alias("check"), F.lit(c.column).alias("column"),
@@ -121,10 +107,9 @@ def store_failures(df: DataFrame, checks, path: str, model: str = "", fmt: str =
 
 def dq_report_layers(base: DataFrame, layers, key) -> DataFrame:
     """Several tables that are narrow projections of one base (e.g. raw and
-    staged ticks) checked in ONE pass: one aggregation grouped by the shared
-    uniqueness ``key`` carries every layer's row-level failure sums and, per
-    layer, how many member rows each key has (uniqueness = keys with more
-    than one member).  ``layers``: (model, checks, resolve, member) with
+    staged ticks): one global aggregate holds every layer's row-level failure
+    sums, and one grouping by the shared uniqueness ``key`` alone counts each
+    layer's member rows per key (uniqueness = keys with more than one member).  ``layers``: (model, checks, resolve, member) with
     ``resolve(name) -> Column`` and ``member`` the layer's row filter (None =
     every row).  Uniqueness checks must be on ``key``."""
     key = [key] if isinstance(key, str) else list(key)
@@ -143,10 +128,11 @@ def dq_report_layers(base: DataFrame, layers, key) -> DataFrame:
             rows.append((model, c, f"f{li}_{ci}"))
     key_cols = [layers[0][2](k).alias(f"_k{i}") for i, k in enumerate(key)]
     nonnull = reduce(lambda a, b: a & b, [F.col(f"_k{i}").isNotNull() for i in range(len(key))])
-    per_key = base.groupBy(*key_cols).agg(*members, *sums)
+    per_key = base.groupBy(*key_cols).agg(*members)
     totals = per_key.agg(*[F.sum(F.when(nonnull & (F.col(f"m{li}") > 1), 1).otherwise(0)).alias(f"u{li}")
-                           for li in range(len(layers))],
-                         *[F.sum(x).alias(x) for x in [a for _, _, a in rows if a.startswith("f")]])
+                           for li in range(len(layers))])
+    if sums:
+        totals = base.agg(*sums).join(F.broadcast(totals))  # one row each
     out = totals.select(F.explode(F.array(*[
         F.struct(F.lit(model).alias("model"), F.lit(c.name).alias("check"), F.lit(c.column).alias("column"),
                  F.lit(c.severity).alias("severity"), F.coalesce(F.col(a), F.lit(0)).cast("long").alias("failures"))
@@ -219,22 +205,20 @@ def staging_checks() -> list[Check]:
 
 
 def candle_checks(interval: str) -> list[Check]:
-    """Candle table contract (one per grain)."""
-    nn = ["candle_timestamp", "currency_pair", "base_currency", "quote_currency", "open_price",
-          "high_price", "low_price", "close_price", "total_volume", "trade_count"]
-    checks = [Check("not_null", (c,)) for c in nn]
-    checks += [
+    """Candle table contract of a grain; the 1-minute table has the widest one."""
+    base = ["candle_timestamp", "currency_pair", "open_price", "high_price", "low_price", "close_price", "total_volume"]
+    extra = ["base_currency", "quote_currency", "trade_count", "calculated_at"] if interval == "1min" else []
+    checks = [Check("not_null", (c,)) for c in base + extra]
+    checks += [Check("accepted_values", ("candle_interval",), values=(interval,)),
+               Check("unique_combination", ("currency_pair", "candle_timestamp"))]
+    if interval != "1min":
+        return checks
+    rules = ("low_price <= high_price", "low_price <= open_price", "low_price <= close_price", "high_price >= open_price")
+    return checks + [
         Check("accepted_values", ("currency_pair",), values=tuple(CURRENCY_PAIRS)),
         Check("between", ("open_price",), low=PRICE_MIN, high=PRICE_MAX),
         Check("between", ("total_volume",), low=0),
-        Check("accepted_values", ("candle_interval",), values=(interval,)),
-        Check("unique_combination", ("currency_pair", "candle_timestamp")),
-        Check("expression", (), expr="low_price <= high_price", label="low_price <= high_price"),
-        Check("expression", (), expr="low_price <= open_price", label="low_price <= open_price"),
-        Check("expression", (), expr="low_price <= close_price", label="low_price <= close_price"),
-        Check("expression", (), expr="high_price >= open_price", label="high_price >= open_price"),
-    ]
-    return checks
+        *[Check("expression", (), expr=rule, label=rule) for rule in rules]]
 
 
 def ohlc_violations(tables: dict[str, DataFrame]) -> DataFrame:

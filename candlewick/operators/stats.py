@@ -96,6 +96,10 @@ def pair_correlation(ticks: DataFrame, interval: str = "1min", pairs=CURRENCY_PA
     fixed, so the pivot needs no distinct-values pass), then all 15
     correlations in one global aggregate (partial per task, tiny final)."""
     pairs = list(pairs)
+    # a pair outside the list is an error, not a row to leave out
+    known = F.col("currency_pair").isNull() | F.col("currency_pair").isin(pairs)
+    ticks = ticks.withColumn("currency_pair", F.when(known, F.col("currency_pair")).otherwise(
+        F.raise_error(F.concat(F.lit("pair not in the list: "), F.col("currency_pair"))).cast("string")))
     wide = (ticks.groupBy(bucket(TS, interval).alias("bucket_start"))
             .pivot("currency_pair", pairs).agg(F.avg(F.col("mid_price").cast("double"))))
     combos = list(itertools.combinations(pairs, 2))

@@ -24,32 +24,22 @@ by rank instead: rows are range-partitioned on (key, order columns) into
 sampler splits even one hot key or instant,
 because the order columns end with a unique tick id) and the range index is
 the chunk.  Range bounds come from a sample, so where the plan reads the
-chunked rows twice (carry join) they are persisted once, keeping one chunk
-assignment for both reads; a lost block is recomputed through the same
-partitioner.  Range indices increase with the order inside every key, so
+chunked rows twice (carry join) they are checkpointed once in the shared
+folder, keeping one chunk assignment for both reads; select the columns you
+need before.  Range indices increase with the order inside every key, so
 the carry logic is unchanged.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.columns import bucket, micros_between
+from candlewick.session import checkpoint_dir
 
 BALANCED = "balanced"
 DEFAULT_CHUNK = BALANCED
-_FROZEN: list[DataFrame] = []   # ranged inputs persisted by balanced chunking
-
-
-def release_chunk_cache() -> int:
-    """Unpersist the ranged inputs kept by balanced chunking.  Call after
-    the results that depend on them have been written or collected."""
-    n = len(_FROZEN)
-    while _FROZEN:
-        _FROZEN.pop().unpersist()
-    return n
 
 
 def _with_chunk(df: DataFrame, by, order, chunk: str, n_chunks: int | None = None,
@@ -64,9 +54,8 @@ def _with_chunk(df: DataFrame, by, order, chunk: str, n_chunks: int | None = Non
     ranged = ranged.withColumn("_chunk", F.spark_partition_id())
     if not freeze:
         return ranged
-    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    _FROZEN.append(ranged)
-    return ranged
+    checkpoint_dir(df.sparkSession)
+    return ranged.checkpoint(eager=True)
 
 
 def _null_safe_left_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
@@ -130,7 +119,7 @@ def max_gap(df: DataFrame, by=(), ts: str = "transaction_timestamp", chunk: str
     lineage (no join back), so balanced chunks need no persisting."""
     by = list(by)
     order = [ts] + ([tie] if tie else [])
-    d = _with_chunk(df, by, order, chunk, n_chunks)
+    d = _with_chunk(df.select(*by, *order), by, order, chunk, n_chunks)
     w = Window.partitionBy(*by, "_chunk").orderBy(*order)
     d = d.withColumn("_step", micros_between(F.lag(ts).over(w), F.col(ts)))
     chunks = d.groupBy(*by, "_chunk").agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"),

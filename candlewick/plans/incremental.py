@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime as _dt
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -23,6 +24,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from candlewick.constants import LOOKBACK_MINUTES
 from candlewick.functions.columns import bucket, grid_floor_literal, ntz_lit, partition_value, since_predicate
 from candlewick.operators.candles import ohlc_candles
+from candlewick.operators.quality import schema_changes
 from candlewick.session import checkpoint_dir
 from candlewick.sources.files import partition_col
 
@@ -67,7 +69,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys=KEYS) -> DataFrame:
     target rows are kept (MERGE ... update all / insert all)."""
     keys = list(keys)
     kept = target.join(updates.select(*keys), keys, "left_anti").select(*target.columns)
-    return kept.unionByName(updates, allowMissingColumns=True)
+    return kept.unionByName(updates)
 
 
 def merge_into(updates: DataFrame, table: str, keys=KEYS) -> None:
@@ -92,31 +94,44 @@ def read_partitioned(spark: SparkSession, path: str, partition: str = "partition
     return spark.read.format(fmt).schema(StructType(fields)).load(path)
 
 
-def _read_or_none(spark: SparkSession, path: str, fmt: str, partition: str = "partition", schema=None):
-    """The table at ``path`` (None when absent).  With the table's schema
-    known (the updates' own), one listing and no schema inference."""
+def _read_or_none(spark: SparkSession, path: str, fmt: str, partition: str = "partition"):
+    """The table at ``path`` with its own schema; None only when the path is proven missing.
+
+    Any other error (storage, permissions, unreadable files) is raised: taking it
+    for "no table" would replace the history by the update."""
     try:
-        if schema is not None:
-            fields = [StructField(f.name, StringType(), True) if f.name == partition else f for f in schema.fields]
-            return spark.read.format(fmt).schema(StructType(fields)).load(path)   # missing path raises here
         return read_partitioned(spark, path, partition, fmt)
-    except Exception:  # noqa: BLE001 - missing table
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def require_same_schema(target: DataFrame, updates: DataFrame) -> None:
+    """Fail on columns that an update lacks, adds or types differently."""
+    change = schema_changes(updates.schema, target.schema)
+    if any(change.values()):
+        raise AssertionError(f"schema change against the table: {change}")
 
 
 def upsert_path(spark: SparkSession, path: str, updates: DataFrame, keys=KEYS,
                 partition: str = "partition", fmt: str = "parquet") -> None:
-    """Upsert into a partitioned table on disk, rewriting only the touched partitions."""
+    """Upsert into a partitioned table on disk, rewriting only the touched partitions.
+
+    The update must have exactly the table's columns and types; otherwise it
+    fails and the table is left as it is.  Only a missing path is built anew."""
     keys = list(keys)
-    target = _read_or_none(spark, path, fmt, partition, schema=updates.schema)
+    target = _read_or_none(spark, path, fmt, partition)
     if target is None:
         (updates.repartitionByRange(partition, *keys).sortWithinPartitions(partition, *keys)
          .write.mode("overwrite").format(fmt).partitionBy(partition).save(path))
         return
+    require_same_schema(target, updates)
+    checkpoint_dir(spark)  # make sure a shared checkpoint folder is set
+    updates = updates.checkpoint(eager=True)  # evaluated once: partitions, anti join and union all read it
     touched = [r[0] for r in updates.select(partition).distinct().collect()]  # partitions, not rows
     old = target.where(F.col(partition).isin(touched))
     merged = upsert(old, updates.select(*target.columns), keys)
-    checkpoint_dir(spark)  # make sure a shared checkpoint folder is set
     merged = merged.checkpoint(eager=True)
     # range partitioning on (partition, key): each task writes a contiguous
     # slice of one or two partitions, and a hot partition is split by the sampler
@@ -131,6 +146,9 @@ def build_candles(spark: SparkSession, ticks: DataFrame, path: str, interval: st
     """Full or incremental build of one candle table at ``path``."""
     part = partition_col(interval)
     target = None if full_refresh else _read_or_none(spark, path, fmt)
+    if target is not None:
+        built = ohlc_candles(ticks, interval).withColumn("partition", partition_value("candle_timestamp", part))
+        require_same_schema(target, built)
     src = ticks if target is None else incremental_slice(ticks, target, interval, lookback_minutes)
     candles = ohlc_candles(src, interval).withColumn("partition", partition_value("candle_timestamp", part))
     if target is None:
@@ -197,17 +215,11 @@ def scd2(history: DataFrame, keys, updated_at: str, tie=()) -> DataFrame:
     """Type-2 history: valid_from = updated_at, valid_to = next version's
     updated_at (NULL for the current row), is_current.
 
-    ``lead`` over a per-key window would put every version of a key in one
-    task; instead each row gets its position per key from the chunked
-    sequence (balanced rank ranges) and is joined to position + 1 on
-    (key, seq), a unique key, so no group is ever handled by a single task."""
-    from candlewick.operators.windows import sequenced
+    One ``lead`` over the key: a key has as many rows as it has versions."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    seq = sequenced(history, keys, [updated_at, *tie])
-    nxt = seq.select(*keys, (F.col("seq") - 1).alias("seq"), F.col(updated_at).alias("valid_to"))
-    from candlewick.operators.windows import _null_safe_left_join
-    out = _null_safe_left_join(seq, nxt, [*keys, "seq"])
-    return (out.withColumn("valid_from", F.col(updated_at))
+    by_version = Window.partitionBy(*keys).orderBy(updated_at, *tie)
+    return (history.withColumn("valid_from", F.col(updated_at))
+            .withColumn("valid_to", F.lead(updated_at).over(by_version))
             .withColumn("is_current", F.col("valid_to").isNull())
             .select(*history.columns, "valid_from", "valid_to", "is_current"))
 

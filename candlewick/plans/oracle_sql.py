@@ -20,11 +20,11 @@ RAW = f"""raw AS (
     CAST({S} AS DOUBLE) AS spread_bps,
     value*(1+(event_id % 13 - 6)*0.00005e0) AS trade_price,
     CAST(json_extract_string(props, '$.k') AS DOUBLE) AS volume,
-    CASE event_id % 4 WHEN 0 THEN 'Earth_FX_Hub' WHEN 1 THEN 'Mars_Central_Exchange'
-      WHEN 2 THEN 'Lunar_Trading_Post' ELSE 'Asteroid_Belt_Hub' END AS exchange_location,
+    CASE WHEN event_id % 89 = 7 THEN 'Asteroid_Market' ELSE CASE event_id % 4 WHEN 0 THEN 'Earth_FX_Hub' WHEN 1 THEN 'Mars_Central_Exchange'
+      WHEN 2 THEN 'Lunar_Trading_Post' ELSE 'Asteroid_Belt_Hub' END END AS exchange_location,
     CASE event_type WHEN 'click' THEN 'institutional' WHEN 'view' THEN 'retail'
       WHEN 'purchase' THEN 'mining_corp' WHEN 'signup' THEN 'government' ELSE 'unknown' END AS trader_type,
-    ts + to_seconds(event_id % 7) AS event_time
+    ts + to_seconds(event_id % 7) + CASE WHEN event_id % 13 = 5 THEN INTERVAL 6 HOUR ELSE INTERVAL 0 HOUR END AS event_time
   FROM events)"""
 
 TYPED = """typed AS (
@@ -55,14 +55,14 @@ EVENTS = """ev AS (
     CASE user_id % 6 WHEN 0 THEN 'SOLAR_STORM' WHEN 1 THEN 'TRADE_TARIFF' WHEN 2 THEN 'OXYGEN_CRISIS'
       WHEN 3 THEN 'MINING_STRIKE' WHEN 4 THEN 'POLICY_CHANGE' ELSE 'SUPPLY_SHOCK' END AS event_type,
     ts AS event_timestamp, ts AS start_timestamp,
-    ts + to_minutes(CAST(30 + event_id % 690 AS INTEGER)) AS end_timestamp,
+    ts + to_minutes(CAST(CASE WHEN event_id % 17 = 3 THEN 30 + event_id % 690 ELSE 1 + event_id % 5 END AS INTEGER)) AS end_timestamp,
     1 + event_id % 5 AS severity,
     CASE user_id % 6 WHEN 0 THEN ['MRT','AMC'] WHEN 1 THEN ['ECR','MRT','LCR'] WHEN 2 THEN ['MRT']
       WHEN 3 THEN ['AMC'] WHEN 4 THEN ['ECR','LCR'] ELSE ['MRT','AMC'] END AS affected_currencies,
     1 + (event_id % 5)*0.25e0 AS spread_multiplier,
     1 + (event_id % 4)*0.5e0 AS volatility_multiplier,
     0.5e0 + (event_id % 6)*0.25e0 AS volume_multiplier
-  FROM events WHERE event_type = 'error' AND event_id % 17 = 3)"""
+  FROM events WHERE event_type = 'error')"""
 
 
 def with_ctes(*ctes: str) -> str:

@@ -33,7 +33,7 @@ from candlewick.sources import wire as W
 Query = Callable[[SparkSession, str], DataFrame]
 
 # fixed parameters of the registered incremental scenario
-INITIAL_LOAD_END = _dt.datetime(2024, 1, 20)          # first build sees ticks before this
+INITIAL_LOAD_END = _dt.datetime(2024, 1, 20, 10, 37, 30)   # first build sees ticks before this: mid-candle at every grain
 SECOND_RUN_AT = _dt.datetime(2024, 1, 21)             # version time of the incremental run
 FRESHNESS_NOW = _dt.datetime(2024, 1, 31)
 BUSINESS_KEY = ("currency_pair", "transaction_timestamp", "bid_price", "ask_price", "trade_price", "volume")
@@ -152,6 +152,14 @@ def q_dedup_ticks(spark, sf_dir):
     return report(ST.dedup_ticks(s.unionByName(replay), keys=BUSINESS_KEY))
 
 
+@register("dedup_ticks_by_id", T + f"SELECT {STG_COLS} FROM stg")
+def q_dedup_ticks_by_id(spark, sf_dir):
+    """Every row redelivered a second later under its own id; the first delivery stays."""
+    s = staged(spark, sf_dir)
+    again = s.withColumn(TS, F.col(TS) + F.make_dt_interval(secs=F.lit(1)))
+    return report(ST.dedup_ticks(s.unionByName(again)).select(s.columns))
+
+
 @register("recent_ticks", T + f"""SELECT {STG_COLS} FROM stg WHERE currency_pair = 'ECR/MRT'
   AND transaction_timestamp > (SELECT max(transaction_timestamp) FROM stg) - INTERVAL 1 DAY""")
 def q_recent_ticks(spark, sf_dir):
@@ -225,6 +233,27 @@ def q_event_impact_shuffle(spark, sf_dir):
     return EV.event_impact(staged(spark, sf_dir), events(spark, sf_dir), max_broadcast_rows=0).select(*_IMPACT_COLS)
 
 
+def _repeated(spark, sf_dir):
+    s = staged(spark, sf_dir)
+    return s.unionByName(s), events(spark, sf_dir).withColumn(
+        "spread_multiplier", F.when(F.col("severity") != 3, F.col("spread_multiplier")))
+
+
+_REPEATED_SQL = (_IMPACT_SQL.replace("product(e.spread_multiplier)", "product(CASE WHEN e.severity <> 3 THEN e.spread_multiplier END)")
+                 + " JOIN (VALUES (1), (2)) twice(k) ON true")
+
+
+@register("event_impact_repeated", _REPEATED_SQL)
+def q_event_impact_repeated(spark, sf_dir):
+    """Every tick twice, and events without a spread multiplier."""
+    return EV.event_impact(*_repeated(spark, sf_dir)).select(*_IMPACT_COLS)
+
+
+@register("event_impact_repeated_shuffle", _REPEATED_SQL)
+def q_event_impact_repeated_shuffle(spark, sf_dir):
+    return EV.event_impact(*_repeated(spark, sf_dir), max_broadcast_rows=0).select(*_IMPACT_COLS)
+
+
 @register("hour_volume_profile", T + f"""SELECT tick_id, hour(transaction_timestamp) AS hour,
     {O.HOUR_LIST}[hour(transaction_timestamp) + 1] AS hour_volume_multiplier,
     {O.HOUR_LIST}[hour(transaction_timestamp) + 1] >= 1.2 AS is_peak_hour FROM stg""")
@@ -327,6 +356,15 @@ def q_first_last_ticks(spark, sf_dir):
     return report(C.first_last_ticks(staged(spark, sf_dir), "1min"))
 
 
+@register("add_row_numbers", T + """SELECT tick_id, currency_pair, transaction_timestamp,
+    row_number() OVER (PARTITION BY currency_pair ORDER BY transaction_timestamp, tick_id) AS rn_first,
+    row_number() OVER (PARTITION BY currency_pair ORDER BY transaction_timestamp DESC, tick_id DESC) AS rn_last FROM stg""")
+def q_add_row_numbers(spark, sf_dir):
+    ticks = staged(spark, sf_dir).select("tick_id", "currency_pair", TS)
+    return C.add_row_numbers(ticks, ["currency_pair"], [TS, "tick_id"]).select(
+        "tick_id", "currency_pair", TS, F.col("rn_first").cast("long").alias("rn_first"), F.col("rn_last").cast("long").alias("rn_last"))
+
+
 @register("candle_metrics", "SELECT candle_timestamp, currency_pair, open_price, close_price, price_change, "
           "price_change_pct, price_range, volatility_pct FROM (" + O.candles_sql("1min") + ")")
 def q_candle_metrics(spark, sf_dir):
@@ -366,6 +404,23 @@ def q_ohlc_violations(spark, sf_dir):
     return report(Q.ohlc_violations({f"ohlc_candles_{iv}": df for iv, df in grains.items()}))
 
 
+_BROKEN = "day(candle_timestamp) % 7 = 3"
+
+
+@register("ohlc_violations_broken", O.with_ctes(*O.TICK_CTES, O.candle_cte("1h", "good"), f"""c AS (SELECT * REPLACE (
+      CASE WHEN {_BROKEN} THEN NULL ELSE open_price END AS open_price,
+      CASE WHEN trade_count % 5 = 4 THEN close_price + 1 ELSE low_price END AS low_price) FROM good)""")
+          + f"""SELECT 'ohlc_candles_1h' AS model_name, currency_pair, candle_timestamp, CAST(open_price AS DOUBLE) AS open_price,
+  CAST(high_price AS DOUBLE) AS high_price, CAST(low_price AS DOUBLE) AS low_price, CAST(close_price AS DOUBLE) AS close_price
+  FROM c WHERE {_VIOL}""")
+def q_ohlc_violations_broken(spark, sf_dir):
+    """The invariants over a candle table in which some prices are lost or out of order."""
+    c = candles(spark, sf_dir, "1h", metrics=False, calculated_at=False)
+    broken = (c.withColumn("open_price", F.when(~F.expr(_BROKEN), F.col("open_price")))
+              .withColumn("low_price", F.when(F.col("trade_count") % 5 == 4, F.col("close_price") + 1).otherwise(F.col("low_price"))))
+    return report(Q.ohlc_violations({"ohlc_candles_1h": broken}))
+
+
 # =============================================================== statistics
 @register("ticks_per_pair", TR + """SELECT currency_pair, count(*) AS ticks, round(avg(bid_price), 4) AS avg_bid,
     round(avg(spread_bps), 2) AS avg_spread FROM raw GROUP BY currency_pair""")
@@ -481,7 +536,7 @@ def q_boundary_gap(spark, sf_dir):
     round(ln(CAST(mid_price AS DOUBLE)) - ln(CAST(lag(mid_price) OVER (PARTITION BY currency_pair
       ORDER BY transaction_timestamp, tick_id) AS DOUBLE)), 9) AS log_return FROM stg""")
 def q_log_returns(spark, sf_dir):
-    lr = SS.log_returns(staged(spark, sf_dir))
+    lr = SS.log_returns(staged(spark, sf_dir).select("tick_id", "currency_pair", TS, "mid_price"))
     return lr.select("tick_id", "currency_pair", TS, F.round("log_return", 9).alias("log_return"))
 
 
@@ -495,25 +550,57 @@ def q_log_returns(spark, sf_dir):
     round(CASE WHEN v.seq < 2 THEN c.pair_volatility ELSE v.sd * sqrt(6048.0) END, 6) AS realized_volatility
   FROM v LEFT JOIN cfg c ON v.currency_pair = c.currency_pair""")
 def q_realized_vol(spark, sf_dir):
-    rv = SS.realized_vol(staged(spark, sf_dir))
+    rv = SS.realized_vol(staged(spark, sf_dir).select("tick_id", "currency_pair", TS, "mid_price"))
     return rv.select("tick_id", "currency_pair", TS, "seq", F.round("realized_volatility", 6).alias("realized_volatility"))
 
 
 # =============================================================== quality
+def _candle_contract_sql(interval: str, table: str) -> str:
+    """The candle contract as SQL of its own (not from ``candle_checks``)."""
+    model, rows = f"ohlc_candles_{interval}", []
+
+    def add(check, column, bad):
+        rows.append(f"SELECT '{model}' AS model, '{check}' AS \"check\", '{column}' AS \"column\", 'error' AS severity, "
+                    f"CAST(count(*) FILTER (WHERE {bad}) AS BIGINT) AS failures FROM {table}")
+
+    wide = interval == "1min"
+    for c in ("candle_timestamp", "currency_pair", "open_price", "high_price", "low_price", "close_price", "total_volume"):
+        add("not_null", c, f"{c} IS NULL")
+    add("accepted_values", "candle_interval", f"candle_interval NOT IN ('{interval}')")
+    rows.append(f"SELECT '{model}' AS model, 'unique_combination' AS \"check\", 'currency_pair,candle_timestamp' AS \"column\", "
+                f"'error' AS severity, CAST(count(*) AS BIGINT) AS failures FROM (SELECT 1 FROM {table} "
+                "WHERE currency_pair IS NOT NULL AND candle_timestamp IS NOT NULL "
+                "GROUP BY currency_pair, candle_timestamp HAVING count(*) > 1)")
+    if wide:
+        for c in ("base_currency", "quote_currency", "trade_count", "calculated_at"):
+            add("not_null", c, f"{c} IS NULL")
+        add("accepted_values", "currency_pair", "currency_pair NOT IN ('ECR/MRT', 'ECR/LCR', 'ECR/AMC', 'MRT/LCR', 'MRT/AMC', 'LCR/AMC')")
+        add("between", "open_price", "open_price < 0.0001 OR open_price > 1000000")
+        add("between", "total_volume", "total_volume < 0")
+        for rule in ("low_price <= high_price", "low_price <= open_price", "low_price <= close_price", "high_price >= open_price"):
+            add("expression", rule, f"NOT ({rule})")
+    return "\nUNION ALL\n".join(rows)
+
+
+GRAINS = ("1min", "5min", "1h", "1d")
+
+
 def _dq_sql():
-    parts = [O.check_sql("raw", "raw_ticks", Q.source_checks()),
-             O.check_sql("stg", "stg_fx_ticks", Q.staging_checks()),
-             O.check_sql("c1", "ohlc_candles_1min", Q.candle_checks("1min"))]
-    c1 = O.candle_cte("1min", "c1base") + """, c1 AS (SELECT *, '1min' AS candle_interval FROM c1base)"""
-    return O.with_ctes(*O.TICK_CTES, c1) + "\nUNION ALL\n".join(parts)
+    parts = [O.check_sql("raw", "raw_ticks", Q.source_checks()), O.check_sql("stg", "stg_fx_ticks", Q.staging_checks())]
+    ctes = []
+    for k, iv in enumerate(GRAINS):
+        ctes += [O.candle_cte(iv, f"g{k}"), f"c{k} AS (SELECT *, '{iv}' AS candle_interval, now() AS calculated_at FROM g{k})"]
+        parts.append(_candle_contract_sql(iv, f"c{k}"))
+    return O.with_ctes(*O.TICK_CTES, *ctes) + "\nUNION ALL\n".join(parts)
 
 
 @register("dq_report", _dq_sql())
 def q_dq_report(spark, sf_dir):
     r = raw(spark, sf_dir)
-    c1 = C.ohlc_candles(ST.stage_ticks(r), "1min", calculated_at=False)
-    # source + staging checks share one scan of the ticks; candles are their own table
-    return Q.dq_report_ticks(r).unionByName(Q.dq_report(c1, Q.candle_checks("1min"), "ohlc_candles_1min"))
+    out = Q.dq_report_ticks(r)   # source and staging checks read the ticks together
+    for iv, c in C.multi_grain_candles(ST.stage_ticks(r)).items():
+        out = out.unionByName(Q.dq_report(c, Q.candle_checks(iv), f"ohlc_candles_{iv}"))
+    return out
 
 
 @register("freshness", T + """SELECT max(event_time) AS max_loaded_at,
@@ -535,7 +622,7 @@ def q_trade_outside_quote(spark, sf_dir):
 
 
 # =============================================================== incremental
-_T0 = "TIMESTAMP '2024-01-20 00:00:00'"
+_T0 = "TIMESTAMP '2024-01-20 10:37:30'"
 _CUT = f"((SELECT date_trunc('hour', max(transaction_timestamp)) FROM stg WHERE transaction_timestamp < {_T0}) - INTERVAL 120 MINUTE)"
 
 
@@ -592,7 +679,7 @@ def _history(spark, sf_dir):
 _HIST_SQL = O.with_ctes(*O.TICK_CTES, f"s1 AS (SELECT * FROM stg WHERE transaction_timestamp < {_T0})",
                         f"s2 AS (SELECT * FROM stg WHERE transaction_timestamp >= {_CUT})",
                         O.candle_cte("1h", "h1", "s1"), O.candle_cte("1h", "h2", "s2"),
-                        "hist AS (SELECT *, TIMESTAMP '2024-01-20 00:00:00' AS calculated_at FROM h1 "
+                        f"hist AS (SELECT *, {_T0} AS calculated_at FROM h1 "
                         "UNION ALL SELECT *, TIMESTAMP '2024-01-21 00:00:00' AS calculated_at FROM h2)")
 
 
@@ -608,6 +695,27 @@ def q_candles_as_of(spark, sf_dir):
                            "trade_count", "total_volume", "calculated_at"), drop=())
 
 
+@register("candles_as_of_first", _HIST_SQL + """SELECT candle_timestamp, currency_pair,
+    CAST(close_price AS DOUBLE) AS close_price, CAST(trade_count AS BIGINT) AS trade_count, calculated_at
+  FROM hist WHERE calculated_at <= TIMESTAMP '2024-01-20 18:00:00'""")
+def q_candles_as_of_first(spark, sf_dir):
+    """Between the two versions: only the first one counts."""
+    a = INC.candles_as_of(_history(spark, sf_dir), _dt.datetime(2024, 1, 20, 18))
+    return report(a.select("candle_timestamp", "currency_pair", "close_price", "trade_count", "calculated_at"), drop=())
+
+
+@register("revised_candles", _HIST_SQL + """SELECT a.currency_pair, a.candle_timestamp, CAST(a.trade_count AS BIGINT) AS first_count,
+    CAST(b.trade_count AS BIGINT) AS revised_count FROM hist a JOIN hist b ON a.currency_pair = b.currency_pair
+  AND a.candle_timestamp = b.candle_timestamp AND a.calculated_at < b.calculated_at WHERE a.trade_count <> b.trade_count""")
+def q_revised_candles(spark, sf_dir):
+    """Candles that the second run changed: the first load ended inside them."""
+    h = _history(spark, sf_dir).select("currency_pair", "candle_timestamp", "trade_count", "calculated_at")
+    old, new = (h.where(F.col("calculated_at") == ntz_lit(t)).drop("calculated_at") for t in (INITIAL_LOAD_END, SECOND_RUN_AT))
+    both = old.withColumnRenamed("trade_count", "first_count").join(
+        new.withColumnRenamed("trade_count", "revised_count"), ["currency_pair", "candle_timestamp"])
+    return both.where("first_count <> revised_count")
+
+
 @register("scd2_snapshot", _HIST_SQL + """SELECT currency_pair, candle_timestamp, CAST(close_price AS DOUBLE) AS close_price,
     calculated_at AS valid_from,
     lead(calculated_at) OVER (PARTITION BY currency_pair, candle_timestamp ORDER BY calculated_at) AS valid_to,
@@ -682,6 +790,24 @@ def q_tick_to_json(spark, sf_dir):
     return W.to_kafka_records(raw(spark, sf_dir))
 
 
+@register("tick_to_json_fields", TR + f"SELECT currency_pair AS key, {WIRE_COLS} FROM raw")
+def q_tick_to_json_fields(spark, sf_dir):
+    """Keyed JSON records, decoded again field by field."""
+    records = W.to_kafka_records(raw(spark, sf_dir)).select("key", F.from_json("value", W.WIRE_TICK).alias("w"))
+    fields = W.parse_raw_ticks(records.where(F.col("key").eqNullSafe(F.col("w.currency_pair"))).select("w.*"))
+    return fields.select(F.col("currency_pair").alias("key"), *[c.strip() for c in RAW_COLS.split(",")])
+
+
+@register("table_file_rows", TR + """SELECT CAST(transaction_timestamp AS DATE) AS date, count(*) AS record_count FROM raw GROUP BY 1""")
+def q_table_file_rows(spark, sf_dir):
+    """The file listing of a date/hour table: rows of all files of a date."""
+    path = scratch_path(spark, "ticks_files")
+    FI.write_ticks(raw(spark, sf_dir), path)
+    files = FI.table_files(spark.read.parquet(path))
+    return (files.select(F.regexp_extract("file_path", "date=([0-9-]+)", 1).cast("date").alias("date"), "record_count")
+            .groupBy("date").agg(F.sum("record_count").alias("record_count")))
+
+
 @register("stream_ingest", TR + f"SELECT {WIRE_COLS}, CAST(transaction_timestamp AS DATE) AS transaction_date FROM raw")
 def q_stream_ingest(spark, sf_dir):
     """Wire JSON files -> streaming parse -> partitioned Parquet sink
@@ -695,48 +821,47 @@ def q_stream_ingest(spark, sf_dir):
     return back.select(*[c.strip() for c in RAW_COLS.split(",")], "transaction_date")
 
 
-def _wire_files_in_time_order(spark, sf_dir, path, n_files=4):
-    """Wire JSON of every raw tick, written as ``n_files`` appends that each
-    cover a contiguous time range (file order = time order, as a live feed
-    would land).  Only the n-1 range bounds reach the driver."""
+def _time_ranges(spark, sf_dir, n=4):
+    """The raw ticks in ``n`` contiguous time ranges, as a live feed lands them.  Only the n-1 bounds reach the driver."""
     r = raw(spark, sf_dir)
-    bounds = r.select(F.percentile_approx(TS, [i / n_files for i in range(1, n_files)])).first()[0]
-    edges = [None] + list(bounds) + [None]
-    for i in range(n_files):
+    bounds = r.select(F.percentile_approx(TS, [i / n for i in range(1, n)])).first()[0]
+    edges = [None, *bounds, None]
+    for low, high in zip(edges, edges[1:]):
         part = r
-        if edges[i] is not None:
-            part = part.where(F.col(TS) > ntz_lit(edges[i]))
-        if edges[i + 1] is not None:
-            part = part.where(F.col(TS) <= ntz_lit(edges[i + 1]))
-        W.to_wire(part).write.mode("append").json(path)
+        if low is not None:
+            part = part.where(F.col(TS) > ntz_lit(low))
+        yield part if high is None else part.where(F.col(TS) <= ntz_lit(high))
 
 
 @register("stream_candles_1h", O.candles_sql("1h"))
 def q_stream_candles_1h(spark, sf_dir):
-    """Streaming twin of the 1h build: wire files one per micro-batch,
-    watermark 2 h, update mode, each batch upserted into the candle table."""
+    """Streaming twin of the 1h build.  The stream takes up each landed time range as one micro-batch, however many
+    files it has, goes on from its checkpoint, and upserts into the candle table."""
     from candlewick.streaming.candles import stream_candles
     from candlewick.streaming.ingest import read_tick_stream
     src, table, ck = (scratch_path(spark, n) for n in ("wire_c", "stream_ohlc_1h", "stream_ohlc_ckpt"))
-    _wire_files_in_time_order(spark, sf_dir, src)
-    ticks = ST.stage_ticks(W.parse_raw_ticks(read_tick_stream(spark, path=src, max_files_per_trigger=1)))
-    q = stream_candles(ticks, "1h", table, ck, delay="2 hours", available_now=True)
-    q.awaitTermination()
+    for part in _time_ranges(spark, sf_dir):
+        W.to_wire(part).write.mode("append").json(src)
+        ticks = ST.stage_ticks(W.parse_raw_ticks(read_tick_stream(spark, path=src)))
+        stream_candles(ticks, "1h", table, ck, available_now=True).awaitTermination()
     return candle_report(INC.read_partitioned(spark, table).drop("partition"))
 
 
 @register("stream_dedup", TR + f"SELECT {WIRE_COLS} FROM raw")
 def q_stream_dedup(spark, sf_dir):
-    """Every wire record delivered twice (at-least-once producer); the stream
-    keeps one per tick_id within a 1-hour watermark."""
+    """Every wire record delivered twice (at-least-once producer), the second time with the next range of its
+    feed; the stream keeps one per tick_id."""
     from candlewick.streaming.ingest import dedup_stream, read_tick_stream
     src, sink, ck = (scratch_path(spark, n) for n in ("wire_dup", "dedup_sink", "dedup_ckpt"))
-    _wire_files_in_time_order(spark, sf_dir, src)
-    _wire_files_in_time_order(spark, sf_dir, src)      # the replay
-    parsed = W.parse_raw_ticks(read_tick_stream(spark, path=src, max_files_per_trigger=2))
-    q = (dedup_stream(parsed, ["tick_id"], TS, "1 hour").writeStream.format("parquet")
-         .option("path", sink).option("checkpointLocation", ck).trigger(availableNow=True).start())
-    q.awaitTermination()
+    span = raw(spark, sf_dir).agg(F.min(TS), F.max(TS)).first()
+    hours = 1 + int((span[1] - span[0]).total_seconds() // 7200)   # a replay may come this much later
+    before = None
+    for part in _time_ranges(spark, sf_dir):
+        W.to_wire(part if before is None else part.unionByName(before)).write.mode("append").json(src)
+        parsed = W.parse_raw_ticks(read_tick_stream(spark, path=src))
+        (dedup_stream(parsed, ["tick_id"], TS, f"{hours} hours").writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination())
+        before = part
     return spark.read.parquet(sink)
 
 

@@ -19,6 +19,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # candle groups per task before an object hash aggregate falls back to sorting
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -78,6 +80,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current.rstrip("/")
     named = named or sc.getConf().get("spark.checkpoint.dir", None)
+    if not named and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="candlewick-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 

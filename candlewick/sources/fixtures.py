@@ -40,12 +40,12 @@ def raw_ticks_from_events(events: DataFrame) -> DataFrame:
         s.cast("double").alias("spread_bps"),
         (value * (F.lit(1.0) + (eid % 13 - 6) * F.lit(0.00005))).alias("trade_price"),
         F.get_json_object("props", "$.k").cast("double").alias("volume"),
-        F.when(eid % 4 == 0, "Earth_FX_Hub").when(eid % 4 == 1, "Mars_Central_Exchange")
+        F.when(eid % 89 == 7, "Asteroid_Market").when(eid % 4 == 0, "Earth_FX_Hub").when(eid % 4 == 1, "Mars_Central_Exchange")
          .when(eid % 4 == 2, "Lunar_Trading_Post").otherwise("Asteroid_Belt_Hub").alias("exchange_location"),
         F.when(F.col("event_type") == "click", "institutional").when(F.col("event_type") == "view", "retail")
          .when(F.col("event_type") == "purchase", "mining_corp").when(F.col("event_type") == "signup", "government")
          .otherwise("unknown").alias("trader_type"),
-        (F.col("ts") + F.make_dt_interval(secs=(eid % 7).cast("decimal(18,6)"))).alias("event_time"),
+        (F.col("ts") + F.make_dt_interval(hours=F.when(eid % 13 == 5, 6).otherwise(0), secs=(eid % 7).cast("decimal(18,6)"))).alias("event_time"),
     )
 
 
@@ -66,12 +66,14 @@ def economic_events_from_events(events: DataFrame) -> DataFrame:
                 .when(m == 3, F.array(F.lit("AMC")))
                 .when(m == 4, F.array(F.lit("ECR"), F.lit("LCR")))
                 .otherwise(F.array(F.lit("MRT"), F.lit("AMC"))))
-    return (events.where((F.col("event_type") == "error") & (eid % 17 == 3))
+    # most events are over in minutes, every 17th lasts for hours
+    minutes = F.when(eid % 17 == 3, F.lit(30) + eid % 690).otherwise(F.lit(1) + eid % 5)
+    return (events.where(F.col("event_type") == "error")
             .select(F.concat(F.lit("EV"), eid.cast("string")).alias("event_id"),
                     etype.alias("event_type"),
                     F.col("ts").alias("event_timestamp"),
                     F.col("ts").alias("start_timestamp"),
-                    (F.col("ts") + F.make_dt_interval(mins=(F.lit(30) + eid % 690).cast("int"))).alias("end_timestamp"),
+                    (F.col("ts") + F.make_dt_interval(mins=minutes.cast("int"))).alias("end_timestamp"),
                     (F.lit(1) + eid % 5).alias("severity"),
                     affected.alias("affected_currencies"),
                     (F.lit(1.0) + (eid % 5) * F.lit(0.25)).alias("spread_multiplier"),
