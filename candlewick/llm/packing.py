@@ -18,9 +18,7 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,71 +29,164 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import LONG_WORD, cut, table, text_slices, vocabulary_path, worker_memo
+from candlewick.llm.common import cut, give_back_memory, table, text_slices, vocabulary_path, worker_memo
 
 SIZE = 2048
 
 
-# The split rule of the default tokenizer, and the same rule for words of Western letters and ASCII.
+# The split rule of the default tokenizer, and the words that it splits by kind of character alone.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-WESTERN = "^[!-~À-ÖØ-öø-ÿ¿¡«»]*$"
-WESTERN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+PLAIN = "^[!-&(-~À-ÖØ-öø-ÿ]*$"
+LONG = 64
+NONE = 1 << 30
+TABLE_BITS = 18
+
+
+def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of strings end to end, and where each begins and the last one ends."""
+    words = words.cast(pa.large_string())
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+    raw = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]] if data is not None else np.empty(0, np.uint8)
+    return raw, ends - ends[0]
 
 
 class WordEncoder:
     """Ids of white-space separated words.  No token spans white space, so a text's ids are those of its words.
 
-    With the default tokenizer's rules, a word of Western letters is lower-cased and split here and only
-    its distinct parts go through the tokenizer's model; all other words take the whole tokenizer.
+    With the default tokenizer's rules, words of Western letters, digits and ASCII signs are split by kind of
+    character, and the tokenizer's merges are applied to all their parts at once, always the leftmost pair of the
+    lowest rank.  All other words, and words of over ``LONG`` bytes, go through the tokenizer.
     """
 
-    def __init__(self, path: str, parts_kept: int = 200_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenize = self.tokenizer.model.tokenize
         rules = json.loads(self.tokenizer.to_str())
-        split = ((rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0].get("pattern", {}).get("Regex")
-        self.western = split == SPLIT and all(t["content"].startswith("<|") for t in rules["added_tokens"])
-        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.marks = {code: byte_level.pre_tokenize_str(chr(code))[0][0] for code in range(0xA1, 0x100)}
-        # Ids of parts used lately: when the younger half is full, it becomes the older one.
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.kept = parts_kept
-
-    def _part(self, part: str) -> bytes:
-        ids = self.young.get(part)
-        if ids is None:
-            ids = self.old.get(part) or array("I", [t.id for t in self.tokenize(part.translate(self.marks))]).tobytes()
-            if len(part) <= LONG_WORD:
-                self.young[part] = ids
-        return ids
-
-    def _western(self, words: list[str]) -> list[bytes]:
-        if len(self.young) > self.kept:
-            self.old, self.young = self.young, {}
-        out = list(map(self.young.get, words))
-        for k in [k for k, ids in enumerate(out) if ids is None]:
-            out[k] = b"".join(map(self._part, WESTERN_SPLIT.findall(words[k])))
-        return out
-
-    def encode(self, words: pa.Array) -> list[bytes]:
-        """Little-endian 32-bit ids of each word."""
-        out: list[bytes] = [b""] * len(words)
+        model, split = rules["model"], ((rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0].get("pattern", {})
+        self.plain = (split.get("Regex") == SPLIT and model.get("end_of_word_suffix") == "</w>" and not model.get("ignore_merges")
+                      and all(t["content"].startswith("<|") for t in rules["added_tokens"]))
+        if not self.plain:
+            return
+        ids = model["vocab"]
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.size = len(ids) + 1
+        key = np.array([ids[x] * self.size + ids[y] for x, y in pairs], np.int64)
+        # Pairs by hash, in open addressing: a free slot ends a search.
+        self.keys, self.ranks = np.full(1 << TABLE_BITS, -1, np.int64), np.full(1 << TABLE_BITS, NONE, np.int32)
+        slot, left = self._slot(key), np.arange(len(key))
+        while len(left):
+            free = left[self.keys[slot[left]] < 0]
+            self.keys[slot[free]], self.ranks[slot[free]] = key[free], free  # one of several takes a slot
+            left = left[self.keys[slot[left]] != key[left]]
+            slot[left] = (slot[left] + 1) % len(self.keys)
+        self.merged = np.array([ids[x + y] for x, y in pairs], np.int32)
+        marks = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        of_byte = {}
+        for char in map(chr, range(0x21, 0x100)):
+            for byte, mark in zip(char.encode(), marks.pre_tokenize_str(char)[0][0], strict=True):
+                of_byte[byte] = mark
+        self.first, self.last = np.zeros(256, np.int32), np.zeros(256, np.int32)
+        for byte, mark in of_byte.items():
+            self.first[byte], self.last[byte] = ids[mark], ids[mark + "</w>"]
+        kind = np.full(256, 2, np.uint8)
+        kind[[*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = 0
+        kind[ord("0"):ord("9") + 1] = 1
+        self.kind = kind
+
+    @staticmethod
+    def _slot(key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = (left.astype(np.int64) * self.size + right).ravel()
+        slot = self._slot(key)
+        found = self.keys[slot]
+        rank = np.where(found == key, self.ranks[slot], NONE)
+        go = np.flatnonzero((found != key) & (found >= 0))
+        while len(go):
+            slot[go] = (slot[go] + 1) % len(self.keys)
+            found = self.keys[slot[go]]
+            rank[go] = np.where(found == key[go], self.ranks[slot[go]], NONE)
+            go = go[(found != key[go]) & (found >= 0)]
+        return rank.reshape(left.shape)
+
+    def _merge(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, ids) of parts of one length, as they have no pair left to merge."""
+        rows, rank = np.arange(len(ids)), self._rank(ids[:, :-1], ids[:, 1:])
+        while len(rows):
+            if ids.shape[1] == 1:
+                yield rows, ids
+                return
+            best = rank.argmin(1)
+            low = rank[np.arange(len(rows)), best]
+            go = low < NONE
+            if not go.all():
+                yield rows[~go], ids[~go]
+                rows, ids, rank, best, low = rows[go], ids[go], rank[go], best[go], low[go]
+            all_, left = np.arange(len(rows)), np.arange(ids.shape[1] - 1)
+            ids = np.take_along_axis(ids, left + (left > best[:, None]), 1)
+            ids[all_, best] = self.merged[low]
+            rank = np.take_along_axis(rank, left[:-1] + (left[:-1] >= best[:, None]), 1)
+            before, after = np.flatnonzero(best > 0), np.flatnonzero(best < ids.shape[1] - 1)
+            rank[before, best[before] - 1] = self._rank(ids[before, best[before] - 1], ids[before, best[before]])
+            rank[after, best[after]] = self._rank(ids[after, best[after]], ids[after, best[after] + 1])
+
+    def _parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts end to end, and how many each has."""
+        raw, ends = _bytes_of(parts)
+        starts, sizes = ends[:-1], np.diff(ends)
+        done, count = [], np.zeros(len(starts), np.int64)
+        for n in np.unique(sizes):
+            at = np.flatnonzero(sizes == n)
+            for part in np.array_split(at, -(-len(at) // 20_000)):
+                ids = self.first[raw[starts[part][:, None] + np.arange(n)]]
+                ids[:, -1] = self.last[raw[starts[part] + n - 1]]
+                for rows, final in self._merge(ids):
+                    done.append((part[rows], final))
+                    count[part[rows]] = final.shape[1]
+        place, flat = np.cumsum(count) - count, np.empty(int(count.sum()), "<u4")
+        for part, final in done:
+            flat[place[part][:, None] + np.arange(final.shape[1])] = final
+        return flat, count
+
+    def _plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words end to end, and how many each has; every distinct part is merged once."""
+        raw, ends = _bytes_of(pc.utf8_lower(words))
+        kind = self.kind[raw]
+        new = np.ones(len(raw) + 1, bool)
+        new[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 1)
+        new[ends] = True
+        starts = np.flatnonzero(new)
+        parts = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(raw)).dictionary_encode()
+        flat, count = self._parts(parts.dictionary)
+        part = parts.indices.to_numpy(zero_copy_only=False)
+        n = count[part]
+        until = np.concatenate([[0], np.cumsum(n)])
+        first = (np.cumsum(count) - count)[part]
+        of_word = until[np.searchsorted(starts, ends)]
+        return flat[np.repeat(first - until[:-1], n) + np.arange(until[-1])], np.diff(of_word)
+
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words end to end, and how many each has."""
         own = np.zeros(len(words), bool)
-        if self.western:
-            own = pc.and_not(pc.match_substring_regex(words, WESTERN), pc.match_substring(words, "<|")).to_numpy(zero_copy_only=False)
-            found = self._western(pc.utf8_lower(words.filter(pa.array(own))).to_pylist())
-            if own.all():
-                return found
-            for i, ids in zip(np.flatnonzero(own).tolist(), found, strict=True):
-                out[i] = ids
-        other = np.flatnonzero(~own)
+        if self.plain and len(words):
+            own = (pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False)
+                   & (pc.binary_length(words).to_numpy(zero_copy_only=False) <= LONG)
+                   & ~pc.match_substring(words, "<|").to_numpy(zero_copy_only=False))
+        flat, own_count = self._plain(words.filter(pa.array(own))) if own.any() else (np.empty(0, "<u4"), np.empty(0, np.int64))
+        if own.all():
+            return flat, own_count
+        count, other, held = np.zeros(len(words), np.int64), np.flatnonzero(~own), []
         for k in range(0, len(other), 20_000):
             at = other[k:k + 20_000]
-            for i, e in zip(at, self.tokenizer.encode_batch_fast(words.take(pa.array(at)).to_pylist(), add_special_tokens=False), strict=True):
-                out[i] = array("I", e.ids).tobytes()
-        return out
+            found = self.tokenizer.encode_batch_fast(words.take(pa.array(at)).to_pylist(), add_special_tokens=False)
+            held += [np.array(e.ids, "<u4") for e in found]
+        count[own], count[other] = own_count, list(map(len, held))
+        whole = np.empty(int(count.sum()), "<u4")
+        whole[np.repeat(own, count)] = flat
+        whole[np.repeat(~own, count)] = np.concatenate(held)
+        return whole, count
 
 
 def encode_texts(texts: list[str], encoder: WordEncoder, size: int) -> list[list[dict]]:
@@ -105,9 +196,7 @@ def encode_texts(texts: list[str], encoder: WordEncoder, size: int) -> list[list
     bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
     word, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
     del words, coded  # the words themselves are needed once each from here on
-    ids = encoder.encode(distinct)
-    flat = np.frombuffer(b"".join(ids), "<u4")
-    count = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+    flat, count = encoder.encode(distinct)
     n, out = count[word], []
     first = (np.cumsum(count) - count)[word]
     ends = np.concatenate([[0], np.cumsum(n)])
@@ -131,10 +220,11 @@ def encode_udf(path: str, size: int = SIZE):
             held["encoder"] = WordEncoder(path)
         for texts in batches:
             out = []
-            for own in text_slices(texts, 8_000_000):
+            for own in text_slices(texts, 6_000_000):
                 out += encode_texts(own, held["encoder"], size)
-                pa.default_memory_pool().release_unused()
+                give_back_memory()
             yield pd.Series(out)
+            give_back_memory()
 
     return encode
 
