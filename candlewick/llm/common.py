@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import sys
 import tempfile
@@ -10,6 +11,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +82,14 @@ def text_slices(texts: pd.Series, limit: int = 4_000_000) -> Iterator[list[str]]
         yield own
 
 
+def give_back_memory() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks beside the executor's JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
 def vocabulary_path(file_name: str) -> str:
     """Path of a public tokenizer file; ``TOKENIZER_DIR`` overrides the installed package."""
     folder = os.environ.get("TOKENIZER_DIR")

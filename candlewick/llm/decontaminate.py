@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import table, text_slices
+from candlewick.llm.common import give_back_memory, table, text_slices
 
 Q, WINDOW, STEP, RATE, SHORTEST, BLOCK_CHARS = 8, 100, 50, 0.08, 24, 2_000_000
 BLANK, BREAK = 32, 1
@@ -163,7 +163,7 @@ def regions_udf(spark: SparkSession, index: dict | None):
         index, letters = shared.value, _letters()
         for texts in batches:
             out = []
-            for own in text_slices(texts) if index else ():
+            for own in text_slices(texts, 1_000_000) if index else ():
                 by_text: list[dict] = [{} for _ in own]
                 for t, part, edits, offset in find_regions(own, index, letters):
                     held = by_text[t].setdefault(int(index["item"][part]), [set(), edits, offset])
@@ -172,6 +172,7 @@ def regions_udf(spark: SparkSession, index: dict | None):
                 out += [[{"item_id": i, "windows": len(w), "edits": e, "offset": o} for i, (w, e, o) in sorted(x.items())]
                         for x in by_text]
             yield pd.Series(out if index else [[] for _ in texts])
+            give_back_memory()
 
     return regions
 

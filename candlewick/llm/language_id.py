@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import LONG_WORD, held_out, table, text_slices, worker_memo
+from candlewick.llm.common import LONG_WORD, give_back_memory, held_out, table, text_slices, worker_memo
 
 PER_LANG, WINDOW = 400, 1500
 BUCKETS, BLOCK, LEXICON = 1 << 16, 32, 300  # languages: up to 64
@@ -230,6 +230,7 @@ def predict_udf(spark: SparkSession, model: dict | None):
         for texts in batches:
             parts = [_predict(own, model) for own in text_slices(texts)] if model else []
             yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"lang_pred": ["und"] * len(texts), "score": [0.0] * len(texts)})
+            give_back_memory()
 
     def _predict(own: list[str], model: dict) -> pd.DataFrame:
         k = len(model["langs"])

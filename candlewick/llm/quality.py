@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import cut, held_out, table
+from candlewick.llm.common import cut, give_back_memory, held_out, table
 
 THRESHOLD, POOLED, RIDGE = 0.7, 0.15, 0.02
 LOWER, UPPER, DIGIT, BLANK, MARK, SYMBOL = range(6)
@@ -70,6 +70,7 @@ def statistics_udf():
         kinds, compress = _char_kinds(), zstandard.ZstdCompressor(level=1).compress
         for texts in batches:
             yield pd.Series([statistics(text or "", kinds, compress) for text in texts])
+            give_back_memory()
 
     return measure
 

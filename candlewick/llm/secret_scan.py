@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import table
+from candlewick.llm.common import give_back_memory, table
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -101,6 +101,7 @@ def scan_udf(reach: int = 64, around: int = 256, least: int = 16, novelty: float
                             ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans),
                             [{"kind": KINDS[k], "start": a, "end": b} for a, k, b in spans]))
             yield pd.DataFrame(out, columns=["n_assign", "n_access", "n_hex", "n_novel", "base_sha256", "spans", "found"])
+            give_back_memory()
 
     return scan
 

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import cut, shared_folder, table
+from candlewick.llm.common import cut, give_back_memory, shared_folder, table
 from candlewick.llm.components import connected_components
 
 BITS, HALF = 3, 0xFFFFFFFF
@@ -48,8 +48,8 @@ def fingerprint_udf(words_in_shingle: int = 3):
                 return 0
             n = max(1, len(words) - words_in_shingle + 1)
             set_bits = np.zeros(64, np.int64)
-            for k in range(0, n, 100_000):
-                parts = [words[k + j:min(n, k + 100_000) + j] for j in range(words_in_shingle)]
+            for k in range(0, n, 20_000):
+                parts = [words[k + j:min(n, k + 20_000) + j] for j in range(words_in_shingle)]
                 shingles = map(b" ".join, zip(*parts, strict=True)) if len(words) >= words_in_shingle else [b" ".join(words)]
                 hashes = np.array([xxh64_intdigest(s, 42) for s in shingles], "<u8")
                 set_bits += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
@@ -57,6 +57,7 @@ def fingerprint_udf(words_in_shingle: int = 3):
 
         for texts in batches:
             yield pd.Series([of(text) for text in texts], dtype="int64")
+            give_back_memory()
 
     return fingerprint
 

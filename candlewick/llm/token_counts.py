@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import LONG_WORD, table, text_slices, vocabulary_path, worker_memo
+from candlewick.llm.common import LONG_WORD, give_back_memory, table, text_slices, vocabulary_path, worker_memo
 
 MARK = "▁"
 
@@ -86,6 +86,7 @@ def count_udf(path: str):
                     if len(w) > LONG_WORD:
                         del memo[w]
             yield pd.DataFrame(out, columns=["n_pretokens", "n_tokens"])
+            give_back_memory()
 
     return count
 
