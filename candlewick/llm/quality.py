@@ -3,8 +3,9 @@
 A text's statistics (lengths, shares of character and word kinds, repetition,
 compressibility) are transformed towards normality.  Class means and covariances
 come from sums over every labelled training row, added up in Spark; a covariance
-is shrunk towards the pooled one and then towards its diagonal, and its Cholesky
-factor is inverted once.  The score is the logistic of the difference of the two
+is shrunk towards the pooled one and then towards its diagonal, with a floor from
+the pooled variances (so that a short or unusual clean text is not ruled out by one
+nearly constant statistic), and its Cholesky factor is inverted once.  The score is the logistic of the difference of the two
 Mahalanobis log-densities plus the log prior.
 
 Defined results: a null text is an empty text, and an empty text has a score;
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from candlewick.llm.common import cut, give_back_memory, held_out, table
 
-THRESHOLD, POOLED, RIDGE = 0.7, 0.15, 0.02
+THRESHOLD, POOLED, RIDGE, FLOOR = 0.7, 0.5, 0.02, 0.1
 LOWER, UPPER, DIGIT, BLANK, MARK, SYMBOL = range(6)
 
 
@@ -102,7 +103,7 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     model = {"prior": float(np.log(n[1] / n[0]))}
     for c in (0, 1):
         own = (1 - POOLED) * cov[c] + POOLED * pooled
-        own = (1 - RIDGE) * own + np.diag(RIDGE * np.maximum(np.diag(own), 0) + 0.01 * scale)
+        own = (1 - RIDGE) * own + np.diag(RIDGE * np.maximum(np.diag(own), 0) + FLOOR * scale)
         factor = np.linalg.cholesky((own + own.T) / 2)
         model[c] = (mean[c], np.linalg.inv(factor), 2 * float(np.log(np.diag(factor)).sum()))
     return model

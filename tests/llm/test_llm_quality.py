@@ -17,7 +17,7 @@ def test_scores_equal_the_textbook_densities(spark):
     every = np.concatenate([x[0], x[1]])
     for c in x:
         own = (1 - Q.POOLED) * np.cov(x[c].T, bias=True) + Q.POOLED * pooled
-        own = (1 - Q.RIDGE) * own + np.diag(Q.RIDGE * np.diag(own) + 0.01 * (np.diag(pooled) + 1e-6))
+        own = (1 - Q.RIDGE) * own + np.diag(Q.RIDGE * np.diag(own) + Q.FLOOR * (np.diag(pooled) + 1e-6))
         off = every - x[c].mean(0)
         logs[c] = -0.5 * (np.einsum("ij,jk,ik->i", off, np.linalg.inv(own), off) + np.linalg.slogdet(own)[1])
     assert np.allclose(Q.log_odds(every, model), logs[1] - logs[0] + np.log(120 / 80))
