@@ -4,15 +4,14 @@ proximity.
 
 Interval join plan.  An event is active for a tick when
 ``start <= ts <= end`` (closed) and it lists the tick's base or quote
-currency.  Events are exploded to the hour buckets they cover and collected
-per bucket.  When the event table is proven small (row count checked) the
-bucket table is broadcast: ticks are matched on their own hour bucket with a
-broadcast hash join (no tick shuffle) and the interval / currency test runs as
-a higher-order ``filter`` inside codegen.  Each event sits once in a bucket's
-list, so a tick matched through both of its currencies is counted once.
-Beyond the bound, events are exploded per (bucket, currency) and equi-joined
-with shuffles on both sides (AQE splits hot buckets); an event listing both
-currencies of a pair is kept only on its base-currency row.
+currency.  Events are exploded to the quarter-hour buckets they cover, per
+currency, and equi-joined with the ticks' own bucket and currencies, so a tick
+meets few events that are not active.  If the number of event entries is proven
+small they are broadcast (no tick shuffle), else both sides are shuffled (AQE
+splits hot buckets).  An event listing both currencies of a pair is kept only
+on its base-currency row.  ``event_impact`` needs one row per tick: with few
+events it looks up the bucket's list and folds it in place; else it computes
+the impact once per instant and currency pair and joins that back.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.constants import HOUR_VOLUME_PROFILE, PAIR_CONFIG, PAIR_SEED_ROWS, PEAK_HOUR_MULTIPLIER
+from candlewick.constants import HOUR_VOLUME_PROFILE, PAIR_CONFIG, PAIR_SEED_ROWS, PEAK_GRID_MULTIPLIER
 from candlewick.functions.columns import bucket, scale_effect, scale_shock
 from candlewick.plans.joins import DEFAULT_BROADCAST_ROWS, has_at_most
 from candlewick.schemas import CURRENCY_PAIRS_SEED
@@ -30,7 +29,7 @@ from candlewick.schemas import CURRENCY_PAIRS_SEED
 EVENT_FIELDS = ("event_id", "event_type", "event_timestamp", "severity", "start_timestamp", "end_timestamp",
                 "affected_currencies", "spread_multiplier", "volatility_multiplier", "volume_multiplier")
 
-_HOUR = "1h"
+_GRID, _STEP = "15min", "INTERVAL 15 MINUTES"
 
 
 def _event_struct(events: DataFrame, fields) -> Column:
@@ -38,16 +37,16 @@ def _event_struct(events: DataFrame, fields) -> Column:
 
 
 def _bucket_entries(events: DataFrame, start: str, end: str, fields=EVENT_FIELDS) -> DataFrame:
-    """(bucket, event) — one row per hour bucket an event overlaps."""
+    """(bucket, event) — one row per bucket an event overlaps."""
     ev = _event_struct(events, fields)
-    buckets = F.sequence(bucket(start, _HOUR), bucket(end, _HOUR), F.expr("INTERVAL 1 HOUR"))
+    buckets = F.sequence(bucket(start, _GRID), bucket(end, _GRID), F.expr(_STEP))
     return (events.where(F.col(start) <= F.col(end))
             .select(F.explode(buckets).alias("_bucket"), ev.alias("_ev")))
 
 
 def events_by_bucket(events: DataFrame, start: str = "start_timestamp", end: str = "end_timestamp",
                      fields=EVENT_FIELDS) -> DataFrame:
-    """(bucket, array<event>) — every event listed in each hour it overlaps."""
+    """(bucket, array<event>) — every event listed in each bucket it overlaps."""
     return (_bucket_entries(events, start, end, fields)
             .groupBy("_bucket").agg(F.collect_list("_ev").alias("_events")))
 
@@ -67,7 +66,7 @@ def _with_bucket_events(ticks: DataFrame, events: DataFrame, ts: str, start: str
     if not has_at_most(_bucket_entries(events, start, end, fields), max_broadcast_rows):
         return None
     side = F.broadcast(events_by_bucket(events, start, end, fields))
-    joined = (ticks.withColumn("_bucket", bucket(ts, _HOUR))
+    joined = (ticks.withColumn("_bucket", bucket(ts, _GRID))
               .join(side, "_bucket", "left").drop("_bucket"))
     active = F.filter(F.coalesce(F.col("_events"), F.array().cast(side.schema["_events"].dataType)),
                       _active(F.col(ts), F.col("base_currency"), F.col("quote_currency"), start, end))
@@ -75,15 +74,16 @@ def _with_bucket_events(ticks: DataFrame, events: DataFrame, ts: str, start: str
 
 
 def _exploded_pairs(ticks: DataFrame, events: DataFrame, ts: str, start: str, end: str,
-                    fields=EVENT_FIELDS) -> DataFrame:
-    """Shuffle path: (bucket, currency) equi-join + residual interval test."""
+                    fields=EVENT_FIELDS, broadcast: bool = False) -> DataFrame:
+    """(bucket, currency) equi-join + residual interval test.  A tick meets only the events of its own bucket and
+    currencies; the events are broadcast if their number is proven small, else both sides are shuffled."""
     ev = (events.where(F.col(start) <= F.col(end))
-          .select(F.explode(F.sequence(bucket(start, _HOUR), bucket(end, _HOUR), F.expr("INTERVAL 1 HOUR"))).alias("_bucket"),
+          .select(F.explode(F.sequence(bucket(start, _GRID), bucket(end, _GRID), F.expr(_STEP))).alias("_bucket"),
                   F.explode("affected_currencies").alias("_cur"), _event_struct(events, fields).alias("_ev")))
-    t = (ticks.withColumn("_bucket", bucket(ts, _HOUR))
+    t = (ticks.withColumn("_bucket", bucket(ts, _GRID))
          .withColumn("_side", F.explode(F.array(F.lit(0), F.lit(1))))
          .withColumn("_cur", F.when(F.col("_side") == 0, F.col("base_currency")).otherwise(F.col("quote_currency"))))
-    j = t.join(ev.hint("merge"), ["_bucket", "_cur"], "inner")  # beyond the broadcast bound, whatever Spark's estimate
+    j = t.join(F.broadcast(ev) if broadcast else ev.hint("merge"), ["_bucket", "_cur"], "inner")  # beyond the broadcast bound, whatever Spark's estimate
     keep = ((F.col(f"_ev.{start}") <= F.col(ts)) & (F.col(ts) <= F.col(f"_ev.{end}")) &
             ((F.col("_side") == 0) | ~F.array_contains(F.col("_ev.affected_currencies"), F.col("base_currency"))))
     return j.where(keep).drop("_bucket", "_cur", "_side")
@@ -93,11 +93,8 @@ def active_events_join(ticks: DataFrame, events: DataFrame, ts: str = "transacti
                        start: str = "start_timestamp", end: str = "end_timestamp",
                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """One row per (tick, active event): tick columns + ``event_*`` columns."""
-    with_lists = _with_bucket_events(ticks, events, ts, start, end, max_broadcast_rows)
-    if with_lists is not None:
-        pairs = with_lists.select("*", F.explode("_active").alias("_ev")).drop("_active")
-    else:
-        pairs = _exploded_pairs(ticks, events, ts, start, end)
+    small = has_at_most(_bucket_entries(events, start, end), max_broadcast_rows)
+    pairs = _exploded_pairs(ticks, events, ts, start, end, broadcast=small)
     ev_cols = [F.col(f"_ev.{c}").alias(c if c.startswith("event_") else f"event_{c}")
                for c in EVENT_FIELDS if c != "affected_currencies" and c in events.columns]
     return pairs.select(*[F.col(c) for c in ticks.columns], *ev_cols)
@@ -165,7 +162,7 @@ def with_hour_profile(df: DataFrame, ts: str = "transaction_timestamp") -> DataF
     The 24-entry profile is a literal array: no join at all."""
     return (df.withColumn("hour", F.hour(ts).cast("long"))
             .withColumn("hour_volume_multiplier", hour_multiplier(ts))
-            .withColumn("is_peak_hour", F.col("hour_volume_multiplier") >= F.lit(PEAK_HOUR_MULTIPLIER)))
+            .withColumn("is_peak_hour", F.col("hour_volume_multiplier") >= F.lit(PEAK_GRID_MULTIPLIER)))
 
 
 def pairs_reference(spark: SparkSession) -> DataFrame:

@@ -131,13 +131,16 @@ def dq_report_layers(base: DataFrame, layers, key) -> DataFrame:
     per_key = base.groupBy(*key_cols).agg(*members)
     totals = per_key.agg(*[F.sum(F.when(nonnull & (F.col(f"m{li}") > 1), 1).otherwise(0)).alias(f"u{li}")
                            for li in range(len(layers))])
-    if sums:
-        totals = base.agg(*sums).join(F.broadcast(totals))  # one row each
-    out = totals.select(F.explode(F.array(*[
-        F.struct(F.lit(model).alias("model"), F.lit(c.name).alias("check"), F.lit(c.column).alias("column"),
-                 F.lit(c.severity).alias("severity"), F.coalesce(F.col(a), F.lit(0)).cast("long").alias("failures"))
-        for model, c, a in rows])).alias("r"))
-    return out.select("r.*")
+
+    def listed(frame: DataFrame, which) -> DataFrame:
+        return frame.select(F.explode(F.array(*[
+            F.struct(F.lit(model).alias("model"), F.lit(c.name).alias("check"), F.lit(c.column).alias("column"),
+                     F.lit(c.severity).alias("severity"), F.coalesce(F.col(a), F.lit(0)).cast("long").alias("failures"))
+            for model, c, a in which])).alias("r")).select("r.*")
+
+    groups, single = [r for r in rows if r[2].startswith("u")], [r for r in rows if r[2].startswith("f")]
+    parts = ([listed(totals, groups)] if groups else []) + ([listed(base.agg(*sums), single)] if single else [])
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def dq_report_ticks(raw: DataFrame, raw_checks=None, stg_checks=None, raw_model: str = "raw_ticks",

@@ -798,6 +798,15 @@ def q_tick_to_json_fields(spark, sf_dir):
     return fields.select(F.col("currency_pair").alias("key"), *[c.strip() for c in RAW_COLS.split(",")])
 
 
+@register("ticks_by_key", TR + "SELECT currency_pair, count(*) AS ticks, CAST(1 AS BIGINT) AS partitions FROM raw GROUP BY 1")
+def q_ticks_by_key(spark, sf_dir):
+    """The topic layout: every pair in a partition of its own hash."""
+    dealt = FI.partition_by_key(raw(spark, sf_dir).select("currency_pair"), n=6).withColumn("p", F.spark_partition_id())
+    # counted in two steps, so that nothing moves the rows again before the partitions are counted
+    per = dealt.groupBy("currency_pair", "p").agg(F.count(F.lit(1)).alias("ticks"))
+    return per.groupBy("currency_pair").agg(F.sum("ticks").alias("ticks"), F.count(F.lit(1)).alias("partitions"))
+
+
 @register("table_file_rows", TR + """SELECT CAST(transaction_timestamp AS DATE) AS date, count(*) AS record_count FROM raw GROUP BY 1""")
 def q_table_file_rows(spark, sf_dir):
     """The file listing of a date/hour table: rows of all files of a date."""

@@ -21,6 +21,8 @@ SESSION_DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     # candle groups per task before an object hash aggregate falls back to sorting
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

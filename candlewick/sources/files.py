@@ -31,13 +31,12 @@ def write_ticks(df: DataFrame, path: str, ts: str = "transaction_timestamp", fmt
                 partitions: int | None = None) -> None:
     """Append ticks partitioned by date / hour (no read-modify-write).
 
-    Rows are range-partitioned on the timestamp first: every task writes a
-    contiguous time range, so it touches one or two hour folders instead of
-    all of them, and a hot hour is split across several tasks by the range
-    sampler rather than landing in one."""
-    ranged = df.repartitionByRange(partitions, ts) if partitions else df.repartitionByRange(ts)
-    (ranged.withColumn("date", F.to_date(ts)).withColumn("hour", F.hour(ts))
-     .write.mode("append").partitionBy("date", "hour").format(fmt).save(path))
+    One shuffle by folder, without a sampling pass: adaptive execution joins
+    small hours in a task and splits an hour that is too large for one.  With
+    ``partitions``, rows are range-partitioned into that many tasks instead."""
+    out = df.withColumn("date", F.to_date(ts)).withColumn("hour", F.hour(ts))
+    out = out.repartitionByRange(partitions, ts) if partitions else out.hint("rebalance", "date", "hour")
+    (out.write.mode("append").partitionBy("date", "hour").format(fmt).save(path))
 
 
 def partition_col(interval: str) -> str:
