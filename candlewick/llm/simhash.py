@@ -68,7 +68,9 @@ def _half(fp: str, upper: Column) -> Column:
 
 def near_links(prints: DataFrame, hot: int = 2048) -> DataFrame:
     """(a, b) links that join up all of the distinct ``fp`` at ``BITS`` or fewer differing bits."""
-    tables = prints.select("fp", F.explode(F.array(F.lit(True), F.lit(False))).alias("upper"))
+    # Dealt evenly first: a fingerprint is 8 bytes here and 33 probes later.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tables = prints.repartition(parts, "fp").select("fp", F.explode(F.array(F.lit(True), F.lit(False))).alias("upper"))
     tables = tables.select("fp", "upper", _half("fp", F.col("upper")).alias("half"))
     ones = F.array(*[F.lit(1 << b).cast("long") for b in range(32)])
     ball = F.array_distinct(F.concat(F.array("half"), F.transform(ones, lambda one: F.col("half").bitwiseOR(one))))
