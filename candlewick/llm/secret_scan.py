@@ -60,7 +60,7 @@ def scan_udf(reach: int = 64, around: int = 256, least: int = 16, novelty: float
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         assign, access = re.compile(ASSIGN, re.ASCII | re.IGNORECASE), re.compile("AKIA[A-Z0-9]+")
         hexes = re.compile("[0-9a-f]{16,}")  # a run's whole length decides, so shorter runs need not be matched
-        words, runs = re.compile("|".join(SENSITIVE)), re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % least)
+        words, runs = re.compile("|".join(SENSITIVE), re.IGNORECASE), re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % least)
         primer = zstandard.ZstdCompressionDict(IDENTIFIERS, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         primer.precompute_compress(level)
         packer = zstandard.ZstdCompressor(level=level, dict_data=primer, write_content_size=False, write_checksum=False)
@@ -68,9 +68,9 @@ def scan_udf(reach: int = 64, around: int = 256, least: int = 16, novelty: float
         def size(data: str) -> int:
             return len(packer.compress(data.encode("utf-8", "replace")))
 
-        def novel(text: str, low: str, base: list[tuple[int, int, int]]) -> set[tuple[int, int, int]]:
+        def novel(text: str, base: list[tuple[int, int, int]]) -> set[tuple[int, int, int]]:
             extra: set[tuple[int, int, int]] = set()
-            for word in words.finditer(low):
+            for word in words.finditer(text):
                 frm = max(0, word.start() - reach)
                 for m in runs.finditer(text, frm, min(len(text), word.end() + reach + 512)):
                     a, b = m.span()
@@ -93,7 +93,7 @@ def scan_udf(reach: int = 64, around: int = 256, least: int = 16, novelty: float
                 text = text or ""
                 low = text.lower()
                 base = base_spans(text, low, assign, access, hexes)
-                extra = novel(text, low, base) if len(low) == len(text) and words.search(low) else ()
+                extra = novel(text, base)
                 named = [f"{KINDS[k]}:{a}:{b}" for a, k, b in base]
                 spans = sorted([*base, *extra])
                 count = [sum(k == i for _, k, _ in spans) for i in range(4)]

@@ -45,3 +45,11 @@ def test_empty_table_and_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "token = abcdefghijkl0")] * 2 + [(None, "token = abcdefghijkl0")], "doc_id long, text string")
     assert S.scan_secrets(docs.limit(0)).count() == 0
     assert [r["n_assign"] for r in S.scan_secrets(docs).collect()] == [1, 1, 1]
+
+
+def test_novelty_in_texts_that_lower_casing_lengthens(spark):
+    key = "q7Zp2Lw9XbV4mTk1RsYc8NdE"
+    texts = [f"İstanbul: the SECRET is {key} ok", f"the Secret is {key}, İİ", f"the to\u212aen is {key}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in S.scan_secrets(docs).collect()}
+    assert got == {0: f"novel:24:{24 + len(key)}", 1: f"novel:14:{14 + len(key)}", 2: f"novel:13:{13 + len(key)}"}
