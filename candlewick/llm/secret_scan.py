@@ -14,6 +14,7 @@ give repeated results.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -53,7 +54,7 @@ def base_spans(text: str, low: str, assign: re.Pattern, access: re.Pattern, hexe
 
 
 def scan_udf(reach: int = 64, around: int = 256, least: int = 16, novelty: float = 0.7, level: int = 3):
-    """A pandas UDF over texts.  reach: code points between a sensitive word and a candidate; around: text on
+    """A pandas UDF over texts.  reach: code points between a sensitive word and a candidate's nearer end; around: text on
     either side that primes the dictionary; least: shortest candidate; novelty: marginal bytes to length."""
 
     @F.pandas_udf(SPANS)
@@ -70,21 +71,22 @@ def scan_udf(reach: int = 64, around: int = 256, least: int = 16, novelty: float
 
         def novel(text: str, base: list[tuple[int, int, int]]) -> set[tuple[int, int, int]]:
             extra: set[tuple[int, int, int]] = set()
-            for word in words.finditer(text):
-                frm = max(0, word.start() - reach)
-                for m in runs.finditer(text, frm, min(len(text), word.end() + reach + 512)):
-                    a, b = m.span()
-                    if a > word.end() + reach:
-                        break
-                    while b < len(text) and runs.match(text[b] * least):
-                        b += 1
-                    run = text[a:b]
-                    kinds = sum(map(bool, (re.search("[a-z]", run), re.search("[A-Z]", run), re.search("[0-9]", run))))
-                    if a == frm > 0 or kinds < 2 or any(s < b and a < e for s, _, e in base):
-                        continue
-                    before, after = text[max(0, a - around):a], text[b:b + around]
-                    if size(before + after + run) - size(before + after) >= novelty * len(run):
-                        extra.add((a, 3, b))
+            near = [w.span() for w in words.finditer(text)]
+            if not near:
+                return extra
+            ends = [e for _, e in near]
+            for m in runs.finditer(text):  # whole runs; the nearer end decides about reach
+                a, b = m.span()
+                k = bisect.bisect_left(ends, a - reach)
+                if k == len(near) or near[k][0] > b + reach:
+                    continue
+                run = m[0]
+                kinds = sum(map(bool, (re.search("[a-z]", run), re.search("[A-Z]", run), re.search("[0-9]", run))))
+                if kinds < 2 or any(s < b and a < e for s, _, e in base):
+                    continue
+                before, after = text[max(0, a - around):a], text[b:b + around]
+                if size(before + after + run) - size(before + after) >= novelty * len(run):
+                    extra.add((a, 3, b))
             return extra
 
         for texts in batches:

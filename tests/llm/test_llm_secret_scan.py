@@ -53,3 +53,13 @@ def test_novelty_in_texts_that_lower_casing_lengthens(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["spans"] for r in S.scan_secrets(docs).collect()}
     assert got == {0: f"novel:24:{24 + len(key)}", 1: f"novel:14:{14 + len(key)}", 2: f"novel:13:{13 + len(key)}"}
+
+
+def test_long_keys_before_their_word(spark):
+    rng = random.Random(5)
+    key = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=120))
+    texts = [f"{key} is the secret", f"the secret is {key}", f"some words first, then {key} is the secret", f"{key[:30]} {'is ' * 12}the secret",
+             f"{key} {'is ' * 30}the secret", "x " * 40 + f"{key[:64]} secret"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in S.scan_secrets(docs).collect()}
+    assert got == {0: "novel:0:120", 1: "novel:14:134", 2: "novel:23:143", 3: "novel:0:30", 4: "", 5: "novel:80:144"}
