@@ -82,6 +82,20 @@ def text_slices(texts: pd.Series, limit: int = 4_000_000) -> Iterator[list[str]]
         yield own
 
 
+def text_blocks(rows: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int | None, str]]]:
+    """The distinct (id, text) rows in blocks of about ``block_chars`` characters; rows without a text are left out.
+
+    For a query set that is set against all rows, block by block; a null id stays null.
+    """
+    items = cut(rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null").distinct())
+    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = -(-total // block_chars)
+    for k in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect()
+        if own:
+            yield sorted(((r["id"], r["text"]) for r in own), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+
 def give_back_memory() -> None:
     """Return freed memory to the system: Python workers outlive their tasks beside the executor's JVM."""
     pa.default_memory_pool().release_unused()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import chat_format, decontaminate, embedding_dedup, language_id, line_dedup, packing, quality, secret_scan, simhash, token_counts
+from candlewick.llm import chat_format, decontaminate, embedding_dedup, language_id, lexical_search, line_dedup, packing, quality, secret_scan, simhash, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_chat_formatting": chat_format.op9_chat_formatting,
         "op10_embedding_near_dedup": embedding_dedup.op10_embedding_near_dedup,
+        "op11_ranked_lexical_search": lexical_search.op11_ranked_lexical_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": line_dedup.OP7_SQL, "op9_chat_formatting": chat_format.OP9_SQL}
+    return {"op7_line_dedup": line_dedup.OP7_SQL, "op9_chat_formatting": chat_format.OP9_SQL,
+            "op11_ranked_lexical_search": lexical_search.OP11_SQL}
