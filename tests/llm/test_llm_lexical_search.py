@@ -100,9 +100,9 @@ def test_bounds_prune_batches_and_lose_nothing():
 
 
 def test_whole_numbers_beyond_doubles():
-    weights = np.array([[1 << 44, 3]], np.int64)
+    weights = np.array([[1 << 40, 3]], np.int64)
     search = L.Search(L.item_tree(weights), 10, 100, 2, None)
     assert search.exact is np.int64
     search.add(np.array([7, 8]), np.array([10, 10]), np.array([0, 0, 1]), np.array([5, 5, 1]), np.array([1, 2]))
     f, g = L.impacts(np.array([5, 1]), np.array([10, 10]), 10, 100)
-    assert sorted(search.rows()["score"]) == [(1 << 44) * int(f), (1 << 44) * int(f) + 3 * int(g)]
+    assert sorted(search.rows()["score"]) == [(1 << 40) * int(f), (1 << 40) * int(f) + 3 * int(g)]
