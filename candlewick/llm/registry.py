@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import chat_format, decontaminate, embedding_dedup, language_id, lexical_search, line_dedup, packing, quality, secret_scan, simhash, suffix_dedup, token_counts
+from candlewick.llm import chat_format, decontaminate, embedding_dedup, language_id, lexical_search, line_dedup, packing, phrases, quality, secret_scan, simhash, suffix_dedup, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,10 +22,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_chat_formatting": chat_format.op9_chat_formatting,
         "op10_embedding_near_dedup": embedding_dedup.op10_embedding_near_dedup,
         "op11_ranked_lexical_search": lexical_search.op11_ranked_lexical_search,
+        "op12_phrase_collocations": phrases.op12_phrase_collocations,
         "op13_suffix_array_dedup": suffix_dedup.op13_suffix_array_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op7_line_dedup": line_dedup.OP7_SQL, "op9_chat_formatting": chat_format.OP9_SQL,
-            "op11_ranked_lexical_search": lexical_search.OP11_SQL}
+            "op11_ranked_lexical_search": lexical_search.OP11_SQL,
+            "op12_phrase_collocations": phrases.OP12_SQL}
