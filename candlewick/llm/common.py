@@ -8,8 +8,9 @@ import sys
 import tempfile
 import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,6 +83,16 @@ def text_slices(texts: pd.Series, limit: int = 4_000_000) -> Iterator[list[str]]
         yield own
 
 
+def map_codes(codes: np.ndarray, table: np.ndarray, of_code: Callable[[int], int]) -> np.ndarray:
+    """``table`` for code points within it, ``of_code`` for each distinct one beyond it."""
+    out = table[np.minimum(codes, len(table) - 1)]
+    beyond = np.flatnonzero(codes >= len(table))
+    if len(beyond):
+        distinct, place = np.unique(codes[beyond], return_inverse=True)
+        out[beyond] = np.array([of_code(int(c)) for c in distinct], table.dtype)[place]
+    return out
+
+
 def text_blocks(rows: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int | None, str]]]:
     """The distinct (id, text) rows in blocks of about ``block_chars`` characters; rows without a text are left out.
 

@@ -10,7 +10,8 @@ Mahalanobis log-densities plus the log prior.
 
 Defined results: a null text is an empty text, and an empty text has a score;
 labels that are null or neither 0 nor 1 are ignored, repeated ones count each; if a
-class has no training row the score is 0.5 for every text.
+class has no training row the score is 0.5 for every text; whole texts of any length and in any
+script are measured; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,32 +23,33 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import cut, give_back_memory, held_out, table
+from candlewick.llm.common import cut, give_back_memory, held_out, map_codes, table
 
 THRESHOLD, POOLED, RIDGE, FLOOR = 0.7, 0.5, 0.02, 0.1
 LOWER, UPPER, DIGIT, BLANK, MARK, SYMBOL = range(6)
 
 
+def _kind(code: int) -> int:
+    c = chr(code)
+    if c.isalpha():
+        return UPPER if c.isupper() else LOWER
+    if c.isdigit():
+        return DIGIT
+    if c.isspace():
+        return BLANK
+    return MARK if c in ".,;:?'\"-()¿¡«»…–—。、「」『』・！？，．：；" else SYMBOL
+
+
 def _char_kinds() -> np.ndarray:
-    kinds = np.full(0x3000, SYMBOL, np.uint8)
-    for code in range(0x3000):
-        c = chr(code)
-        if c.isalpha():
-            kinds[code] = UPPER if c.isupper() else LOWER
-        elif c.isdigit():
-            kinds[code] = DIGIT
-        elif c.isspace():
-            kinds[code] = BLANK
-        elif c in ".,;:?'\"-()¿¡«»…–—":
-            kinds[code] = MARK
-    return kinds
+    """Kinds of the first code points; ``map_codes`` asks for those beyond."""
+    return np.array([_kind(code) for code in range(0x3000)], np.uint8)
 
 
 def statistics(text: str, kinds: np.ndarray, compress) -> list[float]:
     """The transformed statistics of a text."""
     raw = text.encode("utf-8", "surrogatepass")
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    n = np.bincount(kinds[np.minimum(codes, 0x2FFF)], minlength=6)
+    n = np.bincount(map_codes(codes, kinds, _kind), minlength=6)
     words, lines = text.split(), text.split("\n")
     count, distinct = len(words), len(set(words))
     letters = max(1, n[LOWER] + n[UPPER])

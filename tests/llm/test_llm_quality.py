@@ -44,3 +44,16 @@ def test_edge_cases(spark):
     both = spark.createDataFrame([(1, 1), (1, 1), (3, 0), (4, 0)], "doc_id long, quality int")
     assert Q.accepted(docs, both).columns == docs.columns
     assert Q.accepted(docs.limit(0), both).count() == 0
+
+
+def test_letters_of_all_scripts_are_letters(spark):
+    kinds = Q._char_kinds()
+    for text in ("日本語の文章です", "한국어 문장입니다", "𐐀𐐁 𝕬𝖇", "Ελληνικά ქართული"):
+        x = Q.statistics(text, kinds, lambda raw: raw)
+        assert x[6] == 0, text  # no symbols
+    assert Q.statistics("☃☃☃𝌆", kinds, lambda raw: raw)[6] > 1
+    long = Q.statistics("ab cd. " * 200_000, kinds, lambda raw: raw)
+    assert np.isfinite(long).all()
+    docs = spark.createDataFrame([(1, "a b", 0, 1.0)], "doc_id long, text string, label int, x double")
+    both = spark.createDataFrame([(1, 1), (1, 0)], "doc_id long, quality int")
+    assert Q.accepted(docs, both).columns == docs.columns
