@@ -45,10 +45,14 @@ def test_against_plain_edit_distance(spark):
     texts.append(items[0][1][:30])
     size, step = 48, 24
     df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, item_id int")
-    bench = spark.createDataFrame([*items, (None, say(20))], "item_id long, text string")
+    items += [(None, say(20)), (None, say(18)), (3, say(16))]  # without an id, and two under one id
+    texts += [f"{say(4)} {items[k][1]} {say(3)}" for k in (-1, -2, -3)] + [say(3) + norm(items[2][1])[7:7 + size] + "zz" + say(3)]
+    bench = spark.createDataFrame(items + items[:2], "item_id long, text string")
+    df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, item_id int")
     got = {(r["doc_id"], r["item_id"]) for r in D.contaminations(df.drop("item_id"), bench, window=size, step=step).collect()}
     want = {(i, k) for i, t in enumerate(texts) for k, x in items for w in windows(x or "", size, step)
             if held(w, norm(t or ""), min(int(D.RATE * len(w)), len(w) // D.Q - 1))}
+    want |= {(i, k) for i, t in enumerate(texts) for k, x in items for s in range(len(norm(x or "")) - size + 1) if norm(x)[s:s + size] in norm(t or "")}
     assert got == want and len(want) > 20
     small = {(r["doc_id"], r["item_id"]) for r in D.contaminations(df.drop("item_id"), bench, window=size, step=step, block_chars=200).collect()}
     assert small == want
@@ -74,3 +78,38 @@ def test_planted_passages_are_found(spark):
     want = {(d, i) for d, t in zip(docs.doc_id, docs.text) for i, x in zip(bench.item_id, bench.text) if norm(x) in norm(t)}
     got = {(r["doc_id"], r["item_id"]) for r in D.op3_benchmark_decontamination(spark, sf).collect()}
     assert want and want <= got and len(got) <= len(want) + 3
+
+
+def test_excerpts_of_the_window_length_are_found_at_all_offsets():
+    rng = random.Random(3)
+    say = lambda n: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(n))
+    item = say(60)
+    index, letters = D.build_index([(1, item)]), D._letters()
+    own = norm(item)
+    texts = [f"{say(5)} # {own[s:s + D.WINDOW]} # {say(5)}" for s in range(len(own) - D.WINDOW + 1) if own[s] != " " and own[s + D.WINDOW - 1] != " "]
+    assert {t for t, *_ in D.find_regions(texts, index, letters)} == set(range(len(texts))) and len(texts) > 100
+    short = [f"{say(5)} # {own[s:s + 60]} # {say(5)}" for s in range(0, 200, 7)]
+    assert D.find_regions(short, index, letters) == []
+
+
+def test_a_phrase_that_all_items_share_costs_little():
+    import time
+    import tracemalloc
+    rng = random.Random(4)
+    say = lambda n: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 8))) for _ in range(n))
+    phrase = "answer the following question about the passage by one letter of the four"
+    assert 65 < len(phrase) < 80
+    items = [(k, f"{phrase} {say(25)}") for k in range(250)]
+    texts = [f"{say(50)}. {phrase}: {say(45)}" for _ in range(300)] + [items[7][1], say(9) + items[200][1].upper() + say(9)]
+    index, letters = D.build_index(items), D._letters()
+    tracemalloc.start()
+    begin = time.process_time()
+    found = D.find_regions(texts, index, letters)
+    spent, peak = time.process_time() - begin, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {(t, i) for t, i, *_ in found} == {(300, 7), (301, 200)}
+    assert spent < 8 and peak < 500e6  # traced; a third of it without
+
+
+def test_scripts_beyond_the_first_planes():
+    assert D.normalise(["ａｂｃ。「HELLO」 日本𝟗"], D._letters())[0].tolist()[:-1] == [ord(c) for c in "ａｂｃ hello 日本𝟗"]
