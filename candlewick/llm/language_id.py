@@ -11,12 +11,14 @@ Forward-backward runs over blocks of words: each block's transfer matrix first,
 then the messages from block to block, then the words within all blocks at once.
 It gives the marginals of one chain over the text, for texts of any length.
 
-Training takes at most about ``per_lang`` labelled rows of each language, chosen by a
-hash, and of each a window of ``window`` characters at a hashed place; spans of
-different languages are put one after another to learn transitions.
+Training takes about ``per_lang`` labelled rows of each language, chosen by a hash among those
+of at most ``longest`` characters, and reads them whole; a language that has only longer rows gives its
+shortest one.  Spans of different languages are put one after another to learn transitions.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; with no
-labelled row every text is ``und``; ties go to the first language in text order.
+labelled row that has a letter every text is ``und``; ties go to the first language in text order; repeated rows
+are predicted alike and count each in training; any number of languages and any length of text is taken
+whole; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from pyspark.sql import functions as F
 
 from candlewick.llm.common import LONG_WORD, give_back_memory, held_out, table, text_slices, worker_memo
 
-PER_LANG, WINDOW = 400, 1500
-BUCKETS, BLOCK, LEXICON = 1 << 16, 32, 300  # languages: up to 64
+PER_LANG, LONGEST_ROW = 250, 20_000
+BUCKETS, BLOCK, LEXICON = 1 << 16, 32, 300
 
 
 def core(word: str) -> str:
@@ -47,7 +49,7 @@ def core(word: str) -> str:
     return word[at[0]:at[-1] + 1] if at else ""
 
 
-def features(words: list[str], lexicons: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+def features(words: list[str], lexicons: dict[str, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
     """(word number, feature number) pairs: hashed prefixes, suffixes and n-grams of marked words, and lexicon entries.
 
     Words without a character have no feature.
@@ -77,7 +79,7 @@ def features(words: list[str], lexicons: dict[str, int]) -> tuple[np.ndarray, np
         long = np.flatnonzero(sizes >= k + 2)
         add(long, [codes[starts[long] + 1 + j] for j in range(k)], 10 + k)
         add(long, [codes[ends[long] - 2 - j] for j in range(k)], 20 + k)
-    held = [(i, k) for i, w in enumerate(own) if w in lexicons for k in range(64) if lexicons[w] >> k & 1]
+    held = [(i, k) for i, w in enumerate(own) for k in lexicons.get(w, ())]
     number.append(np.array([i for i, _ in held], np.int64))
     bucket.append(np.array([BUCKETS + k for _, k in held], np.int64))
     return at[np.concatenate(number)], np.concatenate(bucket)
@@ -139,14 +141,14 @@ def _sequences(rows: list[tuple[str, str]], langs: list[str], length: int, rng:
         words = [w for w in map(core, text.lower().split()) if w]
         k = 0
         while k < len(words):
-            n = int(rng.integers(4, 2 * length))
+            n = int(rng.integers(4, max(5, 2 * length)))
             spans.append((langs.index(lang), words[k:k + n]))
             k += n
     spans = [spans[i] for i in rng.permutation(len(spans))]
     words = [w for _, own in spans for w in own]
     label = np.array([lang for lang, own in spans for _ in own], np.int64)
-    whole = len(words) // length * length
-    return words[:whole], label[:whole]
+    short = -len(words) % length  # the last chain goes on with the first words
+    return words + words[:short], np.concatenate([label, label[:short]])
 
 
 def train(rows: list[tuple[str, str]], length: int = 40, rounds: int = 60, rate: float = 0.3, decay: float = 1e-6) -> dict | None:
@@ -156,13 +158,14 @@ def train(rows: list[tuple[str, str]], length: int = 40, rounds: int = 60, rate:
     counts = {lang: Counter() for lang in langs}
     for lang, text in rows:
         counts[lang].update(w for w in map(core, text.lower().split()) if w)
-    lexicons: dict[str, int] = {}
+    lexicons: dict[str, tuple[int, ...]] = {}
     for k, lang in enumerate(langs):
         for w, _ in sorted(counts[lang].items(), key=lambda x: (-x[1], x[0]))[:LEXICON]:
-            lexicons[w] = lexicons.get(w, 0) | 1 << k
-    words, label = _sequences(rows, langs, length, np.random.default_rng(0))
-    if not words:
+            lexicons[w] = (*lexicons.get(w, ()), k)
+    length = min(length, sum(c.total() for c in counts.values()))
+    if not length:
         return None
+    words, label = _sequences(rows, langs, length, np.random.default_rng(0))
     n = len(langs)
     types = sorted(set(words))
     number, bucket = features(types, lexicons)
@@ -207,18 +210,18 @@ def train(rows: list[tuple[str, str]], length: int = 40, rounds: int = 60, rate:
 
 
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-           per_lang: int = PER_LANG, window: int = WINDOW) -> list[tuple[str, str]]:
-    """The labelled training windows: about ``per_lang`` of a language, by hash (the documented bound)."""
-    told = docs.where(F.col(lang_col).isNotNull())
-    sizes = {r[0]: r[1] for r in told.groupBy(lang_col).count().collect()}
-    if not sizes:
-        return []
-    chance = F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, min(1.0, per_lang / v))])
-    draw = F.xxhash64(F.lit("sample"), F.col(id_col)) % 1_000_000
-    start = F.pmod(F.xxhash64(F.lit("place"), F.col(id_col)), F.greatest(F.length(text_col) - window, F.lit(1))) + 1
-    rows = told.where(F.abs(draw) < F.element_at(chance, F.col(lang_col)) * 1_000_000)
-    rows = rows.select(F.col(lang_col).alias("lang"), F.substring(F.col(text_col), start.cast("int"), F.lit(window)).alias("text"))
-    return [(r["lang"], r["text"]) for r in rows.where("text is not null").collect()]
+           per_lang: int = PER_LANG, longest: int = LONGEST_ROW) -> list[tuple[str, str]]:
+    """The labelled training rows, whole: about ``per_lang`` of a language, by hash (the documented bound)."""
+    told = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.lit("sample"), F.col(id_col)).alias("draw"))
+    told = told.where("lang is not null and text is not null")
+    sizes = told.groupBy("lang").agg(F.sum(F.when(F.length("text") <= longest, 1).otherwise(0)).alias("n"), F.min_by("text", F.length("text")).alias("least"))
+    sizes = sizes.select("lang", "n", F.when(F.col("n") == 0, F.col("least")).alias("least")).collect()
+    chances = [F.lit(x) for r in sizes if r["n"] for x in (r["lang"], min(1.0, per_lang / r["n"]))]
+    out = [(r["lang"], r["least"]) for r in sizes if not r["n"]]
+    if chances:
+        chosen = F.pmod("draw", F.lit(1_000_000)) < F.element_at(F.create_map(*chances), F.col("lang")) * 1_000_000
+        out += [(r["lang"], r["text"]) for r in told.where((F.length("text") <= longest) & chosen).select("lang", "text").collect()]
+    return out
 
 
 def predict_udf(spark: SparkSession, model: dict | None):
