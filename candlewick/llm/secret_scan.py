@@ -2,20 +2,22 @@
 
 Pattern kinds ``assign``, ``access`` and ``hex`` are reported as they match.  The
 novelty kind ``novel`` looks at runs of key-like characters near a sensitive word
-that no pattern span covers: the run's marginal compressed bytes, given a
-dictionary of usual identifiers and the text around it, are set against its
-length.  Prose, identifiers and repeats cost little; a run that costs about its
-own length is incompressible and is reported.
+that no pattern span covers: the run's marginal compressed bits, given a
+dictionary of usual identifiers and the text around it, are set against what its own
+alphabet can hold (hexadecimal digits, or the kinds of characters that it has).  Prose, identifiers and repeats
+cost little; a run that costs about all its alphabet can hold is incompressible and is reported.
+A run of letters of one case, but for a capital at its start, needs a stretch of ``letters`` of them, longer than words are.
 
 Defined results: null text is empty text and has no span; offsets are code points
-with exclusive ends; every text is read whole, whatever its length; repeated rows
-give repeated results.
+with exclusive ends; every text is read whole, whatever its length, in time linear in it; repeated rows
+give repeated results; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import bisect
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -53,15 +55,25 @@ def base_spans(text: str, low: str, assign: re.Pattern, access: re.Pattern, hexe
     return sorted(found)
 
 
-def scan_udf(reach: int = 64, around: int = 256, least: int = 16, novelty: float = 0.7, level: int = 3):
+def capacity(run: str) -> float:
+    """Bits a character of the run's alphabet: hexadecimal digits of one case, or the kinds of characters that it has."""
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", run):
+        return 4.0
+    kinds = ((26, "[a-z]"), (26, "[A-Z]"), (10, "[0-9]"), (6, "[+/_=.-]"))
+    return max(1.0, math.log2(sum(n for n, kind in kinds if re.search(kind, run))))
+
+
+def scan_udf(reach: int = 64, around: int = 256, least: int = 16, novelty: float = 0.93, letters: int = 28, level: int = 3):
     """A pandas UDF over texts.  reach: code points between a sensitive word and a candidate's nearer end; around: text on
-    either side that primes the dictionary; least: shortest candidate; novelty: marginal bytes to length."""
+    either side that primes the dictionary; least: shortest candidate; novelty: marginal bits to what the alphabet
+    holds; letters: stretch that a run without digits and of one case must have."""
 
     @F.pandas_udf(SPANS)
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         assign, access = re.compile(ASSIGN, re.ASCII | re.IGNORECASE), re.compile("AKIA[A-Z0-9]+")
         hexes = re.compile("[0-9a-f]{16,}")  # a run's whole length decides, so shorter runs need not be matched
         words, runs = re.compile("|".join(SENSITIVE), re.IGNORECASE), re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % least)
+        stretch = re.compile("[a-z]{%d}|[A-Z]{%d}|[0-9]{%d}" % (letters, letters, letters))
         primer = zstandard.ZstdCompressionDict(IDENTIFIERS, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         primer.precompute_compress(level)
         packer = zstandard.ZstdCompressor(level=level, dict_data=primer, write_content_size=False, write_checksum=False)
@@ -75,17 +87,26 @@ def scan_udf(reach: int = 64, around: int = 256, least: int = 16, novelty: float
             if not near:
                 return extra
             ends = [e for _, e in near]
+            taken, reached = [], -1  # where pattern spans start, and the furthest end up to each
+            furthest = []
+            for a, _, b in base:
+                reached = max(reached, b)
+                taken.append(a)
+                furthest.append(reached)
             for m in runs.finditer(text):  # whole runs; the nearer end decides about reach
                 a, b = m.span()
                 k = bisect.bisect_left(ends, a - reach)
                 if k == len(near) or near[k][0] > b + reach:
                     continue
                 run = m[0]
-                kinds = sum(map(bool, (re.search("[a-z]", run), re.search("[A-Z]", run), re.search("[0-9]", run))))
-                if kinds < 2 or any(s < b and a < e for s, _, e in base):
+                k = bisect.bisect_left(taken, b)  # pattern spans that start before the run ends
+                if k and furthest[k - 1] > a:
+                    continue
+                kinds = sum(bool(re.search(kind, run[1:])) for kind in ("[a-z]", "[A-Z]", "[0-9]"))  # words may begin with a capital
+                if kinds < 2 and not stretch.search(run):
                     continue
                 before, after = text[max(0, a - around):a], text[b:b + around]
-                if size(before + after + run) - size(before + after) >= novelty * len(run):
+                if 8 * (size(before + after + run) - size(before + after)) >= novelty * capacity(run) * len(run):
                     extra.add((a, 3, b))
             return extra
 

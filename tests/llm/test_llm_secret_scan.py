@@ -63,3 +63,61 @@ def test_long_keys_before_their_word(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["spans"] for r in S.scan_secrets(docs).collect()}
     assert got == {0: "novel:0:120", 1: "novel:14:134", 2: "novel:23:143", 3: "novel:0:30", 4: "", 5: "novel:80:144"}
+
+
+def plain_novel(text, reach=64, around=256, least=16, novelty=0.93, letters=28):
+    """Every run against every sensitive word and every pattern span, one by one."""
+    import zstandard
+    primer = zstandard.ZstdCompressionDict(S.IDENTIFIERS, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    packer = zstandard.ZstdCompressor(level=3, dict_data=primer, write_content_size=False, write_checksum=False)
+    size = lambda x: len(packer.compress(x.encode()))
+    words = [m.span() for w in S.SENSITIVE for m in re.finditer(w, text, re.I)]
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=.-]{%d,}" % least, text):
+        (a, b), run = m.span(), m[0]
+        near = any(s <= b + reach and e >= a - reach for s, e in words)
+        free = not any(s < b and a < e for s, _, e in brute(text))
+        kinds = sum(any(c in x for c in run[1:]) for x in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"))
+        long = any(len(x) >= letters for rule in ("[a-z]+", "[A-Z]+", "[0-9]+") for x in re.findall(rule, run))
+        if near and free and (kinds > 1 or long):
+            around_it = text[max(0, a - around):a] + text[b:b + around]
+            if 8 * (size(around_it + run) - size(around_it)) >= novelty * S.capacity(run) * len(run):
+                out.append(f"novel:{a}:{b}")
+    return out
+
+
+def test_novel_spans_against_brute_force(spark):
+    rng = random.Random(9)
+    key = lambda alphabet, n: "".join(rng.choices(alphabet, k=n))
+    low, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    bits = ["secret", "the credential", "Bearer", "token", "token=abcdefghijkl", "deadbeefdeadbeef", " ", "\n", " is ", "getElementById.addEventListener", "a/b/c/d/e/f/g/h/i/j", "é"]
+    texts = []
+    for _ in range(150):
+        keys = [key(low, 40), key(upper + digits, 30), key(low + upper + digits, 20), key("0123456789ABCDEF", 64), key(digits, 30), key(low, 18)]
+        texts.append(" ".join(rng.choices(bits + keys, k=rng.randint(2, 40))))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [s for s in r["spans"].split(",") if s.startswith("novel")] for r in S.scan_secrets(docs).collect()}
+    assert got == {i: plain_novel(t) for i, t in enumerate(texts)} and sum(map(len, got.values())) > 50
+
+
+def test_keys_of_small_alphabets_and_long_words(spark):
+    rng = random.Random(11)
+    lower, hexes, digits = ("".join(rng.choices(x, k=n)) for x, n in (("abcdefghijklmnopqrstuvwxyz", 40), ("0123456789ABCDEF", 256), ("0123456789", 40)))
+    texts = [f"my credential is {lower}", f"the secret {hexes} end", f"token of {digits}", "secret internationalization of this", "password docs/getting-started/with-the-authorization/index.html",
+             "private Donaudampfschifffahrtsgesell"]
+    got = {r["doc_id"]: r["n_novel"] for r in S.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {0: 1, 1: 1, 2: 0, 3: 0, 4: 0, 5: 0}  # 2 is a hex span
+
+
+def test_time_is_linear_in_a_text():
+    import time
+    rng = random.Random(2)
+    scan = S.scan_udf().func
+    import pandas as pd
+    spent = []
+    for n in (1500, 6000):
+        text = " ".join(f"secret {rng.getrandbits(100):026x} token{rng.getrandbits(80)}Ab" for _ in range(n))
+        begin = time.process_time()
+        next(scan(iter([pd.Series([text])])))
+        spent.append(time.process_time() - begin)
+    assert spent[1] < 9 * spent[0] + 1
