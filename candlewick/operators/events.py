@@ -4,88 +4,74 @@ proximity.
 
 Interval join plan.  An event is active for a tick when
 ``start <= ts <= end`` (closed) and it lists the tick's base or quote
-currency.  Events are exploded to the quarter-hour buckets they cover, per
-currency, and equi-joined with the ticks' own bucket and currencies, so a tick
+currency.  Events are exploded to the time buckets they cover, per
+currency, and equi-joined with the ticks' own bucket and currencies; the bucket is the
+largest grid that the events last on average, so an event has few entries and a tick
 meets few events that are not active.  If the number of event entries is proven
 small they are broadcast (no tick shuffle), else both sides are shuffled (AQE
 splits hot buckets).  An event listing both currencies of a pair is kept only
-on its base-currency row.  ``event_impact`` needs one row per tick: with few
-events it looks up the bucket's list and folds it in place; else it computes
-the impact once per instant and currency pair and joins that back.
+on its base-currency row.
+
+``event_impact`` needs one row per tick and makes no tick/event pairs: it sweeps over
+event edges.  Each event adds one to the running counts of its pairs where it starts and
+takes one away after it ends; ticks and edges are put in one order, cut into balanced chunks, and
+the chunks' totals carry the counts over.  There is a count for each distinct multiplier value, so
+factors are powers of exact counts.  The work is linear in ticks plus events, however many
+events are active at once.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.constants import HOUR_VOLUME_PROFILE, PAIR_CONFIG, PAIR_SEED_ROWS, PEAK_HOUR_MULTIPLIER
-from candlewick.functions.columns import bucket, scale_effect, scale_shock
+from candlewick.functions.columns import bucket, interval_minutes, micros_between, scale_effect, scale_shock
+from candlewick.operators.windows import balanced_chunks, null_safe_left_join
 from candlewick.plans.joins import DEFAULT_BROADCAST_ROWS, has_at_most
 from candlewick.schemas import CURRENCY_PAIRS_SEED
 
 EVENT_FIELDS = ("event_id", "event_type", "event_timestamp", "severity", "start_timestamp", "end_timestamp",
                 "affected_currencies", "spread_multiplier", "volatility_multiplier", "volume_multiplier")
 
-_GRID, _STEP = "15min", "INTERVAL 15 MINUTES"
+FACTORS = {"spread_multiplier": "spread_factor", "volatility_multiplier": "volatility_factor", "volume_multiplier": "volume_factor"}
+#: Distinct multiplier values that the sweep keeps a count for; beyond it impacts are summed from tick/event pairs.
+MAX_FACTOR_VALUES = 64
+
+
+def _grid(events: DataFrame, start: str, end: str) -> str:
+    """The largest time bucket that the events last on average."""
+    minutes = events.where(F.col(start) <= F.col(end)).agg(F.avg(micros_between(start, end) / F.lit(60e6))).first()[0] or 0
+    return max((g for g in ("15min", "1h", "4h", "1d") if interval_minutes(g) <= minutes), key=interval_minutes, default="15min")
 
 
 def _event_struct(events: DataFrame, fields) -> Column:
     return F.struct(*[F.col(c).alias(c) for c in fields if c in events.columns])
 
 
-def _bucket_entries(events: DataFrame, start: str, end: str, fields=EVENT_FIELDS) -> DataFrame:
-    """(bucket, event) — one row per bucket an event overlaps."""
-    ev = _event_struct(events, fields)
-    buckets = F.sequence(bucket(start, _GRID), bucket(end, _GRID), F.expr(_STEP))
+def _entries(events: DataFrame, start: str, end: str, grid: str, fields=EVENT_FIELDS) -> DataFrame:
+    """(bucket, currency, event): one row per bucket that an event overlaps and currency it lists."""
+    buckets = F.sequence(bucket(start, grid), bucket(end, grid), F.expr(f"INTERVAL {interval_minutes(grid)} MINUTES"))
     return (events.where(F.col(start) <= F.col(end))
-            .select(F.explode(buckets).alias("_bucket"), ev.alias("_ev")))
-
-
-def events_by_bucket(events: DataFrame, start: str = "start_timestamp", end: str = "end_timestamp",
-                     fields=EVENT_FIELDS) -> DataFrame:
-    """(bucket, array<event>) — every event listed in each bucket it overlaps."""
-    return (_bucket_entries(events, start, end, fields)
-            .groupBy("_bucket").agg(F.collect_list("_ev").alias("_events")))
-
-
-def _active(ts: Column, base: Column, quote: Column, start: str, end: str):
-    def pred(e):
-        return ((e[start] <= ts) & (ts <= e[end]) &
-                (F.array_contains(e["affected_currencies"], base) |
-                 F.array_contains(e["affected_currencies"], quote)))
-    return pred
-
-
-def _with_bucket_events(ticks: DataFrame, events: DataFrame, ts: str, start: str, end: str,
-                        max_broadcast_rows: int, fields=EVENT_FIELDS):
-    # the bound is on (bucket, event) entries = total length of the
-    # broadcast lists, so long events cannot inflate the broadcast unchecked
-    if not has_at_most(_bucket_entries(events, start, end, fields), max_broadcast_rows):
-        return None
-    side = F.broadcast(events_by_bucket(events, start, end, fields))
-    joined = (ticks.withColumn("_bucket", bucket(ts, _GRID))
-              .join(side, "_bucket", "left").drop("_bucket"))
-    active = F.filter(F.coalesce(F.col("_events"), F.array().cast(side.schema["_events"].dataType)),
-                      _active(F.col(ts), F.col("base_currency"), F.col("quote_currency"), start, end))
-    return joined.withColumn("_active", active).drop("_events")
+            .select(F.explode(buckets).alias("_bucket"), F.array_distinct("affected_currencies").alias("_curs"), _event_struct(events, fields).alias("_ev"))
+            .select("_bucket", F.explode("_curs").alias("_cur"), "_ev"))
 
 
 def _exploded_pairs(ticks: DataFrame, events: DataFrame, ts: str, start: str, end: str,
-                    fields=EVENT_FIELDS, broadcast: bool = False) -> DataFrame:
+                    fields=EVENT_FIELDS, max_broadcast_rows: int = 0) -> DataFrame:
     """(bucket, currency) equi-join + residual interval test.  A tick meets only the events of its own bucket and
-    currencies; the events are broadcast if their number is proven small, else both sides are shuffled."""
-    ev = (events.where(F.col(start) <= F.col(end))
-          .select(F.explode(F.sequence(bucket(start, _GRID), bucket(end, _GRID), F.expr(_STEP))).alias("_bucket"),
-                  F.explode("affected_currencies").alias("_cur"), _event_struct(events, fields).alias("_ev")))
-    t = (ticks.withColumn("_bucket", bucket(ts, _GRID))
+    currencies; the event entries are broadcast if their number is proven small, else both sides are shuffled."""
+    grid = _grid(events, start, end)
+    ev = _entries(events, start, end, grid, fields)
+    small = max_broadcast_rows > 0 and has_at_most(ev, max_broadcast_rows)
+    t = (ticks.withColumn("_bucket", bucket(ts, grid))
          .withColumn("_side", F.explode(F.array(F.lit(0), F.lit(1))))
          .withColumn("_cur", F.when(F.col("_side") == 0, F.col("base_currency")).otherwise(F.col("quote_currency"))))
-    j = t.join(F.broadcast(ev) if broadcast else ev.hint("merge"), ["_bucket", "_cur"], "inner")  # beyond the broadcast bound, whatever Spark's estimate
+    j = t.join(F.broadcast(ev) if small else ev.hint("merge"), ["_bucket", "_cur"], "inner")  # beyond the broadcast bound, whatever Spark's estimate
     keep = ((F.col(f"_ev.{start}") <= F.col(ts)) & (F.col(ts) <= F.col(f"_ev.{end}")) &
-            ((F.col("_side") == 0) | ~F.array_contains(F.col("_ev.affected_currencies"), F.col("base_currency"))))
+            ((F.col("_side") == 0) | ~F.coalesce(F.array_contains(F.col("_ev.affected_currencies"), F.col("base_currency")), F.lit(False))))
     return j.where(keep).drop("_bucket", "_cur", "_side")
 
 
@@ -93,46 +79,90 @@ def active_events_join(ticks: DataFrame, events: DataFrame, ts: str = "transacti
                        start: str = "start_timestamp", end: str = "end_timestamp",
                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """One row per (tick, active event): tick columns + ``event_*`` columns."""
-    small = has_at_most(_bucket_entries(events, start, end), max_broadcast_rows)
-    pairs = _exploded_pairs(ticks, events, ts, start, end, broadcast=small)
+    pairs = _exploded_pairs(ticks, events, ts, start, end, max_broadcast_rows=max_broadcast_rows)
     ev_cols = [F.col(f"_ev.{c}").alias(c if c.startswith("event_") else f"event_{c}")
                for c in EVENT_FIELDS if c != "affected_currencies" and c in events.columns]
     return pairs.select(*[F.col(c) for c in ticks.columns], *ev_cols)
 
 
+def _factor_values(events: DataFrame, most: int) -> dict[str, list[float]] | None:
+    """The distinct values of each multiplier, or None if there are more than ``most`` in all."""
+    told = events.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in FACTORS])).alias("f"))
+    rows = told.select("f.*").where("value is not null").distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        return None
+    return {c: sorted(r["value"] for r in rows if r["name"] == c) for c in FACTORS}
+
+
+def _edges(ticks: DataFrame, events: DataFrame, start: str, end: str, max_broadcast_rows: int) -> DataFrame:
+    """(base, quote, at, kind, sign, multipliers): two rows per event and pair of the ticks that it affects.
+
+    Ticks are of kind 1, starts come before them at an instant and ends after, so intervals are closed."""
+    pairs = ticks.select("base_currency", "quote_currency").distinct()
+    sides = pairs.select(F.col("base_currency").alias("_base"), F.col("quote_currency").alias("_quote"),
+                         F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("base_currency").alias("cur")),
+                                           F.struct(F.lit(1).alias("side"), F.col("quote_currency").alias("cur")))).alias("_s"))
+    sides = sides.select("_base", "_quote", F.col("_s.side").alias("_side"), F.col("_s.cur").alias("_cur"))
+    sides = F.broadcast(sides) if max_broadcast_rows > 0 and has_at_most(sides, max_broadcast_rows) else sides.hint("merge")
+    ev = (events.where(F.col(start) <= F.col(end))
+          .select(F.col(start).alias("_from"), F.col(end).alias("_to"), "affected_currencies", *FACTORS,
+                  F.explode(F.array_distinct("affected_currencies")).alias("_cur")))
+    once = (F.col("_side") == 0) | ~F.coalesce(F.array_contains("affected_currencies", F.col("_base")), F.lit(False))
+    edge = F.explode(F.array(*[F.struct(F.col(at).alias("at"), F.lit(kind).alias("kind"), F.lit(sign).alias("sign"))
+                               for at, kind, sign in (("_from", 0, 1), ("_to", 2, -1))])).alias("_e")
+    return ev.join(sides, "_cur").where(once).select("_base", "_quote", edge, *FACTORS).select(
+        "_base", "_quote", F.col("_e.at").alias("_at"), F.col("_e.kind").alias("_kind"), F.col("_e.sign").alias("_sign"), *FACTORS)
+
+
+def _impact_by_sweep(ticks: DataFrame, events: DataFrame, ts: str, start: str, end: str, values: dict[str, list[float]],
+                     max_broadcast_rows: int, n_chunks: int | None) -> DataFrame:
+    rows = ticks.select(F.col("base_currency").alias("_base"), F.col("quote_currency").alias("_quote"), F.col(ts).alias("_at"), F.lit(1).alias("_kind"),
+                        F.lit(0).alias("_sign"), *[F.lit(None).cast("double").alias(c) for c in FACTORS],
+                        F.struct(*[F.col(c) for c in ticks.columns]).alias("_tick"))
+    edges = _edges(ticks, events, start, end, max_broadcast_rows)
+    both = rows.unionByName(edges, allowMissingColumns=True)
+    by = ["_base", "_quote"]
+    both = balanced_chunks(both, by, ["_at", "_kind"], n_chunks)
+    counts = {"_n": F.col("_sign")}
+    for c, own in values.items():
+        counts |= {f"_{c}_{i}": F.when(F.col(c) == F.lit(v), F.col("_sign")).otherwise(F.lit(0)) for i, v in enumerate(own) if v != 1.0}
+    running = Window.partitionBy(*by, "_chunk").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    inner = both.select("*", *[F.sum(x).over(running).alias(name) for name, x in counts.items()]).where(F.col("_kind") == 1)
+    totals = both.groupBy(*by, "_chunk").agg(*[F.sum(x).alias(f"{name}_t") for name, x in counts.items()])
+    earlier = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*by, "_chunk", *[F.coalesce(F.sum(f"{name}_t").over(earlier), F.lit(0)).alias(f"{name}_c") for name in counts])
+    out = null_safe_left_join(inner, carry, [*by, "_chunk"])
+    n = {name: F.col(name) + F.col(f"{name}_c") for name in counts}
+    factors = [reduce(lambda a, b: a * b, [F.pow(F.lit(v), n[f"_{c}_{i}"]) for i, v in enumerate(own) if v != 1.0], F.lit(1.0)).alias(FACTORS[c])
+               for c, own in values.items()]
+    return out.select("_tick.*", n["_n"].cast("long").alias("active_events"), *factors)
+
+
+def _impact_by_pairs(ticks: DataFrame, events: DataFrame, ts: str, start: str, end: str) -> DataFrame:
+    """For multipliers of very many distinct values: products over tick/event pairs.  Impact depends on the instant and the two
+    currencies alone, so it is computed once for each of these and joined back: repeated ticks neither multiply nor merge."""
+    keys = [ts, "base_currency", "quote_currency"]
+    pairs = _exploded_pairs(ticks.select(*keys).distinct(), events, ts, start, end)
+    agg = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("active_events"), *[F.product(f"_ev.{c}").alias(name) for c, name in FACTORS.items()])
+    agg = agg.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "active_events", *FACTORS.values())
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return (ticks.join(agg.hint("merge"), same, "left")
+            .select(*[F.col(c) for c in ticks.columns], F.coalesce("active_events", F.lit(0).cast("long")).alias("active_events"),
+                    *[F.coalesce(c, F.lit(1.0)).alias(c) for c in FACTORS.values()]))
+
+
 def event_impact(ticks: DataFrame, events: DataFrame, ts: str = "transaction_timestamp",
                  start: str = "start_timestamp", end: str = "end_timestamp",
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, n_chunks: int | None = None,
+                 max_factor_values: int = MAX_FACTOR_VALUES) -> DataFrame:
     """Per tick: number of active events and the products of their spread /
-    volatility / volume multipliers (1.0 when none), plus the effective
-    volatility = pair volatility x hour multiplier x volatility product."""
-    with_lists = _with_bucket_events(ticks, events, ts, start, end, max_broadcast_rows)
-    if with_lists is not None:
-        def prod(field):
-            # a NULL multiplier counts as none, as it does in the product aggregate
-            return F.aggregate("_active", F.lit(1.0), lambda acc, e: acc * F.coalesce(e[field], F.lit(1.0)))
-        out = with_lists.select(*[F.col(c) for c in ticks.columns],
-                                F.size("_active").cast("long").alias("active_events"),
-                                prod("spread_multiplier").alias("spread_factor"),
-                                prod("volatility_multiplier").alias("volatility_factor"),
-                                prod("volume_multiplier").alias("volume_factor"))
-    else:
-        # Impact depends on the instant and the two currencies alone, so it is computed once for each of
-        # these and joined back: repeated ticks neither multiply nor merge.
-        keys = [ts, "base_currency", "quote_currency"]
-        pairs = _exploded_pairs(ticks.select(*keys).distinct(), events, ts, start, end)
-        agg = (pairs.groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("active_events"),
-                    F.product("_ev.spread_multiplier").alias("spread_factor"),
-                    F.product("_ev.volatility_multiplier").alias("volatility_factor"),
-                    F.product("_ev.volume_multiplier").alias("volume_factor")))
-        agg = agg.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "active_events", "spread_factor",
-                         "volatility_factor", "volume_factor")
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-        out = (ticks.join(agg.hint("merge"), same, "left")
-               .select(*[F.col(c) for c in ticks.columns],
-                       F.coalesce("active_events", F.lit(0).cast("long")).alias("active_events"),
-                       *[F.coalesce(c, F.lit(1.0)).alias(c) for c in ("spread_factor", "volatility_factor", "volume_factor")]))
+    volatility / volume multipliers (1.0 when none; a NULL multiplier counts as none), plus the effective
+    volatility = pair volatility x hour multiplier x volatility product.
+
+    ``max_broadcast_rows`` bounds the table of distinct pairs that meets the events; 0 shuffles it."""
+    values = _factor_values(events, max_factor_values)
+    out = (_impact_by_sweep(ticks, events, ts, start, end, values, max_broadcast_rows, n_chunks) if values is not None
+           else _impact_by_pairs(ticks, events, ts, start, end))
     return (with_hour_profile(with_pair_reference(out, ["volatility"]), ts)
             .withColumn("effective_volatility",
                         F.col("pair_volatility") * F.col("hour_volume_multiplier") * F.col("volatility_factor")))

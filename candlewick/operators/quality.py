@@ -75,19 +75,30 @@ def _report_rows(row, names) -> DataFrame:
         for c, col in names])).alias("r")).select("r.*")
 
 
+def _nonnull(keys) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def dq_report(df: DataFrame, checks, model: str = "") -> DataFrame:
     """(model, check, column, severity, failures) for every check.
 
     All row-level checks are one global aggregate (a row per task is all that
-    moves); a uniqueness check groups by its key alone."""
+    moves).  The first uniqueness check rides along: rows are grouped by its key with their
+    failures summed, so the table is read once; each further one groups by its key alone."""
     spark = df.sparkSession
     row_checks = [c for c in checks if c.failing() is not None]
     rest = [c for c in checks if c.failing() is None]
-    sums = [F.sum(F.when(c.failing(), 1).otherwise(0)).alias(f"f{i}") for i, c in enumerate(row_checks)]
+    names = [(c, f"f{i}") for i, c in enumerate(row_checks)]
+    sums = [F.sum(F.when(c.failing(), 1).otherwise(0)).alias(name) for c, name in names]
     parts = []
-    if row_checks:
-        parts.append(_report_rows(df.agg(*sums), [(c, f"f{i}") for i, c in enumerate(row_checks)]))
-    for c in rest:
+    if rest:
+        keys = list(rest[0].columns)
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *sums)
+        repeated = F.sum(F.when(_nonnull(keys) & (F.col("_n") > 1), 1).otherwise(0)).alias("u0")
+        parts.append(_report_rows(per_key.agg(repeated, *[F.sum(name).alias(name) for _, name in names]), [(rest[0], "u0"), *names]))
+    elif row_checks:
+        parts.append(_report_rows(df.agg(*sums), names))
+    for c in rest[1:]:
         f = failing_rows(df, c).agg(F.count(F.lit(1)).cast("long").alias("failures"))
         parts.append(f.select(F.lit(c.name).alias("check"), F.lit(c.column).alias("column"),
                               F.lit(c.severity).alias("severity"), "failures"))
@@ -97,6 +108,48 @@ def dq_report(df: DataFrame, checks, model: str = "") -> DataFrame:
     return out.select(F.lit(model).alias("model"), "*")
 
 
+# ------------------------------------------------- mergeable check states
+def row_states(df: DataFrame, checks, partition: str) -> DataFrame:
+    """(partition, check number, failures) of the row-level checks: counts that add up over partitions."""
+    held = [(i, c) for i, c in enumerate(checks) if c.failing() is not None]
+    sums = df.groupBy(partition).agg(*[F.sum(F.when(c.failing(), 1).otherwise(0)).cast("long").alias(f"f{i}") for i, c in held])
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("no"), F.col(f"f{i}").alias("failures")) for i, _ in held])).alias("s")
+    return sums.select(partition, each).select(partition, "s.*")
+
+
+def key_states(df: DataFrame, checks, partition: str) -> DataFrame:
+    """(partition, check number, key digest, rows) of the uniqueness checks: digests of 128 bits in place of the keys."""
+    parts = []
+    for i, c in enumerate(checks):
+        if c.failing() is not None:
+            continue
+        text = F.to_json(F.struct(*[F.col(k).cast("string").alias(f"k{j}") for j, k in enumerate(c.columns)]))
+        keyed = df.where(_nonnull(c.columns)).select(partition, F.unhex(F.md5(text.cast("binary"))).alias("key"))
+        parts.append(keyed.groupBy(partition, "key").agg(F.count(F.lit(1)).alias("n")).select(partition, F.lit(i).alias("no"), "key", "n"))
+    return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
+
+
+def refresh_check_states(df: DataFrame, checks, path: str, partition: str = "partition", partitions=None) -> None:
+    """Write the states of ``df`` under ``path``, or of the listed ``partitions`` alone: only their folders are read and replaced."""
+    if partitions is not None:
+        df = df.where(F.col(partition).isin(list(partitions)))
+    for name, states in (("rows", row_states(df, checks, partition)), ("keys", key_states(df, checks, partition))):
+        if states is not None:
+            (states.withColumnRenamed(partition, "partition").hint("rebalance", "partition").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("partition").parquet(f"{path}/{name}"))
+
+
+def report_from_states(spark, path: str, checks, model: str = "") -> DataFrame:
+    """The ``dq_report`` of a table from its stored states: sums of counts, and keys whose rows come to more than one over all partitions."""
+    held = spark.read.parquet(f"{path}/rows").groupBy("no").agg(F.sum("failures").alias("failures"))
+    if any(c.failing() is None for c in checks):
+        per_key = spark.read.parquet(f"{path}/keys").groupBy("no", "key").agg(F.sum("n").alias("n"))
+        held = held.unionByName(per_key.groupBy("no").agg(F.sum(F.when(F.col("n") > 1, 1).otherwise(0)).alias("failures")))
+    names = spark.createDataFrame([(i, c.name, c.column, c.severity) for i, c in enumerate(checks)], "no int, check string, column string, severity string")
+    return F.broadcast(names).join(held, "no", "left").select(  # one row per check
+        F.lit(model).alias("model"), "check", "column", "severity", F.coalesce("failures", F.lit(0)).cast("long").alias("failures"))
+
+
 def store_failures(df: DataFrame, checks, path: str, model: str = "", fmt: str = "parquet") -> None:
     """Persist the failing rows of every check under ``path/<model>/<check>_<n>``
     (overwrite), like a test run that stores its failures for inspection."""
@@ -269,9 +322,11 @@ def schema_changes(actual: StructType, expected: StructType) -> dict:
             "retyped": sorted(k for k in set(a) & set(e) if a[k] != e[k])}
 
 
-def assert_schema(df: DataFrame, expected: StructType, on_change: str = "fail") -> DataFrame:
-    """Fail on a breaking schema change (removed or retyped column)."""
-    ch = schema_changes(df.schema, expected)
-    if on_change == "fail" and (ch["removed"] or ch["retyped"]):
-        raise AssertionError(f"schema change: {ch}")
-    return df
+def schema_report(stored: DataFrame, update: DataFrame) -> DataFrame:
+    """(column, change, breaking, rows): how an update's columns break a table's contract, with the rows that hold a value there."""
+    change = schema_changes(update.schema, stored.schema)
+    kinds = [(c, kind, kind != "added", stored if kind != "added" else update) for kind in ("added", "removed", "retyped") for c in change[kind]]
+    parts = [df.agg(F.count(F.col(c)).alias("rows")).select(F.lit(c).alias("column"), F.lit(kind).alias("change"), F.lit(bad).alias("breaking"), "rows")
+             for c, kind, bad, df in kinds]
+    empty = stored.sparkSession.createDataFrame([], "column string, change string, breaking boolean, rows long")
+    return reduce(lambda a, b: a.unionByName(b), parts) if parts else empty

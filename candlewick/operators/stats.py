@@ -3,7 +3,6 @@ dataset checks of the source system's test-suite, as DataFrame operators)."""
 
 from __future__ import annotations
 
-import itertools
 import math
 
 from pyspark.sql import DataFrame, Window
@@ -88,31 +87,21 @@ def minute_volatility(ticks: DataFrame, interval: str = "1min",
     return g.where(F.col("volatility") > F.lit(threshold))
 
 
-def pair_correlation(ticks: DataFrame, interval: str = "1min", pairs=CURRENCY_PAIRS,
+def pair_correlation(ticks: DataFrame, interval: str = "1min", pairs=None,
                      threshold: float = CORRELATION_THRESHOLD) -> DataFrame:
-    """Pearson correlation of per-bucket mean mid between every two pairs.
-
-    Pivot to one row per bucket with one column per pair (the pair list is
-    fixed, so the pivot needs no distinct-values pass), then all 15
-    correlations in one global aggregate (partial per task, tiny final)."""
-    pairs = list(pairs)
-    # a pair outside the list is an error, not a row to leave out
-    known = F.col("currency_pair").isNull() | F.col("currency_pair").isin(pairs)
-    ticks = ticks.withColumn("currency_pair", F.when(known, F.col("currency_pair")).otherwise(
-        F.raise_error(F.concat(F.lit("pair not in the list: "), F.col("currency_pair"))).cast("string")))
-    wide = (ticks.groupBy(bucket(TS, interval).alias("bucket_start"))
-            .pivot("currency_pair", pairs).agg(F.avg(F.col("mid_price").cast("double"))))
-    combos = list(itertools.combinations(pairs, 2))
-    aggs = []
-    for i, (a, b) in enumerate(combos):
-        both = F.col(f"`{a}`").isNotNull() & F.col(f"`{b}`").isNotNull()
-        aggs += [F.corr(f"`{a}`", f"`{b}`").alias(f"c{i}"), F.sum(F.when(both, 1).otherwise(0)).alias(f"n{i}")]
-    row = wide.agg(*aggs)
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(a).alias("pair_a"), F.lit(b).alias("pair_b"), F.col(f"c{i}").alias("correlation"),
-                 F.col(f"n{i}").cast("long").alias("n_buckets"))
-        for i, (a, b) in enumerate(combos)]))
-    return (row.select(stacked.alias("r")).select("r.*")
+    """Pearson correlation of per-bucket mean mid between every two pairs that share a bucket.
+
+    Any pair takes part; a list of ``pairs`` restricts them and gives their order within a row.  Bucket means meet in a join on the bucket, so a row
+    meets the other pairs of its own bucket alone, and the co-moments of two pairs are partial
+    aggregates that merge: nothing is pivoted and no list of pairs is held."""
+    means = ticks if pairs is None else ticks.where(F.col("currency_pair").isin(list(pairs)))
+    means = (means.where("currency_pair is not null").groupBy(bucket(TS, interval).alias("bucket_start"), "currency_pair")
+             .agg(F.avg(F.col("mid_price").cast("double")).alias("mean")))
+    order = F.col("currency_pair") if pairs is None else F.array_position(F.array(*[F.lit(p) for p in pairs]), F.col("currency_pair"))
+    a = means.select("bucket_start", F.col("currency_pair").alias("pair_a"), F.col("mean").alias("a"), order.alias("_a"))
+    b = means.select("bucket_start", F.col("currency_pair").alias("pair_b"), F.col("mean").alias("b"), order.alias("_b"))
+    return (a.join(b, "bucket_start").where("_a < _b").groupBy("pair_a", "pair_b")
+            .agg(F.corr("a", "b").alias("correlation"), F.sum(F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), 1).otherwise(0)).cast("long").alias("n_buckets"))
             .withColumn("correlated", F.abs("correlation") > F.lit(threshold)))
 
 

@@ -58,7 +58,12 @@ def _with_chunk(df: DataFrame, by, order, chunk: str, n_chunks: int | None = Non
     return ranged.checkpoint(eager=True)
 
 
-def _null_safe_left_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+def balanced_chunks(df: DataFrame, by, order, n_chunks: int | None = None) -> DataFrame:
+    """The rows with a ``_chunk`` number that rises with (by, order), ties split too; checkpointed, so every read sees one assignment."""
+    return _with_chunk(df, list(by), list(order), BALANCED, n_chunks, freeze=True)
+
+
+def null_safe_left_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     """Left join on ``keys`` where NULL matches NULL (a window groups NULL
     keys together, so the carry must find them too)."""
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
@@ -96,7 +101,7 @@ def chunked_sequence(df: DataFrame, by, order, values=(), chunk: str = DEFAULT_C
     if values:
         carry_cols.append(F.lag("_last").over(cw).alias("_carry"))
     carry = chunks.select(*by, "_chunk", *carry_cols)
-    d = _null_safe_left_join(d, carry, [*by, "_chunk"])
+    d = null_safe_left_join(d, carry, [*by, "_chunk"])
     first = F.col("_rn") == 1
     for v in values:
         d = d.withColumn(f"{prefix}{v}", F.when(first, F.col(f"_carry.{v}")).otherwise(F.col(f"_lag_{v}")))

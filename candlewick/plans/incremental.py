@@ -94,7 +94,7 @@ def read_partitioned(spark: SparkSession, path: str, partition: str = "partition
     return spark.read.format(fmt).schema(StructType(fields)).load(path)
 
 
-def _read_or_none(spark: SparkSession, path: str, fmt: str, partition: str = "partition"):
+def read_or_none(spark: SparkSession, path: str, fmt: str, partition: str = "partition"):
     """The table at ``path`` with its own schema; None only when the path is proven missing.
 
     Any other error (storage, permissions, unreadable files) is raised: taking it
@@ -114,21 +114,55 @@ def require_same_schema(target: DataFrame, updates: DataFrame) -> None:
         raise AssertionError(f"schema change against the table: {change}")
 
 
+def require_keys(df: DataFrame, keys) -> None:
+    """Fail on rows that share a key or lack a part of it: a merge could not tell which of them wins, or would never find them again."""
+    keys = list(keys)
+    lacking = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    bad = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | lacking).limit(1).collect()
+    if bad:
+        raise AssertionError(f"repeated or null key: {bad[0].asDict()}")
+
+
+def append_new(spark: SparkSession, path: str, batch: DataFrame, batch_id: str, key: str = "tick_id", ts: str = "transaction_timestamp",
+               days_back: int = 1, fmt: str = "parquet") -> None:
+    """Insert the rows of a delivery whose id is not stored yet; every id is stored once.
+
+    Of rows that share an id within the delivery the first by time stays.  Stored ids are looked up in the date folders of the
+    delivery's rows and of ``days_back`` days on either side, so a redelivery that far off is still found and no other folder is read.
+    Files go to (date, batch) folders that only this batch writes and that its own lookup leaves out: a delivery that was
+    cut off is delivered again under the same id and replaces what it had written."""
+    checkpoint_dir(spark)
+    rows = batch.withColumn("date", F.to_date(ts)).withColumn("batch", F.lit(str(batch_id)))
+    first = rows.groupBy(key).agg(F.min(F.struct(ts, *[F.col(c) for c in rows.columns if c not in (ts, key)])).alias("_r"))
+    rows = first.select(key, "_r.*").select(*rows.columns).checkpoint(eager=True)
+    dates = [r[0] for r in rows.select("date").distinct().collect()]  # folders, not rows
+    if not dates:
+        return
+    span = [d + _dt.timedelta(days=k) for d in dates if d is not None for k in range(-days_back, days_back + 1)]
+    stored = read_or_none(spark, path, fmt, "batch")
+    if stored is not None:
+        near = stored.where(F.col("date").isin(sorted(set(span))) & (F.col("batch") != str(batch_id)))
+        rows = rows.join(near.select(key), key, "left_anti").select(*rows.columns)
+    (rows.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .format(fmt).partitionBy("date", "batch").save(path))
+
+
 def upsert_path(spark: SparkSession, path: str, updates: DataFrame, keys=KEYS,
                 partition: str = "partition", fmt: str = "parquet") -> None:
     """Upsert into a partitioned table on disk, rewriting only the touched partitions.
 
-    The update must have exactly the table's columns and types; otherwise it
-    fails and the table is left as it is.  Only a missing path is built anew."""
+    The update must have exactly the table's columns and types, and each of its keys
+    whole and once; otherwise it fails and the table is left as it is.  Only a missing path is built anew."""
     keys = list(keys)
-    target = _read_or_none(spark, path, fmt, partition)
+    target = read_or_none(spark, path, fmt, partition)
     if target is None:
         (updates.repartitionByRange(partition, *keys).sortWithinPartitions(partition, *keys)
          .write.mode("overwrite").format(fmt).partitionBy(partition).save(path))
         return
     require_same_schema(target, updates)
     checkpoint_dir(spark)  # make sure a shared checkpoint folder is set
-    updates = updates.checkpoint(eager=True)  # evaluated once: partitions, anti join and union all read it
+    updates = updates.checkpoint(eager=True)  # evaluated once: key check, partitions, anti join and union all read it
+    require_keys(updates, keys)
     touched = [r[0] for r in updates.select(partition).distinct().collect()]  # partitions, not rows
     old = target.where(F.col(partition).isin(touched))
     merged = upsert(old, updates.select(*target.columns), keys)
@@ -145,7 +179,7 @@ def build_candles(spark: SparkSession, ticks: DataFrame, path: str, interval: st
                   fmt: str = "parquet") -> None:
     """Full or incremental build of one candle table at ``path``."""
     part = partition_col(interval)
-    target = None if full_refresh else _read_or_none(spark, path, fmt)
+    target = None if full_refresh else read_or_none(spark, path, fmt)
     if target is not None:
         built = ohlc_candles(ticks, interval).withColumn("partition", partition_value("candle_timestamp", part))
         require_same_schema(target, built)
@@ -170,7 +204,7 @@ def build_all_candles(spark: SparkSession, ticks: DataFrame, root: str,
     candles a per-table incremental run would write)."""
     from candlewick.operators.candles import multi_grain_candles
     paths = {iv: f"{root.rstrip('/')}/ohlc_{iv}" for iv in intervals}
-    targets = {iv: None if full_refresh else _read_or_none(spark, p, fmt) for iv, p in paths.items()}
+    targets = {iv: None if full_refresh else read_or_none(spark, p, fmt) for iv, p in paths.items()}
     cutoffs = {iv: incremental_cutoff(high_water_mark(t), iv) if t is not None else None for iv, t in targets.items()}
     full = any(c is None for c in cutoffs.values())
     src = ticks if full else ticks.where(since_predicate(ticks.columns, "transaction_timestamp", min(cutoffs.values())))

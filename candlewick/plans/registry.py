@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.constants import EXCHANGES, TRADER_TYPES
+from candlewick.constants import CURRENCY_PAIRS, EXCHANGES, TRADER_TYPES
 from candlewick.functions.columns import (duration_minutes, impact_label, ntz_lit, pair_format_ok,
                                          partition_value, quote_from_mid, spread_bps)
 from candlewick.operators import candles as C
@@ -212,10 +212,11 @@ _IMPACT_SQL = O.with_ctes(*O.TICK_CTES, O.EVENTS, O.PAIR_CFG) + f""", imp AS (
     coalesce(product(e.volume_multiplier), 1.0) AS volume_factor
   FROM stg s LEFT JOIN ev e ON {O.ACTIVE}
   GROUP BY s.tick_id, s.currency_pair, s.transaction_timestamp)
-SELECT i.tick_id, i.currency_pair, i.transaction_timestamp, active_events, spread_factor, volatility_factor, volume_factor,
+SELECT i.tick_id, i.currency_pair, i.transaction_timestamp, active_events, CAST(CAST(spread_factor AS FLOAT) AS DOUBLE) AS spread_factor,
+  CAST(CAST(volatility_factor AS FLOAT) AS DOUBLE) AS volatility_factor, CAST(CAST(volume_factor AS FLOAT) AS DOUBLE) AS volume_factor,
   hour(i.transaction_timestamp) AS hour, {O.HOUR_LIST}[hour(i.transaction_timestamp) + 1] AS hour_volume_multiplier,
   {O.HOUR_LIST}[hour(i.transaction_timestamp) + 1] >= 1.2 AS is_peak_hour, c.pair_volatility,
-  c.pair_volatility * {O.HOUR_LIST}[hour(i.transaction_timestamp) + 1] * volatility_factor AS effective_volatility
+  CAST(CAST(c.pair_volatility * {O.HOUR_LIST}[hour(i.transaction_timestamp) + 1] * volatility_factor AS FLOAT) AS DOUBLE) AS effective_volatility
 FROM imp i LEFT JOIN cfg c ON i.currency_pair = c.currency_pair"""
 
 _IMPACT_COLS = ["tick_id", "currency_pair", TS, "active_events", "spread_factor", "volatility_factor",
@@ -223,14 +224,27 @@ _IMPACT_COLS = ["tick_id", "currency_pair", TS, "active_events", "spread_factor"
                 "effective_volatility"]
 
 
+def _impact_report(df: DataFrame) -> DataFrame:
+    """Products in single precision: many events are active at once, and engines multiply them in their own order."""
+    single = ("spread_factor", "volatility_factor", "volume_factor", "effective_volatility")
+    return df.select(*[F.col(c).cast("float").cast("double").alias(c) if c in single else F.col(c) for c in _IMPACT_COLS])
+
+
 @register("event_impact", _IMPACT_SQL)
 def q_event_impact(spark, sf_dir):
-    return EV.event_impact(staged(spark, sf_dir), events(spark, sf_dir)).select(*_IMPACT_COLS)
+    return _impact_report(EV.event_impact(staged(spark, sf_dir), events(spark, sf_dir)))
 
 
 @register("event_impact_shuffle", _IMPACT_SQL)
 def q_event_impact_shuffle(spark, sf_dir):
-    return EV.event_impact(staged(spark, sf_dir), events(spark, sf_dir), max_broadcast_rows=0).select(*_IMPACT_COLS)
+    """The sweep without a broadcast of the pairs."""
+    return _impact_report(EV.event_impact(staged(spark, sf_dir), events(spark, sf_dir), max_broadcast_rows=0))
+
+
+@register("event_impact_many_values", _IMPACT_SQL)
+def q_event_impact_many_values(spark, sf_dir):
+    """The way for multipliers of more distinct values than the sweep keeps counts for."""
+    return _impact_report(EV.event_impact(staged(spark, sf_dir), events(spark, sf_dir), max_factor_values=0))
 
 
 def _repeated(spark, sf_dir):
@@ -246,12 +260,12 @@ _REPEATED_SQL = (_IMPACT_SQL.replace("product(e.spread_multiplier)", "product(CA
 @register("event_impact_repeated", _REPEATED_SQL)
 def q_event_impact_repeated(spark, sf_dir):
     """Every tick twice, and events without a spread multiplier."""
-    return EV.event_impact(*_repeated(spark, sf_dir)).select(*_IMPACT_COLS)
+    return _impact_report(EV.event_impact(*_repeated(spark, sf_dir)))
 
 
 @register("event_impact_repeated_shuffle", _REPEATED_SQL)
 def q_event_impact_repeated_shuffle(spark, sf_dir):
-    return EV.event_impact(*_repeated(spark, sf_dir), max_broadcast_rows=0).select(*_IMPACT_COLS)
+    return _impact_report(EV.event_impact(*_repeated(spark, sf_dir), max_broadcast_rows=0))
 
 
 @register("hour_volume_profile", T + f"""SELECT tick_id, hour(transaction_timestamp) AS hour,
@@ -498,7 +512,7 @@ def _corr_sql():
 
 @register("pair_correlation", _corr_sql())
 def q_pair_correlation(spark, sf_dir):
-    return report(SS.pair_correlation(staged(spark, sf_dir), "1min"), rounded=("correlation",))
+    return report(SS.pair_correlation(staged(spark, sf_dir), "1min", pairs=CURRENCY_PAIRS), rounded=("correlation",))
 
 
 @register("tick_rate", TR + """, g AS (SELECT count(*) AS ticks, min(transaction_timestamp) AS first_ts,
@@ -893,8 +907,10 @@ def q_stream_events(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
+    from candlewick.plans import registry_upkeep  # noqa: F401 - registers its own queries here
     return dict(Q_)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return {k: v for k, v in SQL.items() if k in Q_}

@@ -66,8 +66,7 @@ def economic_events_from_events(events: DataFrame) -> DataFrame:
                 .when(m == 3, F.array(F.lit("AMC")))
                 .when(m == 4, F.array(F.lit("ECR"), F.lit("LCR")))
                 .otherwise(F.array(F.lit("MRT"), F.lit("AMC"))))
-    # most events are over in minutes, every 17th lasts for hours
-    minutes = F.when(eid % 17 == 3, F.lit(30) + eid % 690).otherwise(F.lit(1) + eid % 5)
+    minutes = F.lit(30) + eid % 690
     return (events.where(F.col("event_type") == "error")
             .select(F.concat(F.lit("EV"), eid.cast("string")).alias("event_id"),
                     etype.alias("event_type"),

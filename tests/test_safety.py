@@ -46,8 +46,8 @@ def test_an_unreadable_folder_is_not_a_missing_table(spark, tmp_path):
     (tmp_path / "odd").mkdir()
     (tmp_path / "odd" / "part-0.parquet").write_bytes(b"not parquet")
     with pytest.raises(Exception):  # noqa: B017 - whatever the reader says
-        INC._read_or_none(spark, str(tmp_path / "odd"), "parquet")
-    assert INC._read_or_none(spark, str(tmp_path / "none"), "parquet") is None
+        INC.read_or_none(spark, str(tmp_path / "odd"), "parquet")
+    assert INC.read_or_none(spark, str(tmp_path / "none"), "parquet") is None
 
 
 @pytest.mark.parametrize("change", [lambda c: c.drop("trade_count"), lambda c: c.withColumn("new", F.lit(1)),
@@ -104,10 +104,3 @@ def test_scenarios_return_rows(spark):
     assert R.q_ohlc_violations_broken(spark, sf).count() > 0
     first, last = R.q_candles_as_of_first(spark, sf), R.q_candles_as_of(spark, sf)
     assert first.count() < last.count()
-
-
-def test_unknown_pairs_are_refused(spark):
-    from candlewick.operators.stats import pair_correlation
-    ticks = stage_ticks(raw_rows(spark, [dict(currency_pair="ECR/XXX")]))
-    with pytest.raises(Exception, match="pair not in the list"):
-        pair_correlation(ticks).collect()
