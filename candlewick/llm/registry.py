@@ -29,5 +29,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op7_line_dedup": line_dedup.OP7_SQL, "op9_chat_formatting": chat_format.OP9_SQL,
-            "op11_ranked_lexical_search": lexical_search.OP11_SQL,
+            "op10_embedding_near_dedup": embedding_dedup.OP10_SQL, "op11_ranked_lexical_search": lexical_search.OP11_SQL,
             "op12_phrase_collocations": phrases.OP12_SQL}
