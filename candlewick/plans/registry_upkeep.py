@@ -4,6 +4,7 @@ carried tails, late rows, live enrichment and run counters, each with its DuckDB
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,12 +14,13 @@ from candlewick.operators import candles as C
 from candlewick.operators import quality as Q
 from candlewick.operators import staging as ST
 from candlewick.operators import stats as SS
+from candlewick.plans import colocated as CO
 from candlewick.plans import incremental as INC
 from candlewick.plans import oracle_sql as O
 from candlewick.plans import snapshots as SN
 from candlewick.plans import volatility as VOL
 from candlewick.plans.registry import (INITIAL_LOAD_END, RAW_COLS, SQL, STG_COLS, TE, TR, TS, WIRE_COLS, T, _time_ranges, events, raw, register, staged)
-from candlewick.plans.report import report
+from candlewick.plans.report import candle_report, report
 from candlewick.session import scratch_path
 from candlewick.sources import files as FI
 from candlewick.sources import wire as W
@@ -67,6 +69,17 @@ def q_snapshot_three_runs(spark, sf_dir):
     return INC.read_partitioned(spark, path).select(*CANDLE_KEY, "close_price", "total_volume", "trade_count", "valid_from", "valid_to")
 
 
+# ------------------------------------------------------------ co-located merge
+@register("upsert_colocated", O.candles_sql("1h"))
+def q_upsert_colocated(spark, sf_dir):
+    """The incremental scenario on a table in buckets of its key: equals a full build."""
+    s, table = staged(spark, sf_dir), f"candles_1h_{uuid.uuid4().hex[:12]}"
+    build = lambda ticks: C.ohlc_candles(ticks, "1h", calculated_at=False).withColumn("partition", partition_value("candle_timestamp", "month"))
+    CO.create_bucketed(build(s.where(F.col(TS) < ntz_lit(INITIAL_LOAD_END))), table)
+    CO.upsert_bucketed(spark, table, build(INC.incremental_slice(s, spark.table(table), "1h")))
+    return candle_report(spark.table(table).drop("partition"))
+
+
 # ------------------------------------------------------------ appends
 @register("append_redelivered", T + f"SELECT {STG_COLS} FROM stg")
 def q_append_redelivered(spark, sf_dir):

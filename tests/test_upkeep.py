@@ -13,6 +13,7 @@ from candlewick.operators import quality as Q
 from candlewick.operators.candles import ohlc_candles
 from candlewick.operators.staging import stage_ticks
 from candlewick.operators.stats import pair_correlation, realized_vol
+from candlewick.plans import colocated as CO
 from candlewick.plans import incremental as INC
 from candlewick.plans import snapshots as SN
 from candlewick.plans import volatility as VOL
@@ -121,6 +122,26 @@ def test_append_stores_each_id_once_and_can_be_repeated(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "date" in plan.split("PartitionFilters: [")[1][:60]
 
 
+# ------------------------------------------------------------ co-located merge
+def test_merge_moves_the_update_alone(spark):
+    ddl = "k int, v string, partition string"
+    CO.create_bucketed(spark.createDataFrame([(k, "old", "pq"[k % 2]) for k in range(100)], ddl), "colocated_test", ["k"], buckets=4)
+    updates = spark.createDataFrame([(k, "new", "p") for k in range(90, 110, 2)], ddl)
+    plan = CO.merged_rows(spark, "colocated_test", updates, ["p"], ["k"])._jdf.queryExecution().executedPlan().toString()
+    target = plan[plan.index("FileScan parquet"):]
+    above = plan[:plan.index("FileScan parquet")]
+    assert "SelectedBucketsCount: 4 out of 4" in target and "Bucketed: true" in target and "SortMergeJoin" in above
+    assert "Exchange" not in above[above.index("SortMergeJoin"):]  # between the join and the target's scan
+    CO.upsert_bucketed(spark, "colocated_test", updates, ["k"])
+    got = {r.k: (r.v, r.partition) for r in spark.table("colocated_test").collect()}
+    assert got == {**{k: ("old", "pq"[k % 2]) for k in range(100)}, **{k: ("new", "p") for k in range(90, 110, 2)}}
+    assert CO.bucket_count(spark, "colocated_test") == 4
+    for bad in (updates.unionByName(updates), updates.withColumn("k", F.lit(None).cast("int")), updates.drop("v")):
+        with pytest.raises(AssertionError):
+            CO.upsert_bucketed(spark, "colocated_test", bad, ["k"])
+    spark.sql("DROP TABLE colocated_test")
+
+
 # ------------------------------------------------------------ check states
 def test_states_merge_to_the_report_also_for_keys_repeated_across_partitions(spark, tmp_path):
     raw = raw_ticks(spark, SF_SMALL)
