@@ -32,11 +32,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(docs, removed_col="_lines_removed")
-    out = out.where((F.col("_lines_removed") == 0) | (F.length(F.trim("text")) > 0))
+    removed = "_lines_removed"
+    while removed in docs.columns:
+        removed += "_"
+    out = line_dedup.dedup_lines(docs, removed_col=removed)
+    out = out.where((F.col(removed) == 0) | (F.length(F.trim("text")) > 0))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_lines_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.drop("_lines_removed")
+        out = out.withColumn("n_chars", F.when(F.col(removed) == 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return out.drop(removed)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
