@@ -40,7 +40,7 @@ def test_stages_against_brute_force(spark):
 def test_nulls_extra_columns_and_empty_table(spark):
     given = table(spark, SF, "documents")
     odd = spark.createDataFrame([(None, None, None, None, None), (-1, "", None, "s", 0), (-1, "", None, "s", 0)], given.schema)
-    docs = given.unionByName(odd).selectExpr("*", "'p' as place", "1 as score", "'r' as `row`", "2 as length")
+    docs = given.unionByName(odd).selectExpr("*", "'p' as place", "1 as score", "'r' as `row`", "2 as length", "3 as _lines_removed", "4 as drops")
     for name, stage in P.STAGES:
         path = shared_folder(spark, "test-odd")
         stage(spark, docs, SF).write.parquet(path)
