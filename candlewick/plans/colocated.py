@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.plans.incremental import KEYS, require_keys, require_same_schema
+from candlewick.plans.incremental import KEYS, require_same_schema, touched_partitions
 from candlewick.session import checkpoint_dir
 
 
@@ -40,8 +40,7 @@ def upsert_bucketed(spark: SparkSession, table: str, updates: DataFrame, keys=KE
     checkpoint_dir(spark)
     require_same_schema(spark.table(table), updates)
     updates = updates.checkpoint(eager=True)
-    require_keys(updates, keys)
-    touched = [r[0] for r in updates.select(partition).distinct().collect()]  # folders, not rows
+    touched = touched_partitions(updates, keys, partition)
     if not touched:
         return
     merged = merged_rows(spark, table, updates, touched, keys, partition).checkpoint(eager=True)  # never reads what it replaces

@@ -123,6 +123,23 @@ def require_keys(df: DataFrame, keys) -> None:
         raise AssertionError(f"repeated or null key: {bad[0].asDict()}")
 
 
+def touched_partitions(updates: DataFrame, keys, partition: str = "partition") -> list:
+    """The folders that ``updates`` falls into, from one aggregation that also checks its keys (see ``require_keys``)."""
+    lacking = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    per_key = updates.groupBy(partition, *keys).agg(F.count(F.lit(1)).alias("n"))
+    told = per_key.groupBy(partition).agg(F.max((F.col("n") > 1) | lacking).alias("bad")).collect()  # folders, not rows
+    if any(r["bad"] for r in told):
+        require_keys(updates, keys)
+    return [r[partition] for r in told]
+
+
+def write_folders(rows: DataFrame, path: str, keys, partition: str, fmt: str) -> None:
+    """Rows to their folders, sorted by key: one shuffle by folder without a sampling pass; adaptive execution joins small
+    folders in a task and splits one that is too large for it."""
+    (rows.hint("rebalance", partition).sortWithinPartitions(partition, *keys).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").format(fmt).partitionBy(partition).save(path))
+
+
 def append_new(spark: SparkSession, path: str, batch: DataFrame, batch_id: str, key: str = "tick_id", ts: str = "transaction_timestamp",
                days_back: int = 1, fmt: str = "parquet") -> None:
     """Insert the rows of a delivery whose id is not stored yet; every id is stored once.
@@ -155,23 +172,23 @@ def upsert_path(spark: SparkSession, path: str, updates: DataFrame, keys=KEYS,
     whole and once; otherwise it fails and the table is left as it is.  Only a missing path is built anew."""
     keys = list(keys)
     target = read_or_none(spark, path, fmt, partition)
+    checkpoint_dir(spark)  # make sure a shared checkpoint folder is set
     if target is None:
-        (updates.repartitionByRange(partition, *keys).sortWithinPartitions(partition, *keys)
-         .write.mode("overwrite").format(fmt).partitionBy(partition).save(path))
+        require_keys(updates, keys)
+        write_folders(updates, path, keys, partition, fmt)
         return
     require_same_schema(target, updates)
-    checkpoint_dir(spark)  # make sure a shared checkpoint folder is set
     updates = updates.checkpoint(eager=True)  # evaluated once: key check, partitions, anti join and union all read it
-    require_keys(updates, keys)
-    touched = [r[0] for r in updates.select(partition).distinct().collect()]  # partitions, not rows
+    touched = touched_partitions(updates, keys, partition)
     old = target.where(F.col(partition).isin(touched))
     merged = upsert(old, updates.select(*target.columns), keys)
-    merged = merged.checkpoint(eager=True)
-    # range partitioning on (partition, key): each task writes a contiguous
-    # slice of one or two partitions, and a hot partition is split by the sampler
-    (merged.repartitionByRange(partition, *keys).sortWithinPartitions(partition, *keys)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .format(fmt).partitionBy(partition).save(path))
+    write_folders(merged.checkpoint(eager=True), path, keys, partition, fmt)  # never reads the files it replaces
+
+
+def _rebuild(candles: DataFrame, path: str, fmt: str) -> None:
+    """A candle table anew: whatever lies at ``path`` goes."""
+    (candles.hint("rebalance", "partition").sortWithinPartitions("partition", *KEYS)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt).partitionBy("partition").save(path))
 
 
 def build_candles(spark: SparkSession, ticks: DataFrame, path: str, interval: str,
@@ -186,9 +203,7 @@ def build_candles(spark: SparkSession, ticks: DataFrame, path: str, interval: st
     src = ticks if target is None else incremental_slice(ticks, target, interval, lookback_minutes)
     candles = ohlc_candles(src, interval).withColumn("partition", partition_value("candle_timestamp", part))
     if target is None:
-        (candles.repartitionByRange("partition", "currency_pair", "candle_timestamp")
-         .sortWithinPartitions("partition", "currency_pair", "candle_timestamp")
-         .write.mode("overwrite").format(fmt).partitionBy("partition").save(path))
+        _rebuild(candles, path, fmt)
     else:
         upsert_path(spark, path, candles, KEYS, "partition", fmt)
 
@@ -216,9 +231,7 @@ def build_all_candles(spark: SparkSession, ticks: DataFrame, root: str,
             candles = candles.where(F.col("candle_timestamp") >= ntz_lit(cutoffs[iv]))
         candles = candles.withColumn("partition", partition_value("candle_timestamp", part))
         if targets[iv] is None:
-            (candles.repartitionByRange("partition", "currency_pair", "candle_timestamp")
-             .sortWithinPartitions("partition", "currency_pair", "candle_timestamp")
-             .write.mode("overwrite").format(fmt).partitionBy("partition").save(paths[iv]))
+            _rebuild(candles, paths[iv], fmt)
         else:
             upsert_path(spark, paths[iv], candles, KEYS, "partition", fmt)
     return paths

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions.columns import ntz_lit
-from candlewick.plans.incremental import read_or_none, require_keys, require_same_schema
+from candlewick.plans.incremental import read_or_none, require_keys, require_same_schema, write_folders
 from candlewick.session import checkpoint_dir
 
 VERSION_COLS = ("valid_from", "valid_to")
@@ -49,7 +49,7 @@ def snapshot_run(spark: SparkSession, path: str, current: DataFrame, keys, run_a
     stored = read_or_none(spark, path, fmt, partition)
     if stored is None:
         rows = current.withColumn("valid_from", now).withColumn("valid_to", F.lit(None).cast("timestamp_ntz"))
-        _write(rows, path, keys, partition, fmt)
+        write_folders(rows, path, keys, partition, fmt)
         return {"opened": read_or_none(spark, path, fmt, partition).count(), "changed": 0, "closed": 0}
     require_same_schema(stored.drop(*VERSION_COLS), current)
     if partitions is not None:
@@ -68,10 +68,5 @@ def snapshot_run(spark: SparkSession, path: str, current: DataFrame, keys, run_a
     old = old.join(ended, [partition, *keys], "left")
     old = old.withColumn("valid_to", F.when(F.col("valid_to").isNull() & F.col("_ends"), now).otherwise(F.col("valid_to"))).select(*stored.columns)
     new = changes.where("action <> 'close'").select("new.*").withColumn("valid_from", now).withColumn("valid_to", F.lit(None).cast("timestamp_ntz"))
-    _write(old.unionByName(new).checkpoint(eager=True), path, keys, partition, fmt)  # never reads what it replaces
+    write_folders(old.unionByName(new).checkpoint(eager=True), path, [*keys, "valid_from"], partition, fmt)  # never reads what it replaces
     return counts
-
-
-def _write(rows: DataFrame, path: str, keys, partition: str, fmt: str) -> None:
-    (rows.repartitionByRange(partition, *keys).sortWithinPartitions(partition, *keys, "valid_from")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt).partitionBy(partition).save(path))
