@@ -245,8 +245,8 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = """
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0
-    AND len(list_filter(embedding, c -> c <> 0)) > 0),
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
 e AS (SELECT a.vec_id AS i, b.vec_id AS j FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
   WHERE list_dot_product(a.x, b.x) / (sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x))) >= 0.9),
 r(i, j) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.i, e.j FROM r JOIN e ON r.j = e.i),
