@@ -56,14 +56,14 @@ class Bits:
 
     def has(self, h: np.ndarray) -> np.ndarray:
         at = h >> np.uint64(64 - self.bits)
-        return (self.data[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        return (self.data[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def bit_set(hashes: DataFrame, max_bits: int = MAX_BITS) -> Bits:
-    """The long column ``h`` as bits: sixteen a hash, at most 2 ** max_bits in all, set by aggregation in Spark."""
-    bits = min(max_bits, max(10, (16 * hashes.count()).bit_length()))
-    byte, bit = f"shiftrightunsigned(h, {64 - bits + 3})", f"cast(shiftrightunsigned(h, {64 - bits}) & 7 as int)"
-    held = hashes.groupBy(F.expr(byte).alias("byte")).agg(F.expr(f"bit_or(shiftleft(1, {bit}))").alias("bits")).toPandas()
-    data = np.zeros(1 << bits - 3, np.uint8)
-    data[held["byte"].to_numpy(np.int64)] = held["bits"].to_numpy(np.uint8)
+def bit_set(hashes: DataFrame, max_bits: int = MAX_BITS, for_each: int = 16) -> Bits:
+    """The long column ``h`` as bits: ``for_each`` a hash, at most 2 ** max_bits in all, set by aggregation in Spark."""
+    bits = min(max_bits, max(10, (for_each * hashes.count()).bit_length()))
+    word, bit = f"shiftrightunsigned(h, {64 - bits + 6})", f"cast(shiftrightunsigned(h, {64 - bits}) & 63 as int)"
+    held = hashes.groupBy(F.expr(word).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("bits")).toArrow()
+    data = np.zeros(1 << bits - 6, np.uint64)
+    data[held["word"].to_numpy()] = held["bits"].to_numpy().view(np.uint64)
     return Bits(bits, data)

@@ -4,15 +4,16 @@ Only text around repeated anchors can hold a repeat of ``length`` bytes, so that
 
 1. Every window of ``length`` bytes has an anchor: its ``gram`` bytes with the least hash.  Equal
    windows have equal anchors.  Anchors are counted by hash over all texts; those seen once go.
-2. A context is an anchor with all windows that hold it.  Equal contexts are one row with their first place and count.
-3. Contexts with one anchor form a group.  A group of one context is a repeat as it is.  The others are
-   suffix-sorted by prefix doubling; a stack scan of the common-prefix lengths gives the interval
-   tree, and intervals whose members differ in the byte before them are the maximal repeats, with all
-   their places.  All but the first place of a repeat is removed.
+2. A context is an anchor with all windows that hold it.  Of equal contexts all but the first place
+   go; a task settles what it can of its own texts, so at most one place of a context leaves it.
+3. First places of contexts with one anchor form a group.  Their texts are suffix-sorted; a stack scan of the
+   common-prefix lengths gives the interval tree, and intervals whose members differ in the byte
+   before them are the maximal repeats, with all their places.  All but the first place of a repeat is removed.
 4. Groups of more than ``crowd`` contexts are dealt by longer keys around the anchor (windows that start 9 bytes
    or 1 byte apart), so a passage of any frequency is split and nothing is left out.
 
-Byte ranges come back to the places of their context and are merged by document.
+Byte ranges are collected by document and merged.  Bit sets of bounded size keep scans from
+handing on what cannot matter; what they let through by chance is harmless.
 
 Defined results: a null text is empty and loses nothing; a place is earlier by smaller doc_id, null first, then by start; rows
 with one id are one document with several texts, so rows equal in id and text keep the same bytes;
@@ -22,28 +23,45 @@ texts of any length are read whole, in blocks; other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from numpy.lib.stride_tricks import sliding_window_view
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.llm.common import cut, give_back_memory, shared_folder, table, text_slices
 from candlewick.llm.hashes import MAX_BITS, Bits, HashCounts, bit_set, mix
 
-LENGTH, GRAM, CROWD, RUN, CHUNK = 100, 32, 4096, 6000, 1 << 20
+LENGTH, GRAM, RUN, CHUNK, HELD = 100, 32, 6000, 1 << 16, 1_000_000
+#: Contexts that one task sorts at a time at most: under 6 MB of text at 168 bytes each, some hundred MB with all ranks.
+CROWD = 32_768
 STEPS = (9, 1)
-_PLACE = 1 << 40  # bytes of a text, at most
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
-    """Hashes of all runs of ``gram`` bytes (a power of two), by doubling."""
-    h, k, base = data.astype(np.uint64) + np.uint64(1), 1, 0x9E3779B97F4A7C15
+def _gram_order(data: np.ndarray, gram: int) -> np.ndarray:
+    """32-bit hashes of all runs of ``gram`` bytes (a power of two), by doubling."""
+    h, k, base = data.astype(np.uint32) + np.uint32(1), 1, 0x9E3779B1
     while k < gram:
-        h = h[:len(h) - k] * np.uint64(base) + h[k:] if len(h) > k else h[:0]
-        base, k = base * base % (1 << 64) | 1, 2 * k
-    return mix(h)
+        h = h[:len(h) - k] * np.uint32(base) + h[k:] if len(h) > k else h[:0]
+        base, k = base * base % (1 << 32) | 1, 2 * k
+    h ^= h >> np.uint32(16)
+    h *= np.uint32(0x85EBCA6B)
+    h ^= h >> np.uint32(13)
+    h *= np.uint32(0xC2B2AE35)
+    h ^= h >> np.uint32(16)
+    return h
+
+
+def _gram_hashes(data: np.ndarray, at: np.ndarray, gram: int) -> np.ndarray:
+    """64-bit hashes of the ``gram`` bytes at some places."""
+    words = np.ascontiguousarray(data[at[:, None] + np.arange(gram)]).view(np.uint64)
+    h = np.full(len(at), gram, np.uint64)
+    for j in range(words.shape[1]):
+        h = mix(h * _ODD + words[:, j])
+    return h
 
 
 def _sliding(x: np.ndarray, width: int, of) -> np.ndarray:
@@ -55,32 +73,30 @@ def _sliding(x: np.ndarray, width: int, of) -> np.ndarray:
 
 def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM,
             chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of texts that lie end to end; one at a chunk's end may come twice."""
-    width, found = length - gram + 1, []
+    """Places and hashes of the anchors of texts that lie end to end, by place."""
+    width, found = length - gram + 1, [np.empty(0, np.int64)]
     of_window = np.zeros(len(data) + 1, np.int8)  # which windows lie in one text
     whole = ends - starts >= length
     np.add.at(of_window, starts[whole], 1)
     np.add.at(of_window, ends[whole] - length + 1, -1)
     inside = np.cumsum(of_window[:-1], dtype=np.int8).astype(bool)
+    edge = np.zeros(width - 1, np.uint32)
     for a in range(0, len(data) - length + 1, chunk):
         b = min(a + chunk, len(data) - length + 1)
         if not inside[a:b].any():
             continue
-        h = gram_hashes(data[a:b + length - 1], gram)
-        least = np.where(inside[a:b], _sliding(h, width, np.minimum), np.uint64(0))
-        edge = np.zeros(width - 1, np.uint64)
-        most = _sliding(np.concatenate([edge, least, edge]), width, np.maximum)
-        at = np.flatnonzero((most == h) & (most > 0))
-        found.append((at + a, h[at]))
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+        h = _gram_order(data[a:b + length - 1], gram)
+        np.maximum(h, np.uint32(1), out=h)
+        least = np.where(inside[a:b], _sliding(h, width, np.minimum), np.uint32(0))  # 0: no window
+        found.append(np.flatnonzero(_sliding(np.concatenate([edge, least, edge]), width, np.maximum) == h) + a)
+    at = np.unique(np.concatenate(found))
+    return at, _gram_hashes(data, at, gram)
 
 
 def _slices(batch: pd.DataFrame, length: int, gram: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of some rows at a time: their bytes, starts, ends, and per anchor its row in the batch, place and hash."""
+    """Of some rows at a time: their bytes, and per anchor its text's start and end, its row in the batch, place and hash."""
     done = 0
-    for texts in text_slices(batch["text"], 1_000_000):
+    for texts in text_slices(batch["text"], 4_000_000):
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
         ends = np.cumsum([len(r) for r in raw])
         starts = ends - [len(r) for r in raw]
@@ -112,13 +128,65 @@ def _context_id(context: bytes, off: int) -> int:
     return xxhash.xxh3_64_intdigest(context, seed=off)
 
 
+def _doc_order(doc: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Ids as numbers that sort as they do, null first, by two keys."""
+    ids = doc.astype("Int64")
+    return ids.notna().to_numpy(), ids.fillna(0).to_numpy(np.int64)
+
+
+def _joined(start: np.ndarray, end: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of each owner, those that touch or overlap joined: starts, ends and owners in order."""
+    order = np.lexsort((start, own))
+    start, end, own = start[order], end[order], own[order]
+    wide = np.int64(end.max(initial=0) + 2)
+    reach = np.maximum.accumulate(end + own * wide)
+    new = np.concatenate([[True], start[1:] + own[1:] * wide > reach[:-1]]) if len(own) else np.empty(0, bool)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(own)) - 1 if len(first) else first
+    return start[first], reach[last] - own[first] * wide, own[first]
+
+
+def _span_rows(start: np.ndarray, end: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Owners that have ranges, and the joined ranges of each as starts and ends in turn."""
+    start, end, own = _joined(start, end, own)
+    who, first = np.unique(own, return_index=True)
+    flat = np.stack([start, end], 1).ravel().astype(np.int32)
+    return who, np.split(flat, 2 * first[1:]) if len(who) else []
+
+
+_PLACES = "h long, k long, doc_id long, th long, at int, off int, size int, spans array<int>"
+
+
 def places(docs: DataFrame, bits: Bits, length: int, gram: int) -> DataFrame:
-    """A row per repeated anchor: hash, context, document and place, with the anchor's offset in its context."""
+    """What each task finds at repeated anchors: the first places of its contexts, and by text the spans of all its later places.
+
+    First places have hash, context, document, place, and the context's offset and size; spans are keyed by their text."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
     reach = length - gram
 
+    def settled(held: list[pd.DataFrame]) -> pd.DataFrame:
+        rows = pd.concat(held, ignore_index=True).drop_duplicates(["h", "k", "doc_id", "th", "at"], ignore_index=True)
+        known, doc = _doc_order(rows["doc_id"])
+        order = np.lexsort((rows["at"], doc, known, rows["k"], rows["h"]))
+        rows, known, doc = rows.iloc[order].reset_index(drop=True), known[order], doc[order]
+        h, k, at = rows["h"].to_numpy(), rows["k"].to_numpy(), rows["at"].to_numpy()
+        start = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (k[1:] != k[:-1])]))
+        least = np.repeat(start, np.diff(np.append(start, len(rows))))
+        later = (at != at[least]) | (doc != doc[least]) | (known != known[least])
+        out = rows[~later].copy()
+        out["spans"] = None
+        if not later.any():
+            return out
+        rest = rows[later]
+        text = rest.groupby(["doc_id", "th"], dropna=False, sort=False).ngroup().to_numpy()
+        who, spans = _span_rows((rest["at"] - rest["off"]).to_numpy(np.int64), (rest["at"] - rest["off"] + rest["size"]).to_numpy(np.int64), text)
+        one = rest.iloc[np.unique(text, return_index=True)[1]]
+        told = pd.DataFrame({"h": one["th"].to_numpy(), "k": 0, "doc_id": one["doc_id"].array, "th": one["th"].to_numpy(), "at": 0, "off": 0, "size": 0})
+        told["spans"] = pd.Series(spans, dtype=object)
+        return pd.concat([out, told], ignore_index=True)
+
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = shared.value
+        bits, held, n = shared.value, [], 0
         for batch in batches:
             ids, keys = batch["doc_id"].astype("Int64"), batch["th"].to_numpy()
             for data, starts, ends, row, at, h in _slices(batch, length, gram):
@@ -126,46 +194,55 @@ def places(docs: DataFrame, bits: Bits, length: int, gram: int) -> DataFrame:
                 starts, ends, row, at, h = starts[keep], ends[keep], row[keep], at[keep], h[keep]
                 lo, hi = np.maximum(starts, at - reach), np.minimum(ends, at + length)
                 k = np.fromiter((_context_id(data[a:b], o) for a, b, o in zip(lo.tolist(), hi.tolist(), (at - lo).tolist(), strict=True)), np.uint64, len(at))
-                yield pd.DataFrame({"h": h.view(np.int64), "k": k.view(np.int64), "doc_id": ids.iloc[row].array, "th": keys[row],
-                                    "at": at - starts, "off": (at - lo).astype(np.int32), "size": (hi - lo).astype(np.int32)})
+                held.append(pd.DataFrame({"h": h.view(np.int64), "k": k.view(np.int64), "doc_id": ids.iloc[row].array, "th": keys[row],
+                                          "at": (at - starts).astype(np.int32), "off": (at - lo).astype(np.int32), "size": (hi - lo).astype(np.int32)}))
+                n += len(at)
+                if n > HELD:
+                    yield settled(held)
+                    held, n = [], 0
             give_back_memory()
+        if n:
+            yield settled(held)
 
-    return docs.select("doc_id", "th", "text").mapInPandas(find, "h long, k long, doc_id long, th long, at long, off int, size int")
+    return docs.select("doc_id", "th", "text").mapInPandas(find, _PLACES)
 
 
-def _order_key(doc: Column, at: Column) -> Column:
-    """Places in order as one number; a null document comes before all others."""
-    return F.coalesce(doc.cast("decimal(20,0)"), F.lit(str(-(2 ** 63) - 1)).cast("decimal(20,0)")) * F.lit(_PLACE).cast("decimal(14,0)") + at
+def _place_hash(h: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return mix(h ^ mix(doc.astype(np.int64).view(np.uint64) * _ODD + at.astype(np.uint64)))
 
 
-def _place_hash(h: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return mix(h ^ mix(doc.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at.astype(np.uint64)))
+_CONTEXTS = "h long, k long, doc_id long, th long, at int, off int, ctx binary"
 
 
-def context_texts(docs: DataFrame, wanted: DataFrame, length: int, gram: int, max_bits: int) -> DataFrame:
-    """(h, k, ctx) of the wanted (h, doc_id, at) rows, and of few others, from a scan that looks places up in a bit set."""
+def context_texts(docs: DataFrame, first: DataFrame, groups: DataFrame, length: int, gram: int, max_bits: int) -> DataFrame:
+    """The places ``first`` (h, doc_id, at) whose hash is in ``groups`` (h), with their contexts; a few more may come along."""
     @F.pandas_udf("long")
     def named(h: pd.Series, doc: pd.Series, at: pd.Series) -> pd.Series:
         return pd.Series(_place_hash(h.to_numpy(np.int64).view(np.uint64), doc.to_numpy(np.int64), at.to_numpy(np.int64)).view(np.int64))
 
     doc = F.coalesce("doc_id", F.lit(0).cast("long"))
-    shared = docs.sparkSession.sparkContext.broadcast(bit_set(cut(wanted.select(named("h", doc, "at").alias("h"))), max_bits))
+    wanted = first.join(F.broadcast(groups), "h", "left_semi") if groups.count() <= 100_000 else first
+    bits = bit_set(cut(wanted.select(named("h", doc, "at").alias("h"))), max_bits, 64)
+    shared = docs.sparkSession.sparkContext.broadcast((bits, bit_set(groups, max_bits)))
     reach = length - gram
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = shared.value
+        bits, known = shared.value
         for batch in batches:
-            ids = batch["doc_id"].astype("Int64").fillna(0).to_numpy(np.int64)
+            ids, keys = batch["doc_id"].astype("Int64"), batch["th"].to_numpy()
+            number = ids.fillna(0).to_numpy(np.int64)
             for data, starts, ends, row, at, h in _slices(batch, length, gram):
-                keep = np.flatnonzero(bits.has(_place_hash(h, ids[row], at - starts)))
-                starts, ends, at, h = starts[keep], ends[keep], at[keep], h[keep]
+                keep = np.flatnonzero(known.has(h))
+                keep = keep[bits.has(_place_hash(h[keep], number[row[keep]], (at - starts)[keep]))]
+                starts, ends, row, at, h = starts[keep], ends[keep], row[keep], at[keep], h[keep]
                 lo, hi = np.maximum(starts, at - reach), np.minimum(ends, at + length)
                 own = [data[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
                 k = np.fromiter(map(_context_id, own, (at - lo).tolist()), np.uint64, len(own))
-                yield pd.DataFrame({"h": h.view(np.int64), "k": k.view(np.int64), "ctx": own})
+                yield pd.DataFrame({"h": h.view(np.int64), "k": k.view(np.int64), "doc_id": ids.iloc[row].array, "th": keys[row],
+                                    "at": (at - starts).astype(np.int32), "off": (at - lo).astype(np.int32), "ctx": pd.Series(own, dtype=object)})
             give_back_memory()
 
-    return docs.select("doc_id", "text").mapInPandas(find, "h long, k long, ctx binary").distinct()
+    return docs.select("doc_id", "th", "text").mapInPandas(find, _CONTEXTS)
 
 
 def maximal_repeats(texts: list[bytes], group: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -179,41 +256,51 @@ def maximal_repeats(texts: list[bytes], group: np.ndarray, length: int) -> Itera
         return
     own = np.zeros((len(texts), wide), np.uint8)
     own[np.arange(wide) < size[:, None]] = np.frombuffer(b"".join(texts), np.uint8)
-    word = np.zeros((len(texts), wide - 7), np.uint64)
-    for j in range(8):
-        word |= own[:, j:wide - 7 + j].astype(np.uint64) << np.uint64(8 * (7 - j))
-
-    def ranked(x: np.ndarray) -> np.ndarray:
-        return np.unique(x, return_inverse=True)[1].reshape(x.shape).astype(np.uint64)
-
-    rank, k = ranked(word), 8
-    while 2 * k <= length:  # prefix doubling: ranks of 2k bytes from two ranks of k
-        rank, k = ranked(rank[:, :-k] << np.uint64(32) | rank[:, k:]), 2 * k
+    # Suffixes that share a hash of their first bytes; the others are in no repeat and need not be sorted.
+    h, k, base = own.astype(np.uint64) + np.uint64(1), 1, 0x9E3779B97F4A7C15
+    while 2 * k <= length:
+        h = h[:, :-k] * np.uint64(base) + h[:, k:]
+        base, k = base * base % (1 << 64) | 1, 2 * k
     n = wide - length + 1
-    rank = ranked(rank[:, :n] << np.uint64(32) | rank[:, length - k:length - k + n])
+    h = mix(h[:, :n] * _ODD + h[:, length - k:length - k + n])
     text, off = np.nonzero(np.arange(n) + length <= size[:, None])
-    key = group[text].astype(np.uint64) << np.uint64(32) | rank[text, off]
-    order = np.argsort(key, kind="stable")
+    key = mix(h[text, off] ^ (group[text].astype(np.uint64) * _ODD))
+    order = np.argsort(key)
     key, text, off = key[order], text[order], off[order]
     left = np.where(off > 0, own[text, np.maximum(off, 1) - 1].astype(np.int64), -1 - np.arange(len(off)))
-    # Classes of equal first bytes; of one whose members agree in the byte before, nothing is maximal.
+    # Of a class whose members agree in the byte before, nothing is maximal.
     start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    of = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(key))))
     diverse = np.minimum.reduceat(left, start) != np.maximum.reduceat(left, start) if len(start) else np.empty(0, bool)
-    keep = diverse[of]
-    text, off, left, of = text[keep], off[keep], left[keep], of[keep]
+    keep = np.repeat(diverse, np.diff(np.append(start, len(key))))
+    text, off, left = text[keep], off[keep], left[keep]
     if not len(text):
         return
-    rest = wide - length
-    tail = np.zeros((len(text), -(-max(rest, 1) // 8) * 8), np.uint8)
-    tail[:, :rest] = own[text[:, None], np.minimum(off[:, None] + length + np.arange(rest), wide - 1)]
-    more = size[text] - off - length
-    tail[np.arange(tail.shape[1]) >= more[:, None]] = 0
-    order = np.lexsort((more, *tail.view(">u8").astype(np.uint64).T[::-1], of))
-    text, off, left, of, tail, more = text[order], off[order], left[order], of[order], tail[order], more[order]
-    unlike = tail[1:] != tail[:-1]
-    common = np.where(unlike.any(1), unlike.argmax(1), tail.shape[1])
-    common = np.where(of[1:] == of[:-1], length + np.minimum(common, np.minimum(more[1:], more[:-1])), 0)
+    # Ranks of the first bytes, exact and in order: classes are compared byte by byte with their first member.
+    key = key[keep]
+    of = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]]))
+    del h, key, order, keep
+    lead, heads, slices = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])), sliding_window_view(own, length, axis=1), range(0, len(of), 50_000)
+    for a in slices:
+        i = lead[of[a:a + 50_000]]
+        if (heads[text[a:a + 50_000], off[a:a + 50_000]] != heads[text[i], off[i]]).any() or (group[text[a:a + 50_000]] != group[text[i]]).any():
+            of, lead = np.arange(len(text)), np.arange(len(text))  # two strings under one hash: each suffix for itself until ranked
+            break
+    head, own_group = np.ascontiguousarray(heads[text[lead], off[lead]]).view(f"S{length}").ravel(), group[text[lead]]
+    order = np.lexsort((head, own_group))
+    rank = np.empty(len(lead), np.int64)
+    rank[order] = np.cumsum(np.concatenate([[False], (head[order[1:]] != head[order[:-1]]) | (own_group[order[1:]] != own_group[order[:-1]])]))
+    of, rest = rank[of], max(wide - length, 1)
+    del head, rank
+    own = np.pad(own, ((0, 0), (0, rest)))
+    tail, more = sliding_window_view(own, rest, axis=1)[text, off + length], size[text] - off - length
+    order = np.lexsort((more, tail.view(f"S{rest}").ravel(), of))
+    text, off, left, of, more = text[order], off[order], left[order], of[order], more[order]
+    common = np.minimum(more[1:], more[:-1])
+    for a in slices:
+        unlike = tail[order[a + 1:a + 50_001]] != tail[order[a:a + 50_000][:len(order) - a - 1]]
+        common[a:a + 50_000] = np.minimum(common[a:a + 50_000], np.where(unlike.any(1), unlike.argmax(1), rest))
+    common = np.where(of[1:] == of[:-1], length + common, 0)
+    del tail
     changes = np.concatenate([[0], np.cumsum(left[1:] != left[:-1])])
     stack: list[tuple[int, int]] = []
     for i, lcp in enumerate(common.tolist() + [0], 1):  # the common-prefix interval tree, by a stack scan
@@ -226,40 +313,41 @@ def maximal_repeats(texts: list[bytes], group: np.ndarray, length: int) -> Itera
             stack.append((lcp, first))
 
 
-def _merged(ranges: list[tuple[int, int]]) -> list[int]:
-    """Ranges as a flat list of starts and ends, those that touch or overlap joined."""
-    out: list[int] = []
-    for a, b in sorted(ranges):
-        if out and a <= out[-1]:
-            out[-1] = max(out[-1], b)
-        else:
-            out += [a, b]
-    return out
+_SPANS = "doc_id long, th long, spans array<int>"
 
 
 def _covered(run: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Of each context of some whole groups, the ranges that are repeats of an earlier place, and those that are so but at its first place."""
-    least = [int(x) for x in run["least"]]
-    rank = {d: i for i, d in enumerate(sorted({x >> 40 for x in least}))}
-    off = run["off"].to_numpy(np.int64)
-    first = np.array([rank[x >> 40] << 41 for x in least], np.int64) + np.array([x & (_PLACE - 1) for x in least], np.int64) - off + length
-    always: list[list] = [[] for _ in least]
-    later: list[list] = [[(0, s)] if n > 1 and s >= length else [] for s, n in zip(run["ctx"].map(len), run["n"], strict=True)]
-    group = np.unique(run["h"].to_numpy(), return_inverse=True)[1]
-    for size, text, at in maximal_repeats(list(run["ctx"]), group, length):
-        place = first[text] + at
-        for t, a, again in zip(text.tolist(), at.tolist(), (place > place.min()).tolist(), strict=True):
-            (always if again else later)[t].append((a, a + size))
-    shift = [[x - o for x in _merged(r)] for r, o in zip(always, off.tolist(), strict=True)]
-    rest = [[x - o for x in _merged(r)] for r, o in zip(later, off.tolist(), strict=True)]
-    return pd.DataFrame({"h": run["h"], "k": run["k"], "always": shift, "later": rest})
-
-
-_RANGES = "h long, k long, always array<int>, later array<int>"
+    """Spans of the first places of some whole groups' contexts that repeat an earlier place."""
+    known, doc = _doc_order(run["doc_id"])
+    order = np.lexsort((run["at"], doc, known, run["k"], run["h"]))
+    run, known, doc = run.iloc[order], known[order], doc[order]
+    h, k, at = run["h"].to_numpy(), run["k"].to_numpy(), run["at"].to_numpy(np.int64)
+    start = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (k[1:] != k[:-1])]))  # the least place of each context
+    of = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(run))))
+    tied = (at == at[start[of]]) & (doc == doc[start[of]]) & (known == known[start[of]])
+    rank = np.unique(np.stack([known[start].astype(np.int64), doc[start]], 1), axis=0, return_inverse=True)[1].ravel()
+    begin = rank * (1 << 33) + at[start] - run["off"].to_numpy(np.int64)[start] + length
+    group = np.unique(h[start], return_inverse=True)[1]
+    texts = run["ctx"].iloc[start].tolist()
+    reach = np.zeros((len(texts), max(map(len, texts)) + 1), np.int32)  # the furthest end of a repeat from each place
+    for size, text, off in maximal_repeats(texts, group, length):
+        place = begin[text] + off
+        again = place > place.min()
+        text, off = text[again], off[again]
+        reach[text, off] = np.maximum(reach[text, off], off + size)
+    text, off = np.nonzero(reach)
+    if not len(text):
+        return pd.DataFrame({"doc_id": pd.array([], "Int64"), "th": np.empty(0, np.int64), "spans": pd.Series([], dtype=object)})
+    who, spans = _span_rows(off, reach[text, off].astype(np.int64), text)
+    of_context = dict(zip(who.tolist(), spans, strict=True))
+    rows = [i for i in np.flatnonzero(tied) if of[i] in of_context]
+    shift = at - run["off"].to_numpy(np.int64)
+    return pd.DataFrame({"doc_id": run["doc_id"].astype("Int64").iloc[rows].array, "th": run["th"].to_numpy()[rows],
+                         "spans": pd.Series([(of_context[of[i]] + shift[i]).astype(np.int32) for i in rows], dtype=object)})
 
 
 def _sorted_groups(contexts: DataFrame, length: int, run: int) -> DataFrame:
-    """Ranges of contexts whose groups are small, some groups at a time."""
+    """Spans of contexts whose groups are small, some groups at a time."""
 
     def cover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -276,8 +364,7 @@ def _sorted_groups(contexts: DataFrame, length: int, run: int) -> DataFrame:
         if held and sum(map(len, held)):
             yield _covered(pd.concat(held, ignore_index=True), length)
 
-    own = contexts.select("h", "k", "ctx", "off", "n", "least")
-    return own.repartition("h").sortWithinPartitions("h").mapInPandas(cover, _RANGES)
+    return contexts.repartition("h").sortWithinPartitions("h").mapInPandas(cover, _SPANS)
 
 
 def _split(crowded: DataFrame, step: int, length: int, gram: int) -> DataFrame:
@@ -286,73 +373,64 @@ def _split(crowded: DataFrame, step: int, length: int, gram: int) -> DataFrame:
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for h, k, ctx, off, n, least in batch.itertuples(index=False):
+            out, rows = [], []
+            for i, (off, ctx) in enumerate(zip(batch["off"].tolist(), batch["ctx"], strict=True)):
                 for back in range(0, reach + 1, step):
                     a, b = off - back, off - back + length + 1 - step
                     if a < 0 or b > len(ctx):
                         continue
                     lo, hi = max(0, a - step + 1), min(len(ctx), a + length)
-                    part = ctx[lo:hi]
-                    out.append((h, k, n, least, _signed(_context_id(ctx[a:b], back * 1000 + step)), _signed(_context_id(part, off - lo)), part, off - lo))
-            yield pd.DataFrame(out, columns=["h", "k", "n", "least", "h2", "k2", "ctx", "off"])
-
-    return crowded.select("h", "k", "ctx", "off", "n", "least").mapInPandas(
-        deal, "h long, k long, n long, least decimal(38,0), h2 long, k2 long, ctx binary, off int")
-
-
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
-def ranges(contexts: DataFrame, length: int, gram: int, crowd: int, run: int, steps: tuple[int, ...]) -> DataFrame:
-    """(h, k, always, later) of distinct contexts (h, k, ctx, off, n, least), relative to their anchor."""
-    sizes = contexts.groupBy("h").agg(F.count("*").alias("m"))
-    rows = cut(contexts.join(sizes, "h"))
-    alone = rows.where("m = 1 and n > 1").where(F.length("ctx") >= length)
-    out = alone.select("h", "k", F.array().cast("array<int>").alias("always"), F.array(-F.col("off"), F.length("ctx") - F.col("off")).alias("later"))
-    out = out.unionByName(_sorted_groups(rows.where(F.col("m").between(2, crowd)) if steps else rows.where("m > 1"), length, run))
-    crowded = rows.where(F.col("m") > crowd)
-    if not steps or crowded.isEmpty():
-        return out
-    parts = cut(_split(crowded, steps[0], length, gram))
-    own = parts.groupBy(F.col("h2").alias("h"), F.col("k2").alias("k"), "ctx", "off").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
-    own = cut(own)
-    deeper = ranges(own, length, gram, crowd, run, steps[1:]).join(own.select("h", "k", F.col("least").alias("least2")), ["h", "k"])
-    back = parts.select(F.col("h"), F.col("k"), "least", "h2", "k2").join(deeper.withColumnsRenamed({"h": "h2", "k": "k2"}), ["h2", "k2"])
-    same = F.col("least") == F.col("least2")
-    empty = F.array().cast("array<int>")
-    back = back.select("h", "k", F.when(same, F.col("always")).otherwise(F.concat("always", "later")).alias("always"),
-                       F.when(same, F.col("later")).otherwise(empty).alias("later"))
-    return out.unionByName(back.groupBy("h", "k").agg(F.flatten(F.collect_list("always")).alias("always"), F.flatten(F.collect_list("later")).alias("later")))
+                    out.append((_context_id(ctx[a:b], back * 1000 + step), _context_id(ctx[lo:hi], off - lo), off - lo, ctx[lo:hi]))
+                    rows.append(i)
+            yield pd.DataFrame({"h": np.array([r[0] for r in out], np.uint64).view(np.int64), "k": np.array([r[1] for r in out], np.uint64).view(np.int64),
+                                "doc_id": batch["doc_id"].astype("Int64").iloc[rows].array, "th": batch["th"].to_numpy()[rows], "at": batch["at"].to_numpy()[rows],
+                                "off": np.array([r[2] for r in out], np.int32), "ctx": pd.Series([r[3] for r in out], dtype=object)})
+
+    return crowded.select("h", "k", "doc_id", "th", "at", "off", "ctx").mapInPandas(deal, _CONTEXTS)
+
+
+def _group_spans(contexts: Callable[[DataFrame], DataFrame], groups: DataFrame, length: int, gram: int, crowd: int, run: int,
+                 steps: tuple[int, ...]) -> DataFrame:
+    """Spans of first places in groups (h, m); groups of more than ``crowd`` contexts are split.  ``contexts`` gives those of some groups."""
+    big = groups.where(F.col("m") > crowd).select("h") if steps else None
+    if big is None or big.isEmpty():
+        return _sorted_groups(contexts(groups), length, run)
+    big = F.broadcast(big) if big.count() <= 100_000 else big
+    out = _sorted_groups(contexts(groups.where(F.col("m") <= crowd)).join(big, "h", "left_anti"), length, run)
+    parts = cut(_split(contexts(groups.where(F.col("m") > crowd)).join(big, "h", "left_semi"), steps[0], length, gram))
+    # Least places by partial aggregation, not by a window: any number of contexts may share a part.
+    least = parts.groupBy("h", "k").agg(F.min(F.struct("doc_id", "at")).alias("least"))
+    told = cut(parts.join(least, ["h", "k"]).withColumn("first", F.struct("doc_id", "at") == F.col("least")).drop("least"))
+    later = told.where(~F.col("first") & (F.length("ctx") >= length))
+    start = F.col("at") - F.col("off")
+    out = out.unionByName(later.select("doc_id", "th", F.array(start, start + F.length("ctx")).alias("spans")))
+    own = told.where("first").drop("first")
+    sizes = cut(own.select("h", "k").distinct().groupBy("h").agg(F.count("*").alias("m")).where("m > 1"))
+    inner = lambda some: own.join(some.select("h"), "h", "left_semi")
+    return out.unionByName(_group_spans(inner, sizes, length, gram, crowd, run, steps[1:]))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, run: int = RUN, steps: tuple[int, ...] = STEPS,
                    max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, th, spans): starts and ends, end to end, of repeats in the rows (doc_id, th, text)."""
+    """(doc_id, th, spans): starts and ends in turn, of repeats in the rows (doc_id, th, text)."""
     spark = docs.sparkSession
     if gram < 8 or gram & gram - 1 or 2 * gram > length:
         raise ValueError("gram must be a power of two, 8 at least and half of length at most")
     known = bit_set(cut(repeated_anchors(docs, length, gram)), max_bits)
     path = shared_folder(spark, "repeat-places")
-    places(docs, known, length, gram).withColumn("key", _order_key(F.col("doc_id"), F.col("at"))).write.parquet(path)
+    # A context has at most one row of each task here, so no window grows with the copies of a text.
+    ranked = places(docs, known, length, gram).withColumn("rank", F.rank().over(Window.partitionBy("h", "k").orderBy("doc_id", "at")))
+    ranked.write.parquet(path)
     found = spark.read.parquet(path)
-    groups = cut(found.groupBy("h", "k").agg(F.count("*").alias("n"), F.min("key").alias("least"), F.min("off").alias("off"), F.min("size").alias("size")))
-    sizes = groups.groupBy("h").agg(F.count("*").alias("m"), F.sum("n").alias("all")).where(F.col("all") > 1)
-    groups = cut(groups.join(sizes, "h").drop("all"))
-    alone = groups.where((F.col("m") == 1) & (F.col("size") >= length))
-    told = alone.select("h", "k", "least", F.array().cast("array<int>").alias("always"), F.array(-F.col("off"), F.col("size") - F.col("off")).alias("later"))
-    some = groups.where("m > 1").select("h", "k", "n", "least", "off")
-    at = F.expr(f"cast(pmod(least, {_PLACE}) as long)")
-    doc = F.expr(f"try_cast((least - pmod(least, {_PLACE})) / {_PLACE} as long)")
-    texts = context_texts(docs, some.select("h", "k", doc.alias("doc_id"), at.alias("at")), length, gram, max_bits)
-    contexts = cut(some.join(texts, ["h", "k"]))
-    shared = cut(ranges(contexts, length, gram, crowd, run, steps)).join(some.select("h", "k", "least"), ["h", "k"])
-    told = cut(told.unionByName(shared.where((F.size("always") > 0) | (F.size("later") > 0))))
-    hits = found.select("h", "k", "doc_id", "th", "at", "key").join(told, ["h", "k"])
-    spans = F.when(F.col("key") == F.col("least"), F.col("always")).otherwise(F.concat("always", "later"))
-    hits = hits.select("doc_id", "th", F.transform(spans, lambda x: x.cast("long") + F.col("at")).alias("spans")).where(F.size("spans") > 0)
-    return hits.groupBy("doc_id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    told = found.where("spans is not null").select("doc_id", "th", "spans")
+    later = found.where("spans is null and rank > 1").where(F.col("size") >= length)
+    start = F.col("at") - F.col("off")
+    told = told.unionByName(later.select("doc_id", "th", F.array(start, start + F.col("size")).alias("spans")))
+    first = found.where("spans is null and rank = 1").select("h", "doc_id", "at")
+    groups = cut(first.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"))
+    contexts = lambda some: context_texts(docs, first, some.select("h"), length, gram, max_bits)
+    told = told.unionByName(_group_spans(contexts, groups, length, gram, crowd, run, steps))
+    return told.groupBy("doc_id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _without_udf():
@@ -362,7 +440,9 @@ def _without_udf():
         out = []
         for text, flat in zip(texts, spans, strict=True):
             raw = (text or "").encode("utf-8", "surrogatepass")
-            own = [] if flat is None else list(map(int, _merged(list(zip(flat[::2], flat[1::2], strict=True)))))
+            flat = np.empty(0, np.int64) if flat is None else np.asarray(flat, np.int64)
+            start, end, _ = _joined(flat[::2], flat[1::2], np.zeros(len(flat) // 2, np.int64))
+            own = np.stack([start, end], 1).ravel().tolist()
             edges = [0, *own, len(raw)]
             out.append((len(raw), sum(own[1::2]) - sum(own[::2]), [{"start": a, "end": b} for a, b in zip(own[::2], own[1::2], strict=True)],
                         b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))))

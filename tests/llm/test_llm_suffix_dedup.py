@@ -47,7 +47,7 @@ def corpus(seed, n=60):
     return docs
 
 
-@pytest.mark.parametrize("limits", [{}, {"crowd": 2, "run": 5}, {"max_bits": 10}, {"crowd": 1, "steps": (1,)}])
+@pytest.mark.parametrize("limits", [{}, {"crowd": 2, "run": 5}, {"max_bits": 10, "crowd": 3}, {"crowd": 1, "steps": (1,)}])
 def test_equals_brute_force(spark, limits):
     docs = corpus(1)
     docs += [(100 + k, docs[3][1]) for k in range(20)] + [(200 + k, docs[5][1].replace("the", "a", 1)) for k in range(20)]  # copies, near copies
@@ -116,3 +116,12 @@ def test_wrong_parameters_are_refused(spark):
     for limits in ({"gram": 24}, {"gram": 4}, {"length": 50}):
         with pytest.raises(ValueError):
             S.remove_repeats(df, **limits)
+
+
+def test_strings_under_one_hash_stay_apart(monkeypatch):
+    texts = [b"abcdefghijkl", b"xbcdefghijkl", b"abcdefghijzz", b"qqqqqqqqqqqq", b"ybcdefghijk!", b"abcdefghijkl?"]
+    group = np.zeros(len(texts), np.int64)
+    want = {(size, tuple(sorted(zip(t.tolist(), o.tolist(), strict=True)))) for size, t, o in S.maximal_repeats(texts, group, 9)}
+    monkeypatch.setattr(S, "mix", lambda h: h * np.uint64(0))  # all hashes equal
+    got = {(size, tuple(sorted(zip(t.tolist(), o.tolist(), strict=True)))) for size, t, o in S.maximal_repeats(texts, group, 9)}
+    assert got == want and len(want) >= 3
