@@ -232,10 +232,10 @@ def add_row_numbers(df: DataFrame, partition_cols, order_cols, prefix: str = "rn
         desc = Window.partitionBy(*partition_cols).orderBy(*[F.col(c).desc() for c in order_cols])
         return (df.withColumn(f"{prefix}_first", F.row_number().over(asc))
                 .withColumn(f"{prefix}_last", F.row_number().over(desc)))
-    from candlewick.operators.windows import _null_safe_left_join, sequenced
+    from candlewick.operators.windows import null_safe_left_join, sequenced
     seq = sequenced(df, partition_cols, order_cols, name=f"{prefix}_first")
     sizes = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_group_rows"))
-    out = _null_safe_left_join(seq, sizes, partition_cols)
+    out = null_safe_left_join(seq, sizes, partition_cols)
     return (out.withColumn(f"{prefix}_last", (F.col("_group_rows") - F.col(f"{prefix}_first") + 1).cast("long"))
             .drop("_group_rows"))
 
