@@ -220,6 +220,21 @@ def test_live_join_equals_batch_in_any_file_layout(spark, tmp_path, files):
     assert want.count() > 100 and same(got, want)
 
 
+def test_live_join_meets_by_time_bucket_and_keeps_events_over_many_buckets(spark, tmp_path):
+    ticks = raw_rows(spark, [dict(tick_id=str(k), currency_pair=p, transaction_timestamp=ts(f"2024-01-{14 + k // 24:02d} {k % 24:02d}:00:00"))
+                             for k in range(48) for p in ("ECR/MRT", "LCR/AMC")])
+    spans = [("a", "2024-01-14 03:00:00", "2024-01-14 15:00:00", ["MRT", "ECR"]), ("b", "2024-01-14 05:00:00", "2024-01-14 05:00:00", ["MRT", "MRT"]),
+             ("c", "2024-01-14 22:30:00", "2024-01-15 02:00:00", ["AMC"]), ("d", "2024-01-15 01:00:01", "2024-01-15 01:59:59", ["ECR"])]
+    events = economic_events(spark, SF_SMALL).limit(0)
+    events = spark.createDataFrame([(k, "X", ts(a), ts(a), ts(b), 1, cur, 1.0, 1.0, 1.0) for k, a, b, cur in spans], events.schema)
+    got = _run(spark, tmp_path, ticks, events, 1)
+    want = EV.active_events_join(stage_ticks(ticks), events).select("tick_id", "event_id")
+    assert want.count() == 13 + 1 + 4 and same(got, want)
+    live = stream_event_join(stage_ticks(W.parse_raw_ticks(read_tick_stream(spark, path=str(tmp_path / "t")))), read_event_stream(spark, path=str(tmp_path / "e")))
+    plan = live._jdf.queryExecution().analyzed().toString()
+    assert "_bucket" in plan.split("Join Inner")[1].split("\n")[0]  # ticks meet the events of their own bucket alone
+
+
 def test_an_event_longer_than_the_bound_is_an_error(spark, tmp_path):
     events = economic_events(spark, SF_SMALL).withColumn("end_timestamp", F.col("start_timestamp") + F.expr("INTERVAL 13 HOURS"))
     with pytest.raises(StreamingQueryException, match="event longer than"):
