@@ -198,6 +198,32 @@ def test_every_tick_is_in_a_candle_or_the_side_table_and_batches_can_be_repeated
     assert same(candles.select(want.columns), want)
 
 
+def test_many_multiplier_values_multiply_along_the_tree_without_tick_event_pairs(spark):
+    at = lambda k: ts("2024-01-01 00:00:00") + dt.timedelta(seconds=7 * k)
+    ticks = stage_ticks(raw_rows(spark, [dict(tick_id=f"{p}{k}{copy}", currency_pair=p, transaction_timestamp=at(k))
+                                         for k in range(150) for p in ("ECR/MRT", "LCR/AMC") for copy in range(1 + k % 2)]))
+    ends = [(0, 149), (0, 0), (149, 149), (3, 130), (3, 130), (31, 33), (64, 127), (63, 128), (-5, 500), (150, 160), (-9, -1), (7, 6), (40, 100)]
+    ends += [(k * 37 % 150, k * 37 % 150 + k % 60) for k in range(80)]
+    events = [(str(k), "X", at(a), at(a), at(b), 1, [["ECR"], ["MRT", "ECR", "ECR"], ["AMC", "XXX"], []][k % 4], 1.0 + k / 1000, None if k % 5 == 0 else 0.9 + k / 999,
+               0.0 if k == 5 else -1.0 - k / 998) for k, (a, b) in enumerate(ends)]
+    events = spark.createDataFrame(events, economic_events(spark, SF_SMALL).schema)
+    pairs = EV.active_events_join(ticks, events).groupBy("tick_id").agg(
+        F.count(F.lit(1)).alias("n"), *[F.product(f"event_{c}").alias(name) for c, name in EV.FACTORS.items()])
+    want = {r.tick_id: r for r in pairs.collect()}
+    for bound, chunks in ((10**6, None), (0, 9)):
+        out = EV.event_impact(ticks, events, max_broadcast_rows=bound, n_chunks=chunks, max_factor_values=64)
+        got = {r.tick_id: r for r in out.collect()}
+        assert len(got) == ticks.count() == 450 and set(want) <= set(got) and len(want) > 400
+        for key, r in got.items():
+            w = want.get(key)
+            assert r.active_events == (w.n if w else 0)
+            for name in EV.FACTORS.values():
+                one = 1.0 if w is None or w[name] is None else w[name]
+                assert r[name] == pytest.approx(one, rel=1e-12), (key, name)
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "_bucket" not in plan and "_level" in plan  # no join of ticks with the events of their time bucket
+
+
 # ------------------------------------------------------------ live enrichment
 def _run(spark, tmp_path, ticks, events, files):
     src, own, sink, ck = (str(tmp_path / n) for n in ("t", "e", "out", "ck"))
