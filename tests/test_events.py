@@ -76,3 +76,27 @@ def test_bucketed_join_equals_nested_loop_join(spark):
     ours = EV.active_events_join(t, e).select("tick_id", "event_id")
     assert nested.count() > 0
     assert nested.exceptAll(ours).count() == 0 and ours.exceptAll(nested).count() == 0
+
+
+def _join_rows(plan):
+    """Rows that the joins of an executed plan gave."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _join_rows(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return _join_rows(plan.plan())
+    own = plan.metrics().apply("numOutputRows").value() if "Join" in plan.nodeName() else 0
+    return own + sum(_join_rows(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_interval_join_joins_arrays_and_gives_every_pair(spark):
+    t = stage_ticks(raw_rows(spark, [dict(tick_id=f"t{i}", transaction_timestamp=ts("2024-01-01 10:00:00")) for i in range(20)]))
+    lists = (["ECR", "MRT"], ["MRT", "MRT", None], ["AMC"], None)   # both sides, quote alone and repeated, neither, none
+    e = _events(spark, [(f"E{i}", "X", None, ts("2024-01-01 09:30:00"), ts(f"2024-01-01 {'10:30' if i % 2 else '09:45'}:00"), 3,
+                         lists[i % 8 // 2], 1.5, None, 1.25) for i in range(2400)] * 2)
+    want = {f"E{i}" for i in range(2400) if i % 2 and i % 8 // 2 < 2}
+    for bound in (200_000, 0):   # broadcast path and shuffle path
+        j = EV.active_events_join(t, e, max_broadcast_rows=bound).select("tick_id", "event_id")
+        per = {(r.tick_id, r.event_id): r["count"] for r in j.groupBy("tick_id", "event_id").count().collect()}
+        assert per == {(f"t{i}", event): 2 for i in range(20) for event in want}
+        pairs = len(j.collect())
+        assert pairs == 24_000 and 0 < _join_rows(j._jdf.queryExecution().executedPlan()) < pairs / 20
